@@ -145,3 +145,81 @@ def table_assets_sql(int_counts: bool = False, with_op: bool = True) -> str:
         f"select table_id, table_name, domain, creator, namespace{op}, "
         f"cast(partition_counts as {it}) as partition_counts, cast(file_counts as {it}) as file_counts, "
         "file_total_size from fx_table_assets")
+
+
+def _union_catalog(select_ti: str, select_pi: str, select_ci: str) -> str:
+    return f"{select_ti} from fx_table_info union all {select_pi} from fx_partition_info " \
+           f"union all {select_ci} from fx_commit"
+
+
+PATTERN = """'[(]([^,]+),([^,]+),([^,]+),"([^"]+)"[)]'"""
+
+CUT = "(select (min(o_orderkey) + max(o_orderkey)) // 2 from orders)"
+
+
+def oracle_sql() -> dict[str, str]:
+    sides = ("case when commit_op = 'delete' then table_id end as before_table_id, "
+             "case when commit_op <> 'delete' then table_id end as after_table_id")
+    img = "case when commit_op = 'delete' then 'before' else 'after' end as image_side, table_id"
+    q = {
+        "file_op_parse": with_ctes(
+            "select cast(l_orderkey as varchar) as commit_id, "
+            f"regexp_matches(file_op, {PATTERN}) as matched, "
+            f"regexp_extract(file_op, {PATTERN}, 1) as path, "
+            f"regexp_extract(file_op, {PATTERN}, 2) as action, "
+            f"cast(regexp_extract(file_op, {PATTERN}, 3) as bigint) as size, "
+            f"regexp_extract(file_op, {PATTERN}, 4) as columns "
+            "from fx_file_ops where l_orderkey in (select o_orderkey from orders)"),
+        "commit_file_stats": with_ctes(
+            "select table_id, commit_id, committed, commit_op, seq, file_count, file_bytes from fx_commit"),
+        "commit_totals": with_ctes("select table_id, file_counts, file_total_size from dc"),
+        "live_partition_counts": with_ctes("select table_id, partition_counts from pc"),
+        "latest_table_info": with_ctes(
+            "select table_id, table_name, namespace, domain, creator, op from ti"),
+        "table_with_partitions": with_ctes(
+            "select ti.table_id, table_name, namespace, domain, creator, op, partition_counts "
+            "from ti join pc on ti.table_id = pc.table_id"),
+        "table_level_assets": table_assets_sql(),
+        "namespace_level_assets": group_assets_sql("namespace"),
+        "domain_level_assets": group_assets_sql("domain"),
+        "user_level_assets": user_assets_sql(),
+        "envelope_decode": with_ctes(
+            ", fx_line_counts as (select l_orderkey, count(*) as n from fx_file_ops group by l_orderkey)\n"
+            f"select 'table_info' as table_name, commit_op, seq, {sides}, "
+            "cast(null as bigint) as file_op_count from fx_table_info "
+            f"union all select 'partition_info', commit_op, seq, {sides}, cast(null as bigint) from fx_partition_info "
+            f"union all select 'data_commit_info', commit_op, seq, {sides}, n "
+            "from fx_commit join fx_line_counts on cast(l_orderkey as varchar) = commit_id "
+            "union all select 'namespace', 'create', cast(-1 - n_nationkey as bigint), "
+            "cast(null as varchar), cast(null as varchar), cast(null as bigint) from nation"),
+        "row_image": with_ctes(_union_catalog(
+            f"select 'table_info' as table_name, commit_op, seq, {img}",
+            f"select 'partition_info', commit_op, seq, {img}",
+            f"select 'data_commit_info', commit_op, seq, {img}")),
+        "route_table_info": with_ctes(
+            "select table_id, table_name, table_namespace, domain, creator, commit_op, seq from fx_table_info"),
+        "route_partition_info": with_ctes(
+            "select table_id, partition_desc, commit_op, seq from fx_partition_info"),
+        "route_data_commit_info": with_ctes(
+            "select table_id, commit_id, committed, commit_op, seq, file_count, file_bytes from fx_commit"),
+        "cdc_scan": with_ctes(_union_catalog(
+            "select 'table_info' as table_name, commit_op, seq, table_id",
+            "select 'partition_info', commit_op, seq, table_id",
+            "select 'data_commit_info', commit_op, seq, table_id")),
+        "snapshot_bootstrap": with_ctes(
+            f", snap as (select table_id, partition_desc, max_by(commit_op, seq) as op from fx_partition_info "
+            f"where seq <= {CUT} and partition_desc is not null group by table_id, partition_desc)\n"
+            f"select table_id, partition_desc, 'read' as commit_op, cast({CUT} as bigint) as seq "
+            "from snap where op <> 'delete' "
+            f"union all select table_id, partition_desc, commit_op, seq from fx_partition_info where seq > {CUT}"),
+    }
+    sink = {
+        "table_level_assets": table_assets_sql(int_counts=True, with_op=False),
+        "namespace_level_assets": group_assets_sql("namespace", int_counts=True),
+        "domain_level_assets": group_assets_sql("domain", int_counts=True),
+        "user_level_assets": user_assets_sql(int_counts=True),
+    }
+    for name, text in sink.items():
+        q["upsert_" + name.replace("_level", "")] = text
+        q["stream_" + name] = text
+    return q
