@@ -46,25 +46,49 @@ def parsed_file_ops(file_ops: Column) -> Column:
     return F.transform(file_ops, lambda x: parse_file_op(decode_base64_text(x)))
 
 
-def commit_file_stats(file_ops: Column) -> tuple[Column, Column, Column]:
-    """A1: (file_count, file_bytes, problem) of one commit.
+def action_and_size(file_ops: Column) -> Column:
+    """Per file op of a commit: struct(action, size); two regex evaluations per op.
 
-    ``file_count`` is the number of ``add`` ops and ``file_bytes`` the sum of their
-    sizes; ``del`` ops add nothing. ``problem`` is null for a clean commit, else the
-    reason the commit goes to quarantine instead of being counted: a missing array,
-    an op that does not match the pattern, or an ``add`` whose size is not a number.
+    ``action`` is '' when the text does not match (group 2 of a match is never
+    empty), ``size`` null when it is not a number.
     """
-    parsed = parsed_file_ops(file_ops)
-    adds = F.filter(parsed, lambda p: p["action"] == F.lit(ACTION_ADD))
-    file_count = F.size(adds).cast("bigint")
-    file_bytes = F.aggregate(adds, F.lit(0).cast("bigint"),
-                             lambda acc, p: acc + F.coalesce(p["size"], F.lit(0).cast("bigint")))
-    problem = (
-        F.when(file_ops.isNull(), F.lit("missing_file_ops"))
-        .when(F.exists(parsed, lambda p: ~p["matched"]), F.lit("unparsed_file_op"))
-        .when(F.exists(adds, lambda p: p["size"].isNull()), F.lit("bad_file_size"))
-    )
-    return file_count, file_bytes, problem
+    def one(x: Column) -> Column:
+        text = decode_base64_text(x)
+        return F.struct(
+            F.coalesce(F.regexp_extract(text, FILE_OP_PATTERN, 2), F.lit("")).alias("action"),
+            F.regexp_extract(text, FILE_OP_PATTERN, 3).try_cast("bigint").alias("size"))
+    return F.transform(file_ops, one)
+
+
+def fold_file_stats(ops: Column) -> Column:
+    """A1 fold over the output of ``action_and_size``, in one pass over the array:
+    struct(n, bytes, unmatched, bad_size). ``n`` is the number of ``add`` ops and
+    ``bytes`` the sum of their sizes; ``del`` ops add nothing."""
+    zero = F.lit(0).cast("bigint")
+    init = F.struct(zero.alias("n"), zero.alias("bytes"), F.lit(False).alias("unmatched"),
+                    F.lit(False).alias("bad_size"))
+
+    def step(acc: Column, op: Column) -> Column:
+        is_add = op["action"] == F.lit(ACTION_ADD)
+        return F.struct(
+            (acc["n"] + F.when(is_add, 1).otherwise(0)).alias("n"),
+            (acc["bytes"] + F.when(is_add, F.coalesce(op["size"], zero)).otherwise(zero)).alias("bytes"),
+            (acc["unmatched"] | (op["action"] == F.lit(""))).alias("unmatched"),
+            (acc["bad_size"] | (is_add & op["size"].isNull())).alias("bad_size"))
+
+    return F.aggregate(ops, init, step)
+
+
+def file_stats_columns(folded: Column, file_ops: Column) -> tuple[Column, Column, Column]:
+    """(file_count, file_bytes, problem) from the fold. ``problem`` is null for a clean
+    commit, else the reason it goes to quarantine instead of being counted: a missing
+    array, an op that does not match the pattern, or an ``add`` whose size is not a
+    number."""
+    zero = F.lit(0).cast("bigint")
+    problem = (F.when(file_ops.isNull(), F.lit("missing_file_ops"))
+               .when(folded["unmatched"], F.lit("unparsed_file_op"))
+               .when(folded["bad_size"], F.lit("bad_file_size")))
+    return (F.coalesce(folded["n"], zero), F.coalesce(folded["bytes"], zero), problem)
 
 
 def text_to_bool(text: Column) -> Column:

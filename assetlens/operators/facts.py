@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetlens.functions.fileops import commit_file_stats
+from assetlens.functions.fileops import action_and_size, file_stats_columns, fold_file_stats
 from assetlens.schemas import OP_DELETE
 
 ATTRS = ("table_name", "table_namespace", "domain", "creator")
@@ -89,10 +89,18 @@ def live_partition_counts(compacted: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- A1 + A2: commit totals
 
 def commit_stats(commits: DataFrame) -> DataFrame:
-    """A1 on each commit: adds ``file_count``, ``file_bytes`` and ``problem`` columns."""
-    count, size, problem = commit_file_stats(F.col("file_ops"))
-    return commits.select("*", count.alias("file_count"), size.alias("file_bytes"),
-                          problem.alias("problem"))
+    """A1 on each commit: adds ``file_count``, ``file_bytes`` and ``problem`` columns.
+
+    Three projections: the ops are parsed once into a column, folded once in one pass,
+    and the fold's fields read out. The optimizer does not inline a costly expression
+    into several uses, so nothing is evaluated twice.
+    """
+    cols = commits.columns
+    parsed = commits.select(*cols, action_and_size(F.col("file_ops")).alias("__ops"))
+    folded = parsed.select(*cols, fold_file_stats(F.col("__ops")).alias("__fold"))
+    count, size, problem = file_stats_columns(F.col("__fold"), F.col("file_ops"))
+    return folded.select(*cols, count.alias("file_count"), size.alias("file_bytes"),
+                         problem.alias("problem"))
 
 
 def quarantine(stats: DataFrame) -> DataFrame:
@@ -105,29 +113,37 @@ def signed_commit_deltas(stats: DataFrame, dedupe_commits: bool = False) -> Data
     """A2 rule per commit change, as signed deltas (table_id, d_files, d_bytes).
 
     A delete subtracts (even if never committed, D6); any other operation adds when
-    committed; an uncommitted non-delete gives no row at all (P7), so it cannot make a
-    table appear in J2. With ``dedupe_commits`` only the last change of each
-    ``commit_id`` counts (D5 option): a deleted commit then counts nothing.
+    committed (P7); a quarantined commit counts nothing. Changes that do not count
+    keep their row with null deltas instead of being filtered out: a filter here
+    would be pushed below the A1 projection and evaluate the fold once more per use.
+    ``commit_totals`` drops the tables without any counted change, so an uncommitted
+    commit still cannot make a table appear in J2. With ``dedupe_commits`` only the
+    last change of each ``commit_id`` counts (D5 option): a deleted commit then
+    counts nothing.
     """
-    ok = stats.where(F.col("problem").isNull())
     if dedupe_commits:
-        ok = (ok.groupBy("table_id", "commit_id")
-              .agg(F.max_by(F.struct("commit_op", "committed", "file_count", "file_bytes", "seq"),
-                            F.col("seq")).alias("c"))
-              .select("table_id", "commit_id", "c.*")
-              .where(not_delete(F.col("commit_op"))))
+        last = (stats.groupBy("table_id", "commit_id")
+                .agg(F.max_by(F.struct("commit_op", "committed", "file_count", "file_bytes",
+                                       "problem"), F.col("seq")).alias("c"))
+                .select("table_id", "commit_id", "c.*"))
+        stats = last.withColumn(
+            "problem", F.when(~not_delete(F.col("commit_op")), F.lit("deleted"))
+            .otherwise(F.col("problem")))
     is_delete = F.col("commit_op") == F.lit(OP_DELETE)
+    counts = F.col("problem").isNull() & (is_delete | F.col("committed"))
     sign = F.when(is_delete, F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
-    return ok.where(is_delete | F.col("committed")).select(
-        "table_id", (sign * F.col("file_count")).alias("d_files"),
-        (sign * F.col("file_bytes")).alias("d_bytes"))
+    return stats.select(
+        "table_id", F.when(counts, sign * F.col("file_count")).alias("d_files"),
+        F.when(counts, sign * F.col("file_bytes")).alias("d_bytes"))
 
 
 def commit_totals(deltas: DataFrame) -> DataFrame:
-    """A2: (table_id, file_counts, file_total_size), running signed totals."""
-    return deltas.groupBy("table_id").agg(
-        F.sum("d_files").cast("bigint").alias("file_counts"),
-        F.sum("d_bytes").cast("bigint").alias("file_total_size"))
+    """A2: (table_id, file_counts, file_total_size), running signed totals over the
+    counted changes; a table without any counted change has no row."""
+    return (deltas.groupBy("table_id")
+            .agg(F.sum("d_files").cast("bigint").alias("file_counts"),
+                 F.sum("d_bytes").cast("bigint").alias("file_total_size"))
+            .where(F.col("file_counts").isNotNull()))
 
 
 # ---------------------------------------------------------------- J1, J2

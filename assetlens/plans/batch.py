@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from assetlens.operators import facts, rollups
-from assetlens.session import work_dir
+from assetlens.session import materialize
 
 
 @dataclass
@@ -55,21 +55,20 @@ def rollups_from(assets: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataF
 
 
 def compute_assets(table_info: DataFrame, partitions: DataFrame, commits: DataFrame,
-                   dedupe_commits: bool = False, materialize: bool = True) -> AssetResults:
+                   dedupe_commits: bool = False, keep: bool = True) -> AssetResults:
     """Batch run over whole change logs.
 
-    ``materialize`` cuts the lineage of the compacted table-info rows and of the
-    table-level assets with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``:
-    both feed several consumers, and a lost executor then costs a re-read of the
-    checkpoint instead of a replay of the change log.
+    With ``keep`` the compacted table-info rows and the table-level assets are
+    written once to the shared work folder (``spark.checkpoint.dir``) and read back:
+    both feed several consumers, and a lost executor then costs a re-read of a small
+    table instead of a replay of the change log.
     """
     c, quarantined = compact(table_info, partitions, commits, dedupe_commits)
-    if materialize:
-        work_dir(table_info.sparkSession)
-        c.table_info = c.table_info.checkpoint(eager=True)
+    if keep:
+        c.table_info = materialize(c.table_info, "compacted-table-info")
     assets = assets_from_compacted(c)
-    if materialize:
-        assets = assets.checkpoint(eager=True)
+    if keep:
+        assets = materialize(assets, "table-assets")
     groups = facts.table_groups(c.table_info)
     ns, dom, user = rollups_from(assets, groups)
     return AssetResults(assets, ns, dom, user, quarantined)

@@ -61,3 +61,14 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, never used folder under the work folder (no clean-up by deletion)."""
     return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Cuts the lineage of ``df``: writes it once as parquet under the work folder and
+    returns the table read back. Unlike an RDD ``checkpoint()`` it computes its input
+    once, and the consumers read columns with pruning and pushed filters. The folder
+    is shared, so the table survives the loss of any executor."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

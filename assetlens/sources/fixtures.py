@@ -82,14 +82,11 @@ def fx_file_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_commit_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``data_commit_info`` changes: one commit per order that has lines. ``file_ops``
-    is the array of base64 texts of the order's lines (ordered by line number); a
+    is the array of base64 texts of the order's lines (in no particular order); a
     commit holds one order's lines, so the array is bounded by lines per order."""
     li = table(spark, sf_dir, "lineitem")
     arrays = (li.groupBy("l_orderkey")
-              .agg(F.sort_array(F.collect_list(F.struct(
-                  F.col("l_linenumber"), F.base64(F.encode(file_op_text(), "UTF-8")).alias("b64"))))
-                   .alias("ops"))
-              .select("l_orderkey", F.col("ops.b64").alias("file_ops")))
+              .agg(F.collect_list(F.base64(F.encode(file_op_text(), "UTF-8"))).alias("file_ops")))
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     return o.join(arrays, o["o_orderkey"] == arrays["l_orderkey"], "inner").select(

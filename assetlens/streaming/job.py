@@ -29,6 +29,7 @@ from assetlens.operators import facts
 from assetlens.plans.batch import Compacted, assets_from_compacted, rollups_from
 from assetlens.schemas import (DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
                                TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS)
+from assetlens.session import materialize
 from assetlens.sinks.upsert import VersionedTable
 from assetlens.sources.envelope import route_all
 
@@ -71,8 +72,8 @@ def tagged_changes(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
               F.col("table_namespace"), F.col("domain"), F.col("creator"))
     p = shape(pi.where(F.col("partition_desc").isNotNull()), "p", F.col("partition_desc"),
               F.col("commit_op"), F.col("seq"))
-    # Rows the A2 rule ignores are dropped here, so an uncommitted commit cannot make
-    # a table appear.
+    # Changes the A2 rule ignores carry null deltas; a key whose sums stay null has
+    # no counted change and is dropped when the state is split (no J2 match).
     deltas = facts.signed_commit_deltas(stats)
     c = shape(deltas, "c", F.lit(""), null_s, null_l, d_files=F.col("d_files"),
               d_bytes=F.col("d_bytes"))
@@ -98,9 +99,8 @@ def split_compacted(state: DataFrame) -> Compacted:
         table_info=state.where(F.col("kind") == "t").select("table_id", "attrs", "op", "groups"),
         partitions=state.where(F.col("kind") == "p").select(
             "table_id", F.col("sub_key").alias("partition_desc"), "op"),
-        totals=state.where(F.col("kind") == "c").select(
-            "table_id", F.coalesce("file_counts", F.lit(0).cast("bigint")).alias("file_counts"),
-            F.coalesce("file_total_size", F.lit(0).cast("bigint")).alias("file_total_size")))
+        totals=state.where((F.col("kind") == "c") & F.col("file_counts").isNotNull())
+        .select("table_id", "file_counts", "file_total_size"))
 
 
 @dataclass
@@ -133,10 +133,10 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     # writes below, the replay skips what was applied and finishes the rest.
     tables.compacted.upsert(changed, batch_id)
     # Read the merged state back from storage: the live aggregate frame is never
-    # joined with itself. The table assets feed four consumers, so their lineage is
-    # cut once with a reliable checkpoint into the shared work folder.
+    # joined with itself. The table assets feed four consumers, so they are written
+    # once to the shared work folder and read back.
     c = split_compacted(tables.compacted.current())
-    assets = assets_from_compacted(c).checkpoint(eager=True)
+    assets = materialize(assets_from_compacted(c), f"table-assets-{batch_id}")
     frozen = ("table_name", "domain", "creator", "namespace") if freeze_attributes else ()
     tables.table_assets.upsert(assets, batch_id, frozen=frozen)
     ns, dom, user = rollups_from(assets, facts.table_groups(c.table_info))

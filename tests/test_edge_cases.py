@@ -93,7 +93,7 @@ def _world(logs, table_info, parts=None, commits=None):
     parts = parts if parts is not None else [(t, "p1", "create", 100 + i) for i, t in enumerate(ids)]
     commits = commits if commits is not None else [
         (t, f"c{i}", [OK_OP], True, "create", 200 + i) for i, t in enumerate(ids)]
-    return compute_assets(ti, logs.partitions(parts), logs.commits(commits), materialize=False)
+    return compute_assets(ti, logs.partitions(parts), logs.commits(commits), keep=False)
 
 
 def test_table_without_partitions_or_commits_is_absent(logs):
