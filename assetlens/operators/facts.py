@@ -73,17 +73,20 @@ def table_groups(compacted: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- A3: live partitions
 
 def compact_partitions(partitions: DataFrame) -> DataFrame:
-    """A3 inner half (P6 included): last operation per (table_id, partition_desc)."""
+    """A3 inner half (P6 included): per (table_id, partition_desc), whether the last
+    operation was a delete. A boolean ``max_by`` keeps a fixed-width aggregation
+    buffer, so this, the largest aggregate, runs as a hash aggregate with map-side
+    partial aggregation (a string buffer would force a sort-based aggregate)."""
     return (partitions.where(F.col("partition_desc").isNotNull())
             .groupBy("table_id", "partition_desc")
-            .agg(F.max_by(F.col("commit_op"), F.col("seq")).alias("op")))
+            .agg(F.max_by(F.col("commit_op") == F.lit(OP_DELETE), F.col("seq")).alias("deleted")))
 
 
 def live_partition_counts(compacted: DataFrame) -> DataFrame:
     """A3 outer half: (table_id, partition_counts); a deleted partition stops counting (D8),
     a table whose partitions are all deleted counts 0 (D9)."""
     return compacted.groupBy("table_id").agg(
-        F.count_if(not_delete(F.col("op"))).cast("bigint").alias("partition_counts"))
+        F.count_if(~F.col("deleted")).cast("bigint").alias("partition_counts"))
 
 
 # ---------------------------------------------------------------- A1 + A2: commit totals

@@ -41,10 +41,13 @@ def _with_zero_rows(keys: DataFrame, live: DataFrame, key: str, extra: tuple = (
         key, *extra, *[F.coalesce(F.col(m), F.lit(0).cast("bigint")).alias(m) for m in MEASURES])
 
 
-def group_level_assets(assets: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+def group_level_assets(assets: DataFrame, groups: DataFrame, key: str,
+                       history_is_complete: bool = False) -> DataFrame:
     """R1 / R2 (key ``namespace`` / ``domain``): (key, table_counts, partition_counts,
-    file_counts, file_total_size)."""
-    keys = complete_history(groups, assets).select(key).where(F.col(key).isNotNull()).distinct()
+    file_counts, file_total_size). ``history_is_complete``: ``groups`` is already
+    restricted to complete tables."""
+    hist = groups if history_is_complete else complete_history(groups, assets)
+    keys = hist.select(key).where(F.col(key).isNotNull()).distinct()
     return _with_zero_rows(keys, live_measures(assets, key), key)
 
 
@@ -56,13 +59,15 @@ def domain_level_assets(assets: DataFrame, groups: DataFrame) -> DataFrame:
     return group_level_assets(assets, groups, "domain")
 
 
-def user_level_assets(assets: DataFrame, groups: DataFrame) -> DataFrame:
+def user_level_assets(assets: DataFrame, groups: DataFrame,
+                      history_is_complete: bool = False) -> DataFrame:
     """R3 with R4, R5: (creator, domain_counts, namespace_counts, table_counts,
     partition_counts, file_counts, file_total_size)."""
     # Two distinct counts: Catalyst expands the rows per distinct column and
     # aggregates (creator, value) pairs first, each with partial aggregation, so a
     # creator with a huge history never becomes one distinct set in one task.
-    keys = (complete_history(groups, assets).where(F.col("creator").isNotNull())
+    hist = groups if history_is_complete else complete_history(groups, assets)
+    keys = (hist.where(F.col("creator").isNotNull())
             .groupBy("creator")
             .agg(F.count_distinct("domain").cast("bigint").alias("domain_counts"),
                  F.count_distinct("namespace").cast("bigint").alias("namespace_counts")))

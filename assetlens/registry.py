@@ -23,6 +23,9 @@ from assetlens.functions.fileops import decode_base64_text, parse_file_op
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Files per part of a test feed: one part is one micro-batch of the file source.
+FILES_PER_PART = 4
+
 
 def _logs(spark: SparkSession, sf_dir: str):
     return (fx.fx_table_info(spark, sf_dir), fx.fx_partition_info(spark, sf_dir),
@@ -147,9 +150,10 @@ def q_cdc_scan(spark, sf_dir):
     """The feed read as a stream (file source, several micro-batches), catalog
     tables only, written to a parquet sink and read back."""
     feed = fresh_dir(spark, "feed")
-    cuts = _seq_cuts(fx.fx_envelopes(spark, sf_dir), 3)
-    changelog.write_feed(fx.fx_envelopes(spark, sf_dir), feed, cuts)
-    stream = changelog.read_change_stream(spark, f"{feed}/*", max_files_per_trigger=1)
+    env = fx.fx_envelopes(spark, sf_dir)
+    changelog.write_feed(env, feed, _seq_cuts(env, 3), files_per_part=FILES_PER_PART)
+    stream = changelog.read_change_stream(spark, f"{feed}/*",
+                                          max_files_per_trigger=FILES_PER_PART)
     out = fresh_dir(spark, "cdc_scan")
     q = (envelope.with_row_image(stream)
          .select("table_name", "commit_op", "seq", F.col("img.table_id").alias("table_id"))
@@ -181,7 +185,7 @@ def q_snapshot_bootstrap(spark, sf_dir):
     cut = orders_mid(spark, sf_dir)
     log = fx.fx_partition_info(spark, sf_dir)
     state = (facts.compact_partitions(log.where(F.col("seq") <= cut))
-             .where(facts.not_delete(F.col("op"))).select("table_id", "partition_desc"))
+             .where(~F.col("deleted")).select("table_id", "partition_desc"))
     export = fresh_dir(spark, "snapshot-partition_info")
     state.write.parquet(export)
     snap_rows = changelog.read_snapshot_files(spark, export)
@@ -208,7 +212,7 @@ def _two_batch_sink(spark, sf_dir):
                ci.where(F.col("seq") <= cut)), (ti, pi, ci)]
     for batch_id, (t, p, c) in enumerate(halves):
         r = batch.compute_assets(t, p, c)
-        tables.table_assets.upsert(r.table_assets, batch_id)
+        tables.table_sink.upsert(r.table_assets, batch_id)
         tables.namespace_assets.upsert(r.namespace_assets, batch_id)
         tables.domain_assets.upsert(r.domain_assets, batch_id)
         tables.user_assets.upsert(r.user_assets, batch_id)
@@ -227,7 +231,7 @@ def _cached(cache: dict, spark, sf_dir, build):
 
 
 def q_upsert_table_assets(spark, sf_dir):
-    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).table_assets.current()
+    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).table_level_assets()
 
 
 def q_upsert_namespace_assets(spark, sf_dir):
@@ -243,19 +247,20 @@ def q_upsert_user_assets(spark, sf_dir):
 
 
 def _stream_run(spark, sf_dir):
-    """The whole feed as 4 files in log order, consumed by the streaming job with
-    ``availableNow`` and one file per micro-batch."""
+    """The whole feed as 4 parts in log order, consumed by the streaming job with
+    ``availableNow`` and one part per micro-batch."""
     from assetlens.streaming import job
     env = fx.fx_envelopes(spark, sf_dir)
     feed = fresh_dir(spark, "feed")
-    changelog.write_feed(env, feed, _seq_cuts(env, 4))
-    stream = changelog.read_change_stream(spark, f"{feed}/*", max_files_per_trigger=1)
+    changelog.write_feed(env, feed, _seq_cuts(env, 4), files_per_part=FILES_PER_PART)
+    stream = changelog.read_change_stream(spark, f"{feed}/*",
+                                          max_files_per_trigger=FILES_PER_PART)
     base = fresh_dir(spark, "stream")
     return job.run_available(stream, base, f"{base}-checkpoint")
 
 
 def q_stream_table_assets(spark, sf_dir):
-    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).table_assets.current()
+    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).table_level_assets()
 
 
 def q_stream_namespace_assets(spark, sf_dir):

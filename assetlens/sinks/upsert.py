@@ -32,6 +32,8 @@ class VersionedTable:
         self.schema = schema
         self.keys = [key] if isinstance(key, str) else list(key)
         self.partition_by = partition_by or []
+        self._head: tuple[int, int] | None = None
+        self._head_known = False
 
     # -- commit log ---------------------------------------------------------------
     def _log(self) -> DataFrame | None:
@@ -43,12 +45,20 @@ class VersionedTable:
             raise
 
     def head(self) -> tuple[int, int] | None:
-        """(version, batch_id) of the current version, or None for a new table."""
-        log = self._log()
-        if log is None:
-            return None
-        row = log.agg(F.max_by(F.struct("version", "batch_id"), "version").alias("h")).first()
-        return None if row is None or row["h"] is None else (row["h"]["version"], row["h"]["batch_id"])
+        """(version, batch_id) of the current version, or None for a new table.
+
+        Read from the commit log once per instance (one small aggregate), then kept
+        up to date by this instance's own commits. One writer per table is assumed,
+        as with a streaming query's ``foreachBatch``.
+        """
+        if not self._head_known:
+            log = self._log()
+            row = None if log is None else log.agg(
+                F.max_by(F.struct("version", "batch_id"), "version").alias("h")).first()
+            self._head = (None if row is None or row["h"] is None
+                          else (row["h"]["version"], row["h"]["batch_id"]))
+            self._head_known = True
+        return self._head
 
     def current(self) -> DataFrame:
         h = self.head()
@@ -61,6 +71,7 @@ class VersionedTable:
          .parquet(f"{self.path}/version={version}"))
         (self.spark.createDataFrame([(version, batch_id)], COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{self.path}/_commits"))
+        self._head, self._head_known = (version, batch_id), True
 
     # -- writes -------------------------------------------------------------------
     def replace(self, rows: DataFrame, batch_id: int) -> bool:

@@ -47,16 +47,22 @@ def read_change_stream(spark: SparkSession, path: str | None = None,
     return decoded.where(F.col("table_name").isin(*CATALOG_TABLES))
 
 
-def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None) -> list[str]:
+def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None,
+               files_per_part: int | None = None) -> list[str]:
     """Writes envelope text (``value``, ``seq``) as a change feed folder.
 
     With ``cuts`` (ascending log positions) the feed is written as consecutive parts
-    ``part=000, 001, ...`` in log order, one folder per part, so a file-source stream
-    with ``maxFilesPerTrigger`` sees them as successive micro-batches.
+    ``part=000, 001, ...`` in log order, one write per part, so a file-source stream
+    sees them in that order; with ``files_per_part`` each part has exactly that many
+    files, and ``maxFilesPerTrigger = files_per_part`` makes one part one micro-batch.
+    The envelopes are materialized once first, so each part is a filtered read
+    (row groups skipped on ``seq``) rather than a recomputation.
     """
     if not cuts:
         envelopes.select("value").write.mode("errorifexists").text(path)
         return [path]
+    from assetlens.session import materialize
+    env = materialize(envelopes.select("value", "seq"), "feed-envelopes")
     bounds = [None, *cuts, None]
     parts = []
     for i in range(len(bounds) - 1):
@@ -67,7 +73,10 @@ def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None) -
         if hi is not None:
             cond = cond & (F.col("seq") <= hi)
         part = f"{path}/part={i:03d}"
-        envelopes.where(cond).select("value").coalesce(1).write.mode("errorifexists").text(part)
+        out = env.where(cond).select("value")
+        if files_per_part:
+            out = out.repartition(files_per_part)
+        out.write.mode("errorifexists").text(part)
         parts.append(part)
     return parts
 

@@ -13,7 +13,7 @@ tagged and unioned into one frame, and **one** native streaming aggregate keyed
 Each micro-batch emits only the keys it changed (update mode, full values, so a
 replay is idempotent). ``foreachBatch`` merges them into the compacted table (a
 versioned table in the shared work folder), then runs the same finish functions as
-the batch job and writes the four result tables. Commits that cannot be parsed go to
+the batch job on the touched tables and touched groups only, and upserts their rows. Commits that cannot be parsed go to
 a quarantine table through a second, append-only query.
 """
 
@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetlens.operators import facts
-from assetlens.plans.batch import Compacted, assets_from_compacted, rollups_from
+from assetlens.operators import facts, rollups
+from assetlens.plans.batch import Compacted, assets_from_compacted
 from assetlens.schemas import (DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
-                               TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS)
+                               TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema)
 from assetlens.session import materialize
 from assetlens.sinks.upsert import VersionedTable
 from assetlens.sources.envelope import route_all
@@ -98,51 +98,89 @@ def split_compacted(state: DataFrame) -> Compacted:
     return Compacted(
         table_info=state.where(F.col("kind") == "t").select("table_id", "attrs", "op", "groups"),
         partitions=state.where(F.col("kind") == "p").select(
-            "table_id", F.col("sub_key").alias("partition_desc"), "op"),
+            "table_id", F.col("sub_key").alias("partition_desc"),
+            (F.col("op") == F.lit(OP_DELETE)).alias("deleted")),
         totals=state.where((F.col("kind") == "c") & F.col("file_counts").isNotNull())
         .select("table_id", "file_counts", "file_total_size"))
 
 
+TABLE_ASSETS_WITH_OP = T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("op", _S)])
+
+
 @dataclass
 class AssetTables:
-    """The compacted state table and the four result tables under one folder."""
+    """The compacted state, the table-level assets (with the last ``op``, D3) and the
+    three rollup tables under one folder. With ``freeze_attributes`` a separate sink
+    table keeps the first-written attributes (D2); otherwise the table-level sink is
+    the asset table without ``op``."""
     compacted: VersionedTable
     table_assets: VersionedTable
     namespace_assets: VersionedTable
     domain_assets: VersionedTable
     user_assets: VersionedTable
+    table_sink: VersionedTable
 
     @classmethod
     def at(cls, spark: SparkSession, base: str) -> "AssetTables":
         return cls(
             VersionedTable(spark, f"{base}/compacted", COMPACTED, KEYS, partition_by=["kind"]),
-            VersionedTable(spark, f"{base}/table_level_assets", TABLE_LEVEL_ASSETS, "table_id"),
+            VersionedTable(spark, f"{base}/table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
             VersionedTable(spark, f"{base}/namespace_level_assets", NAMESPACE_LEVEL_ASSETS, "namespace"),
             VersionedTable(spark, f"{base}/domain_level_assets", DOMAIN_LEVEL_ASSETS, "domain"),
-            VersionedTable(spark, f"{base}/user_level_assets", USER_LEVEL_ASSETS, "creator"))
+            VersionedTable(spark, f"{base}/user_level_assets", USER_LEVEL_ASSETS, "creator"),
+            VersionedTable(spark, f"{base}/table_level_assets", TABLE_LEVEL_ASSETS, "table_id"))
+
+    def table_level_assets(self) -> DataFrame:
+        """The K1 result table: the sink table if one was written (frozen attributes, or
+        results of batch runs), else the asset table without ``op``."""
+        if self.table_sink.head() is not None:
+            return self.table_sink.current()
+        return to_result_schema(self.table_assets.current(), TABLE_LEVEL_ASSETS)
+
+
+def touched_rollup(all_assets: DataFrame, all_groups: DataFrame, touched_groups: DataFrame,
+                   key: str) -> DataFrame:
+    """Rollup rows of the touched groups only, exact: live measures over all tables now
+    in those groups, group rows and ever-seen counts over the whole history of complete
+    tables in those groups. The touched key set is small; AQE broadcasts it when its
+    runtime size allows and shuffles otherwise."""
+    keys = touched_groups.select(key).where(F.col(key).isNotNull()).distinct()
+    assets = all_assets.join(keys, key, "left_semi")
+    complete = all_groups.join(all_assets.select("table_id"), "table_id", "left_semi")
+    groups = complete.join(keys, key, "left_semi")
+    if key == "creator":
+        return rollups.user_level_assets(assets, groups, history_is_complete=True)
+    return rollups.group_level_assets(assets, groups, key, history_is_complete=True)
 
 
 def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
                 freeze_attributes: bool = False) -> None:
-    """``foreachBatch`` body: merge changed state rows, refresh the result tables.
-
-    Every write is keyed by ``batch_id`` and skipped when already applied, so a
-    micro-batch replayed after a failure changes nothing.
+    """``foreachBatch`` body: merge the changed state rows, then refresh the result rows
+    of the touched tables and touched groups only.
+
+    A table is touched when any of its state keys changed in this micro-batch. A group
+    can change only through a touched table, and every group a table was ever in
+    (the old group of a move included) is in its membership history, so the touched
+    groups are the history groups of the touched tables. Each table checks the batch
+    id on its own: a micro-batch replayed after a failure skips what was applied and
+    finishes the rest.
     """
-    # Each table checks the batch id on its own: after a failure between two of the
-    # writes below, the replay skips what was applied and finishes the rest.
+    changed = materialize(changed, f"changed-{batch_id}")
     tables.compacted.upsert(changed, batch_id)
-    # Read the merged state back from storage: the live aggregate frame is never
-    # joined with itself. The table assets feed four consumers, so they are written
-    # once to the shared work folder and read back.
-    c = split_compacted(tables.compacted.current())
-    assets = materialize(assets_from_compacted(c), f"table-assets-{batch_id}")
-    frozen = ("table_name", "domain", "creator", "namespace") if freeze_attributes else ()
-    tables.table_assets.upsert(assets, batch_id, frozen=frozen)
-    ns, dom, user = rollups_from(assets, facts.table_groups(c.table_info))
-    tables.namespace_assets.upsert(ns, batch_id)
-    tables.domain_assets.upsert(dom, batch_id)
-    tables.user_assets.upsert(user, batch_id)
+    state = tables.compacted.current()
+    touched = changed.select("table_id").distinct()
+    c = split_compacted(state.join(touched, "table_id", "left_semi"))
+    assets = materialize(assets_from_compacted(c), f"touched-assets-{batch_id}")
+    tables.table_assets.upsert(assets, batch_id)
+    if freeze_attributes:
+        tables.table_sink.upsert(
+            assets, batch_id, frozen=("table_name", "domain", "creator", "namespace"))
+    touched_groups = facts.table_groups(c.table_info)
+    all_assets = tables.table_assets.current()
+    all_groups = facts.table_groups(split_compacted(state).table_info)
+    for table, key in ((tables.namespace_assets, "namespace"), (tables.domain_assets, "domain"),
+                       (tables.user_assets, "creator")):
+        table.upsert(touched_rollup(all_assets, all_groups, touched_groups, key), batch_id)
 
 
 def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,

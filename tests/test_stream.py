@@ -22,16 +22,19 @@ def _sorted(df):
 def test_stream_equals_batch_over_several_micro_batches(spark):
     env = fx.fx_envelopes(spark, SF_SMALL)
     base = tempfile.mkdtemp(prefix="stream-")
-    parts = changelog.write_feed(env, f"{base}/feed", registry._seq_cuts(env, 3))
+    parts = changelog.write_feed(env, f"{base}/feed", registry._seq_cuts(env, 3), files_per_part=2)
     assert len(parts) == 3
-    stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
+    stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=2)
     tables = job.run_available(stream, f"{base}/out", f"{base}/chk")
-    # Three files, one per trigger: three versions of the compacted state.
+    # Three parts, one per trigger: three versions of the compacted state.
     assert tables.compacted.head()[1] == 2
     b = compute_assets(fx.fx_table_info(spark, SF_SMALL), fx.fx_partition_info(spark, SF_SMALL),
                        fx.fx_commit_changes(spark, SF_SMALL))
-    assert _sorted(tables.table_assets.current()) == _sorted(
+    assert _sorted(tables.table_level_assets()) == _sorted(
         to_result_schema(b.table_assets, TABLE_LEVEL_ASSETS))
+    for got, want in ((tables.namespace_assets, b.namespace_assets),
+                      (tables.domain_assets, b.domain_assets)):
+        assert _sorted(got.current()) == _sorted(to_result_schema(want, got.schema))
     assert _sorted(tables.user_assets.current()) == _sorted(
         to_result_schema(b.user_assets, USER_LEVEL_ASSETS))
     assert spark.read.parquet(f"{base}/out/quarantine").count() == 0
