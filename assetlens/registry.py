@@ -107,13 +107,18 @@ def _envelope_feed(spark, sf_dir) -> str:
     return path
 
 
+def _size_or_null(arr):
+    """Array size, null for a null array whatever the session's ANSI setting."""
+    return F.when(arr.isNotNull(), F.size(arr)).cast("bigint")
+
+
 def q_envelope_decode(spark, sf_dir):
     """S3 + S4: every envelope of the feed decoded (all tables, before routing)."""
     d = changelog.read_changes(spark, _envelope_feed(spark, sf_dir))
     return d.select("table_name", "commit_op", "seq",
                     F.col("before.table_id").alias("before_table_id"),
                     F.col("after.table_id").alias("after_table_id"),
-                    F.size(F.coalesce("after.file_ops", "before.file_ops")).cast("bigint")
+                    _size_or_null(F.coalesce("after.file_ops", "before.file_ops"))
                     .alias("file_op_count"))
 
 

@@ -1,11 +1,12 @@
 """Keyed result tables with upsert (K1-K6).
 
-File tables: every write produces a whole new immutable version
-``<path>/version=<n>``; a version becomes current only when its entry is appended to
-``<path>/_commits`` (one small file per commit, written after the data). Readers take
-the highest committed version, so a job that dies while writing leaves no trace, and a
-version is never overwritten while a plan reads it. The commit entry stores the batch
-id, which makes a replayed micro-batch a no-op.
+File tables: every write produces a whole new immutable version in a folder of its
+own, ``<path>/v<n>-<attempt id>``; a version becomes current only when its entry
+(version, batch id, folder) is appended to ``<path>/_commits`` (one small file per
+commit, written after the data). Readers take the highest committed version, so a job
+that dies while writing leaves only an unreferenced folder, a retry writes to a new
+folder, and a version is never overwritten while a plan reads it. The batch id in the
+commit entry makes a replayed micro-batch a no-op.
 
 JDBC tables: executors write the rows to a staging table, then one
 ``INSERT ... ON CONFLICT`` statement runs on the driver (PostgreSQL dialect, as the
@@ -14,6 +15,8 @@ four asset tables are defined).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +24,8 @@ from pyspark.sql import types as T
 from assetlens.schemas import to_result_schema
 
 COMMIT_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
-                              T.StructField("batch_id", T.LongType())])
+                              T.StructField("batch_id", T.LongType()),
+                              T.StructField("location", T.StringType())])
 
 
 class VersionedTable:
@@ -32,7 +36,7 @@ class VersionedTable:
         self.schema = schema
         self.keys = [key] if isinstance(key, str) else list(key)
         self.partition_by = partition_by or []
-        self._head: tuple[int, int] | None = None
+        self._head: tuple[int, int, str] | None = None
         self._head_known = False
 
     # -- commit log ---------------------------------------------------------------
@@ -44,8 +48,8 @@ class VersionedTable:
                 return None
             raise
 
-    def head(self) -> tuple[int, int] | None:
-        """(version, batch_id) of the current version, or None for a new table.
+    def head(self) -> tuple[int, int, str] | None:
+        """(version, batch_id, location) of the current version, or None for a new table.
 
         Read from the commit log once per instance (one small aggregate), then kept
         up to date by this instance's own commits. One writer per table is assumed,
@@ -54,9 +58,9 @@ class VersionedTable:
         if not self._head_known:
             log = self._log()
             row = None if log is None else log.agg(
-                F.max_by(F.struct("version", "batch_id"), "version").alias("h")).first()
+                F.max_by(F.struct("version", "batch_id", "location"), "version").alias("h")).first()
             self._head = (None if row is None or row["h"] is None
-                          else (row["h"]["version"], row["h"]["batch_id"]))
+                          else (row["h"]["version"], row["h"]["batch_id"], row["h"]["location"]))
             self._head_known = True
         return self._head
 
@@ -64,14 +68,14 @@ class VersionedTable:
         h = self.head()
         if h is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={h[0]}")
+        return self.spark.read.schema(self.schema).parquet(h[2])
 
     def _commit(self, df: DataFrame, version: int, batch_id: int) -> None:
-        (df.write.mode("errorifexists").partitionBy(*self.partition_by)
-         .parquet(f"{self.path}/version={version}"))
-        (self.spark.createDataFrame([(version, batch_id)], COMMIT_SCHEMA).coalesce(1)
+        location = f"{self.path}/v{version}-{uuid.uuid4().hex[:12]}"
+        df.write.mode("errorifexists").partitionBy(*self.partition_by).parquet(location)
+        (self.spark.createDataFrame([(version, batch_id, location)], COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{self.path}/_commits"))
-        self._head, self._head_known = (version, batch_id), True
+        self._head, self._head_known = (version, batch_id, location), True
 
     # -- writes -------------------------------------------------------------------
     def replace(self, rows: DataFrame, batch_id: int) -> bool:
