@@ -1,12 +1,20 @@
 """Keyed result tables with upsert (K1-K6).
 
-File tables: every write produces a whole new immutable version in a folder of its
-own, ``<path>/v<n>-<attempt id>``; a version becomes current only when its entry
-(version, batch id, folder) is appended to ``<path>/_commits`` (one small file per
-commit, written after the data). Readers take the highest committed version, so a job
-that dies while writing leaves only an unreferenced folder, a retry writes to a new
-folder, and a version is never overwritten while a plan reads it. The batch id in the
-commit entry makes a replayed micro-batch a no-op.
+File tables are stored in ``buckets`` by a hash of a key column
+(``pmod(xxhash64(bucket_by), buckets)``; one bucket when unbucketed). Every write
+produces new immutable bucket folders under a folder of its own,
+``<path>/v<n>-<attempt id>/_bucket=<b>``, and only for the buckets its rows touch.
+A write becomes current only when its entries (version, batch id, bucket, folder) are
+appended to ``<path>/_commits`` (one small file per write, after the data). Readers
+take, per bucket, the folder of the highest committed version. So:
+
+* an upsert rewrites the touched buckets, not the table;
+* a job that dies while writing leaves only unreferenced folders, and a retry writes
+  to new ones; no plan ever reads a folder that is being written;
+* the batch id in the commit entry makes a replayed micro-batch a no-op.
+
+The only values brought to the driver are the commit log (one row per bucket
+version) and the ids of the touched buckets, both bounded by the bucket count.
 
 JDBC tables: executors write the rows to a staging table, then one
 ``INSERT ... ON CONFLICT`` statement runs on the driver (PostgreSQL dialect, as the
@@ -25,18 +33,26 @@ from assetlens.schemas import to_result_schema
 
 COMMIT_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
                               T.StructField("batch_id", T.LongType()),
+                              T.StructField("bucket", T.IntegerType()),
                               T.StructField("location", T.StringType())])
+BUCKET = "_bucket"
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
-                 key: str | list[str], partition_by: list[str] | None = None):
+                 key: str | list[str], cluster_by: list[str] | None = None,
+                 buckets: int = 1, bucket_by: list[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = [key] if isinstance(key, str) else list(key)
-        self.partition_by = partition_by or []
-        self._head: tuple[int, int, str] | None = None
+        # Rows are sorted by these columns inside each file, so parquet row-group
+        # statistics let a filtered read skip the other values.
+        self.cluster_by = cluster_by or []
+        self.buckets = max(1, buckets)
+        self.bucket_by = bucket_by or self.keys
+        self._head: tuple[int, int] | None = None
+        self._locations: dict[int, str] = {}
         self._head_known = False
 
     # -- commit log ---------------------------------------------------------------
@@ -48,51 +64,70 @@ class VersionedTable:
                 return None
             raise
 
-    def head(self) -> tuple[int, int, str] | None:
-        """(version, batch_id, location) of the current version, or None for a new table.
-
-        Read from the commit log once per instance (one small aggregate), then kept
-        up to date by this instance's own commits. One writer per table is assumed,
-        as with a streaming query's ``foreachBatch``.
-        """
-        if not self._head_known:
-            log = self._log()
-            row = None if log is None else log.agg(
-                F.max_by(F.struct("version", "batch_id", "location"), "version").alias("h")).first()
-            self._head = (None if row is None or row["h"] is None
-                          else (row["h"]["version"], row["h"]["batch_id"], row["h"]["location"]))
-            self._head_known = True
+    def _load(self) -> None:
+        """Reads the commit log once per instance; this instance's own commits keep it
+        current afterwards (one writer per table, as a streaming ``foreachBatch``)."""
+        if self._head_known:
+            return
+        log = self._log()
+        if log is not None:
+            latest = (log.groupBy("bucket")
+                      .agg(F.max_by(F.struct("version", "batch_id", "location"), "version")
+                           .alias("h"))
+                      .select("bucket", "h.*").collect())
+            if latest:
+                top = max(latest, key=lambda r: r["version"])
+                self._head = (top["version"], top["batch_id"])
+                self._locations = {r["bucket"]: r["location"] for r in latest}
+        self._head_known = True
+
+    def head(self) -> tuple[int, int] | None:
+        """(version, batch_id) of the last write, or None for a new table."""
+        self._load()
         return self._head
 
-    def current(self) -> DataFrame:
-        h = self.head()
-        if h is None:
+    def bucket_of(self) -> "F.Column":
+        return F.pmod(F.xxhash64(*[F.col(c) for c in self.bucket_by]),
+                      F.lit(self.buckets)).cast("int")
+
+    def bucket_ids(self, rows: DataFrame) -> list[int]:
+        """The buckets that ``rows`` fall in (at most ``buckets`` small numbers)."""
+        if self.buckets == 1:
+            return [0]
+        return sorted(r[0] for r in rows.select(self.bucket_of().alias(BUCKET)).distinct().collect())
+
+    def current(self, buckets: list[int] | None = None) -> DataFrame:
+        """The table, or only the given buckets of it."""
+        self._load()
+        locs = [loc for b, loc in sorted(self._locations.items())
+                if buckets is None or b in buckets]
+        if not locs:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(h[2])
+        return self.spark.read.schema(self.schema).parquet(*locs)
 
-    def _commit(self, df: DataFrame, version: int, batch_id: int) -> None:
+    def _commit(self, df: DataFrame, batch_id: int, buckets: list[int]) -> None:
+        version = 0 if self._head is None else self._head[0] + 1
         location = f"{self.path}/v{version}-{uuid.uuid4().hex[:12]}"
-        df.write.mode("errorifexists").partitionBy(*self.partition_by).parquet(location)
-        (self.spark.createDataFrame([(version, batch_id, location)], COMMIT_SCHEMA).coalesce(1)
+        out = df.select(*self.schema.fieldNames(), self.bucket_of().alias(BUCKET))
+        if self.cluster_by:
+            out = out.sortWithinPartitions(*self.cluster_by)
+        out.write.mode("errorifexists").partitionBy(BUCKET).parquet(location)
+        entries = [(version, batch_id, b, f"{location}/{BUCKET}={b}") for b in buckets]
+        (self.spark.createDataFrame(entries, COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{self.path}/_commits"))
-        self._head, self._head_known = (version, batch_id, location), True
+        self._head = (version, batch_id)
+        self._locations.update({b: loc for _, _, b, loc in entries})
 
     # -- writes -------------------------------------------------------------------
-    def replace(self, rows: DataFrame, batch_id: int) -> bool:
-        """Writes ``rows`` as the whole new version; skipped for an applied batch id."""
-        h = self.head()
-        if h is not None and batch_id <= h[1]:
-            return False
-        self._commit(to_result_schema(rows, self.schema), 0 if h is None else h[0] + 1, batch_id)
-        return True
-
     def upsert(self, rows: DataFrame, batch_id: int, frozen: tuple[str, ...] = (),
-               order_by: str | None = None) -> bool:
+               order_by: str | None = None, buckets: list[int] | None = None) -> bool:
         """Inserts new keys, replaces existing ones; returns False for a replayed batch.
 
         ``rows`` must hold one row per key; with ``order_by`` the last row per key wins
         (a merge must never see a key twice). ``frozen`` columns keep their stored
-        value for existing keys (the reference's ON CONFLICT leaves them alone).
+        value for existing keys (the reference's ON CONFLICT leaves them alone). Only
+        the buckets the rows fall in are read and rewritten; ``buckets`` passes them
+        when the caller knows them already.
         """
         h = self.head()
         if h is not None and batch_id <= h[1]:
@@ -103,17 +138,19 @@ class VersionedTable:
                     .agg(F.max_by(F.struct(*others), F.col(order_by)).alias("r"))
                     .select(*self.keys, "r.*"))
         rows = to_result_schema(rows, self.schema)
-        if h is None:
-            merged = rows
-        else:
-            old = self.current()
+        touched = buckets if buckets is not None else self.bucket_ids(rows)
+        if not touched:
+            return False
+        merged = rows
+        if h is not None:
+            old = self.current(touched)
             if frozen:
                 kept = old.select(*self.keys, *[F.col(c).alias(f"__old_{c}") for c in frozen])
                 rows = rows.join(kept, self.keys, "left").select(
                     *[F.coalesce(F.col(f"__old_{c}"), F.col(c)).alias(c) if c in frozen else F.col(c)
                       for c in self.schema.fieldNames()])
             merged = old.join(rows.select(*self.keys), self.keys, "left_anti").unionByName(rows)
-        self._commit(merged, 0 if h is None else h[0] + 1, batch_id)
+        self._commit(merged, batch_id, touched)
         return True
 
 

@@ -104,6 +104,16 @@ def split_compacted(state: DataFrame) -> Compacted:
         .select("table_id", "file_counts", "file_total_size"))
 
 
+# Buckets of the versioned tables: an upsert rewrites only the buckets its rows fall
+# in. Sized per deployment with the session setting ``spark.assetlens.buckets``
+# (e.g. a few hundred MB of compacted rows per bucket); small by default.
+BUCKETS_CONF = "spark.assetlens.buckets"
+DEFAULT_BUCKETS = 8
+
+
+def bucket_count(spark: SparkSession) -> int:
+    return int(spark.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
+
 TABLE_ASSETS_WITH_OP = T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("op", _S)])
 
 
@@ -121,14 +131,21 @@ class AssetTables:
     table_sink: VersionedTable
 
     @classmethod
-    def at(cls, spark: SparkSession, base: str) -> "AssetTables":
+    def at(cls, spark: SparkSession, base: str, buckets: int | None = None) -> "AssetTables":
+        """Per-table tables are bucketed by the hash of their key; the compacted state
+        by ``table_id`` alone, so all state rows of a table share one bucket. Rollup
+        tables hold one row per group, far fewer than tables: one bucket."""
+        buckets = buckets or bucket_count(spark)
+
+        def vt(name, schema, key, **kw):
+            return VersionedTable(spark, f"{base}/{name}", schema, key, buckets=buckets, **kw)
         return cls(
-            VersionedTable(spark, f"{base}/compacted", COMPACTED, KEYS, partition_by=["kind"]),
-            VersionedTable(spark, f"{base}/table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
+            vt("compacted", COMPACTED, KEYS, cluster_by=["kind", "table_id"], bucket_by=["table_id"]),
+            vt("table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
             VersionedTable(spark, f"{base}/namespace_level_assets", NAMESPACE_LEVEL_ASSETS, "namespace"),
             VersionedTable(spark, f"{base}/domain_level_assets", DOMAIN_LEVEL_ASSETS, "domain"),
             VersionedTable(spark, f"{base}/user_level_assets", USER_LEVEL_ASSETS, "creator"),
-            VersionedTable(spark, f"{base}/table_level_assets", TABLE_LEVEL_ASSETS, "table_id"))
+            vt("table_level_assets", TABLE_LEVEL_ASSETS, "table_id"))
 
     def table_level_assets(self) -> DataFrame:
         """The K1 result table: the sink table if one was written (frozen attributes, or
@@ -166,10 +183,12 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     finishes the rest.
     """
     changed = materialize(changed, f"changed-{batch_id}")
-    tables.compacted.upsert(changed, batch_id)
-    state = tables.compacted.current()
+    buckets = tables.compacted.bucket_ids(changed)
+    tables.compacted.upsert(changed, batch_id, buckets=buckets)
     touched = changed.select("table_id").distinct()
-    c = split_compacted(state.join(touched, "table_id", "left_semi"))
+    # All state rows of a table share its bucket: read the touched buckets only.
+    state_touched = tables.compacted.current(buckets)
+    c = split_compacted(state_touched.join(touched, "table_id", "left_semi"))
     assets = materialize(assets_from_compacted(c), f"touched-assets-{batch_id}")
     tables.table_assets.upsert(assets, batch_id)
     if freeze_attributes:
@@ -177,21 +196,21 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
             assets, batch_id, frozen=("table_name", "domain", "creator", "namespace"))
     touched_groups = facts.table_groups(c.table_info)
     all_assets = tables.table_assets.current()
-    all_groups = facts.table_groups(split_compacted(state).table_info)
+    all_groups = facts.table_groups(split_compacted(tables.compacted.current()).table_info)
     for table, key in ((tables.namespace_assets, "namespace"), (tables.domain_assets, "domain"),
                        (tables.user_assets, "creator")):
         table.upsert(touched_rollup(all_assets, all_groups, touched_groups, key), batch_id)
 
 
 def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
-          freeze_attributes: bool = False):
+          freeze_attributes: bool = False, buckets: int | None = None):
     """Starts the asset query and the quarantine query; returns both handles.
 
     ``trigger``: e.g. ``{"processingTime": "30 seconds"}`` (the reference's checkpoint
     interval) or ``{"availableNow": True}`` for catch-up runs and tests.
     """
     spark = decoded_stream.sparkSession
-    tables = AssetTables.at(spark, base)
+    tables = AssetTables.at(spark, base, buckets)
     tagged, bad = tagged_changes(decoded_stream)
     trig = trigger or {"processingTime": "30 seconds"}
     main = (compaction_agg(tagged).writeStream.outputMode("update")
@@ -206,13 +225,14 @@ def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict |
 
 
 def run_available(decoded_stream: DataFrame, base: str, checkpoint: str,
-                  freeze_attributes: bool = False) -> AssetTables:
+                  freeze_attributes: bool = False, buckets: int | None = None) -> AssetTables:
     """Processes everything available now, in as many micro-batches as the source
     makes, and returns the result tables."""
-    main, dead = start(decoded_stream, base, checkpoint, {"availableNow": True}, freeze_attributes)
+    main, dead = start(decoded_stream, base, checkpoint, {"availableNow": True}, freeze_attributes,
+                       buckets)
     main.awaitTermination()
     dead.awaitTermination()
     for q in (main, dead):
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    return AssetTables.at(decoded_stream.sparkSession, base)
+    return AssetTables.at(decoded_stream.sparkSession, base, buckets)
