@@ -218,9 +218,7 @@ def _two_batch_sink(spark, sf_dir):
     for batch_id, (t, p, c) in enumerate(halves):
         r = batch.compute_assets(t, p, c)
         tables.table_sink.upsert(r.table_assets, batch_id)
-        tables.namespace_assets.upsert(r.namespace_assets, batch_id)
-        tables.domain_assets.upsert(r.domain_assets, batch_id)
-        tables.user_assets.upsert(r.user_assets, batch_id)
+        tables.upsert_groups(r.namespace_assets, r.domain_assets, r.user_assets, batch_id)
     return tables
 
 
@@ -240,15 +238,15 @@ def q_upsert_table_assets(spark, sf_dir):
 
 
 def q_upsert_namespace_assets(spark, sf_dir):
-    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).namespace_assets.current()
+    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).level_assets("namespace")
 
 
 def q_upsert_domain_assets(spark, sf_dir):
-    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).domain_assets.current()
+    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).level_assets("domain")
 
 
 def q_upsert_user_assets(spark, sf_dir):
-    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).user_assets.current()
+    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).level_assets("creator")
 
 
 def _stream_run(spark, sf_dir):
@@ -269,15 +267,15 @@ def q_stream_table_assets(spark, sf_dir):
 
 
 def q_stream_namespace_assets(spark, sf_dir):
-    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).namespace_assets.current()
+    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).level_assets("namespace")
 
 
 def q_stream_domain_assets(spark, sf_dir):
-    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).domain_assets.current()
+    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).level_assets("domain")
 
 
 def q_stream_user_assets(spark, sf_dir):
-    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).user_assets.current()
+    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).level_assets("creator")
 
 
 QUERIES: dict[str, Query] = {

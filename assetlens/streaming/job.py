@@ -117,34 +117,55 @@ def bucket_count(spark: SparkSession) -> int:
 TABLE_ASSETS_WITH_OP = T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("op", _S)])
 
 
+# The three rollups share one stored table keyed by (level, group_key): one plan,
+# one write and one commit per micro-batch for all of them. The three result tables
+# are views of it.
+LEVELS = {"namespace": NAMESPACE_LEVEL_ASSETS, "domain": DOMAIN_LEVEL_ASSETS,
+          "creator": USER_LEVEL_ASSETS}
+GROUP_ASSETS = T.StructType([
+    T.StructField("level", _S), T.StructField("group_key", _S),
+    T.StructField("domain_counts", T.LongType()), T.StructField("namespace_counts", T.LongType()),
+    T.StructField("table_counts", T.LongType()), T.StructField("partition_counts", T.LongType()),
+    T.StructField("file_counts", T.LongType()), T.StructField("file_total_size", T.LongType())])
+
+
+def group_rows(namespace: DataFrame, domain: DataFrame, user: DataFrame) -> DataFrame:
+    """The three rollups as rows of the shared group table."""
+    def level(df: DataFrame, key: str) -> DataFrame:
+        extra = [F.col(c) if c in df.columns else F.lit(None).cast("bigint").alias(c)
+                 for c in ("domain_counts", "namespace_counts")]
+        return df.select(F.lit(key).alias("level"), F.col(key).alias("group_key"), *extra,
+                         *[F.col(m) for m in rollups.MEASURES])
+    return level(namespace, "namespace").unionByName(level(domain, "domain")) \
+        .unionByName(level(user, "creator"))
+
+
 @dataclass
 class AssetTables:
     """The compacted state, the table-level assets (with the last ``op``, D3) and the
-    three rollup tables under one folder. With ``freeze_attributes`` a separate sink
-    table keeps the first-written attributes (D2); otherwise the table-level sink is
-    the asset table without ``op``."""
+    group assets under one folder. With ``freeze_attributes`` a separate sink table
+    keeps the first-written attributes (D2); otherwise the table-level sink is the
+    asset table without ``op``."""
     compacted: VersionedTable
     table_assets: VersionedTable
-    namespace_assets: VersionedTable
-    domain_assets: VersionedTable
-    user_assets: VersionedTable
+    group_assets: VersionedTable
     table_sink: VersionedTable
 
     @classmethod
     def at(cls, spark: SparkSession, base: str, buckets: int | None = None) -> "AssetTables":
-        """Per-table tables are bucketed by the hash of their key; the compacted state
-        by ``table_id`` alone, so all state rows of a table share one bucket. Rollup
-        tables hold one row per group, far fewer than tables: one bucket."""
+        """Per-table tables are bucketed by the hash of ``table_id`` (the compacted state
+        too, so all state rows of a table share one bucket, and a table's state and
+        assets have the same bucket id). The group table holds one row per group, far
+        fewer than tables: one bucket."""
         buckets = buckets or bucket_count(spark)
 
         def vt(name, schema, key, **kw):
-            return VersionedTable(spark, f"{base}/{name}", schema, key, buckets=buckets, **kw)
+            return VersionedTable(spark, f"{base}/{name}", schema, key, buckets=buckets,
+                                  bucket_by=["table_id"], **kw)
         return cls(
-            vt("compacted", COMPACTED, KEYS, cluster_by=["kind", "table_id"], bucket_by=["table_id"]),
+            vt("compacted", COMPACTED, KEYS, cluster_by=["kind", "table_id"]),
             vt("table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
-            VersionedTable(spark, f"{base}/namespace_level_assets", NAMESPACE_LEVEL_ASSETS, "namespace"),
-            VersionedTable(spark, f"{base}/domain_level_assets", DOMAIN_LEVEL_ASSETS, "domain"),
-            VersionedTable(spark, f"{base}/user_level_assets", USER_LEVEL_ASSETS, "creator"),
+            VersionedTable(spark, f"{base}/group_assets", GROUP_ASSETS, ["level", "group_key"]),
             vt("table_level_assets", TABLE_LEVEL_ASSETS, "table_id"))
 
     def table_level_assets(self) -> DataFrame:
@@ -154,6 +175,15 @@ class AssetTables:
             return self.table_sink.current()
         return to_result_schema(self.table_assets.current(), TABLE_LEVEL_ASSETS)
 
+    def level_assets(self, level: str) -> DataFrame:
+        """K2-K4 result tables: ``namespace``, ``domain`` or ``creator`` level."""
+        rows = self.group_assets.current().where(F.col("level") == F.lit(level))
+        return to_result_schema(rows.withColumnRenamed("group_key", level), LEVELS[level])
+
+    def upsert_groups(self, namespace: DataFrame, domain: DataFrame, user: DataFrame,
+                      batch_id: int) -> bool:
+        return self.group_assets.upsert(group_rows(namespace, domain, user), batch_id)
+
 
 def touched_rollup(all_assets: DataFrame, all_groups: DataFrame, touched_groups: DataFrame,
                    key: str) -> DataFrame:
@@ -190,16 +220,16 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     state_touched = tables.compacted.current(buckets)
     c = split_compacted(state_touched.join(touched, "table_id", "left_semi"))
     assets = materialize(assets_from_compacted(c), f"touched-assets-{batch_id}")
-    tables.table_assets.upsert(assets, batch_id)
+    # A table's assets fall in the same bucket as its state rows.
+    tables.table_assets.upsert(assets, batch_id, buckets=buckets)
     if freeze_attributes:
-        tables.table_sink.upsert(
-            assets, batch_id, frozen=("table_name", "domain", "creator", "namespace"))
+        tables.table_sink.upsert(assets, batch_id, buckets=buckets,
+                                 frozen=("table_name", "domain", "creator", "namespace"))
     touched_groups = facts.table_groups(c.table_info)
     all_assets = tables.table_assets.current()
     all_groups = facts.table_groups(split_compacted(tables.compacted.current()).table_info)
-    for table, key in ((tables.namespace_assets, "namespace"), (tables.domain_assets, "domain"),
-                       (tables.user_assets, "creator")):
-        table.upsert(touched_rollup(all_assets, all_groups, touched_groups, key), batch_id)
+    tables.upsert_groups(*[touched_rollup(all_assets, all_groups, touched_groups, key)
+                           for key in ("namespace", "domain", "creator")], batch_id)
 
 
 def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,

@@ -32,10 +32,10 @@ def test_stream_equals_batch_over_several_micro_batches(spark):
                        fx.fx_commit_changes(spark, SF_SMALL))
     assert _sorted(tables.table_level_assets()) == _sorted(
         to_result_schema(b.table_assets, TABLE_LEVEL_ASSETS))
-    for got, want in ((tables.namespace_assets, b.namespace_assets),
-                      (tables.domain_assets, b.domain_assets)):
-        assert _sorted(got.current()) == _sorted(to_result_schema(want, got.schema))
-    assert _sorted(tables.user_assets.current()) == _sorted(
+    for level, want in (("namespace", b.namespace_assets), ("domain", b.domain_assets)):
+        got = tables.level_assets(level)
+        assert _sorted(got) == _sorted(to_result_schema(want, got.schema))
+    assert _sorted(tables.level_assets("creator")) == _sorted(
         to_result_schema(b.user_assets, USER_LEVEL_ASSETS))
     assert spark.read.parquet(f"{base}/out/quarantine").count() == 0
 
@@ -104,9 +104,9 @@ def test_stream_quarantine_freeze_and_replay(spark):
     assert [(r["commit_id"], r["problem"]) for r in q] == [("c2", "unparsed_file_op")]
     # Frozen sink keeps the first attributes; the rollups follow the move.
     assert _sorted(tables.table_level_assets()) == [("a", "A", "d1", "u1", "n1", 1, 1, 10)]
-    assert _sorted(tables.namespace_assets.current()) == [("n1", 0, 0, 0, 0), ("n2", 1, 1, 1, 10)]
-    assert _sorted(tables.user_assets.current()) == [("u1", 2, 2, 1, 1, 1, 10)]
+    assert _sorted(tables.level_assets("namespace")) == [("n1", 0, 0, 0, 0), ("n2", 1, 1, 1, 10)]
+    assert _sorted(tables.level_assets("creator")) == [("u1", 2, 2, 1, 1, 1, 10)]
     # Replaying an applied micro-batch changes nothing.
-    before = [_sorted(t.current()) for t in (tables.table_assets, tables.namespace_assets)]
+    before = [_sorted(t.current()) for t in (tables.table_assets, tables.group_assets)]
     job.apply_batch(tables, tables.compacted.current().limit(0), 1)
-    assert [_sorted(t.current()) for t in (tables.table_assets, tables.namespace_assets)] == before
+    assert [_sorted(t.current()) for t in (tables.table_assets, tables.group_assets)] == before
