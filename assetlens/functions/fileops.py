@@ -41,11 +41,6 @@ def parse_file_op(text: Column) -> Column:
     )
 
 
-def parsed_file_ops(file_ops: Column) -> Column:
-    """F2 + F3 over the whole array: array<struct(matched, path, action, size, columns)>."""
-    return F.transform(file_ops, lambda x: parse_file_op(decode_base64_text(x)))
-
-
 def action_and_size(file_ops: Column) -> Column:
     """Per file op of a commit: struct(action, size); two regex evaluations per op.
 

@@ -34,8 +34,13 @@ class Compacted:
 
 
 def compact(table_info: DataFrame, partitions: DataFrame, commits: DataFrame,
-            dedupe_commits: bool = False) -> tuple[Compacted, DataFrame]:
+            dedupe_commits: bool = False, keep: bool = False) -> tuple[Compacted, DataFrame]:
+    """The three compactions, plus the quarantined commits. With ``keep`` the narrow
+    per-commit stats (no file-op arrays) are written once, so the commit totals and the
+    quarantine both read them instead of parsing the commit log twice."""
     stats = facts.commit_stats(commits)
+    if keep:
+        stats = materialize(stats.drop("file_ops"), "commit-stats")
     totals = facts.commit_totals(facts.signed_commit_deltas(stats, dedupe_commits))
     return (Compacted(facts.compact_table_info(table_info),
                       facts.compact_partitions(partitions), totals),
@@ -63,7 +68,7 @@ def compute_assets(table_info: DataFrame, partitions: DataFrame, commits: DataFr
     both feed several consumers, and a lost executor then costs a re-read of a small
     table instead of a replay of the change log.
     """
-    c, quarantined = compact(table_info, partitions, commits, dedupe_commits)
+    c, quarantined = compact(table_info, partitions, commits, dedupe_commits, keep)
     if keep:
         c.table_info = materialize(c.table_info, "compacted-table-info")
     assets = assets_from_compacted(c)

@@ -13,13 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlens.operators import facts, rollups
+from assetlens.operators import facts
 from assetlens.plans import batch
-from assetlens.schemas import PARTITION_INFO, TABLE_LEVEL_ASSETS, to_result_schema
-from assetlens.session import fresh_dir, work_dir
+from assetlens.schemas import PARTITION_INFO
+from assetlens.session import fresh_dir
 from assetlens.sources import changelog, envelope
-from assetlens.sources import fixtures as fx
 from assetlens.functions.fileops import decode_base64_text, parse_file_op
+from assetlens.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 

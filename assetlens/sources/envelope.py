@@ -30,6 +30,11 @@ def table_from_topic(topic: Column) -> Column:
     return F.element_at(F.split(topic, "[.]"), 3)
 
 
+def schema_from_topic(topic: Column) -> Column:
+    """The catalog schema is the second dot-separated part of ``server.schema.table``."""
+    return F.element_at(F.split(topic, "[.]"), 2)
+
+
 def decode_envelopes(df: DataFrame, value_col: str = "value",
                      topic_col: str | None = None) -> DataFrame:
     """S3: JSON envelope text to typed columns ``commit_op, table_name, before, after, seq``.
@@ -39,11 +44,14 @@ def decode_envelopes(df: DataFrame, value_col: str = "value",
     """
     env = F.from_json(F.col(value_col).cast("string"), ENVELOPE)
     table = env["tableName"]
+    schema = F.lit(None).cast("string")
     if topic_col is not None:
         table = F.coalesce(table, table_from_topic(F.col(topic_col)))
+        schema = schema_from_topic(F.col(topic_col))
     return df.select(
         normalize_op(env["commitOp"]).alias("commit_op"),
         table.alias("table_name"),
+        schema.alias("schema_name"),
         env["before"].alias("before"),
         env["after"].alias("after"),
         env["seq"].alias("seq"),
@@ -64,19 +72,26 @@ def row_image(before: Column, after: Column) -> Column:
     return F.when(image_present(after), after).otherwise(before)
 
 
-def with_row_image(decoded: DataFrame) -> DataFrame:
-    """Adds ``img`` (chosen image) and ``image_side`` ('after' / 'before')."""
+def with_row_image(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
+    """Adds ``img`` (chosen image) and ``image_side`` ('after' / 'before').
+
+    ``qualify_ids``: a feed that captures several schemas (D15) gets table ids
+    ``<schema>.<table_id>``, so equal ids of different schemas stay apart.
+    """
+    img = row_image(F.col("before"), F.col("after"))
+    if qualify_ids:
+        img = img.withField("table_id", F.concat_ws(".", F.col("schema_name"), img["table_id"]))
     return decoded.select(
         "commit_op", "table_name", "seq",
-        row_image(F.col("before"), F.col("after")).alias("img"),
+        img.alias("img"),
         F.when(image_present(F.col("after")), F.lit("after")).otherwise(F.lit("before"))
         .alias("image_side"),
     )
 
 
-def catalog_changes(decoded: DataFrame) -> DataFrame:
+def catalog_changes(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
     """P5 (shared part): changes of the three catalog tables only; others are dropped."""
-    return with_row_image(decoded.where(F.col("table_name").isin(*CATALOG_TABLES)))
+    return with_row_image(decoded.where(F.col("table_name").isin(*CATALOG_TABLES)), qualify_ids)
 
 
 def route_table_info(changes: DataFrame) -> DataFrame:
@@ -105,7 +120,8 @@ def route_data_commit_info(changes: DataFrame) -> DataFrame:
         "commit_op", "seq")
 
 
-def route_all(decoded: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def route_all(decoded: DataFrame, qualify_ids: bool = False
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """P5: one decoded stream into (table_info, partition_info, data_commit_info) changes."""
-    changes = catalog_changes(decoded)
+    changes = catalog_changes(decoded, qualify_ids)
     return route_table_info(changes), route_partition_info(changes), route_data_commit_info(changes)

@@ -29,7 +29,7 @@ from assetlens.operators import facts, rollups
 from assetlens.plans.batch import Compacted, assets_from_compacted
 from assetlens.schemas import (DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
                                TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema)
-from assetlens.session import materialize
+from assetlens.session import ROCKSDB_PROVIDER, materialize
 from assetlens.sinks.upsert import VersionedTable
 from assetlens.sources.envelope import route_all
 
@@ -240,6 +240,13 @@ def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict |
     interval) or ``{"availableNow": True}`` for catch-up runs and tests.
     """
     spark = decoded_stream.sparkSession
+    # State lives in RocksDB (off-heap, incremental checkpoints) instead of the default
+    # in-memory provider; a new query picks it up at its first start.
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith(
+            "HDFSBackedStateStoreProvider"):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+                       "true")
     tables = AssetTables.at(spark, base, buckets)
     tagged, bad = tagged_changes(decoded_stream)
     trig = trigger or {"processingTime": "30 seconds"}

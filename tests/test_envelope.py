@@ -64,3 +64,12 @@ def test_base64_decoding_of_bad_text_is_null(spark):
     df = spark.createDataFrame([(b64("héllo"),), ("%%%",)], "t string")
     got = [r[0] for r in df.select(decode_base64_text(F.col("t"))).collect()]
     assert got == ["héllo", None]
+
+
+def test_several_schemas_qualify_table_ids(spark):
+    envs = [{"commitOp": "c", "before": {}, "after": {"table_id": "t", "partition_desc": "p"},
+             "seq": 1}]
+    a = _decode(spark, envs, topic="srv.s1.partition_info")
+    b = _decode(spark, envs, topic="srv.s2.partition_info")
+    _, pi, _ = envelope.route_all(a.unionByName(b), qualify_ids=True)
+    assert sorted(r["table_id"] for r in pi.collect()) == ["s1.t", "s2.t"]
