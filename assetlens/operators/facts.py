@@ -132,12 +132,18 @@ def signed_commit_deltas(stats: DataFrame, dedupe_commits: bool = False) -> Data
         stats = last.withColumn(
             "problem", F.when(~not_delete(F.col("commit_op")), F.lit("deleted"))
             .otherwise(F.col("problem")))
+    d_files, d_bytes = signed_delta_columns()
+    return stats.select("table_id", d_files.alias("d_files"), d_bytes.alias("d_bytes"))
+
+
+def signed_delta_columns() -> tuple[Column, Column]:
+    """(d_files, d_bytes) of one commit change from ``commit_op``, ``committed``,
+    ``file_count``, ``file_bytes`` and ``problem``: null when the change does not count."""
     is_delete = F.col("commit_op") == F.lit(OP_DELETE)
     counts = F.col("problem").isNull() & (is_delete | F.col("committed"))
     sign = F.when(is_delete, F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
-    return stats.select(
-        "table_id", F.when(counts, sign * F.col("file_count")).alias("d_files"),
-        F.when(counts, sign * F.col("file_bytes")).alias("d_bytes"))
+    return (F.when(counts, sign * F.col("file_count")),
+            F.when(counts, sign * F.col("file_bytes")))
 
 
 def commit_totals(deltas: DataFrame) -> DataFrame:

@@ -213,6 +213,9 @@ def oracle_sql() -> dict[str, str]:
             "from snap where op <> 'delete' "
             f"union all select table_id, partition_desc, commit_op, seq from fx_partition_info where seq > {CUT}"),
     }
+    for name in ("table_level_assets", "namespace_level_assets", "domain_level_assets",
+                 "user_level_assets"):
+        q["feed_" + name] = q[name]
     sink = {
         "table_level_assets": table_assets_sql(int_counts=True, with_op=False),
         "namespace_level_assets": group_assets_sql("namespace", int_counts=True),

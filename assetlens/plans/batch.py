@@ -77,3 +77,25 @@ def compute_assets(table_info: DataFrame, partitions: DataFrame, commits: DataFr
     groups = facts.table_groups(c.table_info)
     ns, dom, user = rollups_from(assets, groups)
     return AssetResults(assets, ns, dom, user, quarantined)
+
+
+def compute_assets_from_feed(decoded: DataFrame, keep: bool = True) -> AssetResults:
+    """Batch run over a decoded change feed (envelopes of all catalog tables).
+
+    The feed is scanned and parsed **once**: the routed logs and the uncountable
+    commits are tagged and compacted by one aggregate with map-side partial
+    aggregation (``plans.compaction``), instead of one scan per routed table. With
+    ``keep`` the compacted rows (one per table, partition and bad commit change) and
+    the table-level assets are written once to the shared work folder.
+    """
+    from assetlens.plans.compaction import (compaction_agg, quarantined, split_compacted,
+                                            tagged_changes)
+    state = compaction_agg(tagged_changes(decoded))
+    if keep:
+        state = materialize(state, "compacted-feed")
+    c = split_compacted(state)
+    assets = assets_from_compacted(c)
+    if keep:
+        assets = materialize(assets, "table-assets")
+    ns, dom, user = rollups_from(assets, facts.table_groups(c.table_info))
+    return AssetResults(assets, ns, dom, user, quarantined(state))

@@ -202,6 +202,34 @@ def q_snapshot_bootstrap(spark, sf_dir):
     return envelope.route_all(changelog.read_changes(spark, path))[1]
 
 
+_FEED_CACHE: dict = {}
+
+
+def _feed_results(spark, sf_dir) -> batch.AssetResults:
+    """The batch job over the envelope feed: one scan, one parse, one shuffle."""
+    def build(spark, sf_dir):
+        return batch.compute_assets_from_feed(
+            changelog.read_changes(spark, _envelope_feed(spark, sf_dir)))
+    return _cached(_FEED_CACHE, spark, sf_dir, build)
+
+
+def q_feed_table_level_assets(spark, sf_dir):
+    """J2 from the envelope feed with the one-pass compaction."""
+    return _feed_results(spark, sf_dir).table_assets
+
+
+def q_feed_namespace_level_assets(spark, sf_dir):
+    return _feed_results(spark, sf_dir).namespace_assets
+
+
+def q_feed_domain_level_assets(spark, sf_dir):
+    return _feed_results(spark, sf_dir).domain_assets
+
+
+def q_feed_user_level_assets(spark, sf_dir):
+    return _feed_results(spark, sf_dir).user_assets
+
+
 # ------------------------------------------------------------ sinks and streaming
 
 def _two_batch_sink(spark, sf_dir):
@@ -296,6 +324,10 @@ QUERIES: dict[str, Query] = {
     "route_data_commit_info": q_route_data_commit_info,
     "cdc_scan": q_cdc_scan,
     "snapshot_bootstrap": q_snapshot_bootstrap,
+    "feed_table_level_assets": q_feed_table_level_assets,
+    "feed_namespace_level_assets": q_feed_namespace_level_assets,
+    "feed_domain_level_assets": q_feed_domain_level_assets,
+    "feed_user_level_assets": q_feed_user_level_assets,
     "upsert_table_assets": q_upsert_table_assets,
     "upsert_namespace_assets": q_upsert_namespace_assets,
     "upsert_domain_assets": q_upsert_domain_assets,

@@ -3,7 +3,8 @@
 File tables are stored in ``buckets`` by a hash of a key column
 (``pmod(xxhash64(bucket_by), buckets)``; one bucket when unbucketed). Every write
 produces new immutable bucket folders under a folder of its own,
-``<path>/v<n>-<attempt id>/_bucket=<b>``, and only for the buckets its rows touch.
+``<path>/v<n>-<attempt id>/_bucket=<b>`` (the version folder itself for one
+bucket), and only for the buckets its rows touch.
 A write becomes current only when its entries (version, batch id, bucket, folder) are
 appended to ``<path>/_commits`` (one small file per write, after the data). Readers
 take, per bucket, the folder of the highest committed version. So:
@@ -108,11 +109,19 @@ class VersionedTable:
     def _commit(self, df: DataFrame, batch_id: int, buckets: list[int]) -> None:
         version = 0 if self._head is None else self._head[0] + 1
         location = f"{self.path}/v{version}-{uuid.uuid4().hex[:12]}"
-        out = df.select(*self.schema.fieldNames(), self.bucket_of().alias(BUCKET))
-        if self.cluster_by:
-            out = out.sortWithinPartitions(*self.cluster_by)
-        out.write.mode("errorifexists").partitionBy(BUCKET).parquet(location)
-        entries = [(version, batch_id, b, f"{location}/{BUCKET}={b}") for b in buckets]
+        if self.buckets == 1:
+            # One bucket: the version folder itself (exists even for an empty write).
+            out = df.select(*self.schema.fieldNames())
+            if self.cluster_by:
+                out = out.sortWithinPartitions(*self.cluster_by)
+            out.write.mode("errorifexists").parquet(location)
+            entries = [(version, batch_id, 0, location)]
+        else:
+            out = df.select(*self.schema.fieldNames(), self.bucket_of().alias(BUCKET))
+            if self.cluster_by:
+                out = out.sortWithinPartitions(*self.cluster_by)
+            out.write.mode("errorifexists").partitionBy(BUCKET).parquet(location)
+            entries = [(version, batch_id, b, f"{location}/{BUCKET}={b}") for b in buckets]
         (self.spark.createDataFrame(entries, COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{self.path}/_commits"))
         self._head = (version, batch_id)

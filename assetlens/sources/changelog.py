@@ -14,16 +14,20 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlens.schemas import CATALOG_TABLES, OP_READ
-from assetlens.sources.envelope import decode_envelopes
+from assetlens.schemas import CATALOG_TABLES, ENVELOPE, OP_READ
+from assetlens.sources.envelope import decode_envelopes, normalize_envelopes
 from assetlens.sources.fixtures import encode_envelopes
 
 
 # ------------------------------------------------------------------ S1: the change log
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of envelope text files (one envelope per line), decoded."""
-    return decode_envelopes(spark.read.text(path))
+    """Batch read of envelope files (one JSON envelope per line), decoded.
+
+    The JSON file source parses each line once, into the explicit envelope schema
+    (no inference pass), while reading; filters on the table name are applied there.
+    """
+    return normalize_envelopes(spark.read.schema(ENVELOPE).json(path))
 
 
 def read_change_stream(spark: SparkSession, path: str | None = None,
@@ -40,10 +44,10 @@ def read_change_stream(spark: SparkSession, path: str | None = None,
         raw = spark.readStream.format("kafka").options(**kafka).load()
         decoded = decode_envelopes(raw, value_col="value", topic_col="topic")
     else:
-        reader = spark.readStream.format("text")
+        reader = spark.readStream.schema(ENVELOPE).format("json")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        decoded = decode_envelopes(reader.load(path))
+        decoded = normalize_envelopes(reader.load(path))
     return decoded.where(F.col("table_name").isin(*CATALOG_TABLES))
 
 

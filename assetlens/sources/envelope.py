@@ -35,27 +35,35 @@ def schema_from_topic(topic: Column) -> Column:
     return F.element_at(F.split(topic, "[.]"), 2)
 
 
-def decode_envelopes(df: DataFrame, value_col: str = "value",
-                     topic_col: str | None = None) -> DataFrame:
-    """S3: JSON envelope text to typed columns ``commit_op, table_name, before, after, seq``.
-
-    ``file_ops`` stays an array of base64 text (S4); it is decoded only by the commit
-    fold. Only the columns of ``ROW_IMAGE`` are parsed, whatever else the rows carry.
-    """
-    env = F.from_json(F.col(value_col).cast("string"), ENVELOPE)
-    table = env["tableName"]
+def normalize_envelopes(env: DataFrame, topic_col: str | None = None) -> DataFrame:
+    """Envelope columns ``commitOp, tableName, before, after, seq`` (as parsed by the JSON
+    file source or by ``from_json``) to ``commit_op, table_name, schema_name, before,
+    after, seq``."""
+    table = F.col("tableName")
     schema = F.lit(None).cast("string")
     if topic_col is not None:
         table = F.coalesce(table, table_from_topic(F.col(topic_col)))
         schema = schema_from_topic(F.col(topic_col))
-    return df.select(
-        normalize_op(env["commitOp"]).alias("commit_op"),
+    return env.select(
+        normalize_op(F.col("commitOp")).alias("commit_op"),
         table.alias("table_name"),
         schema.alias("schema_name"),
-        env["before"].alias("before"),
-        env["after"].alias("after"),
-        env["seq"].alias("seq"),
-    )
+        F.col("before"), F.col("after"), F.col("seq"))
+
+
+def decode_envelopes(df: DataFrame, value_col: str = "value",
+                     topic_col: str | None = None) -> DataFrame:
+    """S3: JSON envelope text (e.g. Kafka ``value``) to typed columns ``commit_op,
+    table_name, schema_name, before, after, seq``.
+
+    ``file_ops`` stays an array of base64 text (S4); it is decoded only by the commit
+    fold. Only the columns of ``ROW_IMAGE`` are parsed, whatever else the rows carry.
+    Envelope files are better read by the JSON file source (``changelog.read_changes``),
+    which parses each line once while reading.
+    """
+    keep = [F.col(topic_col)] if topic_col is not None else []
+    parsed = df.select(F.from_json(F.col(value_col).cast("string"), ENVELOPE).alias("env"), *keep)
+    return normalize_envelopes(parsed.select("env.*", *keep), topic_col)
 
 
 def image_present(img: Column) -> Column:

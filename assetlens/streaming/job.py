@@ -1,20 +1,17 @@
 """Continuous asset statistics with Structured Streaming.
 
 Spark accepts one stateful aggregate per query in update mode, and neither chained
-aggregates nor a join of two streaming aggregates. So the three change logs are
-tagged and unioned into one frame, and **one** native streaming aggregate keyed by
-``(kind, table_id, sub_key)`` keeps the compacted state in the state store:
-
-* kind ``t`` (``table_info``): last op, attributes of the last non-delete change,
-  set of (namespace, domain, creator) ever held outside deletes;
-* kind ``p`` (``partition_info``): last op per ``sub_key = partition_desc``;
-* kind ``c`` (``data_commit_info``): signed running file count and byte total.
+aggregates nor a join of two streaming aggregates. So the query is the one-pass
+compaction of ``plans.compaction``: the three change logs (and the commits that cannot
+be counted) tagged and unioned, and **one** native streaming aggregate keyed by
+``(kind, table_id, sub_key)`` that keeps the compacted state in the state store.
 
 Each micro-batch emits only the keys it changed (update mode, full values, so a
 replay is idempotent). ``foreachBatch`` merges them into the compacted table (a
 versioned table in the shared work folder), then runs the same finish functions as
-the batch job on the touched tables and touched groups only, and upserts their rows. Commits that cannot be parsed go to
-a quarantine table through a second, append-only query.
+the batch job on the touched tables and touched groups only, and upserts their rows.
+Commits that cannot be counted are state rows of their own and go to a quarantine
+table in the same ``foreachBatch``.
 """
 
 from __future__ import annotations
@@ -26,83 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlens.operators import facts, rollups
-from assetlens.plans.batch import Compacted, assets_from_compacted
-from assetlens.schemas import (DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
+from assetlens.plans.batch import assets_from_compacted
+from assetlens.plans.compaction import (COMPACTED, KEYS, QUARANTINE, compaction_agg,
+                                        quarantined, split_compacted, tagged_changes)
+from assetlens.schemas import (DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS,
                                TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema)
 from assetlens.session import ROCKSDB_PROVIDER, materialize
 from assetlens.sinks.upsert import VersionedTable
-from assetlens.sources.envelope import route_all
-
-_S = T.StringType()
-GROUP = T.StructType([T.StructField("namespace", _S), T.StructField("domain", _S),
-                      T.StructField("creator", _S)])
-ATTRS = T.StructType([T.StructField(a, _S) for a in facts.ATTRS])
-COMPACTED = T.StructType([
-    T.StructField("kind", _S), T.StructField("table_id", _S), T.StructField("sub_key", _S),
-    T.StructField("op", _S), T.StructField("attrs", ATTRS),
-    T.StructField("groups", T.ArrayType(GROUP)),
-    T.StructField("file_counts", T.LongType()), T.StructField("file_total_size", T.LongType()),
-])
-KEYS = ["kind", "table_id", "sub_key"]
-QUARANTINE = T.StructType([
-    T.StructField("table_id", _S), T.StructField("commit_id", _S), T.StructField("commit_op", _S),
-    T.StructField("seq", T.LongType()), T.StructField("problem", _S)])
-
-
-def tagged_changes(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(tagged, quarantined): the three routed logs as one frame, plus bad commits."""
-    ti, pi, ci = route_all(decoded)
-    stats = facts.commit_stats(ci)
-    null_s = F.lit(None).cast("string")
-    null_l = F.lit(None).cast("bigint")
-
-    def shape(df: DataFrame, kind: str, sub_key, op, seq, tn=None, ns=None, dom=None,
-              cr=None, d_files=None, d_bytes=None) -> DataFrame:
-        return df.select(
-            F.lit(kind).alias("kind"), F.col("table_id"), sub_key.alias("sub_key"),
-            op.alias("commit_op"), seq.alias("seq"),
-            (tn if tn is not None else null_s).alias("table_name"),
-            (ns if ns is not None else null_s).alias("table_namespace"),
-            (dom if dom is not None else null_s).alias("domain"),
-            (cr if cr is not None else null_s).alias("creator"),
-            (d_files if d_files is not None else null_l).alias("d_files"),
-            (d_bytes if d_bytes is not None else null_l).alias("d_bytes"))
-
-    t = shape(ti, "t", F.lit(""), F.col("commit_op"), F.col("seq"), F.col("table_name"),
-              F.col("table_namespace"), F.col("domain"), F.col("creator"))
-    p = shape(pi.where(F.col("partition_desc").isNotNull()), "p", F.col("partition_desc"),
-              F.col("commit_op"), F.col("seq"))
-    # Changes the A2 rule ignores carry null deltas; a key whose sums stay null has
-    # no counted change and is dropped when the state is split (no J2 match).
-    deltas = facts.signed_commit_deltas(stats)
-    c = shape(deltas, "c", F.lit(""), null_s, null_l, d_files=F.col("d_files"),
-              d_bytes=F.col("d_bytes"))
-    return t.unionByName(p).unionByName(c), facts.quarantine(stats)
-
-
-def compaction_agg(tagged: DataFrame) -> DataFrame:
-    """The single stateful aggregate: J0, A3 (inner half) and A2 in one operator."""
-    is_live = F.col("commit_op") != F.lit(OP_DELETE)
-    group = F.struct(F.col("table_namespace").alias("namespace"), "domain", "creator")
-    attrs = F.struct(*[F.col(a) for a in facts.ATTRS])
-    return tagged.groupBy(*KEYS).agg(
-        F.max_by(F.col("commit_op"), F.col("seq")).alias("op"),
-        F.max_by(attrs, F.when(is_live, F.col("seq"))).alias("attrs"),
-        F.collect_set(F.when((F.col("kind") == "t") & is_live, group)).alias("groups"),
-        F.sum("d_files").alias("file_counts"),
-        F.sum("d_bytes").alias("file_total_size"))
-
-
-def split_compacted(state: DataFrame) -> Compacted:
-    """The compacted table back to the per-log frames the finish functions take."""
-    return Compacted(
-        table_info=state.where(F.col("kind") == "t").select("table_id", "attrs", "op", "groups"),
-        partitions=state.where(F.col("kind") == "p").select(
-            "table_id", F.col("sub_key").alias("partition_desc"),
-            (F.col("op") == F.lit(OP_DELETE)).alias("deleted")),
-        totals=state.where((F.col("kind") == "c") & F.col("file_counts").isNotNull())
-        .select("table_id", "file_counts", "file_total_size"))
-
 
 # Buckets of the versioned tables: an upsert rewrites only the buckets its rows fall
 # in. Sized per deployment with the session setting ``spark.assetlens.buckets``
@@ -114,7 +41,8 @@ DEFAULT_BUCKETS = 8
 def bucket_count(spark: SparkSession) -> int:
     return int(spark.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
 
-TABLE_ASSETS_WITH_OP = T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("op", _S)])
+
+TABLE_ASSETS_WITH_OP = T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("op", T.StringType())])
 
 
 # The three rollups share one stored table keyed by (level, group_key): one plan,
@@ -123,7 +51,7 @@ TABLE_ASSETS_WITH_OP = T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("
 LEVELS = {"namespace": NAMESPACE_LEVEL_ASSETS, "domain": DOMAIN_LEVEL_ASSETS,
           "creator": USER_LEVEL_ASSETS}
 GROUP_ASSETS = T.StructType([
-    T.StructField("level", _S), T.StructField("group_key", _S),
+    T.StructField("level", T.StringType()), T.StructField("group_key", T.StringType()),
     T.StructField("domain_counts", T.LongType()), T.StructField("namespace_counts", T.LongType()),
     T.StructField("table_counts", T.LongType()), T.StructField("partition_counts", T.LongType()),
     T.StructField("file_counts", T.LongType()), T.StructField("file_total_size", T.LongType())])
@@ -150,6 +78,7 @@ class AssetTables:
     table_assets: VersionedTable
     group_assets: VersionedTable
     table_sink: VersionedTable
+    quarantine: VersionedTable
 
     @classmethod
     def at(cls, spark: SparkSession, base: str, buckets: int | None = None) -> "AssetTables":
@@ -166,7 +95,8 @@ class AssetTables:
             vt("compacted", COMPACTED, KEYS, cluster_by=["kind", "table_id"]),
             vt("table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
             VersionedTable(spark, f"{base}/group_assets", GROUP_ASSETS, ["level", "group_key"]),
-            vt("table_level_assets", TABLE_LEVEL_ASSETS, "table_id"))
+            vt("table_level_assets", TABLE_LEVEL_ASSETS, "table_id"),
+            VersionedTable(spark, f"{base}/quarantine", QUARANTINE, ["table_id", "commit_id", "seq"]))
 
     def table_level_assets(self) -> DataFrame:
         """The K1 result table: the sink table if one was written (frozen attributes, or
@@ -230,11 +160,13 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     all_groups = facts.table_groups(split_compacted(tables.compacted.current()).table_info)
     tables.upsert_groups(*[touched_rollup(all_assets, all_groups, touched_groups, key)
                            for key in ("namespace", "domain", "creator")], batch_id)
+    # Commits that cannot be counted, as held in the state (one row per bad change).
+    tables.quarantine.upsert(quarantined(changed), batch_id)
 
 
 def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
           freeze_attributes: bool = False, buckets: int | None = None):
-    """Starts the asset query and the quarantine query; returns both handles.
+    """Starts the asset query (one stateful aggregate, ``foreachBatch``); returns its handle.
 
     ``trigger``: e.g. ``{"processingTime": "30 seconds"}`` (the reference's checkpoint
     interval) or ``{"availableNow": True}`` for catch-up runs and tests.
@@ -248,28 +180,20 @@ def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict |
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
                        "true")
     tables = AssetTables.at(spark, base, buckets)
-    tagged, bad = tagged_changes(decoded_stream)
     trig = trigger or {"processingTime": "30 seconds"}
-    main = (compaction_agg(tagged).writeStream.outputMode("update")
+    return (compaction_agg(tagged_changes(decoded_stream)).writeStream.outputMode("update")
             .option("checkpointLocation", f"{checkpoint}/assets")
             .foreachBatch(lambda df, bid: apply_batch(tables, df, bid, freeze_attributes))
             .trigger(**trig).start())
-    dead = (bad.writeStream.outputMode("append").format("parquet")
-            .option("path", f"{base}/quarantine")
-            .option("checkpointLocation", f"{checkpoint}/quarantine")
-            .trigger(**trig).start())
-    return main, dead
 
 
 def run_available(decoded_stream: DataFrame, base: str, checkpoint: str,
                   freeze_attributes: bool = False, buckets: int | None = None) -> AssetTables:
     """Processes everything available now, in as many micro-batches as the source
     makes, and returns the result tables."""
-    main, dead = start(decoded_stream, base, checkpoint, {"availableNow": True}, freeze_attributes,
-                       buckets)
-    main.awaitTermination()
-    dead.awaitTermination()
-    for q in (main, dead):
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+    query = start(decoded_stream, base, checkpoint, {"availableNow": True}, freeze_attributes,
+                  buckets)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
     return AssetTables.at(decoded_stream.sparkSession, base, buckets)

@@ -51,3 +51,15 @@ def test_partition_compaction_is_hash_aggregate(spark):
     from assetlens.sources import fixtures as fx
     plan = plan_of(facts.compact_partitions(fx.fx_partition_info(spark, SF_SMALL)))
     assert "HashAggregate" in plan and "SortAggregate" not in plan, plan
+
+
+def test_feed_compaction_scans_and_parses_once(spark):
+    from assetlens.plans.compaction import compaction_agg, tagged_changes
+    from assetlens.sources import changelog
+    path = registry._envelope_feed(spark, SF_SMALL)
+    plan = plan_of(compaction_agg(tagged_changes(changelog.read_changes(spark, path))))
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Scan json") == 1 and "Union" not in tree, tree
+    assert tree.count("Exchange") == 1, tree
+    assert plan.count("aggregate(transform(") == 1 and "from_json" not in plan
+    assert "PushedFilters: [In(tableName" in plan

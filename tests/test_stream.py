@@ -37,7 +37,7 @@ def test_stream_equals_batch_over_several_micro_batches(spark):
         assert _sorted(got) == _sorted(to_result_schema(want, got.schema))
     assert _sorted(tables.level_assets("creator")) == _sorted(
         to_result_schema(b.user_assets, USER_LEVEL_ASSETS))
-    assert spark.read.parquet(f"{base}/out/quarantine").count() == 0
+    assert tables.quarantine.current().count() == 0
 
 
 def test_replayed_batch_changes_nothing(spark):
@@ -100,7 +100,7 @@ def test_stream_quarantine_freeze_and_replay(spark):
     tables = job.run_available(stream, f"{base}/out", f"{base}/chk", freeze_attributes=True)
     assert tables.compacted.head()[1] == 1
     # The unparsable commit is quarantined, the other counted.
-    q = spark.read.parquet(f"{base}/out/quarantine").collect()
+    q = tables.quarantine.current().collect()
     assert [(r["commit_id"], r["problem"]) for r in q] == [("c2", "unparsed_file_op")]
     # Frozen sink keeps the first attributes; the rollups follow the move.
     assert _sorted(tables.table_level_assets()) == [("a", "A", "d1", "u1", "n1", 1, 1, 10)]
