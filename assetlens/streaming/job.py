@@ -143,7 +143,10 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     finishes the rest.
     """
     changed = materialize(changed, f"changed-{batch_id}")
-    buckets = tables.compacted.bucket_ids(changed)
+    # Touched buckets and the kinds present: at most buckets x 4 small values.
+    seen = changed.select(tables.compacted.bucket_of().alias("b"), "kind").distinct().collect()
+    buckets = sorted({r["b"] for r in seen})
+    kinds = {r["kind"] for r in seen}
     tables.compacted.upsert(changed, batch_id, buckets=buckets)
     touched = changed.select("table_id").distinct()
     # All state rows of a table share its bucket: read the touched buckets only.
@@ -161,7 +164,8 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     tables.upsert_groups(*[touched_rollup(all_assets, all_groups, touched_groups, key)
                            for key in ("namespace", "domain", "creator")], batch_id)
     # Commits that cannot be counted, as held in the state (one row per bad change).
-    tables.quarantine.upsert(quarantined(changed), batch_id)
+    if "q" in kinds:
+        tables.quarantine.upsert(quarantined(changed), batch_id)
 
 
 def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
