@@ -9,7 +9,8 @@ be counted) tagged and unioned, and **one** native streaming aggregate keyed by
 Each micro-batch emits only the keys it changed (update mode, full values, so a
 replay is idempotent). ``foreachBatch`` merges them into the compacted table (a
 versioned table in the shared work folder), then runs the same finish functions as
-the batch job on the touched tables and touched groups only, and upserts their rows.
+the batch job on the touched tables and touched groups only, and upserts their rows;
+live partition counts are kept as a per-table table updated by deltas.
 Commits that cannot be counted are state rows of their own and go to a quarantine
 table in the same ``foreachBatch``.
 """
@@ -23,10 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlens.operators import facts, rollups
-from assetlens.plans.batch import assets_from_compacted
 from assetlens.plans.compaction import (COMPACTED, KEYS, QUARANTINE, compaction_agg,
                                         quarantined, split_compacted, tagged_changes)
-from assetlens.schemas import (DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS,
+from assetlens.schemas import (DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
                                TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema)
 from assetlens.session import ROCKSDB_PROVIDER, materialize
 from assetlens.sinks.upsert import VersionedTable
@@ -42,6 +42,8 @@ def bucket_count(spark: SparkSession) -> int:
     return int(spark.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
 
 
+PARTITION_COUNTS = T.StructType([T.StructField("table_id", T.StringType()),
+                                 T.StructField("partition_counts", T.LongType())])
 TABLE_ASSETS_WITH_OP = T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("op", T.StringType())])
 
 
@@ -79,24 +81,27 @@ class AssetTables:
     group_assets: VersionedTable
     table_sink: VersionedTable
     quarantine: VersionedTable
+    partition_counts: VersionedTable
 
     @classmethod
     def at(cls, spark: SparkSession, base: str, buckets: int | None = None) -> "AssetTables":
-        """Per-table tables are bucketed by the hash of ``table_id`` (the compacted state
-        too, so all state rows of a table share one bucket, and a table's state and
-        assets have the same bucket id). The group table holds one row per group, far
-        fewer than tables: one bucket."""
+        """Per-table tables are bucketed by the hash of ``table_id``; the compacted state
+        by its full key ``(kind, table_id, sub_key)``, so the partitions of one huge
+        table spread over all buckets. The group and quarantine tables are small: one
+        bucket."""
         buckets = buckets or bucket_count(spark)
 
         def vt(name, schema, key, **kw):
             return VersionedTable(spark, f"{base}/{name}", schema, key, buckets=buckets,
                                   bucket_by=["table_id"], **kw)
         return cls(
-            vt("compacted", COMPACTED, KEYS, cluster_by=["kind", "table_id"]),
+            VersionedTable(spark, f"{base}/compacted", COMPACTED, KEYS, buckets=buckets,
+                           cluster_by=["kind", "table_id"]),
             vt("table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
             VersionedTable(spark, f"{base}/group_assets", GROUP_ASSETS, ["level", "group_key"]),
             vt("table_level_assets", TABLE_LEVEL_ASSETS, "table_id"),
-            VersionedTable(spark, f"{base}/quarantine", QUARANTINE, ["table_id", "commit_id", "seq"]))
+            VersionedTable(spark, f"{base}/quarantine", QUARANTINE, ["table_id", "commit_id", "seq"]),
+            vt("partition_counts", PARTITION_COUNTS, "table_id"))
 
     def table_level_assets(self) -> DataFrame:
         """The K1 result table: the sink table if one was written (frozen attributes, or
@@ -135,28 +140,58 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     """``foreachBatch`` body: merge the changed state rows, then refresh the result rows
     of the touched tables and touched groups only.
 
-    A table is touched when any of its state keys changed in this micro-batch. A group
-    can change only through a touched table, and every group a table was ever in
+    Live partitions are maintained as deltas: only the previous values of the
+    partition keys changed in this micro-batch are read (the compacted state is
+    bucketed by its full key, so a table holding a third of all partitions spreads
+    over all buckets and is never re-read whole). The count table is written before
+    the state is merged, so a replay never takes a delta against a state that already
+    holds this micro-batch. A table is touched when any of its state keys changed; a
+    group can change only through a touched table, and every group a table was ever in
     (the old group of a move included) is in its membership history, so the touched
     groups are the history groups of the touched tables. Each table checks the batch
     id on its own: a micro-batch replayed after a failure skips what was applied and
     finishes the rest.
     """
     changed = materialize(changed, f"changed-{batch_id}")
-    # Touched buckets and the kinds present: at most buckets x 4 small values.
+    # Touched state buckets and the kinds present: at most buckets x 4 small values.
     seen = changed.select(tables.compacted.bucket_of().alias("b"), "kind").distinct().collect()
     buckets = sorted({r["b"] for r in seen})
     kinds = {r["kind"] for r in seen}
-    tables.compacted.upsert(changed, batch_id, buckets=buckets)
     touched = changed.select("table_id").distinct()
-    # All state rows of a table share its bucket: read the touched buckets only.
-    state_touched = tables.compacted.current(buckets)
-    c = split_compacted(state_touched.join(touched, "table_id", "left_semi"))
-    assets = materialize(assets_from_compacted(c), f"touched-assets-{batch_id}")
-    # A table's assets fall in the same bucket as its state rows.
-    tables.table_assets.upsert(assets, batch_id, buckets=buckets)
+    # Per-table tables share the bucketing by table_id.
+    table_buckets = tables.table_assets.bucket_ids(touched)
+
+    if "p" in kinds:
+        keys = changed.where(F.col("kind") == "p").select(*KEYS, "op")
+        before = (tables.compacted.current(buckets).where(F.col("kind") == "p")
+                  .select(*KEYS, "op").join(keys.select(*KEYS), KEYS, "left_semi"))
+
+        def live(df: DataFrame, sign: int) -> DataFrame:
+            return df.select("table_id", F.when(F.col("op") != F.lit(OP_DELETE), F.lit(sign))
+                             .otherwise(F.lit(0)).cast("bigint").alias("d"))
+        delta = (live(keys, 1).unionByName(live(before, -1))
+                 .groupBy("table_id").agg(F.sum("d").alias("d")))
+        old = tables.partition_counts.current(table_buckets)
+        counts = delta.join(old, "table_id", "left").select(
+            "table_id", (F.coalesce("partition_counts", F.lit(0).cast("bigint")) + F.col("d"))
+            .alias("partition_counts"))
+        # Old counts and old state are read from immutable folders: no lineage cut needed.
+        tables.partition_counts.upsert(counts, batch_id, buckets=table_buckets)
+    tables.compacted.upsert(changed, batch_id, buckets=buckets)
+
+    # Description and commit totals of the touched tables, looked up by their keys.
+    tc_keys = touched.select(F.lit("t").alias("kind"), "table_id", F.lit("").alias("sub_key")) \
+        .unionByName(touched.select(F.lit("c").alias("kind"), "table_id", F.lit("").alias("sub_key")))
+    rows = (tables.compacted.current(tables.compacted.bucket_ids(tc_keys))
+            .where(F.col("kind").isin("t", "c")).join(touched, "table_id", "left_semi"))
+    c = split_compacted(rows)
+    counts = tables.partition_counts.current(table_buckets).join(touched, "table_id", "left_semi")
+    latest = facts.latest_table_info(c.table_info)
+    assets = materialize(facts.table_level_assets(facts.table_with_partitions(latest, counts),
+                                                  c.totals), f"touched-assets-{batch_id}")
+    tables.table_assets.upsert(assets, batch_id, buckets=table_buckets)
     if freeze_attributes:
-        tables.table_sink.upsert(assets, batch_id, buckets=buckets,
+        tables.table_sink.upsert(assets, batch_id, buckets=table_buckets,
                                  frozen=("table_name", "domain", "creator", "namespace"))
     touched_groups = facts.table_groups(c.table_info)
     all_assets = tables.table_assets.current()

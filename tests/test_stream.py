@@ -110,3 +110,27 @@ def test_stream_quarantine_freeze_and_replay(spark):
     before = [_sorted(t.current()) for t in (tables.table_assets, tables.group_assets)]
     job.apply_batch(tables, tables.compacted.current().limit(0), 1)
     assert [_sorted(t.current()) for t in (tables.table_assets, tables.group_assets)] == before
+
+
+def test_stream_partition_count_deltas_across_batches(spark):
+    from conftest import b64
+    base = tempfile.mkdtemp(prefix="stream-delta-")
+    ti = {"table_id": "a", "table_name": "A", "table_namespace": "n1", "domain": "d1",
+          "creator": "u1"}
+    part = lambda op, d, s: _envelope(op, "partition_info", {"table_id": "a", "partition_desc": d}, s)
+    batches = [
+        [_envelope("create", "table_info", ti, 1), part("create", "p1", 2), part("create", "p2", 3),
+         _envelope("create", "data_commit_info", {"table_id": "a", "commit_id": "c1", "committed": True,
+                                                  "file_ops": [b64('(f,add,10,"x")')]}, 4)],
+        [part("delete", "p1", 5), part("create", "p3", 6), part("update", "p2", 7)],
+        [part("create", "p1", 8), part("delete", "p2", 9), part("delete", "p2", 10)],
+    ]
+    for i, lines in enumerate(batches):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) \
+            .write.text(f"{base}/feed/part={i}")
+    stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
+    tables = job.run_available(stream, f"{base}/out", f"{base}/chk")
+    assert tables.compacted.head()[1] == 2
+    # p1 re-created, p2 deleted, p3 live.
+    assert _sorted(tables.partition_counts.current()) == [("a", 2)]
+    assert _sorted(tables.table_level_assets()) == [("a", "A", "d1", "u1", "n1", 2, 1, 10)]
