@@ -1,9 +1,10 @@
 """The whole batch dataflow: routed change logs to the four asset tables.
 
-Plan shape (see ``docs`` in README): three compactions, each one exchange of its change
-log with map-side partial aggregation; two joins on ``table_id`` that reuse the
-aggregates' hash partitioning; the table-level result materialized once (it feeds
-four consumers); three rollups with partial aggregation.
+Plan shape (README, "Plans and scale"): three compactions, each one exchange of its
+change log with map-side partial aggregation (or, from a feed, one compaction of all of
+them); two joins on ``table_id`` that reuse the aggregates' hash partitioning; the
+table-level result materialized once (it feeds four consumers); three rollups with
+partial aggregation.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ class AssetResults:
 class Compacted:
     """One row per key of each change log: what the streaming state store holds."""
     table_info: DataFrame   # table_id, attrs, op, groups
-    partitions: DataFrame   # table_id, partition_desc, op
+    partitions: DataFrame   # table_id, partition_desc, deleted (last op was a delete)
     totals: DataFrame       # table_id, file_counts, file_total_size
 
 
