@@ -87,9 +87,10 @@ class VersionedTable:
         self._load()
         return self._head
 
-    def bucket_of(self) -> "F.Column":
-        return F.pmod(F.xxhash64(*[F.col(c) for c in self.bucket_by]),
-                      F.lit(self.buckets)).cast("int")
+    def bucket_of(self, *cols: "F.Column") -> "F.Column":
+        """Bucket id of a row; ``cols`` stand in for the ``bucket_by`` columns."""
+        cols = cols or tuple(F.col(c) for c in self.bucket_by)
+        return F.pmod(F.xxhash64(*cols), F.lit(self.buckets)).cast("int")
 
     def bucket_ids(self, rows: DataFrame) -> list[int]:
         """The buckets that ``rows`` fall in (at most ``buckets`` small numbers)."""

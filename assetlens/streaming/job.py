@@ -153,13 +153,20 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     finishes the rest.
     """
     changed = materialize(changed, f"changed-{batch_id}")
-    # Touched state buckets and the kinds present: at most buckets x 4 small values.
-    seen = changed.select(tables.compacted.bucket_of().alias("b"), "kind").distinct().collect()
-    buckets = sorted({r["b"] for r in seen})
-    kinds = {r["kind"] for r in seen}
     touched = changed.select("table_id").distinct()
-    # Per-table tables share the bucketing by table_id.
-    table_buckets = tables.table_assets.bucket_ids(touched)
+    # In one small aggregate: the touched buckets of the state, of the per-table tables
+    # (all bucketed by table_id), of the touched tables' description and commit rows,
+    # and the kinds present. Each set is bounded by the bucket count (or 4 kinds).
+    st = tables.compacted
+    sets = changed.agg(
+        F.collect_set(st.bucket_of()).alias("state"),
+        F.collect_set(tables.table_assets.bucket_of()).alias("tables"),
+        F.array_union(
+            F.collect_set(st.bucket_of(F.lit("t"), F.col("table_id"), F.lit(""))),
+            F.collect_set(st.bucket_of(F.lit("c"), F.col("table_id"), F.lit("")))).alias("tc"),
+        F.collect_set("kind").alias("kinds")).first()
+    buckets, table_buckets, tc_buckets = (sorted(sets[k] or []) for k in ("state", "tables", "tc"))
+    kinds = set(sets["kinds"] or [])
 
     if "p" in kinds:
         keys = changed.where(F.col("kind") == "p").select(*KEYS, "op")
@@ -180,9 +187,7 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     tables.compacted.upsert(changed, batch_id, buckets=buckets)
 
     # Description and commit totals of the touched tables, looked up by their keys.
-    tc_keys = touched.select(F.lit("t").alias("kind"), "table_id", F.lit("").alias("sub_key")) \
-        .unionByName(touched.select(F.lit("c").alias("kind"), "table_id", F.lit("").alias("sub_key")))
-    rows = (tables.compacted.current(tables.compacted.bucket_ids(tc_keys))
+    rows = (tables.compacted.current(tc_buckets)
             .where(F.col("kind").isin("t", "c")).join(touched, "table_id", "left_semi"))
     c = split_compacted(rows)
     counts = tables.partition_counts.current(table_buckets).join(touched, "table_id", "left_semi")
