@@ -198,7 +198,8 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     if freeze_attributes:
         tables.table_sink.upsert(assets, batch_id, buckets=table_buckets,
                                  frozen=("table_name", "domain", "creator", "namespace"))
-    touched_groups = facts.table_groups(c.table_info)
+    # The touched tables' group history feeds the three rollups: written once (small).
+    touched_groups = materialize(facts.table_groups(c.table_info), f"touched-groups-{batch_id}")
     all_assets = tables.table_assets.current()
     all_groups = facts.table_groups(split_compacted(tables.compacted.current()).table_info)
     tables.upsert_groups(*[touched_rollup(all_assets, all_groups, touched_groups, key)
