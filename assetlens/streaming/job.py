@@ -44,6 +44,8 @@ def bucket_count(spark: SparkSession) -> int:
 
 PARTITION_COUNTS = T.StructType([T.StructField("table_id", T.StringType()),
                                  T.StructField("partition_counts", T.LongType())])
+# Ever-seen (creator, "domain" | "namespace", value) pairs of complete tables.
+SEEN_PAIRS = T.StructType([T.StructField(c, T.StringType()) for c in ("creator", "kind", "value")])
 TABLE_ASSETS_WITH_OP = T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("op", T.StringType())])
 
 
@@ -82,6 +84,7 @@ class AssetTables:
     table_sink: VersionedTable
     quarantine: VersionedTable
     partition_counts: VersionedTable
+    seen_pairs: VersionedTable
 
     @classmethod
     def at(cls, spark: SparkSession, base: str, buckets: int | None = None) -> "AssetTables":
@@ -101,7 +104,9 @@ class AssetTables:
             VersionedTable(spark, f"{base}/group_assets", GROUP_ASSETS, ["level", "group_key"]),
             vt("table_level_assets", TABLE_LEVEL_ASSETS, "table_id"),
             VersionedTable(spark, f"{base}/quarantine", QUARANTINE, ["table_id", "commit_id", "seq"]),
-            vt("partition_counts", PARTITION_COUNTS, "table_id"))
+            vt("partition_counts", PARTITION_COUNTS, "table_id"),
+            VersionedTable(spark, f"{base}/seen_pairs", SEEN_PAIRS, ["creator", "kind", "value"],
+                           buckets=buckets, bucket_by=["creator"]))
 
     def table_level_assets(self) -> DataFrame:
         """The K1 result table: the sink table if one was written (frozen attributes, or
@@ -120,37 +125,76 @@ class AssetTables:
         return self.group_assets.upsert(group_rows(namespace, domain, user), batch_id)
 
 
-def touched_rollup(all_assets: DataFrame, all_groups: DataFrame, touched_groups: DataFrame,
-                   key: str) -> DataFrame:
-    """Rollup rows of the touched groups only, exact: live measures over all tables now
-    in those groups, group rows and ever-seen counts over the whole history of complete
-    tables in those groups. The touched key set is small; AQE broadcasts it when its
-    runtime size allows and shuffles otherwise."""
-    keys = touched_groups.select(key).where(F.col(key).isNotNull()).distinct()
-    assets = all_assets.join(keys, key, "left_semi")
-    complete = all_groups.join(all_assets.select("table_id"), "table_id", "left_semi")
-    groups = complete.join(keys, key, "left_semi")
-    if key == "creator":
-        return rollups.user_level_assets(assets, groups, history_is_complete=True)
-    return rollups.group_level_assets(assets, groups, key, history_is_complete=True)
+def _contributions(assets: DataFrame, sign: int) -> DataFrame:
+    """What live tables add to (``sign`` 1) or take from (-1) their current groups."""
+    live = assets.where(F.col("op") != F.lit(OP_DELETE))
+    sg = F.lit(sign).cast("bigint")
+    return _levels(live, lambda key: [sg.alias("table_counts")] + [
+        (sg * F.col(m)).alias(m) for m in rollups.MEASURES[1:]])
+
+
+def _levels(df: DataFrame, measures) -> DataFrame:
+    """One row per level (namespace, domain, creator) of each input row."""
+    parts = [df.select(F.lit(level).alias("level"), F.col(level).alias("group_key"), *measures(level))
+             for level in LEVELS]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.where(F.col("group_key").isNotNull())
+
+
+def group_deltas(tables: AssetTables, assets: DataFrame, old_assets: DataFrame,
+                 history: DataFrame, batch_id: int) -> None:
+    """Rollup rows of the touched groups from deltas, reading no table outside the
+    touched ones: the stored group row, plus the new and minus the old contribution
+    of each touched table. Every group in the history of a complete touched table gets
+    a row (zeros if empty, R7). The creators' ever-seen domains and namespaces are a
+    set of (creator, kind, value) pairs that only grows (R4, R5)."""
+    zero = F.lit(0).cast("bigint")
+    exist = _levels(history, lambda key: [zero.alias(m) for m in rollups.MEASURES])
+    delta = (_contributions(assets, 1).unionByName(_contributions(old_assets, -1))
+             .unionByName(exist)
+             .groupBy("level", "group_key")
+             .agg(*[F.sum(m).alias(m) for m in rollups.MEASURES]))
+    pairs = (history.select("creator", F.lit("domain").alias("kind"), F.col("domain").alias("value"))
+             .unionByName(history.select("creator", F.lit("namespace").alias("kind"),
+                                         F.col("namespace").alias("value")))
+             .where(F.col("creator").isNotNull() & F.col("value").isNotNull()).distinct())
+    pair_buckets = tables.seen_pairs.bucket_ids(history.select("creator").where(F.col("creator").isNotNull()))
+    tables.seen_pairs.upsert(pairs, batch_id, buckets=pair_buckets)
+    seen = (tables.seen_pairs.current(pair_buckets)
+            .groupBy("creator")
+            .agg(F.count_if(F.col("kind") == "domain").cast("bigint").alias("domain_counts"),
+                 F.count_if(F.col("kind") == "namespace").cast("bigint").alias("namespace_counts"))
+            .select(F.lit("creator").alias("level"), F.col("creator").alias("group_key"),
+                    "domain_counts", "namespace_counts"))
+    old = tables.group_assets.current()
+    rows = (delta.join(old.select("level", "group_key", *[F.col(m).alias(f"__old_{m}")
+                                                          for m in rollups.MEASURES]),
+                       ["level", "group_key"], "left")
+            .join(seen, ["level", "group_key"], "left")
+            .select("level", "group_key", "domain_counts", "namespace_counts",
+                    *[(F.coalesce(F.col(f"__old_{m}"), zero) + F.col(m)).alias(m)
+                      for m in rollups.MEASURES]))
+    tables.group_assets.upsert(rows, batch_id)
 
 
 def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
                 freeze_attributes: bool = False) -> None:
-    """``foreachBatch`` body: merge the changed state rows, then refresh the result rows
-    of the touched tables and touched groups only.
+    """``foreachBatch`` body: merge the changed state rows, then refresh the rows of the
+    touched tables and touched groups, reading nothing outside them.
 
     Live partitions are maintained as deltas: only the previous values of the
     partition keys changed in this micro-batch are read (the compacted state is
     bucketed by its full key, so a table holding a third of all partitions spreads
-    over all buckets and is never re-read whole). The count table is written before
-    the state is merged, so a replay never takes a delta against a state that already
-    holds this micro-batch. A table is touched when any of its state keys changed; a
-    group can change only through a touched table, and every group a table was ever in
-    (the old group of a move included) is in its membership history, so the touched
-    groups are the history groups of the touched tables. Each table checks the batch
-    id on its own: a micro-batch replayed after a failure skips what was applied and
-    finishes the rest.
+    over all buckets and is never re-read whole). Group rows are maintained as deltas
+    of the touched tables' contributions (``group_deltas``). A table is touched when any
+    of its state keys changed; a group can change only through a touched table, and
+    every group a table was ever in (the old group of a move included) is in its
+    membership history. Counts and group rows are written before the state and the
+    table assets they are derived from, so a replay never takes a delta twice; each
+    table checks the batch id on its own, so a micro-batch replayed after a failure
+    skips what was applied and finishes the rest.
     """
     changed = materialize(changed, f"changed-{batch_id}")
     touched = changed.select("table_id").distinct()
@@ -194,16 +238,17 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
     latest = facts.latest_table_info(c.table_info)
     assets = materialize(facts.table_level_assets(facts.table_with_partitions(latest, counts),
                                                   c.totals), f"touched-assets-{batch_id}")
+    # Group rows by deltas, written before the table assets: the "old" asset rows read
+    # here are then always the ones before this micro-batch, also on a replay.
+    old_assets = tables.table_assets.current(table_buckets).join(touched, "table_id", "left_semi")
+    history = materialize(facts.table_groups(c.table_info)
+                          .join(assets.select("table_id"), "table_id", "left_semi"),
+                          f"touched-history-{batch_id}")
+    group_deltas(tables, assets, old_assets, history, batch_id)
     tables.table_assets.upsert(assets, batch_id, buckets=table_buckets)
     if freeze_attributes:
         tables.table_sink.upsert(assets, batch_id, buckets=table_buckets,
                                  frozen=("table_name", "domain", "creator", "namespace"))
-    # The touched tables' group history feeds the three rollups: written once (small).
-    touched_groups = materialize(facts.table_groups(c.table_info), f"touched-groups-{batch_id}")
-    all_assets = tables.table_assets.current()
-    all_groups = facts.table_groups(split_compacted(tables.compacted.current()).table_info)
-    tables.upsert_groups(*[touched_rollup(all_assets, all_groups, touched_groups, key)
-                           for key in ("namespace", "domain", "creator")], batch_id)
     # Commits that cannot be counted, as held in the state (one row per bad change).
     if "q" in kinds:
         tables.quarantine.upsert(quarantined(changed), batch_id)
