@@ -45,3 +45,28 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[p
             total += size
         if begin < batch.num_rows:
             yield batch.slice(begin)
+
+
+def text_key(text: Column) -> Column:
+    """A 64-bit hash of the text (null: empty) that, with the id, names a row."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def rows_against(docs: DataFrame, frame: DataFrame, ids: DataFrame, kind: str) -> DataFrame:
+    """Semi or anti join of ``frame`` (rows of ``docs``) with the rows that the written table
+    ``ids`` names by doc_id (null-safe) and text_key. Columns of ``docs`` can have any names."""
+    ids = ids.select(F.col("doc_id").alias("right_id"), F.col("text_key").alias("right_key"))
+    return frame.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["right_id"])
+                      & (text_key(docs["text"]) == ids["right_key"]), kind)
+
+
+def keep_marked(docs: DataFrame, report: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the written ``report`` (doc_id, text_key, kept) keeps, with
+    all their columns. Of several kept rows with the same id and text, one stays."""
+    kept = rows_against(docs, docs, report.filter(~F.col("kept")), "left_anti")
+    repeated = report.filter("kept").groupBy("doc_id", "text_key").count().filter("count > 1")
+    if repeated.isEmpty():
+        return kept
+    once = rows_against(docs, kept, repeated, "left_anti")
+    several = rows_against(docs, docs, repeated, "left_semi")
+    return once.unionByName(several.dropDuplicates(["doc_id", "text"]))

@@ -10,7 +10,7 @@ aggregation; the only join that carries it row by row is a plain equi-join of tw
 tables, whose large partitions adaptive execution splits.
 
 Defined cases: a null text counts as empty; null ids rank last; rows that repeat both id and
-text are one document (all are reported, ``keep_rows`` leaves one); an empty batch gives an
+text are one document (all are reported, ``common.keep_marked`` leaves one); an empty batch gives an
 empty report and leaves the index as it was.
 """
 
@@ -22,15 +22,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlens.llm.common import SPACE_RUN, id_and_text
+from assetlens.llm.common import SPACE_RUN, id_and_text, text_key
 from assetlens.session import fresh_dir, materialize
 
 BUCKETS = 64
 
 
 def text_digest(text: Column) -> Column:
-    """SHA-256 (binary) of the text with white-space runs made one space."""
-    return F.unhex(F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_RUN, " "), 256))
+    """SHA-256 (binary) of a non-null text with white-space runs made one space."""
+    return F.unhex(F.sha2(F.regexp_replace(text, SPACE_RUN, " "), 256))
 
 
 class DigestIndex:
@@ -82,10 +82,10 @@ def dedup_batch(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
     One row per row of ``docs``: doc_id, keep_id (the document that stays: the one already
     in the index, else the smallest id of the batch), group_size (rows of this batch with
-    the text), kept, digest.
+    the text), kept, digest, text_key.
     """
-    digests = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                      text_digest(F.col("text")).alias("digest")), "exact-digests")
+    digests = materialize(id_and_text(docs).select("doc_id", text_key(F.col("text")).alias("text_key"),
+                                                   text_digest(F.col("text")).alias("digest")), "exact-digests")
     groups = materialize(digests.groupBy("digest").agg(F.min("doc_id").alias("keep_id"),
                                                        F.count(F.lit(1)).alias("group_size")),
                          "exact-groups")
@@ -95,7 +95,7 @@ def dedup_batch(docs: DataFrame, index: DigestIndex) -> DataFrame:
                           .join(index.read().hint("merge"), "digest"), "exact-decided")
     report = digests.join(decided, "digest")
     return report.select("doc_id", "keep_id", "group_size",
-                         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+                         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest", "text_key")
 
 
 def new_index(spark: SparkSession, buckets: int = BUCKETS) -> DigestIndex:
@@ -103,23 +103,6 @@ def new_index(spark: SparkSession, buckets: int = BUCKETS) -> DigestIndex:
     return DigestIndex(spark, fresh_dir(spark, "digest-index"), buckets)
 
 
-def keep_rows(docs: DataFrame, report: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. ``report`` must be written."""
-    def against(kind: str, frame: DataFrame, ids: DataFrame) -> DataFrame:
-        ids = ids.select(F.col("doc_id").alias("right_id"), F.col("digest").alias("right_digest"))
-        return frame.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["right_id"])
-                          & (text_digest(docs["text"]) == ids["right_digest"]), kind)
-
-    kept = against("left_anti", docs, report.filter(~F.col("kept")))
-    repeated = report.filter("kept").groupBy("doc_id", "digest").count().filter("count > 1")
-    if repeated.isEmpty():
-        return kept
-    # The same id and text on several rows: one of them, chosen among these rows only.
-    once = against("left_anti", kept, repeated)
-    several = against("left_semi", docs, repeated).withColumn("text_digest_once", text_digest(docs["text"]))
-    return once.unionByName(several.dropDuplicates(["doc_id", "text_digest_once"]).drop("text_digest_once"))
-
-
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """Report of a first batch over an empty index, digests as lowercase hex."""
     report = dedup_batch(docs, new_index(docs.sparkSession))

@@ -10,4 +10,64 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM d JOIN g USING (h)
 """
 
-ORACLE = {"op10_digest_index_dedup": OP10}
+OP1 = r"""
+WITH lines AS (
+  SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS unit
+  FROM documents),
+placed AS (
+  SELECT doc_id, unit, line, length(line) AS length,
+         sum(length(line) + 1) OVER (PARTITION BY doc_id, text ORDER BY unit) - length(line) - 1 AS start,
+         trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
+  FROM lines),
+units AS (SELECT * FROM placed WHERE length(norm) - length(replace(norm, ' ', '')) >= 4),
+firsts AS (
+  SELECT norm, min((doc_id, unit)) AS f, count(*) AS copies FROM units GROUP BY norm HAVING count(*) > 1)
+SELECT doc_id, unit::BIGINT AS unit, start::BIGINT AS start, length::BIGINT AS length,
+       f[1]::BIGINT AS first_doc_id, f[2]::BIGINT AS first_unit, copies
+FROM units JOIN firsts USING (norm)
+WHERE NOT (doc_id = f[1] AND unit = f[2])
+"""
+
+OP5 = r"""
+WITH p AS (
+  SELECT page_id, url, (19000 + (page_id * 37) % 400)::INTEGER AS day,
+         lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1)) AS host,
+         regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/[^/?#]+)', 1) AS segment
+  FROM pages),
+hosts AS (
+  SELECT DISTINCT host, segment, regexp_replace(host, '^[^.]+\.', '') AS parent,
+         ascii(substr(host, 3, 1)) * 31 + ascii(substr(host, 5, 1)) * 7 + length(host) AS h
+  FROM p WHERE host <> ''),
+entries AS (
+  SELECT 'hosts' AS list_name, host AS pattern, 'add' AS action, 19000 + h % 200 AS day FROM hosts WHERE h % 3 = 0
+  UNION SELECT 'hosts', host, 'remove', 19000 + h % 200 + 40 FROM hosts WHERE h % 3 = 0 AND h % 2 = 0
+  UNION SELECT 'hosts', host, 'add', 19000 + h % 200 + 90 FROM hosts WHERE h % 3 = 0 AND h % 5 = 0
+  UNION SELECT 'domains', parent, 'add', 19000 + h % 300 FROM hosts WHERE contains(parent, '.') AND h % 7 = 1
+  UNION SELECT 'paths', host || segment, 'add', 19000 FROM hosts
+        WHERE segment <> '' AND (h + length(segment)) % 11 = 0),
+daily AS (SELECT list_name, pattern, day, bool_or(action = 'remove') AS removed FROM entries GROUP BY ALL),
+spans AS (
+  SELECT *, lead(day) OVER (PARTITION BY list_name, pattern ORDER BY day) AS valid_to FROM daily),
+labels_of AS (
+  SELECT DISTINCT page_id, url, day, host, segment, string_split(host, '.') AS l FROM p),
+keys AS (
+  SELECT page_id, url, day, array_to_string(l[i:], '.') AS key
+  FROM (SELECT *, unnest(range(1, greatest(len(l) - 1, 1) + 1)) AS i FROM labels_of WHERE host <> '')
+  UNION SELECT page_id, url, day, host || segment FROM labels_of WHERE host <> '' AND segment <> ''),
+met AS (
+  SELECT k.page_id, k.url, k.day, s.list_name, s.pattern, s.day::INTEGER AS valid_from
+  FROM keys k JOIN spans s ON k.key = s.pattern AND NOT s.removed AND k.day >= s.day
+       AND (s.valid_to IS NULL OR k.day < s.valid_to)),
+best AS (
+  SELECT page_id, url, day, count(DISTINCT (list_name, pattern)) AS matches,
+         max((length(pattern), pattern, list_name, valid_from)) AS b
+  FROM met GROUP BY ALL)
+SELECT p.page_id, p.url, p.day, matches IS NOT NULL AS blocked, coalesce(matches, 0) AS matches,
+       b[3] AS list_name, b[2] AS pattern, b[4] AS valid_from
+FROM (SELECT DISTINCT page_id, url, day FROM p) p
+LEFT JOIN best ON p.page_id IS NOT DISTINCT FROM best.page_id AND p.url IS NOT DISTINCT FROM best.url
+     AND p.day IS NOT DISTINCT FROM best.day
+"""
+
+ORACLE = {"op1_line_dedup": OP1, "op5_temporal_url_filter": OP5, "op10_digest_index_dedup": OP10}

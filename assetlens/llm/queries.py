@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assetlens.llm import exact_dedup, packing, token_files
+from assetlens.llm import (decontamination, exact_dedup, language_id, packing, quality, simhash_dedup,
+                           substring_dedup, token_files, url_filter)
 from assetlens.llm.common import read_table
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -16,10 +18,39 @@ WORD_BPE, WORD_BPE_SIZE = f"{TOKENIZERS}/word_bpe_49k.json", 49_408
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed_units(read_table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op2_simhash_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.with_hex(simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents")))
+
+
+def op3_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filter.evaluate(url_filter.captures_of(pages), url_filter.entries_of(pages))
+
+
 def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_digest(packing.pack_documents(read_table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
+def op7_tiling_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminations(read_table(spark, sf_dir, "documents"),
+                                           read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", F.size("tiles").cast("long").alias("n_tiles"),
+                        F.array_max(F.transform("tiles", lambda t: t["words"])).alias("longest_tile"))
+
+
+def op8_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
 def op9_bit_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_files.write_token_files(read_table(spark, sf_dir, "documents"), WORD_BPE, WORD_BPE_SIZE)
     return token_files.with_digest(token_files.read_token_files(shards))
@@ -30,4 +61,6 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op6_cost_balanced_packing, op9_bit_packed_token_files, op10_digest_index_dedup)}
+    op1_line_dedup, op2_simhash_anchor_dedup, op3_rule_ensemble_quality, op5_temporal_url_filter,
+    op6_cost_balanced_packing, op7_tiling_decontamination, op8_cross_parsing_language,
+    op9_bit_packed_token_files, op10_digest_index_dedup)}
