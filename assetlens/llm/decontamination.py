@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from assetlens.llm.common import id_and_text, text_key, text_slices
 
-MIN_MATCH, COVERAGE = 5, 0.6
+MIN_MATCH, COVERAGE = 5, 0.5
 BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 4 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)

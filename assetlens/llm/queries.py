@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlens.llm import (decontamination, exact_dedup, language_id, packing, quality, simhash_dedup,
-                           substring_dedup, token_files, url_filter)
+                           substring_dedup, suffix_dedup, token_files, url_filter)
 from assetlens.llm.common import read_table
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -30,6 +30,10 @@ def op3_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.with_digest(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op5_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     return url_filter.evaluate(url_filter.captures_of(pages), url_filter.entries_of(pages))
@@ -61,6 +65,7 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_simhash_anchor_dedup, op3_rule_ensemble_quality, op5_temporal_url_filter,
+    op1_line_dedup, op2_simhash_anchor_dedup, op3_rule_ensemble_quality, op4_suffix_run_dedup,
+    op5_temporal_url_filter,
     op6_cost_balanced_packing, op7_tiling_decontamination, op8_cross_parsing_language,
     op9_bit_packed_token_files, op10_digest_index_dedup)}
