@@ -13,7 +13,8 @@ which adds at most one phrase per stretch, to every language alike; no symbol is
 Symbols are lower-case letters; each run of anything else is one space. The training sample
 is bounded: about SAMPLE_DOCS documents a language by hash of the id, EXCERPT characters of
 each, TRAINING_SYMBOLS symbols of a language; the ALPHABET most frequent letters are told
-apart. The tables are therefore bounded too, and so is what is broadcast.
+apart. With many languages each gets fewer symbols, so that all tables together, which are
+broadcast, have TABLE_ENTRIES four-byte entries at most.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and so is every
 text when nothing was learned; ties go to the first language in order of name. The score is
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from assetlens.llm.common import held_out, id_and_text, text_slices
 
 SAMPLE_DOCS, EXCERPT, TRAINING_SYMBOLS, ALPHABET = 64, 4000, 24_000, 200
+TABLE_ENTRIES = 48 << 20
 STRETCH = 4096
 SLICE_BYTES = 4 << 20
 UNKNOWN = "und"
@@ -99,7 +101,7 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
 
 class CrossParser:
     """The automata of all languages in one table: the entry at ``state offset + symbol`` is
-    twice the next state's offset, plus 1 if a phrase ended before the symbol."""
+    twice the next state's offset, plus 1 if a phrase starts with the symbol."""
 
     def __init__(self, texts: dict[str, str]):
         letters = Counter(c for text in texts.values() for c in text.lower() if c.isalpha())
@@ -109,11 +111,13 @@ class CrossParser:
         width = len(self.alphabet) + OTHER + 1
         tables, roots, self.scale = [], [], []
         base = 0
+        most = min(TRAINING_SYMBOLS, TABLE_ENTRIES // (2 * width * max(1, len(texts))))  # 2 states a symbol at most
         for language in self.languages:
-            symbols = self.symbols.of(texts[language])[:TRAINING_SYMBOLS]
+            symbols = self.symbols.of(texts[language])[:most]
             own = suffix_automaton(symbols.tolist(), width).astype(np.int64)
             restart = np.where(own[0] < 0, 0, own[0])
             step = np.where(own < 0, 2 * (restart * width + base) + 1, 2 * (own * width + base))
+            step[0] |= 1  # whatever follows the root starts a phrase
             tables.append(step.astype(np.int32).ravel())
             roots.append(base)
             base += own.size
@@ -143,7 +147,7 @@ class CrossParser:
         order = np.argsort(-size, kind="stable")  # the stretches still running are a prefix
         doc, size, at = doc[order], size[order], (first[doc] + nth * STRETCH)[order]
         state = np.repeat(self.roots[:, None], len(doc), 1)
-        phrases = np.ones((len(self.languages), len(doc)), np.int32)  # the one that is open at the end
+        phrases = np.zeros((len(self.languages), len(doc)), np.int32)
         running = np.searchsorted(-size, -np.arange(STRETCH), "left") if len(doc) else []
         for t in range(int(size[0]) if len(size) else 0):
             n = running[t]
