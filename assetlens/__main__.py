@@ -3,6 +3,7 @@
     python -m assetlens batch  --feed /feeds/catalog --out /lake/assets
     python -m assetlens stream --feed /feeds/catalog --out /lake/assets [--once]
     python -m assetlens stream --kafka-servers host:9092 --topics 'srv.public.*' --out /lake/assets
+    python -m assetlens stream ... --snapshot /exports/catalog   (envelope files of the snapshot, read first)
 
 Submit it with ``spark-submit`` on a cluster; ``spark.checkpoint.dir`` must name a
 shared folder (the work folder of every job).
@@ -11,11 +12,13 @@ shared folder (the work folder of every job).
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
 
 from assetlens.plans.batch import compute_assets_from_feed
 from assetlens.schemas import RESULT_TABLES, to_result_schema
+from assetlens.session import BASE_CONF
 from assetlens.sources import changelog
 from assetlens.streaming import job
 
@@ -29,14 +32,24 @@ def run_batch(spark: SparkSession, feed: str, out: str) -> None:
         schema, _ = RESULT_TABLES[name]
         to_result_schema(df, schema).write.mode("errorifexists").parquet(f"{out}/{name}")
     r.quarantine.write.mode("errorifexists").parquet(f"{out}/quarantine")
+    r.rejects.write.mode("errorifexists").parquet(f"{out}/rejects")
 
 
 def run_stream(spark: SparkSession, out: str, feed: str | None, kafka: dict | None,
-               once: bool) -> None:
+               once: bool, snapshot: str | None = None, jdbc: dict | None = None) -> None:
     stream = changelog.read_change_stream(spark, path=feed, kafka=kafka)
+    if snapshot:
+        # One query over both sources; positions order the snapshot below the later log.
+        stream = changelog.read_change_stream(spark, path=snapshot).unionByName(stream)
     trigger = {"availableNow": True} if once else None
-    query = job.start(stream, base=out, checkpoint=f"{out}/_checkpoint", trigger=trigger)
-    query.awaitTermination()
+    checkpoint = f"{out}/_checkpoint"
+    queries = [job.start(stream, base=out, checkpoint=checkpoint, trigger=trigger, jdbc=jdbc),
+               job.start_quarantine(stream, base=out, checkpoint=checkpoint, trigger=trigger)]
+    if once:
+        for query in queries:
+            query.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -45,10 +58,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--out", required=True, help="folder of the result tables")
     p.add_argument("--feed", help="folder of JSON envelope files")
     p.add_argument("--kafka-servers", help="Kafka bootstrap servers (stream mode)")
-    p.add_argument("--topics", help="Kafka topic pattern (stream mode)")
+    p.add_argument("--topics", help="Kafka topic pattern (stream mode; required with --kafka-servers)")
+    p.add_argument("--snapshot", help="folder of snapshot envelope files, read ahead of the log (stream mode)")
+    p.add_argument("--jdbc-url", help="also upsert the result tables into this PostgreSQL database (stream mode)")
+    p.add_argument("--jdbc-user"), p.add_argument("--jdbc-password-env", help="environment variable of the password")
     p.add_argument("--once", action="store_true", help="stream: process what is there, then stop")
     a = p.parse_args(argv)
-    spark = spark or SparkSession.builder.appName("assetlens").getOrCreate()
+    if spark is None:
+        builder = SparkSession.builder.appName("assetlens")
+        for key, value in BASE_CONF.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
     if a.mode == "batch":
         if not a.feed:
             p.error("batch needs --feed")
@@ -56,10 +76,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         return
     kafka = None
     if a.kafka_servers:
-        kafka = {"kafka.bootstrap.servers": a.kafka_servers, "subscribePattern": a.topics or ".*"}
+        if not a.topics:
+            p.error("--kafka-servers needs --topics")
+        kafka = {"kafka.bootstrap.servers": a.kafka_servers, "subscribePattern": a.topics}
     elif not a.feed:
         p.error("stream needs --feed or --kafka-servers")
-    run_stream(spark, a.out, a.feed, kafka, a.once)
+    jdbc = None
+    if a.jdbc_url:
+        jdbc = {"url": a.jdbc_url, "properties": {"user": a.jdbc_user or "", "driver": "org.postgresql.Driver",
+                                                  "password": os.environ.get(a.jdbc_password_env or "", "")}}
+    run_stream(spark, a.out, a.feed, kafka, a.once, a.snapshot, jdbc)
 
 
 if __name__ == "__main__":

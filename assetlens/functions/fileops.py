@@ -2,8 +2,10 @@
 
 A commit row of ``data_commit_info`` carries ``file_ops``, an array of base64 text.
 Each element decodes to ``(path,action,size,"col,col")``. Everything here is a
-JVM-side expression (``transform`` / ``filter`` / ``aggregate`` over the array), so a
-commit is folded inside whole-stage codegen without an explode or a shuffle.
+JVM-side expression (``transform`` / ``aggregate`` over the array), so a commit is folded
+in its own row without an explode, a shuffle or Python. Lambdas over arrays are
+interpreted, not compiled, and do not share subexpressions: each text is decoded in one
+``transform`` and read in the next.
 """
 
 from __future__ import annotations
@@ -47,12 +49,11 @@ def action_and_size(file_ops: Column) -> Column:
     ``action`` is '' when the text does not match (group 2 of a match is never
     empty), ``size`` null when it is not a number.
     """
-    def one(x: Column) -> Column:
-        text = decode_base64_text(x)
+    def one(text: Column) -> Column:
         return F.struct(
             F.coalesce(F.regexp_extract(text, FILE_OP_PATTERN, 2), F.lit("")).alias("action"),
             F.regexp_extract(text, FILE_OP_PATTERN, 3).try_cast("bigint").alias("size"))
-    return F.transform(file_ops, one)
+    return F.transform(F.transform(file_ops, decode_base64_text), one)
 
 
 def fold_file_stats(ops: Column) -> Column:

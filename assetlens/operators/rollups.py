@@ -20,10 +20,18 @@ from assetlens.operators.facts import not_delete
 MEASURES = ("table_counts", "partition_counts", "file_counts", "file_total_size")
 
 
-def live_measures(assets: DataFrame, key: str) -> DataFrame:
-    """Totals over live tables (P9), grouped by ``key``."""
-    return (assets.where(not_delete(F.col("op")))
-            .groupBy(key)
+LEVELS = ("namespace", "domain", "creator")
+
+
+def live_measures_by_level(assets: DataFrame) -> DataFrame:
+    """Totals over live tables (P9) for all three groupings in one pass: each live table
+    becomes one row per level, and one aggregate keyed by (level, group_key) sums them."""
+    groups = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.col(level).alias("group_key"))
+                                 for level in LEVELS]))
+    rows = assets.where(not_delete(F.col("op"))).select(
+        groups.alias("g"), "partition_counts", "file_counts", "file_total_size")
+    return (rows.select("g.*", "partition_counts", "file_counts", "file_total_size")
+            .where(F.col("group_key").isNotNull()).groupBy("level", "group_key")
             .agg(F.count(F.lit(1)).cast("bigint").alias("table_counts"),
                  F.sum("partition_counts").cast("bigint").alias("partition_counts"),
                  F.sum("file_counts").cast("bigint").alias("file_counts"),
@@ -37,39 +45,27 @@ def complete_history(groups: DataFrame, assets: DataFrame) -> DataFrame:
 
 def _with_zero_rows(keys: DataFrame, live: DataFrame, key: str, extra: tuple = ()) -> DataFrame:
     """Every historical group, its live totals or zeros."""
-    return keys.join(live, key, "left").select(
+    own = live.where(F.col("level") == F.lit(key)).select(F.col("group_key").alias(key), *MEASURES)
+    return keys.join(own, key, "left").select(
         key, *extra, *[F.coalesce(F.col(m), F.lit(0).cast("bigint")).alias(m) for m in MEASURES])
 
 
-def group_level_assets(assets: DataFrame, groups: DataFrame, key: str,
-                       history_is_complete: bool = False) -> DataFrame:
+def group_level_assets(live: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """R1 / R2 (key ``namespace`` / ``domain``): (key, table_counts, partition_counts,
-    file_counts, file_total_size). ``history_is_complete``: ``groups`` is already
-    restricted to complete tables."""
-    hist = groups if history_is_complete else complete_history(groups, assets)
-    keys = hist.select(key).where(F.col(key).isNotNull()).distinct()
-    return _with_zero_rows(keys, live_measures(assets, key), key)
+    file_counts, file_total_size), from ``live_measures_by_level`` and the history of
+    complete tables. A table without a group (null) is in no rollup of that level."""
+    keys = history.select(key).where(F.col(key).isNotNull()).distinct()
+    return _with_zero_rows(keys, live, key)
 
 
-def namespace_level_assets(assets: DataFrame, groups: DataFrame) -> DataFrame:
-    return group_level_assets(assets, groups, "namespace")
-
-
-def domain_level_assets(assets: DataFrame, groups: DataFrame) -> DataFrame:
-    return group_level_assets(assets, groups, "domain")
-
-
-def user_level_assets(assets: DataFrame, groups: DataFrame,
-                      history_is_complete: bool = False) -> DataFrame:
+def user_level_assets(live: DataFrame, history: DataFrame) -> DataFrame:
     """R3 with R4, R5: (creator, domain_counts, namespace_counts, table_counts,
     partition_counts, file_counts, file_total_size)."""
     # Two distinct counts: Catalyst expands the rows per distinct column and
     # aggregates (creator, value) pairs first, each with partial aggregation, so a
     # creator with a huge history never becomes one distinct set in one task.
-    hist = groups if history_is_complete else complete_history(groups, assets)
-    keys = (hist.where(F.col("creator").isNotNull())
+    keys = (history.where(F.col("creator").isNotNull())
             .groupBy("creator")
             .agg(F.count_distinct("domain").cast("bigint").alias("domain_counts"),
                  F.count_distinct("namespace").cast("bigint").alias("namespace_counts")))
-    return _with_zero_rows(keys, live_measures(assets, "creator"), "creator",
-                           extra=("domain_counts", "namespace_counts"))
+    return _with_zero_rows(keys, live, "creator", extra=("domain_counts", "namespace_counts"))

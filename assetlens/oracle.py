@@ -10,18 +10,20 @@ from __future__ import annotations
 FX_TABLE_INFO = """
 fx_table_info as (
   select concat('table_', cast(c_custkey as varchar)) as table_id, c_name as table_name,
-    case when k >= 1 and c_custkey % 21 = 0 then 'ns_MOVED' else concat('ns_', c_mktsegment) end as table_namespace,
+    case when k = 3 then 'ns_MOVED2' when k >= 1 and c_custkey % 21 = 0 then 'ns_MOVED'
+      else concat('ns_', c_mktsegment) end as table_namespace,
     concat('domain_', cast(c_nationkey as varchar)) as domain,
     concat('user_', cast(c_custkey % 40 as varchar)) as creator,
-    op as commit_op, c_custkey * 4 + k as seq
+    op as commit_op, c_custkey * 13 * (1 + k) + k as seq
   from (select *, 0 as k, 'create' as op from customer
         union all select *, 1 as k, 'update' as op from customer where c_custkey % 7 = 0
-        union all select *, 2 as k, 'delete' as op from customer where c_custkey % 11 = 0) c)"""
+        union all select *, 2 as k, 'delete' as op from customer where c_custkey % 11 = 0
+        union all select *, 3 as k, 'update' as op from customer where c_custkey % 35 = 0) c)"""
 
 FX_PARTITION_INFO = """
 fx_partition_info as (
   select concat('table_', cast(o_custkey as varchar)) as table_id,
-    concat('year=', cast(year(o_orderdate) as varchar)) as partition_desc,
+    case when o_orderkey % 97 <> 0 then concat('year=', cast(year(o_orderdate) as varchar)) end as partition_desc,
     case when o_orderkey % 5 = 0 then 'delete' when o_orderkey % 3 = 0 then 'update' else 'create' end as commit_op,
     o_orderkey as seq
   from orders)"""
@@ -29,20 +31,24 @@ fx_partition_info as (
 FX_FILE_OPS = """
 fx_file_ops as (
   select l_orderkey,
+    case when l_linenumber = 1 and l_orderkey % 101 = 0 then 'broken' else
     concat('(s3://b/', cast(l_orderkey as varchar), '/', cast(l_linenumber as varchar), '.parquet,',
       case when l_returnflag = 'R' then 'del' else 'add' end, ',',
-      cast(cast(floor(l_extendedprice) as bigint) as varchar), ',"c1,c2")') as file_op
+      case when l_linenumber = 1 and l_orderkey % 107 = 0 then 'none'
+        else cast(cast(floor(l_extendedprice) as bigint) as varchar) end, ',"c1,c2")') end as file_op
   from lineitem)"""
 
 FX_FILE_STATS = """
 fx_file_stats as (
   select l_orderkey,
     cast(sum(case when action = 'add' then 1 else 0 end) as bigint) as file_count,
-    cast(sum(case when action = 'add' then size else 0 end) as bigint) as file_bytes
+    cast(sum(case when action = 'add' then coalesce(size, 0) else 0 end) as bigint) as file_bytes,
+    case when bool_or(action = '') then 'unparsed_file_op'
+      when bool_or(action = 'add' and size is null) then 'bad_file_size' end as problem
   from (
     select l_orderkey,
       regexp_extract(file_op, '[(]([^,]+),([^,]+),([^,]+),"([^"]+)"[)]', 2) as action,
-      cast(regexp_extract(file_op, '[(]([^,]+),([^,]+),([^,]+),"([^"]+)"[)]', 3) as bigint) as size
+      try_cast(regexp_extract(file_op, '[(]([^,]+),([^,]+),([^,]+),"([^"]+)"[)]', 3) as bigint) as size
     from fx_file_ops) p
   group by l_orderkey)"""
 
@@ -52,7 +58,9 @@ fx_commit as (
     cast(o_orderkey as varchar) as commit_id, o_orderkey as seq,
     o_orderstatus <> 'P' as committed,
     case when o_orderkey % 13 = 0 then 'delete' else 'create' end as commit_op,
-    file_count, file_bytes
+    case when o_orderkey % 103 = 0 then 0 else file_count end as file_count,
+    case when o_orderkey % 103 = 0 then 0 else file_bytes end as file_bytes,
+    case when o_orderkey % 103 = 0 then 'missing_file_ops' else problem end as problem
   from orders join fx_file_stats g on l_orderkey = o_orderkey)"""
 
 TI = """
@@ -80,7 +88,7 @@ dc as (
   select table_id,
     cast(sum(case when commit_op = 'delete' then -file_count else file_count end) as bigint) as file_counts,
     cast(sum(case when commit_op = 'delete' then -file_bytes else file_bytes end) as bigint) as file_total_size
-  from fx_commit where commit_op = 'delete' or committed group by table_id)"""
+  from fx_commit where problem is null and (commit_op = 'delete' or committed) group by table_id)"""
 
 TA = """
 fx_table_assets as (
@@ -157,6 +165,39 @@ PATTERN = """'[(]([^,]+),([^,]+),([^,]+),"([^"]+)"[)]'"""
 CUT = "(select (min(o_orderkey) + max(o_orderkey)) // 2 from orders)"
 
 
+REJECTS = """
+select case c_custkey % 50 when 1 then 'bad_json' when 2 then 'no_position' when 3 then 'no_operation'
+    else 'no_table_id' end as problem,
+  case when c_custkey % 50 <> 1 then 'table_info' end as table_name,
+  case c_custkey % 50 when 1 then null when 3 then 'truncate' else 'create' end as commit_op,
+  case when c_custkey % 50 in (3, 4) then cast(c_custkey * 13 + 5 as bigint) end as seq,
+  case when c_custkey % 50 in (2, 3) then concat('table_', cast(c_custkey as varchar)) end as table_id,
+  case when c_custkey % 50 = 1 then concat('{"commitOp":"create","tableName":"table_info","after":{"table_id":"table_',
+    cast(c_custkey as varchar)) end as raw
+from customer where c_custkey % 50 between 1 and 4"""
+
+
+def frozen_assets_sql() -> str:
+    """Attributes as the first half of the log left them, where it had the table;
+    measures of the whole log."""
+    early = ["early_" + cte.strip().replace("from fx_table_info", f"from fx_table_info where seq <= {CUT}")
+             .replace("from fx_partition_info where", f"from fx_partition_info where seq <= {CUT} and")
+             .replace("from fx_commit where", f"from fx_commit where seq <= {CUT} and") for cte in (TI, PC, DC)]
+    early.insert(1, "early_" + PL.strip().replace(
+        "from fx_partition_info where", f"from fx_partition_info where seq <= {CUT} and"))
+    early[2] = early[2].replace("from pl ", "from early_pl ")
+    return with_ctes("," + ",".join(early) + """,
+first as (select early_ti.* from early_ti join early_pc on early_ti.table_id = early_pc.table_id
+  join early_dc on early_ti.table_id = early_dc.table_id)
+select a.table_id, case when f.table_id is null then a.table_name else f.table_name end as table_name,
+  case when f.table_id is null then a.domain else f.domain end as domain,
+  case when f.table_id is null then a.creator else f.creator end as creator,
+  case when f.table_id is null then a.namespace else f.namespace end as namespace,
+  cast(a.partition_counts as integer) as partition_counts, cast(a.file_counts as integer) as file_counts,
+  a.file_total_size
+from fx_table_assets a left join first f on a.table_id = f.table_id""")
+
+
 def oracle_sql() -> dict[str, str]:
     sides = ("case when commit_op = 'delete' then table_id end as before_table_id, "
              "case when commit_op <> 'delete' then table_id end as after_table_id")
@@ -167,9 +208,9 @@ def oracle_sql() -> dict[str, str]:
             f"regexp_matches(file_op, {PATTERN}) as matched, "
             f"regexp_extract(file_op, {PATTERN}, 1) as path, "
             f"regexp_extract(file_op, {PATTERN}, 2) as action, "
-            f"cast(regexp_extract(file_op, {PATTERN}, 3) as bigint) as size, "
+            f"try_cast(regexp_extract(file_op, {PATTERN}, 3) as bigint) as size, "
             f"regexp_extract(file_op, {PATTERN}, 4) as columns "
-            "from fx_file_ops where l_orderkey in (select o_orderkey from orders)"),
+            "from fx_file_ops where l_orderkey in (select o_orderkey from orders where o_orderkey % 103 <> 0)"),
         "commit_file_stats": with_ctes(
             "select table_id, commit_id, committed, commit_op, seq, file_count, file_bytes from fx_commit"),
         "commit_totals": with_ctes("select table_id, file_counts, file_total_size from dc"),
@@ -188,7 +229,7 @@ def oracle_sql() -> dict[str, str]:
             f"select 'table_info' as table_name, commit_op, seq, {sides}, "
             "cast(null as bigint) as file_op_count from fx_table_info "
             f"union all select 'partition_info', commit_op, seq, {sides}, cast(null as bigint) from fx_partition_info "
-            f"union all select 'data_commit_info', commit_op, seq, {sides}, n "
+            f"union all select 'data_commit_info', commit_op, seq, {sides}, case when seq % 103 <> 0 then n end "
             "from fx_commit join fx_line_counts on cast(l_orderkey as varchar) = commit_id "
             "union all select 'namespace', 'create', cast(-1 - n_nationkey as bigint), "
             "cast(null as varchar), cast(null as varchar), cast(null as bigint) from nation"),
@@ -207,11 +248,23 @@ def oracle_sql() -> dict[str, str]:
             "select 'partition_info', commit_op, seq, table_id",
             "select 'data_commit_info', commit_op, seq, table_id")),
         "snapshot_bootstrap": with_ctes(
-            f", snap as (select table_id, partition_desc, max_by(commit_op, seq) as op from fx_partition_info "
-            f"where seq <= {CUT} and partition_desc is not null group by table_id, partition_desc)\n"
-            f"select table_id, partition_desc, 'read' as commit_op, cast({CUT} as bigint) as seq "
-            "from snap where op <> 'delete' "
-            f"union all select table_id, partition_desc, commit_op, seq from fx_partition_info where seq > {CUT}"),
+            f", cut as (select {CUT} as c), snap as ("
+            "select table_id, partition_desc, max_by(commit_op, seq) as op from fx_partition_info, cut "
+            "where seq <= c and partition_desc is not null group by table_id, partition_desc), "
+            "tsnap as (select table_id, max_by(table_namespace, seq) filter (where commit_op <> 'delete') as ns, "
+            "max_by(commit_op, seq) as op from fx_table_info, cut where seq <= c group by table_id), "
+            "csnap as (select * from fx_commit, cut where seq <= c and commit_op <> 'delete')\n"
+            "select 'partition_info' as table_name, table_id, partition_desc as detail, 'read' as commit_op, "
+            "cast(c as bigint) as seq from snap, cut where op <> 'delete' "
+            "union all select 'table_info', table_id, ns, 'read', cast(c as bigint) from tsnap, cut where op <> 'delete' "
+            "union all select 'data_commit_info', table_id, commit_id, 'read', cast(c as bigint) from csnap "
+            "union all select 'partition_info', table_id, partition_desc, commit_op, seq from fx_partition_info, cut where seq > c "
+            "union all select 'table_info', table_id, table_namespace, commit_op, seq from fx_table_info, cut where seq > c "
+            "union all select 'data_commit_info', table_id, commit_id, commit_op, seq from fx_commit, cut where seq > c"),
+        "commit_quarantine": with_ctes(
+            "select table_id, commit_id, commit_op, seq, problem from fx_commit where problem is not null"),
+        "envelope_rejects": REJECTS,
+        "upsert_frozen_table_assets": frozen_assets_sql(),
     }
     for name in ("table_level_assets", "namespace_level_assets", "domain_level_assets",
                  "user_level_assets"):

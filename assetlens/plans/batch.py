@@ -24,6 +24,7 @@ class AssetResults:
     domain_assets: DataFrame      # R2
     user_assets: DataFrame        # R3
     quarantine: DataFrame         # commits that could not be counted
+    rejects: DataFrame | None = None  # envelopes that could not be used (feeds only)
 
 
 @dataclass
@@ -55,9 +56,12 @@ def assets_from_compacted(c: Compacted) -> DataFrame:
 
 
 def rollups_from(assets: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return (rollups.namespace_level_assets(assets, groups),
-            rollups.domain_level_assets(assets, groups),
-            rollups.user_level_assets(assets, groups))
+    """The three rollups from one pass over the assets and one over the history."""
+    hist = materialize(rollups.complete_history(groups, assets), "group-history")
+    live = materialize(rollups.live_measures_by_level(assets), "group-measures")
+    return (rollups.group_level_assets(live, hist, "namespace"),
+            rollups.group_level_assets(live, hist, "domain"),
+            rollups.user_level_assets(live, hist))
 
 
 def compute_assets(table_info: DataFrame, partitions: DataFrame, commits: DataFrame,
@@ -80,23 +84,23 @@ def compute_assets(table_info: DataFrame, partitions: DataFrame, commits: DataFr
     return AssetResults(assets, ns, dom, user, quarantined)
 
 
-def compute_assets_from_feed(decoded: DataFrame, keep: bool = True) -> AssetResults:
+def compute_assets_from_feed(decoded: DataFrame, dedupe_commits: bool = False, qualify_ids: bool = False,
+                             at_least_once: bool = False) -> AssetResults:
     """Batch run over a decoded change feed (envelopes of all catalog tables).
 
-    The feed is scanned and parsed **once**: the routed logs and the uncountable
-    commits are tagged and compacted by one aggregate with map-side partial
-    aggregation (``plans.compaction``), instead of one scan per routed table. With
-    ``keep`` the compacted rows (one per table, partition and bad commit change) and
-    the table-level assets are written once to the shared work folder.
+    The feed is scanned and parsed **once** into narrow tagged rows, written to the shared
+    work folder by kind; compactions, quarantine and rollups read those. The options:
+    ``dedupe_commits`` (D5), ``qualify_ids`` (D15), and ``at_least_once`` for feeds that
+    repeat changes (a log position then counts once).
     """
-    from assetlens.plans.compaction import (compaction_agg, quarantined, split_compacted,
-                                            tagged_changes)
-    state = compaction_agg(tagged_changes(decoded))
-    if keep:
-        state = materialize(state, "compacted-feed")
-    c = split_compacted(state)
-    assets = assets_from_compacted(c)
-    if keep:
-        assets = materialize(assets, "table-assets")
+    from assetlens.plans.compaction import compact_tagged, quarantined, tagged_changes
+    from assetlens.sources.envelope import rejected
+    tagged = tagged_changes(decoded, qualify_ids)
+    if at_least_once:
+        tagged = tagged.dropDuplicates(["kind", "table_id", "sub_key", "seq"])
+    tagged = materialize(tagged, "tagged-feed", partition_by="kind")
+    c = compact_tagged(tagged, dedupe_commits)
+    c.table_info = materialize(c.table_info, "compacted-table-info")
+    assets = materialize(assets_from_compacted(c), "table-assets")
     ns, dom, user = rollups_from(assets, facts.table_groups(c.table_info))
-    return AssetResults(assets, ns, dom, user, quarantined(state))
+    return AssetResults(assets, ns, dom, user, quarantined(tagged), rejected(decoded))

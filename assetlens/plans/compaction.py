@@ -1,20 +1,20 @@
-"""One-pass compaction of the whole change feed (batch and streaming).
+"""Compaction of the whole change feed (batch and streaming).
 
-The three routed change logs, plus the commits that cannot be counted, are tagged
-and unioned into one frame, and **one** aggregate keyed by ``(kind, table_id,
-sub_key)`` compacts them:
+The feed is parsed once and each change becomes one narrow tagged row (a projection, not
+a union of filtered branches, which Spark would scan once each). In streaming **one**
+aggregate keyed by ``(kind, table_id, sub_key)`` compacts the tagged rows, since Spark
+allows a single stateful aggregate per update-mode query:
 
 * kind ``t`` (``table_info``): last op, attributes of the last non-delete change,
   set of (namespace, domain, creator) ever held outside deletes (J0);
 * kind ``p`` (``partition_info``): last op per ``sub_key = partition_desc`` (A3, inner half);
 * kind ``c`` (``data_commit_info``): signed running file count and byte total (A2);
-* kind ``q``: one row per commit change that cannot be counted, with the reason.
+* kind ``q``: a commit change that cannot be counted, with the reason; it never enters the
+  state.
 
-In batch this is one scan (one JSON parse) and one shuffle of the feed, with map-side
-partial aggregation, instead of one scan per routed table: the tagging is a single
-projection, not a union of filtered branches (which Spark would scan once each). In streaming it is the
-single stateful aggregate Spark allows per update-mode query. The finish functions of
-``plans.batch`` then run on the compacted rows.
+In batch the tagged rows are written once, partitioned by kind, and each kind has its own
+aggregate (``operators.facts``): the two large ones, partitions and commits, then have
+fixed-width buffers and run as hash aggregates with map-side partial aggregation.
 """
 
 from __future__ import annotations
@@ -38,15 +38,12 @@ COMPACTED = T.StructType([
     T.StructField("op", _S), T.StructField("attrs", ATTRS),
     T.StructField("groups", T.ArrayType(GROUP)),
     T.StructField("file_counts", T.LongType()), T.StructField("file_total_size", T.LongType()),
-    T.StructField("problem", _S), T.StructField("seq", T.LongType()),
+    T.StructField("seq", T.LongType()),
 ])
 KEYS = ["kind", "table_id", "sub_key"]
-QUARANTINE = T.StructType([
-    T.StructField("table_id", _S), T.StructField("commit_id", _S), T.StructField("commit_op", _S),
-    T.StructField("seq", T.LongType()), T.StructField("problem", _S)])
 
 
-def tagged_changes(decoded: DataFrame) -> DataFrame:
+def tagged_changes(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
     """The three routed logs and the uncountable commits as one tagged frame.
 
     One projection over the decoded feed, not a union of one filtered branch per table:
@@ -55,7 +52,7 @@ def tagged_changes(decoded: DataFrame) -> DataFrame:
     """
     img = F.col("img")
     src = F.col("source")
-    changes = (catalog_changes(decoded).withColumnRenamed("table_name", "source")
+    changes = (catalog_changes(decoded, qualify_ids).withColumnRenamed("table_name", "source")
                .where(~((src == PARTITION_INFO) & img["partition_desc"].isNull())))
     rows = changes.select(
         "source", "commit_op", "seq", img["table_id"].alias("table_id"),
@@ -73,14 +70,10 @@ def tagged_changes(decoded: DataFrame) -> DataFrame:
     k = F.col("kind")
     only = lambda name, c: F.when(k == F.lit(name), c)
     # Changes the A2 rule ignores carry null deltas; a key whose sums stay null has no
-    # counted change and is dropped when the state is split (no J2 match). A bad
-    # commit change is keyed by its log position, then the commit id.
+    # counted change and is dropped when the state is split (no J2 match).
     return tagged.select(
-        k, "table_id",
-        F.when(k == "p", F.col("partition_desc"))
-        .when(k == "q", F.concat(F.col("seq").cast("string"), F.lit("@"), F.col("commit_id")))
-        .otherwise(F.lit("")).alias("sub_key"),
-        "commit_op", "seq",
+        k, "table_id", F.when(k == "p", F.col("partition_desc")).otherwise(F.lit("")).alias("sub_key"),
+        "commit_op", "seq", "commit_id",
         *[only("t", F.col(a)).alias(a) for a in facts.ATTRS],
         only("c", F.col("__d_files")).alias("d_files"),
         only("c", F.col("__d_bytes")).alias("d_bytes"),
@@ -88,17 +81,19 @@ def tagged_changes(decoded: DataFrame) -> DataFrame:
 
 
 def compaction_agg(tagged: DataFrame) -> DataFrame:
-    """The single aggregate: J0, A3 (inner half), A2 and the quarantine in one operator."""
+    """The single streaming aggregate: J0, A3 (inner half) and A2 in one operator."""
     is_live = F.col("commit_op") != F.lit(OP_DELETE)
     group = F.struct(F.col("table_namespace").alias("namespace"), "domain", "creator")
     attrs = F.struct(*[F.col(a) for a in facts.ATTRS])
+    # A commit that cannot be counted has null deltas and joins its table's commit row: it
+    # leaves no state, and no filter is pushed below the fold that finds it.
+    tagged = tagged.withColumn("kind", F.when(F.col("kind") == "q", F.lit("c")).otherwise(F.col("kind")))
     return tagged.groupBy(*KEYS).agg(
         F.max_by(F.col("commit_op"), F.col("seq")).alias("op"),
         F.max_by(attrs, F.when(is_live, F.col("seq"))).alias("attrs"),
         F.collect_set(F.when((F.col("kind") == "t") & is_live, group)).alias("groups"),
         F.sum("d_files").alias("file_counts"),
         F.sum("d_bytes").alias("file_total_size"),
-        F.max_by(F.col("problem"), F.col("seq")).alias("problem"),
         F.max("seq").alias("seq"))
 
 
@@ -113,8 +108,22 @@ def split_compacted(state: DataFrame) -> Compacted:
         .select("table_id", "file_counts", "file_total_size"))
 
 
-def quarantined(state: DataFrame) -> DataFrame:
-    """The uncountable commit changes held in the compacted rows."""
-    return state.where(F.col("kind") == "q").select(
-        "table_id", F.expr("substr(sub_key, instr(sub_key, '@') + 1)").alias("commit_id"),
-        F.col("op").alias("commit_op"), "seq", "problem")
+def compact_tagged(tagged: DataFrame, dedupe_commits: bool = False) -> Compacted:
+    """Batch: the tagged rows (a written table) compacted by one aggregate per kind. With
+    ``dedupe_commits`` only the last change of each commit id counts (D5): a deleted
+    commit then counts nothing."""
+    of = lambda kind: tagged.where(F.col("kind") == kind)
+    commits = of("c")
+    if dedupe_commits:
+        commits = (commits.groupBy("table_id", "commit_id")
+                   .agg(F.max_by(F.struct("commit_op", "d_files", "d_bytes"), F.col("seq")).alias("c"))
+                   .select("table_id", "c.*").where(F.col("commit_op") != F.lit(OP_DELETE)))
+    return Compacted(
+        table_info=facts.compact_table_info(of("t")),
+        partitions=facts.compact_partitions(of("p").withColumnRenamed("sub_key", "partition_desc")),
+        totals=facts.commit_totals(commits))
+
+
+def quarantined(tagged: DataFrame) -> DataFrame:
+    """Commit changes that cannot be counted, one row per change."""
+    return tagged.where(F.col("kind") == "q").select("table_id", "commit_id", "commit_op", "seq", "problem")

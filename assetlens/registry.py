@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from assetlens.operators import facts
 from assetlens.plans import batch
-from assetlens.schemas import PARTITION_INFO
+from assetlens.schemas import DATA_COMMIT_INFO, PARTITION_INFO, TABLE_INFO
 from assetlens.session import fresh_dir
 from assetlens.sources import changelog, envelope
 from assetlens.functions.fileops import decode_base64_text, parse_file_op
@@ -113,8 +113,8 @@ def _size_or_null(arr):
 
 
 def q_envelope_decode(spark, sf_dir):
-    """S3 + S4: every envelope of the feed decoded (all tables, before routing)."""
-    d = changelog.read_changes(spark, _envelope_feed(spark, sf_dir))
+    """S3 + S4: every usable envelope of the feed decoded (all tables, before routing)."""
+    d = envelope.usable(changelog.read_changes(spark, _envelope_feed(spark, sf_dir)))
     return d.select("table_name", "commit_op", "seq",
                     F.col("before.table_id").alias("before_table_id"),
                     F.col("after.table_id").alias("after_table_id"),
@@ -160,7 +160,7 @@ def q_cdc_scan(spark, sf_dir):
     stream = changelog.read_change_stream(spark, f"{feed}/*",
                                           max_files_per_trigger=FILES_PER_PART)
     out = fresh_dir(spark, "cdc_scan")
-    q = (envelope.with_row_image(stream)
+    q = (envelope.catalog_changes(stream)
          .select("table_name", "commit_op", "seq", F.col("img.table_id").alias("table_id"))
          .writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", f"{out}-checkpoint")
@@ -185,32 +185,51 @@ def orders_mid(spark, sf_dir) -> int:
 
 
 def q_snapshot_bootstrap(spark, sf_dir):
-    """S2 on ``partition_info``: the catalog table as it stood at the snapshot position
-    (exported as files), read as ``read`` changes ahead of the later log."""
+    """The three catalog tables as they stood at the snapshot position (exported as
+    files), read as ``read`` changes ahead of the later log; routed rows of all three."""
     cut = orders_mid(spark, sf_dir)
-    log = fx.fx_partition_info(spark, sf_dir)
-    state = (facts.compact_partitions(log.where(F.col("seq") <= cut))
-             .where(~F.col("deleted")).select("table_id", "partition_desc"))
-    export = fresh_dir(spark, "snapshot-partition_info")
-    state.write.parquet(export)
-    snap_rows = changelog.read_snapshot_files(spark, export)
-    image = {"table_id": F.col("table_id"), "partition_desc": F.col("partition_desc")}
-    snap = changelog.snapshot_envelopes(snap_rows, PARTITION_INFO, image, cut)
-    feed = changelog.bootstrap(snap, fx.partition_envelopes(log), cut)
+    ti, pi, ci = _logs(spark, sf_dir)
+    before = F.col("seq") <= cut
+    state = {
+        TABLE_INFO: facts.compact_table_info(ti.where(before)).where(facts.not_delete(F.col("op")))
+        .select("table_id", "attrs.*"),
+        PARTITION_INFO: facts.compact_partitions(pi.where(before)).where(~F.col("deleted"))
+        .select("table_id", "partition_desc"),
+        DATA_COMMIT_INFO: ci.where(before & facts.not_delete(F.col("commit_op")))
+        .select("table_id", "commit_id", "file_ops", "committed"),
+    }
+    snapshots = {}
+    for name, rows in state.items():
+        export = fresh_dir(spark, f"snapshot-{name}")
+        rows.write.parquet(export)
+        snapshots[name] = changelog.read_snapshot_files(spark, export)
+    log = fx.table_info_envelopes(ti).unionByName(fx.partition_envelopes(pi)).unionByName(fx.commit_envelopes(ci))
     path = fresh_dir(spark, "feed")
-    changelog.write_feed(feed, path)
-    return envelope.route_all(changelog.read_changes(spark, path))[1]
+    changelog.write_feed(changelog.bootstrap(changelog.snapshot_feed(snapshots, cut), log, cut), path)
+    t, p, c = envelope.route_all(changelog.read_changes(spark, path))
+    rows = None
+    for name, routed, detail in ((TABLE_INFO, t, "table_namespace"), (PARTITION_INFO, p, "partition_desc"),
+                                 (DATA_COMMIT_INFO, c, "commit_id")):
+        part = routed.select(F.lit(name).alias("table_name"), "table_id", F.col(detail).alias("detail"),
+                             "commit_op", "seq")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
 
+def _feed_results(spark, sf_dir) -> batch.AssetResults:
+    """The batch job over the envelope feed, scanned and parsed once."""
+    return batch.compute_assets_from_feed(
+        changelog.read_changes(spark, _envelope_feed(spark, sf_dir)))
 
-_FEED_CACHE: dict = {}
 
+def q_commit_quarantine(spark, sf_dir):
+    """Commits that cannot be counted, from the envelope feed."""
+    return _feed_results(spark, sf_dir).quarantine
 
-def _feed_results(spark, sf_dir) -> batch.AssetResults:
-    """The batch job over the envelope feed: one scan, one parse, one shuffle."""
-    def build(spark, sf_dir):
-        return batch.compute_assets_from_feed(
-            changelog.read_changes(spark, _envelope_feed(spark, sf_dir)))
-    return _cached(_FEED_CACHE, spark, sf_dir, build)
+
+def q_envelope_rejects(spark, sf_dir):
+    """S3: broken envelopes and changes without position, operation or table id."""
+    return envelope.rejected(changelog.read_changes(spark, _envelope_feed(spark, sf_dir)))
 
 
 def q_feed_table_level_assets(spark, sf_dir):
@@ -232,49 +251,46 @@ def q_feed_user_level_assets(spark, sf_dir):
 
 # ------------------------------------------------------------ sinks and streaming
 
-def _two_batch_sink(spark, sf_dir):
-    """The change logs applied as two batches (log halves) through the upsert sinks."""
-    from assetlens.streaming.job import AssetTables
-    ti, pi, ci = _logs(spark, sf_dir)
+def _two_batch_sink(spark, sf_dir, frozen: tuple[str, ...] = ()):
+    """The results of the first half of the logs, then of the whole logs, through the
+    upsert sinks. The second write has the new and the changed rows only: the sink must
+    keep the rest, replace the changed and insert the new."""
+    from assetlens.streaming.job import AssetTables, group_rows
     cut = orders_mid(spark, sf_dir)
     tables = AssetTables.at(spark, fresh_dir(spark, "sink"))
-    # table_info positions are customer-based, the others order-based: each log is
-    # halved by its own middle position.
-    tcut = (fx.table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0] * 4) // 2
-    halves = [(ti.where(F.col("seq") <= tcut), pi.where(F.col("seq") <= cut),
-               ci.where(F.col("seq") <= cut)), (ti, pi, ci)]
-    for batch_id, (t, p, c) in enumerate(halves):
-        r = batch.compute_assets(t, p, c)
-        tables.table_sink.upsert(r.table_assets, batch_id)
-        tables.upsert_groups(r.namespace_assets, r.domain_assets, r.user_assets, batch_id)
+    seen = None
+    for batch_id, logs in enumerate((
+            [log.where(F.col("seq") <= cut) for log in _logs(spark, sf_dir)], _logs(spark, sf_dir))):
+        r = batch.compute_assets(*logs)
+        rows = (r.table_assets.drop("op"), group_rows(r.namespace_assets, r.domain_assets, r.user_assets))
+        if seen is not None:
+            rows = tuple(new.exceptAll(old) for new, old in zip(rows, seen))
+        seen = rows
+        tables.table_sink.upsert(rows[0], batch_id, frozen=frozen)
+        tables.group_assets.upsert(rows[1], batch_id)
     return tables
 
 
-_SINK_CACHE: dict = {}
-_STREAM_CACHE: dict = {}
-
-
-def _cached(cache: dict, spark, sf_dir, build):
-    key = (id(spark), sf_dir)
-    if key not in cache:
-        cache[key] = build(spark, sf_dir)
-    return cache[key]
+def q_upsert_table_assets(spark, sf_dir):
+    return _two_batch_sink(spark, sf_dir).table_level_assets()
 
 
-def q_upsert_table_assets(spark, sf_dir):
-    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).table_level_assets()
+def q_upsert_frozen_table_assets(spark, sf_dir):
+    """Existing rows keep their first attributes, only measures are replaced."""
+    from assetlens.streaming.job import FROZEN
+    return _two_batch_sink(spark, sf_dir, FROZEN).table_level_assets()
 
 
 def q_upsert_namespace_assets(spark, sf_dir):
-    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).level_assets("namespace")
+    return _two_batch_sink(spark, sf_dir).level_assets("namespace")
 
 
 def q_upsert_domain_assets(spark, sf_dir):
-    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).level_assets("domain")
+    return _two_batch_sink(spark, sf_dir).level_assets("domain")
 
 
 def q_upsert_user_assets(spark, sf_dir):
-    return _cached(_SINK_CACHE, spark, sf_dir, _two_batch_sink).level_assets("creator")
+    return _two_batch_sink(spark, sf_dir).level_assets("creator")
 
 
 def _stream_run(spark, sf_dir):
@@ -291,19 +307,19 @@ def _stream_run(spark, sf_dir):
 
 
 def q_stream_table_assets(spark, sf_dir):
-    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).table_level_assets()
+    return _stream_run(spark, sf_dir).table_level_assets()
 
 
 def q_stream_namespace_assets(spark, sf_dir):
-    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).level_assets("namespace")
+    return _stream_run(spark, sf_dir).level_assets("namespace")
 
 
 def q_stream_domain_assets(spark, sf_dir):
-    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).level_assets("domain")
+    return _stream_run(spark, sf_dir).level_assets("domain")
 
 
 def q_stream_user_assets(spark, sf_dir):
-    return _cached(_STREAM_CACHE, spark, sf_dir, _stream_run).level_assets("creator")
+    return _stream_run(spark, sf_dir).level_assets("creator")
 
 
 QUERIES: dict[str, Query] = {
@@ -328,7 +344,10 @@ QUERIES: dict[str, Query] = {
     "feed_namespace_level_assets": q_feed_namespace_level_assets,
     "feed_domain_level_assets": q_feed_domain_level_assets,
     "feed_user_level_assets": q_feed_user_level_assets,
+    "commit_quarantine": q_commit_quarantine,
+    "envelope_rejects": q_envelope_rejects,
     "upsert_table_assets": q_upsert_table_assets,
+    "upsert_frozen_table_assets": q_upsert_frozen_table_assets,
     "upsert_namespace_assets": q_upsert_namespace_assets,
     "upsert_domain_assets": q_upsert_domain_assets,
     "upsert_user_assets": q_upsert_user_assets,

@@ -33,13 +33,21 @@ ROW_IMAGE = T.StructType([
     T.StructField("committed", S),
 ])
 
-# The change envelope; ``seq`` is the log position (a unique total order of changes).
+# The change envelope, in either shape a connector may write: the operation as
+# ``commitOp`` or ``op``, the table as ``tableName`` or ``source.table``, the log position
+# (a unique total order of changes) as ``seq`` or ``source.lsn``. A line that is no JSON of
+# this shape is kept whole in ``_corrupt_record``.
+CORRUPT = "_corrupt_record"
 ENVELOPE = T.StructType([
     T.StructField("commitOp", S),
+    T.StructField("op", S),
     T.StructField("tableName", S),
+    T.StructField("source", T.StructType([T.StructField("schema", S), T.StructField("table", S),
+                                          T.StructField("lsn", L)])),
     T.StructField("before", ROW_IMAGE),
     T.StructField("after", ROW_IMAGE),
     T.StructField("seq", L),
+    T.StructField(CORRUPT, S),
 ])
 
 # Routed changes, one DataFrame per catalog table.
@@ -91,6 +99,16 @@ RESULT_TABLES = {
 
 
 def to_result_schema(df, schema: T.StructType):
-    """Select by name (never by position) and cast to the result table's types."""
+    """Select by name (never by position) and cast to the result table's types. A count
+    beyond the range of the result table's ``int`` is stored as that range's end: one
+    group of over two thousand million files must not stop the job."""
     from pyspark.sql import functions as F
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def typed(f: T.StructField):
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.IntegerType):
+            top = 2**31 - 1
+            c = F.when(c > top, F.lit(top)).when(c < -top, F.lit(-top)).otherwise(c)
+        return c.cast(f.dataType).alias(f.name)
+
+    return df.select([typed(f) for f in schema.fields])

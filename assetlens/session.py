@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,7 +57,7 @@ def work_dir(spark: SparkSession) -> str:
     if conf_dir:
         return conf_dir.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
     local = tempfile.mkdtemp(prefix="assetlens-")
     spark.conf.set("spark.checkpoint.dir", local)
@@ -69,12 +70,26 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, scratch: list[str] | None = None,
+                partition_by: str | None = None):
     """Cuts the lineage of ``df``: writes it once as parquet under the work folder and
     returns the table read back. Unlike an RDD ``checkpoint()`` it computes its input
     once, and the consumers read columns with pruning and pushed filters. The folder
-    is shared, so the table survives the loss of any executor."""
+    is shared, so the table survives the loss of any executor. The folder is added to
+    ``scratch``, for a caller that removes it once nothing reads it any more."""
     spark = df.sparkSession
     path = fresh_dir(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    # The schema is known, and no rows may mean no files to infer it from.
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this package wrote (versions and intermediates that nothing
+    refers to any more). A folder that is already gone is no error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -3,19 +3,25 @@
 File tables are stored in ``buckets`` by a hash of a key column
 (``pmod(xxhash64(bucket_by), buckets)``; one bucket when unbucketed). Every write
 produces new immutable bucket folders under a folder of its own,
-``<path>/v<n>-<attempt id>/_bucket=<b>`` (the version folder itself for one
-bucket), and only for the buckets its rows touch.
-A write becomes current only when its entries (version, batch id, bucket, folder) are
-appended to ``<path>/_commits`` (one small file per write, after the data). Readers
-take, per bucket, the folder of the highest committed version. So:
+``<path>/v<n>-<attempt id>/_bucket=<b>``, one file per bucket it touches. A write
+becomes current only when its commit file (one row per bucket: version, batch id,
+writer, folder) is added to ``<path>/_commits`` after the data. Readers take the rows
+of the highest version. So:
 
 * an upsert rewrites the touched buckets, not the table;
 * a job that dies while writing leaves only unreferenced folders, and a retry writes
   to new ones; no plan ever reads a folder that is being written;
-* the batch id in the commit entry makes a replayed micro-batch a no-op.
-
-The only values brought to the driver are the commit log (one row per bucket
-version) and the ids of the touched buckets, both bounded by the bucket count.
+* a bucket without rows has no folder (its commit row names none), so a table whose
+  rows come later, or all go, reads as empty there;
+* the batch id makes a replayed micro-batch a no-op, but only for the writer that wrote
+  it: batch ids of another writer (a new checkpoint on an old output folder) say nothing
+  about this table, and such a write is refused;
+* the bucket count and columns are stored with the table (``<path>/_settings``), and a
+  table opened with others is refused, since its rows would be looked up elsewhere;
+* folders that no version of the last ``KEEP_VERSIONS`` names are removed.
+
+One writer per table. The only values brought to the driver are the commit rows of the
+kept versions and the ids of the touched buckets, both bounded by the bucket count.
 
 JDBC tables: executors write the rows to a staging table, then one
 ``INSERT ... ON CONFLICT`` statement runs on the driver (PostgreSQL dialect, as the
@@ -24,68 +30,83 @@ four asset tables are defined).
 
 from __future__ import annotations
 
+import re
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlens.schemas import to_result_schema
+from assetlens.session import remove_folder
 
 COMMIT_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
                               T.StructField("batch_id", T.LongType()),
+                              T.StructField("writer", T.StringType()),
                               T.StructField("bucket", T.IntegerType()),
                               T.StructField("location", T.StringType())])
+SETTINGS_SCHEMA = T.StructType([T.StructField("buckets", T.IntegerType()),
+                                T.StructField("bucket_by", T.StringType())])
 BUCKET = "_bucket"
+KEEP_VERSIONS = 3
+BATCH_WRITER = "batch"
+
+
+class ForeignWriter(RuntimeError):
+    """The table was written by another writer, whose batch ids are not comparable."""
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
                  key: str | list[str], cluster_by: list[str] | None = None,
-                 buckets: int = 1, bucket_by: list[str] | None = None):
+                 buckets: int = 1, bucket_by: list[str] | None = None, writer: str = BATCH_WRITER):
         self.spark = spark
+        self.writer = writer
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = [key] if isinstance(key, str) else list(key)
-        # Rows are sorted by these columns inside each file, so parquet row-group
+        # Rows of a bucket's file are sorted by these columns, so parquet row-group
         # statistics let a filtered read skip the other values.
         self.cluster_by = cluster_by or []
         self.buckets = max(1, buckets)
         self.bucket_by = bucket_by or self.keys
-        self._head: tuple[int, int] | None = None
+        self._head: tuple[int, int, str] | None = None
         self._locations: dict[int, str] = {}
-        self._head_known = False
+        self._kept: dict[int, set[str]] = {}
+        self._loaded = False
 
     # -- commit log ---------------------------------------------------------------
-    def _log(self) -> DataFrame | None:
+    def _small_table(self, name: str, schema: T.StructType) -> list:
         try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/_commits")
-        except Exception as e:  # folder not there yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return None
-            raise
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}").collect()
+        except AnalysisException:  # folder not there yet
+            return []
 
     def _load(self) -> None:
-        """Reads the commit log once per instance; this instance's own commits keep it
-        current afterwards (one writer per table, as a streaming ``foreachBatch``)."""
-        if self._head_known:
+        """Reads settings and commits once per instance; this instance's own commits keep
+        it current afterwards."""
+        if self._loaded:
             return
-        log = self._log()
-        if log is not None:
-            latest = (log.groupBy("bucket")
-                      .agg(F.max_by(F.struct("version", "batch_id", "location"), "version")
-                           .alias("h"))
-                      .select("bucket", "h.*").collect())
-            if latest:
-                top = max(latest, key=lambda r: r["version"])
-                self._head = (top["version"], top["batch_id"])
-                self._locations = {r["bucket"]: r["location"] for r in latest}
-        self._head_known = True
+        for row in self._small_table("_settings", SETTINGS_SCHEMA):
+            mine = (self.buckets, ",".join(self.bucket_by))
+            if tuple(row) != mine:
+                raise ValueError(f"{self.path} is stored in {row['buckets']} buckets by {row['bucket_by']}, "
+                                 f"opened with {mine[0]} by {mine[1]}")
+        commits = self._small_table("_commits", COMMIT_SCHEMA)
+        if commits:
+            for r in commits:
+                self._kept.setdefault(r["version"], set()).add(r["location"])
+            top = max(r["version"] for r in commits)
+            rows = [r for r in commits if r["version"] == top]
+            self._head = (top, rows[0]["batch_id"], rows[0]["writer"])
+            self._locations = {r["bucket"]: r["location"] for r in rows if r["location"]}
+        self._loaded = True
 
     def head(self) -> tuple[int, int] | None:
         """(version, batch_id) of the last write, or None for a new table."""
         self._load()
-        return self._head
+        return self._head[:2] if self._head else None
 
     def bucket_of(self, *cols: "F.Column") -> "F.Column":
         """Bucket id of a row; ``cols`` stand in for the ``bucket_by`` columns."""
@@ -101,32 +122,44 @@ class VersionedTable:
     def current(self, buckets: list[int] | None = None) -> DataFrame:
         """The table, or only the given buckets of it."""
         self._load()
-        locs = [loc for b, loc in sorted(self._locations.items())
-                if buckets is None or b in buckets]
+        wanted = None if buckets is None else set(buckets)
+        locs = [loc for b, loc in sorted(self._locations.items()) if wanted is None or b in wanted]
         if not locs:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*locs)
 
-    def _commit(self, df: DataFrame, batch_id: int, buckets: list[int]) -> None:
+    def _commit(self, df: DataFrame, batch_id: int, writer: str, buckets: list[int]) -> None:
         version = 0 if self._head is None else self._head[0] + 1
+        if version == 0 and not self._small_table("_settings", SETTINGS_SCHEMA):
+            self.spark.createDataFrame([(self.buckets, ",".join(self.bucket_by))], SETTINGS_SCHEMA) \
+                .coalesce(1).write.parquet(f"{self.path}/_settings")
         location = f"{self.path}/v{version}-{uuid.uuid4().hex[:12]}"
-        if self.buckets == 1:
-            # One bucket: the version folder itself (exists even for an empty write).
-            out = df.select(*self.schema.fieldNames())
-            if self.cluster_by:
-                out = out.sortWithinPartitions(*self.cluster_by)
-            out.write.mode("errorifexists").parquet(location)
-            entries = [(version, batch_id, 0, location)]
-        else:
-            out = df.select(*self.schema.fieldNames(), self.bucket_of().alias(BUCKET))
-            if self.cluster_by:
-                out = out.sortWithinPartitions(*self.cluster_by)
-            out.write.mode("errorifexists").partitionBy(BUCKET).parquet(location)
-            entries = [(version, batch_id, b, f"{location}/{BUCKET}={b}") for b in buckets]
+        out = df.select(*self.schema.fieldNames(), self.bucket_of().alias(BUCKET))
+        # One task, and so one file, per touched bucket.
+        out = out.repartition(len(buckets), BUCKET).sortWithinPartitions(BUCKET, *self.cluster_by)
+        out.write.mode("errorifexists").partitionBy(BUCKET).parquet(location)
+        try:
+            written = {r[0] for r in self.spark.read.parquet(location).select(BUCKET).distinct().collect()}
+        except AnalysisException:  # no rows, no files
+            written = set()
+        locations = {b: loc for b, loc in self._locations.items() if b not in set(buckets)}
+        locations.update({b: f"{location}/{BUCKET}={b}" for b in written})
+        entries = [(version, batch_id, writer, b, locations.get(b, "")) for b in range(self.buckets)]
         (self.spark.createDataFrame(entries, COMMIT_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(f"{self.path}/_commits"))
-        self._head = (version, batch_id)
-        self._locations.update({b: loc for _, _, b, loc in entries})
+         .write.mode("append").parquet(f"{self.path}/_commits/v={version}"))
+        self._head, self._locations = (version, batch_id, writer), locations
+        self._kept[version] = set(locations.values())
+        self._remove_superseded()
+
+    def _remove_superseded(self) -> None:
+        """Removes bucket folders and commit files that only versions older than the kept
+        ones name. A reader that opened the table earlier has KEEP_VERSIONS writes to end."""
+        for old in [v for v in self._kept if v <= self._head[0] - KEEP_VERSIONS]:
+            gone = self._kept.pop(old)
+            still = set().union(*self._kept.values())
+            for location in gone - still - {""}:
+                remove_folder(self.spark, location)
+            remove_folder(self.spark, f"{self.path}/_commits/v={old}")
 
     # -- writes -------------------------------------------------------------------
     def upsert(self, rows: DataFrame, batch_id: int, frozen: tuple[str, ...] = (),
@@ -137,11 +170,17 @@ class VersionedTable:
         (a merge must never see a key twice). ``frozen`` columns keep their stored
         value for existing keys (the reference's ON CONFLICT leaves them alone). Only
         the buckets the rows fall in are read and rewritten; ``buckets`` passes them
-        when the caller knows them already.
+        when the caller knows them already. The table's ``writer`` names the sequence
+        that ``batch_id`` belongs to; a table of another writer is refused.
         """
-        h = self.head()
-        if h is not None and batch_id <= h[1]:
-            return False
+        h, writer = self.head(), self.writer
+        if h is not None:
+            if self._head[2] != writer:
+                raise ForeignWriter(
+                    f"{self.path} was written by {self._head[2]} up to batch {h[1]}; {writer} cannot tell "
+                    "which of its own batches it holds. Use that writer's checkpoint or a new folder.")
+            if batch_id <= h[1]:
+                return False
         if order_by is not None:
             others = [c for c in rows.columns if c not in self.keys]
             rows = (rows.groupBy(*self.keys)
@@ -160,23 +199,35 @@ class VersionedTable:
                     *[F.coalesce(F.col(f"__old_{c}"), F.col(c)).alias(c) if c in frozen else F.col(c)
                       for c in self.schema.fieldNames()])
             merged = old.join(rows.select(*self.keys), self.keys, "left_anti").unionByName(rows)
-        self._commit(merged, batch_id, touched)
+        self._commit(merged, batch_id, writer, touched)
         return True
 
 
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*([.][A-Za-z_][A-Za-z0-9_]*)?")
+
+
+def jdbc_upsert_statement(table: str, columns: list[str], key: str, update_cols: list[str]) -> str:
+    """The merge of the staging table into ``table``: new keys inserted, of existing ones
+    ``update_cols`` replaced."""
+    for name in (table, key, *columns, *update_cols):
+        if not _NAME.fullmatch(name):
+            raise ValueError(f"not a plain SQL name: {name!r}")
+    cols = ", ".join(columns)
+    sets = ", ".join(f"{c} = EXCLUDED.{c}" for c in update_cols)
+    return (f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {table}__staging "
+            f"ON CONFLICT ({key}) DO UPDATE SET {sets}")
+
+
 def jdbc_upsert(rows: DataFrame, url: str, table: str, key: str, update_cols: list[str],
                 properties: dict, batch_size: int = 50) -> None:
     """Upsert into a JDBC table: staging write from executors, one merge on the driver.
 
-    Not exercised in this repository's tests: it needs a database server.
+    The write and the merge need a database and are not exercised in this repository's
+    tests; the statement is.
     """
-    staging = f"{table}__staging"
+    stmt = jdbc_upsert_statement(table, rows.columns, key, update_cols)
     (rows.write.mode("overwrite").option("batchsize", str(batch_size))
-     .option("truncate", "true").jdbc(url, staging, properties=properties))
-    cols = ", ".join(rows.columns)
-    sets = ", ".join(f"{c} = EXCLUDED.{c}" for c in update_cols)
-    stmt = (f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging} "
-            f"ON CONFLICT ({key}) DO UPDATE SET {sets}")
+     .option("truncate", "true").jdbc(url, f"{table}__staging", properties=properties))
     jvm = rows.sparkSession.sparkContext._jvm
     conn = jvm.java.sql.DriverManager.getConnection(
         url, properties.get("user"), properties.get("password"))

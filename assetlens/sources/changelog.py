@@ -14,7 +14,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlens.schemas import CATALOG_TABLES, ENVELOPE, OP_READ
+from assetlens.schemas import (CATALOG_TABLES, DATA_COMMIT_INFO, ENVELOPE, OP_READ, PARTITION_INFO,
+                               TABLE_INFO)
 from assetlens.sources.envelope import decode_envelopes, normalize_envelopes
 from assetlens.sources.fixtures import encode_envelopes
 
@@ -36,23 +37,45 @@ def read_change_stream(spark: SparkSession, path: str | None = None,
     """Streaming read of the change feed, decoded and restricted to the catalog tables.
 
     ``path``: a folder of envelope text files. ``kafka``: options of the Kafka source
-    (``kafka.bootstrap.servers``, ``subscribe``, ...); the table name is then taken
-    from the topic when the envelope lacks one. The filter on the three catalog tables
+    (``kafka.bootstrap.servers``, ``subscribe`` or ``subscribePattern``, ...), read from
+    the earliest offset unless the options say otherwise; the table name is then taken
+    from the topic when the envelope lacks one, and the log position from the offset.
+    The filter on the three catalog tables (and broken envelopes, which have no table)
     runs before any shuffle.
     """
     if kafka is not None:
-        raw = spark.readStream.format("kafka").options(**kafka).load()
-        decoded = decode_envelopes(raw, value_col="value", topic_col="topic")
+        options = {"startingOffsets": "earliest"} | kafka
+        if not {"subscribe", "subscribePattern", "assign"} & set(options):
+            raise ValueError("name the topics: subscribe, subscribePattern or assign")
+        raw = spark.readStream.format("kafka").options(**options).load()
+        decoded = decode_envelopes(raw, value_col="value", topic_col="topic", offset_col="offset")
     else:
         reader = spark.readStream.schema(ENVELOPE).format("json")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         decoded = normalize_envelopes(reader.load(path))
-    return decoded.where(F.col("table_name").isin(*CATALOG_TABLES))
+    return decoded.where(F.col("table_name").isin(*CATALOG_TABLES) | F.col("raw").isNotNull())
+
+
+def land_once(decoded_stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """For sources that repeat events after a restart: writes each log position once to
+    ``path`` (parquet, exactly-once file sink), for ``read_landed``. The positions seen are
+    the query's state. A broken envelope has no position and is told by its text."""
+    key = F.coalesce(F.concat_ws("/", "schema_name", "table_name", F.col("seq").cast("string"),
+                                 F.sha2("raw", 256)), F.lit(""))
+    once = decoded_stream.withColumn("position", key).dropDuplicates(["position"]).drop("position")
+    return (once.writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
+
+
+def read_landed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Streaming read of what ``land_once`` wrote; ``schema`` is that of its input."""
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None,
-               files_per_part: int | None = None) -> list[str]:
+               files_per_part: int | None = None, scratch: list[str] | None = None) -> list[str]:
     """Writes envelope text (``value``, ``seq``) as a change feed folder.
 
     With ``cuts`` (ascending log positions) the feed is written as consecutive parts
@@ -66,7 +89,7 @@ def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None,
         envelopes.select("value").write.mode("errorifexists").text(path)
         return [path]
     from assetlens.session import materialize
-    env = materialize(envelopes.select("value", "seq"), "feed-envelopes")
+    env = materialize(envelopes.select("value", "seq"), "feed-envelopes", scratch)
     bounds = [None, *cuts, None]
     parts = []
     for i in range(len(bounds) - 1):
@@ -87,23 +110,23 @@ def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None,
 
 # ------------------------------------------------------------- S2: snapshot bootstrap
 
-def read_snapshot_jdbc(spark: SparkSession, url: str, table: str, split_column: str,
-                       properties: dict, split_size: int = 1024,
-                       max_partitions: int = 4096) -> DataFrame:
-    """Snapshot of one catalog table over JDBC, read in parallel splits of about
-    ``split_size`` rows on a numeric column. The bounds come from one small query.
+def snapshot_splits(key: str, rows: int, split_size: int = 1024) -> list[str]:
+    """Predicates that cut a table into splits of about ``split_size`` rows by a hash of its
+    text key (PostgreSQL dialect). The catalog tables have text keys; a null key is in the
+    first split, so every row is in exactly one."""
+    n = max(1, math.ceil(rows / split_size))
+    cut = f"mod(abs(hashtext({key})::bigint), {n})"
+    return [f"{cut} = {i}" + (f" or {key} is null" if i == 0 else "") for i in range(n)]
+
 
-    Not exercised in this repository's tests: it needs a database server.
+def read_snapshot_jdbc(spark: SparkSession, url: str, table: str, key: str, properties: dict,
+                       split_size: int = 1024) -> DataFrame:
+    """Snapshot of one catalog table over JDBC, read in parallel splits (a split is a task).
+
+    Not exercised in this repository's tests: it needs a database server. The predicates are.
     """
-    bounds = (spark.read.jdbc(
-        url, f"(select min({split_column}) as lo, max({split_column}) as hi, count(*) as n "
-             f"from {table}) b", properties=properties).first())
-    if bounds is None or bounds["n"] == 0:
-        return spark.read.jdbc(url, table, properties=properties)
-    parts = max(1, min(max_partitions, math.ceil(bounds["n"] / split_size)))
-    return spark.read.jdbc(url, table, column=split_column, lowerBound=bounds["lo"],
-                           upperBound=bounds["hi"] + 1, numPartitions=parts,
-                           properties=properties)
+    rows = spark.read.jdbc(url, f"(select count(*) as n from {table}) b", properties=properties).first()["n"]
+    return spark.read.jdbc(url, table, predicates=snapshot_splits(key, rows, split_size), properties=properties)
 
 
 def read_snapshot_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -121,6 +144,24 @@ def snapshot_envelopes(rows: DataFrame, table_name: str, image: dict,
     return encode_envelopes(tagged, table_name, image)
 
 
+# The columns of the catalog tables that the job reads.
+SNAPSHOT_COLUMNS = {
+    TABLE_INFO: ("table_id", "table_namespace", "table_name", "domain", "creator"),
+    PARTITION_INFO: ("table_id", "partition_desc"),
+    DATA_COMMIT_INFO: ("table_id", "commit_id", "file_ops", "committed"),
+}
+
+
+def snapshot_feed(snapshots: dict[str, DataFrame], snapshot_seq: int) -> DataFrame:
+    """Snapshots of the three catalog tables (by name) as one set of envelopes."""
+    out = None
+    for name, columns in SNAPSHOT_COLUMNS.items():
+        image = {c: F.col(c).cast("string") if c == "committed" else F.col(c) for c in columns}
+        part = snapshot_envelopes(snapshots[name], name, image, snapshot_seq)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def bootstrap(snapshot: DataFrame, log: DataFrame, snapshot_seq: int) -> DataFrame:
     """Snapshot envelopes ahead of the log changes after the snapshot position."""
     return snapshot.unionByName(log.where(F.col("seq") > snapshot_seq))

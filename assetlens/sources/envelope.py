@@ -1,7 +1,7 @@
 """Change envelopes: decoding (S3, S4), row-image choice (P1) and routing.
 
 An envelope is one JSON text per row change: ``{commitOp, tableName, before, after,
-seq}``. The same functions decode a file source (``value`` from ``spark.read.text``)
+seq}`` or a connector's ``{op, before, after, source: {schema, table, lsn}}``. The same functions decode a file source (``value`` from ``spark.read.text``)
 and a Kafka topic (``value`` cast to string, ``topic`` giving the table name), in
 batch and in streaming.
 """
@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetlens.functions.fileops import text_to_bool
-from assetlens.schemas import (CATALOG_TABLES, DATA_COMMIT_INFO, ENVELOPE, OP_CODES,
-                               PARTITION_INFO, ROW_IMAGE, TABLE_INFO)
+from assetlens.schemas import (CATALOG_TABLES, CORRUPT, DATA_COMMIT_INFO, ENVELOPE, OP_CODES,
+                               OP_CREATE, OP_DELETE, OP_READ, OP_UPDATE, PARTITION_INFO, ROW_IMAGE,
+                               TABLE_INFO)
 
 
 def normalize_op(op: Column) -> Column:
@@ -35,35 +36,56 @@ def schema_from_topic(topic: Column) -> Column:
     return F.element_at(F.split(topic, "[.]"), 2)
 
 
-def normalize_envelopes(env: DataFrame, topic_col: str | None = None) -> DataFrame:
-    """Envelope columns ``commitOp, tableName, before, after, seq`` (as parsed by the JSON
-    file source or by ``from_json``) to ``commit_op, table_name, schema_name, before,
-    after, seq``."""
-    table = F.col("tableName")
-    schema = F.lit(None).cast("string")
+def normalize_envelopes(env: DataFrame, topic_col: str | None = None,
+                        offset_col: str | None = None) -> DataFrame:
+    """Envelope columns (as parsed by the JSON file source or by ``from_json``) to
+    ``commit_op, table_name, schema_name, before, after, seq, raw``; ``raw`` is the text of
+    a broken envelope, null otherwise.
+
+    The log position is ``seq``, else ``source.lsn``, else ``offset_col`` (Kafka: the
+    changes of one row share a partition, whose offsets order them; positions are only
+    ever compared among changes of one key).
+    """
+    table, schema, seq = F.coalesce("tableName", "source.table"), F.col("source.schema"), F.coalesce("seq", "source.lsn")
     if topic_col is not None:
         table = F.coalesce(table, table_from_topic(F.col(topic_col)))
-        schema = schema_from_topic(F.col(topic_col))
+        schema = F.coalesce(schema, schema_from_topic(F.col(topic_col)))
+    if offset_col is not None:
+        seq = F.coalesce(seq, F.col(offset_col))
+    whole = F.col(CORRUPT).isNull()
     return env.select(
-        normalize_op(F.col("commitOp")).alias("commit_op"),
-        table.alias("table_name"),
+        F.when(whole, normalize_op(F.coalesce("commitOp", "op"))).alias("commit_op"),
+        F.when(whole, table).alias("table_name"),
         schema.alias("schema_name"),
-        F.col("before"), F.col("after"), F.col("seq"))
+        F.col("before"), F.col("after"), F.when(whole, seq).alias("seq"), F.col(CORRUPT).alias("raw"))
+
+
+OPERATIONS = (OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ)
+
+
+def reject_reason(table_id: Column) -> Column:
+    """Why a decoded change of a catalog table cannot be used, null if it can:
+    ``bad_json``, ``no_operation`` (none, or an unknown one), ``no_position``,
+    ``no_table_id``."""
+    return (F.when(F.col("raw").isNotNull(), F.lit("bad_json"))
+            .when(F.col("commit_op").isNull() | ~F.col("commit_op").isin(*OPERATIONS), F.lit("no_operation"))
+            .when(F.col("seq").isNull(), F.lit("no_position"))
+            .when(table_id.isNull(), F.lit("no_table_id")))
 
 
-def decode_envelopes(df: DataFrame, value_col: str = "value",
-                     topic_col: str | None = None) -> DataFrame:
+def decode_envelopes(df: DataFrame, value_col: str = "value", topic_col: str | None = None,
+                     offset_col: str | None = None) -> DataFrame:
     """S3: JSON envelope text (e.g. Kafka ``value``) to typed columns ``commit_op,
-    table_name, schema_name, before, after, seq``.
+    table_name, schema_name, before, after, seq, raw``.
 
     ``file_ops`` stays an array of base64 text (S4); it is decoded only by the commit
     fold. Only the columns of ``ROW_IMAGE`` are parsed, whatever else the rows carry.
     Envelope files are better read by the JSON file source (``changelog.read_changes``),
     which parses each line once while reading.
     """
-    keep = [F.col(topic_col)] if topic_col is not None else []
+    keep = [F.col(c) for c in (topic_col, offset_col) if c is not None]
     parsed = df.select(F.from_json(F.col(value_col).cast("string"), ENVELOPE).alias("env"), *keep)
-    return normalize_envelopes(parsed.select("env.*", *keep), topic_col)
+    return normalize_envelopes(parsed.select("env.*", *keep), topic_col, offset_col)
 
 
 def image_present(img: Column) -> Column:
@@ -81,7 +103,8 @@ def row_image(before: Column, after: Column) -> Column:
 
 
 def with_row_image(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
-    """Adds ``img`` (chosen image) and ``image_side`` ('after' / 'before').
+    """Adds ``img`` (chosen image), ``image_side`` ('after' / 'before') and ``reason`` (why
+    a change of a catalog table cannot be used, null if it can).
 
     ``qualify_ids``: a feed that captures several schemas (D15) gets table ids
     ``<schema>.<table_id>``, so equal ids of different schemas stay apart.
@@ -89,17 +112,39 @@ def with_row_image(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
     img = row_image(F.col("before"), F.col("after"))
     if qualify_ids:
         img = img.withField("table_id", F.concat_ws(".", F.col("schema_name"), img["table_id"]))
+    table_id = row_image(F.col("before"), F.col("after"))["table_id"]
     return decoded.select(
         "commit_op", "table_name", "seq",
         img.alias("img"),
         F.when(image_present(F.col("after")), F.lit("after")).otherwise(F.lit("before"))
         .alias("image_side"),
+        F.when(F.col("raw").isNotNull() | F.col("table_name").isin(*CATALOG_TABLES),
+               reject_reason(table_id)).alias("reason"),
+        "raw",
     )
 
 
 def catalog_changes(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
-    """P5 (shared part): changes of the three catalog tables only; others are dropped."""
-    return with_row_image(decoded.where(F.col("table_name").isin(*CATALOG_TABLES)), qualify_ids)
+    """P5 (shared part): usable changes of the three catalog tables; other tables are
+    dropped, and unusable changes are in ``rejected``."""
+    return with_row_image(decoded.where(F.col("table_name").isin(*CATALOG_TABLES)), qualify_ids) \
+        .where(F.col("reason").isNull()).drop("reason", "raw")
+
+
+def usable(decoded: DataFrame) -> DataFrame:
+    """The decoded changes without the rejected ones (``rejected`` has those)."""
+    table_id = row_image(F.col("before"), F.col("after"))["table_id"]
+    unusable = F.col("raw").isNotNull() | (F.col("table_name").isin(*CATALOG_TABLES)
+                                           & reject_reason(table_id).isNotNull())
+    return decoded.where(~F.coalesce(unusable, F.lit(False)))
+
+
+def rejected(decoded: DataFrame) -> DataFrame:
+    """Broken envelopes and unusable changes of the catalog tables: (problem, table_name,
+    commit_op, seq, table_id, raw)."""
+    return with_row_image(decoded).where(F.col("reason").isNotNull()).select(
+        F.col("reason").alias("problem"), "table_name", "commit_op", "seq",
+        F.when(F.col("raw").isNull(), F.col("img.table_id")).alias("table_id"), "raw")
 
 
 def route_table_info(changes: DataFrame) -> DataFrame:

@@ -1,35 +1,39 @@
 """Continuous asset statistics with Structured Streaming.
 
 Spark accepts one stateful aggregate per query in update mode, and neither chained
-aggregates nor a join of two streaming aggregates. So the query is the one-pass
-compaction of ``plans.compaction``: the three change logs (and the commits that cannot
-be counted) tagged and unioned, and **one** native streaming aggregate keyed by
-``(kind, table_id, sub_key)`` that keeps the compacted state in the state store.
+aggregates nor a join of two streaming aggregates. So the query is the compaction of
+``plans.compaction``: the three change logs as tagged rows, and **one** native streaming
+aggregate keyed by ``(kind, table_id, sub_key)`` that keeps the compacted state in the
+state store.
 
 Each micro-batch emits only the keys it changed (update mode, full values, so a
-replay is idempotent). ``foreachBatch`` merges them into the compacted table (a
-versioned table in the shared work folder), then runs the same finish functions as
-the batch job on the touched tables and touched groups only, and upserts their rows;
-live partition counts are kept as a per-table table updated by deltas.
-Commits that cannot be counted are state rows of their own and go to a quarantine
-table in the same ``foreachBatch``.
+replay is idempotent). ``foreachBatch`` keeps what the finish needs to look up: the live
+flag of each partition, and each table's description and commit totals. It then runs the
+same finish functions as the batch job on the touched tables and upserts their rows; live
+partition counts and group rows are kept by deltas.
+
+Envelopes and commits that cannot be used do not touch the state: a second, stateless
+query appends them to the quarantine folder with the reason.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlens.operators import facts, rollups
-from assetlens.plans.compaction import (COMPACTED, KEYS, QUARANTINE, compaction_agg,
-                                        quarantined, split_compacted, tagged_changes)
-from assetlens.schemas import (DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
+from assetlens.plans.compaction import (COMPACTED, KEYS, compaction_agg, quarantined,
+                                        split_compacted, tagged_changes)
+from assetlens.schemas import (DATA_COMMIT_INFO, DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
                                TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema)
-from assetlens.session import ROCKSDB_PROVIDER, materialize
-from assetlens.sinks.upsert import VersionedTable
+from assetlens.session import ROCKSDB_PROVIDER, materialize, remove_folder
+from assetlens.sinks.upsert import BATCH_WRITER, VersionedTable, jdbc_upsert
+from assetlens.sources.envelope import rejected
 
 # Buckets of the versioned tables: an upsert rewrites only the buckets its rows fall
 # in. Sized per deployment with the session setting ``spark.assetlens.buckets``
@@ -42,6 +46,12 @@ def bucket_count(spark: SparkSession) -> int:
     return int(spark.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
 
 
+# Live flags of the partitions, and the unusable changes with their reason.
+PARTITION_STATE = T.StructType([T.StructField("table_id", T.StringType()),
+                                T.StructField("partition_desc", T.StringType()),
+                                T.StructField("deleted", T.BooleanType())])
+QUARANTINE = T.StructType([T.StructField(c, T.LongType() if c == "seq" else T.StringType()) for c in
+                           ("problem", "table_name", "commit_op", "seq", "table_id", "commit_id", "raw")])
 PARTITION_COUNTS = T.StructType([T.StructField("table_id", T.StringType()),
                                  T.StructField("partition_counts", T.LongType())])
 # Ever-seen (creator, "domain" | "namespace", value) pairs of complete tables.
@@ -74,39 +84,49 @@ def group_rows(namespace: DataFrame, domain: DataFrame, user: DataFrame) -> Data
 
 @dataclass
 class AssetTables:
-    """The compacted state, the table-level assets (with the last ``op``, D3) and the
-    group assets under one folder. With ``freeze_attributes`` a separate sink table
-    keeps the first-written attributes (D2); otherwise the table-level sink is the
-    asset table without ``op``."""
-    compacted: VersionedTable
+    """What the job keeps under one folder: the looked-up state (``partition_state`` by
+    partition, ``table_state`` with the descriptions and commit totals by table), the
+    table-level assets (with the last ``op``, D3), the group assets, and helpers. With
+    ``freeze_attributes`` a separate sink table keeps the first-written attributes (D2);
+    otherwise the table-level sink is the asset table without ``op``."""
+    partition_state: VersionedTable
+    table_state: VersionedTable
     table_assets: VersionedTable
     group_assets: VersionedTable
     table_sink: VersionedTable
-    quarantine: VersionedTable
     partition_counts: VersionedTable
     seen_pairs: VersionedTable
+    quarantine_path: str
 
     @classmethod
-    def at(cls, spark: SparkSession, base: str, buckets: int | None = None) -> "AssetTables":
-        """Per-table tables are bucketed by the hash of ``table_id``; the compacted state
-        by its full key ``(kind, table_id, sub_key)``, so the partitions of one huge
-        table spread over all buckets. The group and quarantine tables are small: one
-        bucket."""
+    def at(cls, spark: SparkSession, base: str, buckets: int | None = None,
+           writer: str = BATCH_WRITER) -> "AssetTables":
+        """Per-table tables are bucketed by the hash of ``table_id``; partitions by their
+        full key, so the partitions of one huge table spread over all buckets; group rows
+        by group."""
         buckets = buckets or bucket_count(spark)
 
-        def vt(name, schema, key, **kw):
+        def vt(name, schema, key, by="table_id", **kw):
             return VersionedTable(spark, f"{base}/{name}", schema, key, buckets=buckets,
-                                  bucket_by=["table_id"], **kw)
+                                  bucket_by=[by] if isinstance(by, str) else by, writer=writer, **kw)
         return cls(
-            VersionedTable(spark, f"{base}/compacted", COMPACTED, KEYS, buckets=buckets,
-                           cluster_by=["kind", "table_id"]),
+            vt("partition_state", PARTITION_STATE, ["table_id", "partition_desc"], ["table_id", "partition_desc"],
+               cluster_by=["table_id"]),
+            vt("table_state", COMPACTED, KEYS, cluster_by=["table_id"]),
             vt("table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
-            VersionedTable(spark, f"{base}/group_assets", GROUP_ASSETS, ["level", "group_key"]),
+            vt("group_assets", GROUP_ASSETS, ["level", "group_key"], ["level", "group_key"]),
             vt("table_level_assets", TABLE_LEVEL_ASSETS, "table_id"),
-            VersionedTable(spark, f"{base}/quarantine", QUARANTINE, ["table_id", "commit_id", "seq"]),
             vt("partition_counts", PARTITION_COUNTS, "table_id"),
-            VersionedTable(spark, f"{base}/seen_pairs", SEEN_PAIRS, ["creator", "kind", "value"],
-                           buckets=buckets, bucket_by=["creator"]))
+            vt("seen_pairs", SEEN_PAIRS, ["creator", "kind", "value"], "creator"),
+            f"{base}/quarantine")
+
+    def quarantine(self) -> DataFrame:
+        """Unusable changes so far, each once."""
+        spark = self.table_assets.spark
+        try:
+            return spark.read.schema(QUARANTINE).parquet(self.quarantine_path).distinct()
+        except AnalysisException:  # nothing was quarantined yet
+            return spark.createDataFrame([], QUARANTINE)
 
     def table_level_assets(self) -> DataFrame:
         """The K1 result table: the sink table if one was written (frozen attributes, or
@@ -127,35 +147,35 @@ class AssetTables:
 
 def _contributions(assets: DataFrame, sign: int) -> DataFrame:
     """What live tables add to (``sign`` 1) or take from (-1) their current groups."""
-    live = assets.where(F.col("op") != F.lit(OP_DELETE))
+    live = assets.where(facts.not_delete(F.col("op")))
     sg = F.lit(sign).cast("bigint")
-    return _levels(live, lambda key: [sg.alias("table_counts")] + [
+    return _levels(live, lambda: [sg.alias("table_counts")] + [
         (sg * F.col(m)).alias(m) for m in rollups.MEASURES[1:]])
 
 
 def _levels(df: DataFrame, measures) -> DataFrame:
     """One row per level (namespace, domain, creator) of each input row."""
-    parts = [df.select(F.lit(level).alias("level"), F.col(level).alias("group_key"), *measures(level))
-             for level in LEVELS]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.where(F.col("group_key").isNotNull())
+    each = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.col(level).alias("group_key"))
+                               for level in LEVELS]))
+    return df.select(each.alias("g"), *measures()).select("g.*", *rollups.MEASURES) \
+        .where(F.col("group_key").isNotNull())
 
 
 def group_deltas(tables: AssetTables, assets: DataFrame, old_assets: DataFrame,
-                 history: DataFrame, batch_id: int) -> None:
+                 history: DataFrame, batch_id: int, scratch: list[str]) -> None:
     """Rollup rows of the touched groups from deltas, reading no table outside the
     touched ones: the stored group row, plus the new and minus the old contribution
     of each touched table. Every group in the history of a complete touched table gets
     a row (zeros if empty, R7). The creators' ever-seen domains and namespaces are a
     set of (creator, kind, value) pairs that only grows (R4, R5)."""
     zero = F.lit(0).cast("bigint")
-    exist = _levels(history, lambda key: [zero.alias(m) for m in rollups.MEASURES])
+    exist = _levels(history.distinct(), lambda: [zero.alias(m) for m in rollups.MEASURES])
     delta = (_contributions(assets, 1).unionByName(_contributions(old_assets, -1))
              .unionByName(exist)
              .groupBy("level", "group_key")
              .agg(*[F.sum(m).alias(m) for m in rollups.MEASURES]))
+    delta = materialize(delta, f"group-deltas-{batch_id}", scratch)
+    buckets = tables.group_assets.bucket_ids(delta)
     pairs = (history.select("creator", F.lit("domain").alias("kind"), F.col("domain").alias("value"))
              .unionByName(history.select("creator", F.lit("namespace").alias("kind"),
                                          F.col("namespace").alias("value")))
@@ -168,7 +188,7 @@ def group_deltas(tables: AssetTables, assets: DataFrame, old_assets: DataFrame,
                  F.count_if(F.col("kind") == "namespace").cast("bigint").alias("namespace_counts"))
             .select(F.lit("creator").alias("level"), F.col("creator").alias("group_key"),
                     "domain_counts", "namespace_counts"))
-    old = tables.group_assets.current()
+    old = tables.group_assets.current(buckets)
     rows = (delta.join(old.select("level", "group_key", *[F.col(m).alias(f"__old_{m}")
                                                           for m in rollups.MEASURES]),
                        ["level", "group_key"], "left")
@@ -176,51 +196,49 @@ def group_deltas(tables: AssetTables, assets: DataFrame, old_assets: DataFrame,
             .select("level", "group_key", "domain_counts", "namespace_counts",
                     *[(F.coalesce(F.col(f"__old_{m}"), zero) + F.col(m)).alias(m)
                       for m in rollups.MEASURES]))
-    tables.group_assets.upsert(rows, batch_id)
+    tables.group_assets.upsert(rows, batch_id, buckets=buckets)
 
 
 def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
                 freeze_attributes: bool = False) -> None:
     """``foreachBatch`` body: merge the changed state rows, then refresh the rows of the
-    touched tables and touched groups, reading nothing outside them.
-
-    Live partitions are maintained as deltas: only the previous values of the
-    partition keys changed in this micro-batch are read (the compacted state is
-    bucketed by its full key, so a table holding a third of all partitions spreads
-    over all buckets and is never re-read whole). Group rows are maintained as deltas
-    of the touched tables' contributions (``group_deltas``). A table is touched when any
-    of its state keys changed; a group can change only through a touched table, and
-    every group a table was ever in (the old group of a move included) is in its
-    membership history. Counts and group rows are written before the state and the
-    table assets they are derived from, so a replay never takes a delta twice; each
+    touched tables and touched groups. Reads and rewrites are by bucket: those that hold a
+    changed partition, a touched table, a touched group or a touched creator.
+
+    Live partitions are maintained as deltas: only the buckets of the partitions changed
+    in this micro-batch are read for their previous values (a table holding a third of all
+    partitions spreads over all buckets and is never one task's work). Group rows are
+    maintained as deltas of the touched tables' contributions (``group_deltas``). A table
+    is touched when any of its state keys changed; a group can change only through a
+    touched table, and every group a table was ever in (the old group of a move included)
+    is in its membership history. Counts and group rows are written before the state and
+    the table assets they are derived from, so a replay never takes a delta twice; each
     table checks the batch id on its own, so a micro-batch replayed after a failure
     skips what was applied and finishes the rest.
     """
-    changed = materialize(changed, f"changed-{batch_id}")
+    scratch: list[str] = []
+    changed = materialize(changed, f"changed-{batch_id}", scratch)
     touched = changed.select("table_id").distinct()
-    # In one small aggregate: the touched buckets of the state, of the per-table tables
-    # (all bucketed by table_id), of the touched tables' description and commit rows,
-    # and the kinds present. Each set is bounded by the bucket count (or 4 kinds).
-    st = tables.compacted
+    # In one small aggregate: the touched buckets of the partitions and of the per-table
+    # tables, and those of the tables whose description or totals changed. Each set is
+    # bounded by the bucket count.
+    is_p = F.col("kind") == "p"
+    by_table = tables.table_assets.bucket_of()
     sets = changed.agg(
-        F.collect_set(st.bucket_of()).alias("state"),
-        F.collect_set(tables.table_assets.bucket_of()).alias("tables"),
-        F.array_union(
-            F.collect_set(st.bucket_of(F.lit("t"), F.col("table_id"), F.lit(""))),
-            F.collect_set(st.bucket_of(F.lit("c"), F.col("table_id"), F.lit("")))).alias("tc"),
-        F.collect_set("kind").alias("kinds")).first()
-    buckets, table_buckets, tc_buckets = (sorted(sets[k] or []) for k in ("state", "tables", "tc"))
-    kinds = set(sets["kinds"] or [])
-
-    if "p" in kinds:
-        keys = changed.where(F.col("kind") == "p").select(*KEYS, "op")
-        before = (tables.compacted.current(buckets).where(F.col("kind") == "p")
-                  .select(*KEYS, "op").join(keys.select(*KEYS), KEYS, "left_semi"))
+        F.collect_set(F.when(is_p, tables.partition_state.bucket_of(F.col("table_id"), F.col("sub_key")))).alias("p"),
+        F.collect_set(F.when(~is_p, by_table)).alias("tc"), F.collect_set(by_table).alias("tables")).first()
+    p_buckets, tc_buckets, table_buckets = (sorted(sets[k] or []) for k in ("p", "tc", "tables"))
+
+    if p_buckets:
+        now = changed.where(is_p).select("table_id", F.col("sub_key").alias("partition_desc"),
+                                         (F.col("op") == F.lit(OP_DELETE)).alias("deleted"))
+        key = ["table_id", "partition_desc"]
+        before = tables.partition_state.current(p_buckets).join(now.select(*key), key, "left_semi")
 
         def live(df: DataFrame, sign: int) -> DataFrame:
-            return df.select("table_id", F.when(F.col("op") != F.lit(OP_DELETE), F.lit(sign))
-                             .otherwise(F.lit(0)).cast("bigint").alias("d"))
-        delta = (live(keys, 1).unionByName(live(before, -1))
+            return df.select("table_id", F.when(~F.col("deleted"), F.lit(sign)).otherwise(F.lit(0))
+                             .cast("bigint").alias("d"))
+        delta = (live(now, 1).unionByName(live(before, -1))
                  .groupBy("table_id").agg(F.sum("d").alias("d")))
         old = tables.partition_counts.current(table_buckets)
         counts = delta.join(old, "table_id", "left").select(
@@ -228,36 +246,78 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
             .alias("partition_counts"))
         # Old counts and old state are read from immutable folders: no lineage cut needed.
         tables.partition_counts.upsert(counts, batch_id, buckets=table_buckets)
-    tables.compacted.upsert(changed, batch_id, buckets=buckets)
+        tables.partition_state.upsert(now, batch_id, buckets=p_buckets)
+    if tc_buckets:
+        tables.table_state.upsert(changed.where(~is_p), batch_id, buckets=tc_buckets)
 
     # Description and commit totals of the touched tables, looked up by their keys.
-    rows = (tables.compacted.current(tc_buckets)
-            .where(F.col("kind").isin("t", "c")).join(touched, "table_id", "left_semi"))
-    c = split_compacted(rows)
+    c = split_compacted(tables.table_state.current(table_buckets).join(touched, "table_id", "left_semi"))
     counts = tables.partition_counts.current(table_buckets).join(touched, "table_id", "left_semi")
     latest = facts.latest_table_info(c.table_info)
     assets = materialize(facts.table_level_assets(facts.table_with_partitions(latest, counts),
-                                                  c.totals), f"touched-assets-{batch_id}")
+                                                  c.totals), f"touched-assets-{batch_id}", scratch)
     # Group rows by deltas, written before the table assets: the "old" asset rows read
     # here are then always the ones before this micro-batch, also on a replay.
     old_assets = tables.table_assets.current(table_buckets).join(touched, "table_id", "left_semi")
     history = materialize(facts.table_groups(c.table_info)
                           .join(assets.select("table_id"), "table_id", "left_semi"),
-                          f"touched-history-{batch_id}")
-    group_deltas(tables, assets, old_assets, history, batch_id)
+                          f"touched-history-{batch_id}", scratch)
+    group_deltas(tables, assets, old_assets, history, batch_id, scratch)
     tables.table_assets.upsert(assets, batch_id, buckets=table_buckets)
     if freeze_attributes:
-        tables.table_sink.upsert(assets, batch_id, buckets=table_buckets,
-                                 frozen=("table_name", "domain", "creator", "namespace"))
-    # Commits that cannot be counted, as held in the state (one row per bad change).
-    if "q" in kinds:
-        tables.quarantine.upsert(quarantined(changed), batch_id)
+        tables.table_sink.upsert(assets, batch_id, buckets=table_buckets, frozen=FROZEN)
+    for folder in scratch:
+        remove_folder(changed.sparkSession, folder)
+
+
+FROZEN = ("table_name", "domain", "creator", "namespace")
+
+
+def write_jdbc(tables: AssetTables, url: str, properties: dict, batch_size: int = 50) -> None:
+    """The four result tables upserted into a database (K1-K5): of existing rows only the
+    measures are replaced at table level, every non-key column at group level."""
+    measures = [f.name for f in TABLE_LEVEL_ASSETS.fields if f.name not in ("table_id", *FROZEN)]
+    jdbc_upsert(tables.table_level_assets(), url, "table_level_assets", "table_id", measures, properties, batch_size)
+    for level, name in (("namespace", "namespace_level_assets"), ("domain", "domain_level_assets"),
+                        ("creator", "user_level_assets")):
+        rows = tables.level_assets(level)
+        jdbc_upsert(rows, url, name, level, [c for c in rows.columns if c != level], properties, batch_size)
+
+
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of a checkpoint: made at its first use and stored beside it. Batch ids
+    count within one checkpoint only."""
+    path = f"{checkpoint}/writer"
+    try:
+        return spark.read.parquet(path).first()["writer"]
+    except AnalysisException:  # a new checkpoint
+        name = uuid.uuid4().hex
+        spark.createDataFrame([(name,)], "writer string").coalesce(1).write.parquet(path)
+        return name
+
+
+def start_quarantine(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None):
+    """Starts the stateless query that appends unusable envelopes and commits, with the
+    reason, to ``base/quarantine`` (exactly-once file sink)."""
+    bad_commits = quarantined(tagged_changes(decoded_stream)).select(
+        "problem", F.lit(DATA_COMMIT_INFO).alias("table_name"), "commit_op", "seq", "table_id", "commit_id",
+        F.lit(None).cast("string").alias("raw"))
+    rejects = rejected(decoded_stream).withColumn("commit_id", F.lit(None).cast("string"))
+    rows = rejects.select(*QUARANTINE.fieldNames()).unionByName(bad_commits.select(*QUARANTINE.fieldNames()))
+    return (rows.writeStream.format("parquet").option("path", f"{base}/quarantine")
+            .option("checkpointLocation", f"{checkpoint}/quarantine")
+            .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 
 
 def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
-          freeze_attributes: bool = False, buckets: int | None = None):
+          freeze_attributes: bool = False, buckets: int | None = None, qualify_ids: bool = False,
+          jdbc: dict | None = None):
     """Starts the asset query (one stateful aggregate, ``foreachBatch``); returns its handle.
 
+    ``qualify_ids`` as in batch (D15). ``jdbc`` (url, properties): the result tables are
+    also upserted into a database after each micro-batch. The state counts a commit once
+    per delivery; a source that repeats events goes through ``changelog.land_once`` first.
+
     ``trigger``: e.g. ``{"processingTime": "30 seconds"}`` (the reference's checkpoint
     interval) or ``{"availableNow": True}`` for catch-up runs and tests.
     """
@@ -269,11 +329,17 @@ def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict |
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
                        "true")
-    tables = AssetTables.at(spark, base, buckets)
+    tables = AssetTables.at(spark, base, buckets, writer_of(spark, checkpoint))
+
+    def each(df: DataFrame, batch_id: int) -> None:
+        apply_batch(tables, df, batch_id, freeze_attributes)
+        if jdbc is not None:
+            write_jdbc(tables, **jdbc)
+
     trig = trigger or {"processingTime": "30 seconds"}
-    return (compaction_agg(tagged_changes(decoded_stream)).writeStream.outputMode("update")
+    return (compaction_agg(tagged_changes(decoded_stream, qualify_ids)).writeStream.outputMode("update")
             .option("checkpointLocation", f"{checkpoint}/assets")
-            .foreachBatch(lambda df, bid: apply_batch(tables, df, bid, freeze_attributes))
+            .foreachBatch(each)
             .trigger(**trig).start())
 
 
@@ -281,9 +347,11 @@ def run_available(decoded_stream: DataFrame, base: str, checkpoint: str,
                   freeze_attributes: bool = False, buckets: int | None = None) -> AssetTables:
     """Processes everything available now, in as many micro-batches as the source
     makes, and returns the result tables."""
-    query = start(decoded_stream, base, checkpoint, {"availableNow": True}, freeze_attributes,
-                  buckets)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return AssetTables.at(decoded_stream.sparkSession, base, buckets)
+    now = {"availableNow": True}
+    for query in (start(decoded_stream, base, checkpoint, now, freeze_attributes, buckets),
+                  start_quarantine(decoded_stream, base, checkpoint, now)):
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+    spark = decoded_stream.sparkSession
+    return AssetTables.at(spark, base, buckets, writer_of(spark, checkpoint))

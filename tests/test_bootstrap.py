@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 
 from assetlens import registry
 from assetlens.operators import facts
+from assetlens.sources import changelog
 from assetlens.sources import fixtures as fx
 from conftest import SF_SMALL
 
 
 def test_snapshot_plus_later_log_equals_whole_log(spark):
-    boot = registry.q_snapshot_bootstrap(spark, SF_SMALL)
+    boot = registry.q_snapshot_bootstrap(spark, SF_SMALL).where("table_name = 'partition_info'") \
+        .withColumnRenamed("detail", "partition_desc")
     cut = registry.orders_mid(spark, SF_SMALL)
     assert boot.where(F.col("commit_op") == "read").where(F.col("seq") != cut).count() == 0
     assert boot.where(F.col("commit_op") != "read").where(F.col("seq") <= cut).count() == 0
@@ -18,3 +20,10 @@ def test_snapshot_plus_later_log_equals_whole_log(spark):
     counts = lambda df: sorted(tuple(r) for r in facts.live_partition_counts(
         facts.compact_partitions(df)).where(F.col("partition_counts") > 0).collect())
     assert counts(boot) == counts(whole)
+
+
+def test_splits_cover_every_row_once():
+    one = changelog.snapshot_splits("table_id", 10)
+    assert one == ["mod(abs(hashtext(table_id)::bigint), 1) = 0 or table_id is null"]
+    many = changelog.snapshot_splits("table_id", 5_000_000_000, 1024)
+    assert len(many) == 4_882_813 and len(set(many)) == len(many)

@@ -73,3 +73,51 @@ def test_several_schemas_qualify_table_ids(spark):
     b = _decode(spark, envs, topic="srv.s2.partition_info")
     _, pi, _ = envelope.route_all(a.unionByName(b), qualify_ids=True)
     assert sorted(r["table_id"] for r in pi.collect()) == ["s1.t", "s2.t"]
+
+
+def test_connector_records_and_rejects(spark):
+    import json
+    import tempfile
+
+    from assetlens.plans.batch import compute_assets_from_feed
+    from assetlens.sources import changelog
+    from assetlens.sources import envelope as env
+    from conftest import b64
+    path = tempfile.mkdtemp(prefix="connector-") + "/f"
+
+    def record(op, table, img, lsn, **more):
+        before, after = (img, None) if op == "d" else (None, img)
+        return json.dumps({"op": op, "before": before, "after": after,
+                           "source": {"schema": "public", "table": table, "lsn": lsn}} | more)
+    commit = {"table_id": "a", "commit_id": "c", "committed": True, "file_ops": [b64('(f,add,10,"x")')]}
+    lines = [
+        record("c", "table_info", {"table_id": "a", "table_name": "A", "table_namespace": "n", "domain": "d",
+                                   "creator": "u"}, 1),
+        record("c", "partition_info", {"table_id": "a", "partition_desc": "p"}, 2),
+        record("c", "data_commit_info", commit, 3),
+        record("c", "data_commit_info", commit, None),
+        record("x", "partition_info", {"table_id": "a", "partition_desc": "q"}, 4),
+        record("c", "partition_info", {"partition_desc": "q"}, 5),
+        '{"op": "c", "source"',
+        record("c", "other", {"table_id": "a"}, None),
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    decoded = changelog.read_changes(spark, path)
+    r = compute_assets_from_feed(decoded)
+    assert [tuple(x) for x in r.table_assets.collect()] == [("a", "A", "d", "u", "n", "create", 1, 1, 10)]
+    assert sorted((x["problem"], x["seq"]) for x in r.rejects.collect()) == [
+        ("bad_json", None), ("no_operation", 4), ("no_position", None), ("no_table_id", 5)]
+    raw = [x["raw"] for x in r.rejects.collect() if x["problem"] == "bad_json"]
+    assert raw == ['{"op": "c", "source"']
+    assert env.usable(decoded).count() == 4
+    # From Kafka the position is the offset when the record has none.
+    kafka = spark.createDataFrame([(lines[3], "srv.public.data_commit_info", 77)], "value string, topic string, offset long")
+    got = env.decode_envelopes(kafka, topic_col="topic", offset_col="offset").first()
+    assert (got["seq"], got["table_name"], got["schema_name"]) == (77, "data_commit_info", "public")
+
+
+def test_kafka_needs_topics(spark):
+    import pytest
+    from assetlens.sources import changelog
+    with pytest.raises(ValueError, match="topics"):
+        changelog.read_change_stream(spark, kafka={"kafka.bootstrap.servers": "nowhere:1"})

@@ -31,7 +31,7 @@ def test_feed_batch_with_quarantine_and_other_tables(spark):
         _env("create", "namespace", {"table_id": "zz"}, 7),
     ]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
-    r = compute_assets_from_feed(changelog.read_changes(spark, path), keep=False)
+    r = compute_assets_from_feed(changelog.read_changes(spark, path))
     assert [tuple(x) for x in r.table_assets.collect()] == [
         ("a", "A", "d1", "u1", "n1", "create", 1, 1, 10)]
     assert [(x["commit_id"], x["seq"], x["problem"]) for x in r.quarantine.collect()] == [

@@ -23,7 +23,7 @@ def plan_of(df) -> str:
     return out.getvalue()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in entry_mod.queries()
+@pytest.mark.parametrize("key", sorted(k for k in registry.QUERIES
                                        if not k.startswith(READ_BACK)))
 def test_no_python_on_the_data_path(spark, key):
     plan = plan_of(entry_mod.queries()[key](spark, SF_SMALL))
@@ -62,4 +62,23 @@ def test_feed_compaction_scans_and_parses_once(spark):
     assert tree.count("Scan json") == 1 and "Union" not in tree, tree
     assert tree.count("Exchange") == 1, tree
     assert plan.count("aggregate(transform(") == 1 and "from_json" not in plan
-    assert "PushedFilters: [In(tableName" in plan
+
+
+def test_feed_batch_aggregates_partitions_and_commits_by_hash(spark):
+    from assetlens.plans.compaction import compact_tagged, tagged_changes
+    from assetlens.session import materialize
+    from assetlens.sources import changelog
+    decoded = changelog.read_changes(spark, registry._envelope_feed(spark, SF_SMALL))
+    c = compact_tagged(materialize(tagged_changes(decoded), "tagged", partition_by="kind"))
+    for frame in (c.partitions, c.totals):
+        plan = plan_of(frame)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHash" not in plan, plan
+        assert "PartitionFilters: [isnotnull(kind" in plan  # the other kinds' files are not read
+
+
+def test_rollups_read_the_assets_once(spark):
+    from assetlens.operators import rollups
+    assets = registry.q_table_level_assets(spark, SF_SMALL)
+    from assetlens.session import materialize
+    plan = plan_of(rollups.live_measures_by_level(materialize(assets, "assets"))).split("\n\n")[0]
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange") == 1, plan

@@ -3,12 +3,13 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import types as T
 
 from assetlens import registry
-from assetlens.plans.batch import compute_assets
-from assetlens.schemas import TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema
-from assetlens.sinks.upsert import VersionedTable
+from assetlens.plans.batch import compute_assets, compute_assets_from_feed
+from assetlens.schemas import NAMESPACE_LEVEL_ASSETS, TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema
+from assetlens.sinks.upsert import VersionedTable, jdbc_upsert_statement
 from assetlens.sources import changelog
 from assetlens.sources import fixtures as fx
 from assetlens.streaming import job
@@ -26,8 +27,8 @@ def test_stream_equals_batch_over_several_micro_batches(spark):
     assert len(parts) == 3
     stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=2)
     tables = job.run_available(stream, f"{base}/out", f"{base}/chk")
-    # Three parts, one per trigger: three versions of the compacted state.
-    assert tables.compacted.head()[1] == 2
+    # Three parts, one per trigger.
+    assert tables.table_state.head()[1] == 2
     b = compute_assets(fx.fx_table_info(spark, SF_SMALL), fx.fx_partition_info(spark, SF_SMALL),
                        fx.fx_commit_changes(spark, SF_SMALL))
     assert _sorted(tables.table_level_assets()) == _sorted(
@@ -37,7 +38,10 @@ def test_stream_equals_batch_over_several_micro_batches(spark):
         assert _sorted(got) == _sorted(to_result_schema(want, got.schema))
     assert _sorted(tables.level_assets("creator")) == _sorted(
         to_result_schema(b.user_assets, USER_LEVEL_ASSETS))
-    assert tables.quarantine.current().count() == 0
+    feed = compute_assets_from_feed(changelog.read_changes(spark, f"{base}/feed/*"))
+    quarantine = tables.quarantine()
+    assert quarantine.where("commit_id is not null").count() == feed.quarantine.count() > 0
+    assert quarantine.where("commit_id is null").count() == feed.rejects.count() > 0
 
 
 def test_replayed_batch_changes_nothing(spark):
@@ -98,9 +102,9 @@ def test_stream_quarantine_freeze_and_replay(spark):
             .write.text(f"{base}/feed/part={i}")
     stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
     tables = job.run_available(stream, f"{base}/out", f"{base}/chk", freeze_attributes=True)
-    assert tables.compacted.head()[1] == 1
+    assert tables.table_state.head()[1] == 1
     # The unparsable commit is quarantined, the other counted.
-    q = tables.quarantine.current().collect()
+    q = tables.quarantine().collect()
     assert [(r["commit_id"], r["problem"]) for r in q] == [("c2", "unparsed_file_op")]
     # Frozen sink keeps the first attributes; the rollups follow the move.
     assert _sorted(tables.table_level_assets()) == [("a", "A", "d1", "u1", "n1", 1, 1, 10)]
@@ -108,7 +112,7 @@ def test_stream_quarantine_freeze_and_replay(spark):
     assert _sorted(tables.level_assets("creator")) == [("u1", 2, 2, 1, 1, 1, 10)]
     # Replaying an applied micro-batch changes nothing.
     before = [_sorted(t.current()) for t in (tables.table_assets, tables.group_assets)]
-    job.apply_batch(tables, tables.compacted.current().limit(0), 1)
+    job.apply_batch(tables, tables.table_state.current().limit(0), 1)
     assert [_sorted(t.current()) for t in (tables.table_assets, tables.group_assets)] == before
 
 
@@ -130,7 +134,149 @@ def test_stream_partition_count_deltas_across_batches(spark):
             .write.text(f"{base}/feed/part={i}")
     stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
     tables = job.run_available(stream, f"{base}/out", f"{base}/chk")
-    assert tables.compacted.head()[1] == 2
+    assert tables.partition_state.head()[1] == 2
     # p1 re-created, p2 deleted, p3 live.
     assert _sorted(tables.partition_counts.current()) == [("a", 2)]
     assert _sorted(tables.table_level_assets()) == [("a", "A", "d1", "u1", "n1", 2, 1, 10)]
+
+
+def _run(spark, batches, buckets=8, **kw):
+    """Each list of envelopes is one micro-batch."""
+    base = tempfile.mkdtemp(prefix="stream-run-")
+    for i, lines in enumerate(batches):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{base}/feed/part={i}")
+    stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
+    return job.run_available(stream, f"{base}/out", f"{base}/chk", buckets=buckets, **kw), base
+
+
+def _table(t, ns, seq, op="create"):
+    return _envelope(op, "table_info", {"table_id": t, "table_name": t.upper(), "table_namespace": ns,
+                                        "domain": "d", "creator": "u"}, seq)
+
+
+def _partition(t, desc, seq, op="create"):
+    return _envelope(op, "partition_info", {"table_id": t, "partition_desc": desc}, seq)
+
+
+def _commit(t, cid, seq, size=10, op="create", ops=None):
+    from conftest import b64
+    return _envelope(op, "data_commit_info", {"table_id": t, "commit_id": cid, "committed": True,
+                                              "file_ops": ops or [b64(f'(f,add,{size},"x")')]}, seq)
+
+
+def test_tables_whose_sides_come_in_different_micro_batches(spark):
+    tables, _ = _run(spark, [[_table("a", "n1", 1)], [_partition("a", "p", 2), _commit("a", "c", 3)]])
+    assert _sorted(tables.table_level_assets()) == [("a", "A", "d", "u", "n1", 1, 1, 10)]
+    full = [_table("a", "n1", 1), _partition("a", "p", 2), _commit("a", "c", 3)]
+    later = [[_table(t, "n2", 10 + i)] for i, t in enumerate("bcdefg")]
+    rest = [[_partition(t, "p", 20 + i), _commit(t, "c", 30 + i)] for i, t in enumerate("gfedcb")]
+    tables, _ = _run(spark, [full, *later, *rest])
+    assert [r[0] for r in _sorted(tables.table_level_assets())] == list("abcdefg")
+    assert _sorted(tables.level_assets("namespace")) == [("n1", 1, 1, 1, 10), ("n2", 6, 6, 6, 60)]
+
+
+def test_moves_deletes_and_recreation_across_micro_batches(spark):
+    start = [x for i, t in enumerate("abc") for x in
+             (_table(t, "n1", i), _partition(t, "p", 10 + i), _commit(t, "c", 20 + i))]
+    tables, _ = _run(spark, [start, [_table("a", "n2", 30, "update")], [_table("b", "n1", 31, "delete")],
+                             [_table("a", "n3", 32, "update"), _table("c", "n2", 33, "update")],
+                             [_table("b", "n2", 34)], [_commit("a", "c", 35, op="delete")]])
+    assert _sorted(tables.level_assets("namespace")) == [("n1", 0, 0, 0, 0), ("n2", 2, 2, 2, 20), ("n3", 1, 1, 0, 0)]
+    assert _sorted(tables.level_assets("creator")) == [("u", 1, 3, 3, 3, 2, 20)]
+
+
+def test_fixture_moves_and_deletes_straddle_micro_batches(spark):
+    env = fx.fx_envelopes(spark, SF_SMALL)
+    cuts = registry._seq_cuts(env, 4)
+    part = lambda s: sum(s > c for c in cuts)
+    seen = {}
+    for r in fx.fx_table_info(spark, SF_SMALL).collect():
+        seen.setdefault(r["table_id"], []).append((r["seq"], r["commit_op"]))
+    apart = {op: sum(1 for own in seen.values() for s, o in own if o == op and part(s) != part(min(own)[0]))
+             for op in ("update", "delete")}
+    assert apart["update"] >= 5 and apart["delete"] >= 3, apart
+
+
+def test_quarantine_keeps_commits_without_an_id(spark):
+    bad = [_commit("a", None, s, ops=["bm8="]) for s in (1, 2, 3)]
+    tables, base = _run(spark, [bad[:2], [bad[2], _commit("a", "x", 4, ops=["bm8="])]])
+    assert sorted((r["seq"], r["commit_id"]) for r in tables.quarantine().collect()) == [
+        (1, None), (2, None), (3, None), (4, "x")]
+    feed = compute_assets_from_feed(changelog.read_changes(spark, f"{base}/feed/*"))
+    assert feed.quarantine.count() == 4
+
+
+def test_new_checkpoint_on_an_old_output_folder_is_refused(spark):
+    tables, base = _run(spark, [[_table("a", "n1", 1), _partition("a", "p", 2), _commit("a", "c", 3)]])
+    stream = changelog.read_change_stream(spark, f"{base}/feed/*")
+    with pytest.raises(Exception, match="was written by"):
+        job.run_available(stream, f"{base}/out", f"{base}/other-chk", buckets=8)
+    # The same checkpoint goes on.
+    assert job.run_available(stream, f"{base}/out", f"{base}/chk", buckets=8).table_assets.head() == (0, 0)
+
+
+def test_bucket_count_is_stored_and_checked(spark):
+    base = tempfile.mkdtemp(prefix="sink-")
+    row = spark.createDataFrame([("a", "A", "d", "u", "n", 1, 2, 3)], TABLE_LEVEL_ASSETS)
+    assert VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=4).upsert(row, 0)
+    with pytest.raises(ValueError, match="4 buckets"):
+        VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=8).upsert(row, 1)
+
+
+def test_a_one_key_change_rewrites_one_bucket_with_one_file(spark):
+    base = tempfile.mkdtemp(prefix="sink-")
+    t = VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=8)
+    t.upsert(spark.createDataFrame([(f"k{i}", "A", "d", "u", "n", 1, 2, 3) for i in range(200)],
+                                   TABLE_LEVEL_ASSETS).repartition(7), 0)
+    first = dict(t._locations)
+    assert len(first) == 8
+    t.upsert(spark.createDataFrame([("k5", "B", "d", "u", "n", 1, 2, 3)], TABLE_LEVEL_ASSETS), 1)
+    changed = [b for b in first if t._locations[b] != first[b]]
+    assert len(changed) == 1
+    for loc in t._locations.values():
+        assert len([f for f in os.listdir(loc.removeprefix("file:")) if f.startswith("part-")]) == 1
+    assert t.current().count() == 200
+
+
+def test_superseded_folders_are_removed_and_empty_buckets_read_empty(spark):
+    base = tempfile.mkdtemp(prefix="sink-")
+    t = VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=4)
+    for i in range(8):
+        assert t.upsert(spark.createDataFrame([("a", "A", "d", "u", "n", i, 2, 3)], TABLE_LEVEL_ASSETS), i,
+                        buckets=[0, 1, 2, 3])
+    left = [d for d in os.listdir(f"{base}/t") if d.startswith("v")]
+    live = {b for d in left for b in os.listdir(f"{base}/t/{d}") if b.startswith("_bucket")}
+    assert len(live) == 1 and sum(len([b for b in os.listdir(f"{base}/t/{d}") if b.startswith("_bucket")])
+                                  for d in left) == 3
+    reopened = VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=4)
+    assert reopened.head() == (7, 7) and _sorted(reopened.current()) == [("a", "A", "d", "u", "n", 7, 2, 3)]
+    assert sum(reopened.current([b]).count() for b in range(4)) == 1
+
+
+def test_repeated_events_count_once_after_landing(spark):
+    base = tempfile.mkdtemp(prefix="land-")
+    lines = [_table("a", "n1", 1), _partition("a", "p", 2), _commit("a", "c", 3), _commit("a", "c", 3)]
+    for i, part in enumerate((lines, lines[2:])):
+        spark.createDataFrame([(x,) for x in part], "value string").coalesce(1).write.text(f"{base}/feed/part={i}")
+    stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
+    changelog.land_once(stream, f"{base}/landed", f"{base}/land-chk", {"availableNow": True}).awaitTermination()
+    tables = job.run_available(changelog.read_landed(spark, f"{base}/landed", stream.schema), f"{base}/out", f"{base}/chk")
+    assert _sorted(tables.table_level_assets()) == [("a", "A", "d", "u", "n1", 1, 1, 10)]
+    r = compute_assets_from_feed(changelog.read_changes(spark, f"{base}/feed/*"), at_least_once=True)
+    assert [x["file_counts"] for x in r.table_assets.collect()] == [1]
+
+
+def test_counts_beyond_int_do_not_stop_the_job(spark):
+    rows = spark.createDataFrame([("n", 1, 2, 3_000_000_000, 5), ("m", 1, 2, None, 5)],
+                                 "namespace string, table_counts long, partition_counts long, file_counts long, "
+                                 "file_total_size long")
+    got = {r["namespace"]: r["file_counts"] for r in to_result_schema(rows, NAMESPACE_LEVEL_ASSETS).collect()}
+    assert got == {"n": 2**31 - 1, "m": None}
+
+
+def test_merge_statement_text():
+    text = jdbc_upsert_statement("s.t", ["k", "a", "b"], "k", ["b"])
+    assert text == ("INSERT INTO s.t (k, a, b) SELECT k, a, b FROM s.t__staging "
+                    "ON CONFLICT (k) DO UPDATE SET b = EXCLUDED.b")
+    with pytest.raises(ValueError):
+        jdbc_upsert_statement("t; drop", ["k"], "k", [])
