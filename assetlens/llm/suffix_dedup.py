@@ -50,7 +50,7 @@ from assetlens.llm.common import id_and_text
 from assetlens.session import fresh_dir, materialize
 
 LENGTH, GRAM = 50, 20
-RUN_BYTES = 12 << 20
+RUN_BYTES = 6 << 20
 SEGMENT_BYTES = 1 << 20
 MAX_STREAMS = 256
 NO_ID = np.iinfo(np.int64).max
@@ -256,31 +256,33 @@ def smallest_ids(merged: Iterator[Entry], length: int) -> Iterator[tuple[int, by
                     if several or doc > least:
                         yield run, key, 0, length, least
             return
-        least_of: dict[bytes, int] = {}
-        windows = []
+        parts = []  # bytes before the anchor (nearest last), suffix from it, smallest id, holders
         for key, holders in group:
-            before = key[-1]
-            right, left = key[:len(key) - 1 - before], key[len(key) - 1 - before:-1][::-1]
-            least = min(h[1] for h in holders)
-            own = []
-            for reach in range(length - len(right), before + 1):
-                w = bytes((reach,)) + left[before - reach:] + right[:length - reach]
-                own.append((reach, w))
-                if least < least_of.get(w, NO_ID + 1):
-                    least_of[w] = least
-            windows.append(own)
-        for (key, holders), own in zip(group, windows):
-            for run, doc, several in holders:
-                spans: list[list[int]] = []
-                for reach, w in own:
-                    least = least_of[w]
+            cut = len(key) - 1 - key[-1]
+            parts.append((key[cut:-1][::-1], key[:cut], min(h[1] for h in holders), key, holders))
+        open_spans: dict[tuple[int, bytes], list[int]] = {}
+        for reach in range(length - GRAM + 1):  # one reach at a time: windows of one are held at once
+            least_of: dict[bytes, int] = {}
+            windows = []
+            for left, right, least, key, holders in parts:
+                if reach <= len(left) and length - reach <= len(right):
+                    w = left[len(left) - reach:] + right[:length - reach]
+                    windows.append((w, key, holders))
+                    if least < least_of.get(w, NO_ID + 1):
+                        least_of[w] = least
+            for w, key, holders in windows:
+                least = least_of[w]
+                for run, doc, several in holders:
                     if several or doc > least:
-                        if spans and spans[-1][2] == least and spans[-1][1] == reach - 1:
-                            spans[-1][1] = reach
-                        else:
-                            spans.append([reach, reach, least])
-                for one, last, least in spans:
-                    yield run, key, one, last, least
+                        span = open_spans.get((run, key))
+                        if span and span[1] == reach - 1 and span[2] == least:
+                            span[1] = reach
+                            continue
+                        if span:
+                            yield run, key, *span
+                        open_spans[run, key] = [reach, reach, least]
+        for (run, key), span in open_spans.items():
+            yield run, key, *span
 
     for common, key, doc, several, run in merged:
         if group and common < GRAM:
@@ -412,10 +414,11 @@ def smaller_elsewhere(runs: DataFrame, grams: DataFrame, buckets: int, length: i
     smallest id)."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run, blob, messages in zip(*(batch.column(c).to_pylist() for c in ("run", "blob", "messages"))):
+            for run, blob, sent in zip(batch.column("run").to_pylist(), batch.column("blob"), batch.column("messages")):
+                messages = sent.as_py()
                 if not messages:
                     continue
-                r, data = Run(blob), None
+                r = Run(blob.as_py())
                 repeated = np.sort(np.concatenate([_from_six_bytes(_unpacked(m, "u1")[0]) for m in messages]))
                 least: dict[bytes, int] = {}
                 several: set[bytes] = set()
@@ -428,7 +431,6 @@ def smaller_elsewhere(runs: DataFrame, grams: DataFrame, buckets: int, length: i
                             several.add(key)
                             if d < before:
                                 least[key] = d
-                del data
                 parts: dict[int, list[bytes]] = {}
                 for key in sorted(least):
                     parts.setdefault(zlib.crc32(key[:GRAM]) % buckets, []).append(key)
@@ -464,8 +466,8 @@ def marked(runs: DataFrame, answers: DataFrame, length: int) -> DataFrame:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            for blob, messages in zip(*(batch.column(c).to_pylist() for c in ("blob", "messages"))):
-                r = Run(blob)
+            for blob, sent in zip(batch.column("blob"), batch.column("messages")):
+                r, messages = Run(blob.as_py()), sent.as_py()
                 edges = np.zeros(len(r.data) + 1, np.int32)
                 if messages:
                     parts = [_unpacked(m, "<u8", "<u8", "u1", "u1", "<i8") for m in messages]
