@@ -12,15 +12,16 @@ FROM d JOIN g USING (h)
 
 OP1 = r"""
 WITH lines AS (
-  SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS unit
-  FROM documents),
+  SELECT doc_id, coalesce(text, '') AS text, unnest(cut) AS line,
+         generate_subscripts(cut, 1) - 1 AS unit
+  FROM (SELECT doc_id, text, string_split(regexp_replace(coalesce(text, ''), '([.!?]) ', '\1' || chr(10), 'g'),
+                                          chr(10)) AS cut FROM documents)),
 placed AS (
   SELECT doc_id, unit, line, length(line) AS length,
          sum(length(line) + 1) OVER (PARTITION BY doc_id, text ORDER BY unit) - length(line) - 1 AS start,
          trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
   FROM lines),
-units AS (SELECT * FROM placed WHERE length(norm) - length(replace(norm, ' ', '')) >= 4),
+units AS (SELECT * FROM placed WHERE length(norm) - length(replace(norm, ' ', '')) >= 5),
 firsts AS (
   SELECT norm, min((doc_id, unit)) AS f, count(*) AS copies FROM units GROUP BY norm HAVING count(*) > 1)
 SELECT doc_id, unit::BIGINT AS unit, start::BIGINT AS start, length::BIGINT AS length,

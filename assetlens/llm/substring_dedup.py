@@ -1,21 +1,24 @@
 """Substring dedup by line hashing (operator 1).
 
-Lines are normalised (lower case, white-space runs one space, ends trimmed) and hashed. Equal
-digests are grouped over the whole corpus, the occurrence of smallest rank (document id, then
-line number) stays, and every other one is removed; its character offsets in the original
-text are kept. Lines of fewer than MIN_WORDS words are no units: they recur by chance.
+Lines, cut once more after sentence ends, are the units: a passage that was pasted into the
+middle of other lines still has whole units in common with its copies. Units are normalised
+(lower case, white-space runs one space, ends trimmed) and hashed. Equal digests are grouped
+over the whole corpus, the occurrence of smallest rank (document id, then unit number) stays,
+and every other one is removed; its character offsets in the original text are kept. Pieces
+of fewer than MIN_WORDS words are no units: they recur by chance.
 
-Only units that occur twice or more take part in the join that finds the removed ones; a line
+Only units that occur twice or more take part in the join that finds the removed ones; a unit
 that is in a third of all documents is one row on the group side, and its occurrences are
 rows of a plain equi-join of two written tables, whose large partitions adaptive execution
 splits.
 
 Defined cases: null and empty texts have no units; null ids rank last; rows that repeat an id
-are ranked by the hash of their text as well, and equal rows keep the line in each of them.
+are ranked by the hash of their text as well, and equal rows keep the unit in each of them.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -26,19 +29,26 @@ from pyspark.sql import functions as F
 from assetlens.llm.common import id_and_text, text_key, text_slices
 from assetlens.session import materialize
 
-MIN_WORDS = 5
+MIN_WORDS = 6
+SENTENCE_END = re.compile(r"([.!?]) ")
 SLICE_BYTES = 4 << 20
 
 
+def pieces(text: str) -> list[str]:
+    """The text cut at line breaks and at the space after a sentence end; each piece is
+    followed by exactly one character of the text (the cut), the last by none."""
+    return SENTENCE_END.sub(r"\1\n", text).split("\n")
+
+
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per line of ``min_words`` or more: doc_id, text_key, unit (line number), start
+    """One row per piece of ``min_words`` or more: doc_id, text_key, unit (its number), start
     and length (characters of the original text), digest."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, SLICE_BYTES):
             row, unit, start, length, digest = [], [], [], [], []
             for r, text in enumerate(batch.column("text").to_pylist()):
                 at = 0
-                for n, line in enumerate(text.split("\n")):
+                for n, line in enumerate(pieces(text)):
                     words = line.lower().split()
                     if len(words) >= min_words:
                         row.append(r), unit.append(n), start.append(at), length.append(len(line))
@@ -55,7 +65,7 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def removed_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per removed line: doc_id, text_key, unit, start, length, and where the kept
+    """One row per removed unit: doc_id, text_key, unit, start, length, and where the kept
     occurrence is (first_doc_id, first_unit); copies counts all occurrences."""
     found = materialize(units(docs, min_words), "line-units")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "unit")
@@ -70,13 +80,24 @@ def removed_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """``docs`` with the removed lines cut from the text (each with the line break after it);
-    other columns, and texts without removed lines, as they are."""
+    """``docs`` with the removed units cut from the text (each with the character after it);
+    other columns, and texts without removed units, as they are."""
     spans = removed.groupBy(F.col("doc_id").alias("right_id"), F.col("text_key").alias("right_key")) \
-        .agg(F.collect_set("unit").alias("right_units"))
+        .agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("right_spans"))
     joined = docs.join(spans, docs["doc_id"].cast("long").eqNullSafe(spans["right_id"])
                        & (text_key(docs["text"]) == spans["right_key"]), "left")
-    kept = F.array_join(F.filter(F.split(docs["text"], "\n", -1),
-                                 lambda line, i: ~F.array_contains(spans["right_units"], i.cast("long"))), "\n")
-    text = F.when(spans["right_id"].isNull() & spans["right_key"].isNull(), docs["text"]).otherwise(kept)
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    at = docs.columns.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, gone in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+                kept, done = [], 0
+                for span in gone or ():
+                    kept.append(text[done:span["start"]])
+                    done = span["start"] + span["length"] + 1
+                texts.append("".join([*kept, text[done:]]) if kept else text)
+            columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    return joined.select(*[docs[c] for c in docs.columns], spans["right_spans"]).mapInArrow(cut, docs.schema)

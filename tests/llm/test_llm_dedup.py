@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from assetlens.llm import exact_dedup, queries, simhash_dedup, substring_dedup, suffix_dedup
 from assetlens.llm.components import components
 from assetlens.llm.common import read_table
-from assetlens.session import fresh_dir
+from assetlens.session import fresh_dir, materialize
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 from assetlens.llm.oracle import ORACLE
@@ -194,7 +194,7 @@ def test_line_dedup_offsets_point_at_the_lines(spark):
     assert got
     for r in got:
         line = docs[r["doc_id"]][r["start"]:r["start"] + r["length"]]
-        first = docs[r["first_doc_id"]].split("\n")[r["first_unit"]]
+        first = substring_dedup.pieces(docs[r["first_doc_id"]])[r["first_unit"]]
         assert line.lower().split() == first.lower().split() and "\n" not in line
 
 
@@ -204,3 +204,14 @@ def test_a_common_line_stays_once(spark):
                                    F.concat(F.lit(line + "\nown "), F.col("id").cast("string")).alias("text"))
     removed = substring_dedup.removed_units(docs)
     assert removed.count() == 499 and removed.filter("doc_id = 0").count() == 0
+
+
+def test_a_passage_inside_other_lines_is_found(spark):
+    passage = "and so it went on. The long passage was pasted here again. Nobody knew why it came back! It did so"
+    docs = spark.createDataFrame([(1, f"first words of one {passage} and its end"), (2, f"others came {passage} to stop"),
+                                  (3, "The clean text has nothing in common with those two. At all.")],
+                                 "doc_id long, text string")
+    removed = materialize(substring_dedup.removed_units(docs), "passage")
+    assert [r["doc_id"] for r in removed.orderBy("unit").collect()] == [2, 2]
+    texts = {r["doc_id"]: r["text"] for r in substring_dedup.cleaned(docs, removed).collect()}
+    assert texts[2] == "others came and so it went on. It did so to stop" and passage in texts[1]
