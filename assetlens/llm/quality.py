@@ -37,9 +37,13 @@ Condition = tuple[str, str, float]
 Rule = tuple[Condition, ...]
 
 
-def text_stats(text: Column) -> dict[str, Column]:
+def words_of(text: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(text, SPACE_RUN, " ")), " ")
+
+
+def text_stats(text: Column, words: Column | None = None) -> dict[str, Column]:
     """Statistics of a non-null text, each a double; shares are of characters or words."""
-    words = F.split(F.trim(F.regexp_replace(text, SPACE_RUN, " ")), " ")
+    words = words_of(text) if words is None else words
     n_words = F.size(words)
     n_chars = F.greatest(F.length(text), F.lit(1))
 
@@ -147,4 +151,10 @@ def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with all their columns."""
     model = fit(materialize(stats_table(docs), "quality-stats"), labels)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    return docs.filter(model.score(text_stats(text)) >= 0.5)
+    # The optimizer would repeat each statistic in every rule that uses it. The variable of
+    # a transform is evaluated once, so words and statistics are bound as one-element arrays.
+    stats = F.transform(F.array(words_of(text)), lambda words: F.struct(
+        *[c.alias(name) for name, c in text_stats(text, words).items()]))
+    names = list(text_stats(text))
+    score = F.transform(stats, lambda s: model.score({name: s[name] for name in names}))
+    return docs.filter(F.get(score, F.lit(0)) >= 0.5)
