@@ -25,6 +25,8 @@ back to the first window, reversed.
 5. The smallest ids go back to the runs that have larger ones, which mark the bytes.
 
 A passage that a third of all documents share is one entry per run, whatever its copies. A
+gram that stands in many different contexts (more than HOT_GRAM anchors in all) would gather
+them in one bucket: its windows are sent one by one instead, dealt by the whole window. A
 bucket holds about as many bytes as a run, and more than MAX_STREAMS runs are merged in
 passes. All tables are written to the shared folder; nothing but counts reaches the driver.
 
@@ -53,6 +55,7 @@ LENGTH, GRAM = 50, 20
 RUN_BYTES = 6 << 20
 SEGMENT_BYTES = 1 << 20
 MAX_STREAMS = 256
+HOT_GRAM = 1 << 15
 NO_ID = np.iinfo(np.int64).max
 _POSITION = np.uint64((1 << 22) - 1)
 _BYTE_HASH = np.random.default_rng(50).integers(1, 1 << 63, 256, np.uint64)
@@ -60,7 +63,9 @@ _FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165
                                    0x27D4EB2F165667C5, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 Entry = tuple[int, bytes, int, int, int]
-"""Common prefix with the entry before, key, smallest id, whether of several ids, run."""
+"""Common prefix with the entry before, key, smallest id, flags, run. Flag 1: the run has
+several ids with the key; flag 2: the key is one window of a hot gram."""
+SEVERAL, HOT = 1, 2
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
@@ -143,6 +148,16 @@ def keys_of(data: bytes, s1: np.ndarray, s2: np.ndarray, p: np.ndarray, length:
         yield data[c:b] + data[a:c][::-1] + bytes((c - a,))
 
 
+def one_by_one(s1: np.ndarray, s2: np.ndarray, p: np.ndarray, doc: np.ndarray,
+               hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Stretches of windows with those of hot grams cut into single windows, and which."""
+    windows = np.where(hot, s2 - s1 + 1, 1)
+    row = np.repeat(np.arange(len(s1)), windows)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+    first = s1[row] + nth
+    return first, np.where(hot[row], first, s2[row]), p[row], doc[row], hot[row]
+
+
 def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     if not len(among):
         return np.zeros(len(values), bool)
@@ -151,7 +166,7 @@ def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 # --- front coding and the loser tree -----------------------------------------------------
 
-def front_coded(keys: list[bytes], ids: list[int], several: list[int]) -> bytes:
+def front_coded(keys: list[bytes], ids: list[int], flags: list[int]) -> bytes:
     lens = np.array([len(k) for k in keys], np.uint8)
     width = int(lens.max())
     rows = np.array(keys, f"S{width}").view(np.uint8).reshape(len(keys), width)
@@ -162,17 +177,17 @@ def front_coded(keys: list[bytes], ids: list[int], several: list[int]) -> bytes:
     common[0] = 0
     common[1:] = np.minimum(common[1:], np.minimum(lens[1:], lens[:-1]))
     rest = b"".join([k[c:] for k, c in zip(keys, common.tolist())])
-    return _packed(common.astype(np.uint8), lens, np.array(ids, "<i8"), np.array(several, np.uint8),
+    return _packed(common.astype(np.uint8), lens, np.array(ids, "<i8"), np.array(flags, np.uint8),
                    np.frombuffer(rest, np.uint8))
 
 
 def entries_of(blob: bytes, run: int) -> Iterator[Entry]:
-    common, lens, ids, several, rest = _unpacked(blob, "u1", "u1", "<i8", "u1", "u1")
+    common, lens, ids, flags, rest = _unpacked(blob, "u1", "u1", "<i8", "u1", "u1")
     rest, at, key = rest.tobytes(), 0, b""
-    for c, n, doc, many in zip(common.tolist(), lens.tolist(), ids.tolist(), several.tolist()):
+    for c, n, doc, flag in zip(common.tolist(), lens.tolist(), ids.tolist(), flags.tolist()):
         key = key[:c] + rest[at:at + n - c]
         at += n - c
-        yield c, key, doc, many, run
+        yield c, key, doc, flag, run
 
 
 def _common_from(a: bytes, b: bytes, at: int) -> int:
@@ -242,19 +257,20 @@ def merge(streams: list[Iterator[Entry]]) -> Iterator[Entry]:
 
 # --- which windows have a smaller id elsewhere -------------------------------------------
 
-def smallest_ids(merged: Iterator[Entry], length: int) -> Iterator[tuple[int, bytes, int, int, int]]:
-    """run, key, first and last left reach, smallest id: windows of a run's entry that start
-    that many bytes before the anchor and whose smallest id is below one of the run's own."""
+def smallest_ids(merged: Iterator[Entry], length: int) -> Iterator[tuple[int, bytes, int, int, int, int]]:
+    """run, key, flags, first and last left reach, smallest id: windows of a run's entry that
+    start that many bytes before the anchor and whose smallest id is below one of the run's
+    own."""
     group: list[tuple[bytes, list[tuple[int, int, int]]]] = []  # keys with one anchor gram, and their holders
 
-    def settle() -> Iterator[tuple[int, bytes, int, int, int]]:
+    def settle() -> Iterator[tuple[int, bytes, int, int, int, int]]:
         if len(group) == 1:
             key, holders = group[0]
-            if len(holders) > 1 or holders[0][2]:
+            if len(holders) > 1 or holders[0][2] & SEVERAL:
                 least = min(h[1] for h in holders)
-                for run, doc, several in holders:
-                    if several or doc > least:
-                        yield run, key, 0, length, least
+                for run, doc, flags in holders:
+                    if flags & SEVERAL or doc > least:
+                        yield run, key, flags, 0, length, least
             return
         parts = []  # bytes before the anchor (nearest last), suffix from it, smallest id, holders
         for key, holders in group:
@@ -272,26 +288,26 @@ def smallest_ids(merged: Iterator[Entry], length: int) -> Iterator[tuple[int, by
                         least_of[w] = least
             for w, key, holders in windows:
                 least = least_of[w]
-                for run, doc, several in holders:
-                    if several or doc > least:
+                for run, doc, flags in holders:
+                    if flags & SEVERAL or doc > least:
                         span = open_spans.get((run, key))
                         if span and span[1] == reach - 1 and span[2] == least:
                             span[1] = reach
                             continue
                         if span:
-                            yield run, key, *span
-                        open_spans[run, key] = [reach, reach, least]
+                            yield run, key, flags, *span[:3]
+                        open_spans[run, key] = [reach, reach, least, flags]
         for (run, key), span in open_spans.items():
-            yield run, key, *span
+            yield run, key, span[3], *span[:3]
 
-    for common, key, doc, several, run in merged:
+    for common, key, doc, flags, run in merged:
         if group and common < GRAM:
             yield from settle()
             group.clear()
         if group and group[-1][0] == key:
-            group[-1][1].append((run, doc, several))
+            group[-1][1].append((run, doc, flags))
         else:
-            group.append((key, [(run, doc, several)]))
+            group.append((key, [(run, doc, flags)]))
     if group:
         yield from settle()
 
@@ -373,7 +389,8 @@ def _from_six_bytes(data: np.ndarray) -> np.ndarray:
 
 
 def repeated_grams(runs: DataFrame, buckets: int, length: int) -> DataFrame:
-    """(run, blob): hashes of the run's anchor grams that occur in two documents or more."""
+    """(run, blob): hashes of the run's anchor grams that occur in two documents or more,
+    and whether they are hot."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run, blob in zip(batch.column("run").to_pylist(), batch.column("blob")):
@@ -391,27 +408,35 @@ def repeated_grams(runs: DataFrame, buckets: int, length: int) -> DataFrame:
                 bucket = (gram[new] % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                yield _rows(_TO_BUCKET, [(b, run, _packed(_six_bytes(value[order[i:j]])))
+                times = (last[:len(new)] - new + 1).astype("<u4")
+                yield _rows(_TO_BUCKET, [(b, run, _packed(_six_bytes(value[order[i:j]]), times[order[i:j]]))
                                          for b, (i, j) in enumerate(zip(bounds[:-1], bounds[1:])) if j > i])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _buckets_of(batches):
-            sent = [_from_six_bytes(_unpacked(blob, "u1")[0]) for _, blob in rows]
+            parts = [_unpacked(blob, "u1", "<u4") for _, blob in rows]
+            sent = [_from_six_bytes(values) for values, _ in parts]
             value = np.concatenate(sent)
-            gram = np.sort(value >> np.uint64(1))
-            repeated = np.unique(np.concatenate([gram[1:][gram[1:] == gram[:-1]],
-                                                 value[(value & np.uint64(1)) == 1] >> np.uint64(1)]))
-            out = [(run, own >> np.uint64(1)) for (run, _), own in zip(rows, sent)]
-            yield _rows(_TO_RUN, [(run, _packed(_six_bytes(own))) for run, g in out
-                                  if len(own := g[_member(g, repeated)])])
+            gram, at, runs_with = np.unique(value >> np.uint64(1), return_inverse=True, return_counts=True)
+            several = np.bincount(at, value & np.uint64(1), len(gram)) > 0
+            hot = np.bincount(at, np.concatenate([times for _, times in parts]), len(gram)) > HOT_GRAM
+            use = (runs_with > 1) | several
+            repeated, answers = gram[use], gram[use] << np.uint64(1) | hot[use].astype(np.uint64)
+            out = []
+            for (run, _), own in zip(rows, sent):
+                own = own >> np.uint64(1)
+                own = own[_member(own, repeated)]
+                if len(own):
+                    out.append((run, _packed(_six_bytes(answers[np.searchsorted(repeated, own)]))))
+            yield _rows(_TO_RUN, out)
 
     sent = runs.mapInArrow(send, "bucket int, run long, blob binary")
     return materialize(_by_bucket(sent, buckets).mapInArrow(answer, "run long, blob binary"), "suffix-grams")
 
 
 def smaller_elsewhere(runs: DataFrame, grams: DataFrame, buckets: int, length: int) -> DataFrame:
-    """(run, blob): entries of the run that a smaller id has too (gram hash, key hash, reach,
-    smallest id)."""
+    """(run, blob): entries of the run that a smaller id has too (gram hash, key hash, flags,
+    first and last reach, smallest id)."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run, blob, sent in zip(batch.column("run").to_pylist(), batch.column("blob"), batch.column("messages")):
@@ -419,13 +444,18 @@ def smaller_elsewhere(runs: DataFrame, grams: DataFrame, buckets: int, length: i
                 if not messages:
                     continue
                 r = Run(blob.as_py())
-                repeated = np.sort(np.concatenate([_from_six_bytes(_unpacked(m, "u1")[0]) for m in messages]))
+                told = np.sort(np.concatenate([_from_six_bytes(_unpacked(m, "u1")[0]) for m in messages]))
+                repeated, hot = told >> np.uint64(1), told[(told & np.uint64(1)) == 1] >> np.uint64(1)
+                single: set[bytes] = set()  # keys of hot grams
                 least: dict[bytes, int] = {}
                 several: set[bytes] = set()
                 data = r.data.tobytes()
                 for s1, s2, p, doc, gram in r.anchors(length):
                     use = _member(gram, repeated)
-                    for key, d in zip(keys_of(data, s1[use], s2[use], p[use], length), r.ids[doc[use]].tolist()):
+                    s1, s2, p, doc, one = one_by_one(s1[use], s2[use], p[use], doc[use], _member(gram[use], hot))
+                    for key, d, h in zip(keys_of(data, s1, s2, p, length), r.ids[doc].tolist(), one.tolist()):
+                        if h:
+                            single.add(key)
                         before = least.setdefault(key, d)
                         if before != d:
                             several.add(key)
@@ -433,25 +463,27 @@ def smaller_elsewhere(runs: DataFrame, grams: DataFrame, buckets: int, length: i
                                 least[key] = d
                 parts: dict[int, list[bytes]] = {}
                 for key in sorted(least):
-                    parts.setdefault(zlib.crc32(key[:GRAM]) % buckets, []).append(key)
+                    parts.setdefault(zlib.crc32(key if key in single else key[:GRAM]) % buckets, []).append(key)
                 for b, keys in parts.items():
-                    yield _rows(_TO_BUCKET, [(b, run, front_coded(keys, [least[k] for k in keys],
-                                                                  [k in several for k in keys]))])
+                    yield _rows(_TO_BUCKET, [(b, run, front_coded(
+                        keys, [least[k] for k in keys],
+                        [SEVERAL * (k in several) + HOT * (k in single) for k in keys]))])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for rows in _buckets_of(batches):
             streams = [entries_of(blob, run) for run, blob in rows]
             out: dict[int, list[tuple]] = {}
-            for run, key, one, last, doc in smallest_ids(merge(streams), length):
-                out.setdefault(run, []).append((key, one, last, doc))
+            for run, *found in smallest_ids(merge(streams), length):
+                out.setdefault(run, []).append(found)
             messages = []
             for run, found in out.items():
                 grams = np.frombuffer(b"".join(k[:GRAM] for k, *_ in found), np.uint8)
                 messages.append((run, _packed(
                     gram_hashes(grams)[::GRAM] >> np.uint64(17),
-                    np.array([digest(k) for k, *_ in found], "<u8"), np.array([x[1] for x in found], np.uint8),
-                    np.array([x[2] for x in found], np.uint8), np.array([x[3] for x in found], "<i8"))))
+                    np.array([digest(k) for k, *_ in found], "<u8"),
+                    *[np.array([x[i] for x in found], np.uint8) for i in (1, 2, 3)],
+                    np.array([x[4] for x in found], "<i8"))))
             yield _rows(_TO_RUN, messages)
 
     sent = _with_messages(runs, grams).mapInArrow(send, "bucket int, run long, blob binary")
@@ -470,19 +502,20 @@ def marked(runs: DataFrame, answers: DataFrame, length: int) -> DataFrame:
                 r, messages = Run(blob.as_py()), sent.as_py()
                 edges = np.zeros(len(r.data) + 1, np.int32)
                 if messages:
-                    parts = [_unpacked(m, "<u8", "<u8", "u1", "u1", "<i8") for m in messages]
+                    parts = [_unpacked(m, "<u8", "<u8", "u1", "u1", "u1", "<i8") for m in messages]
                     grams = np.unique(np.concatenate([x[0] for x in parts]))
+                    hot = np.unique(np.concatenate([x[0][x[2] & HOT > 0] for x in parts]))
                     told: dict[int, list[tuple[int, int, int]]] = {}
-                    for _, keys, one, last, ids in parts:
+                    for _, keys, _, one, last, ids in parts:
                         for k, *span in zip(keys.tolist(), one.tolist(), last.tolist(), ids.tolist()):
                             told.setdefault(k, []).append(tuple(span))
                     data = r.data.tobytes()
                     begins, ends = [], []
                     for s1, s2, p, doc, gram in r.anchors(length):
                         use = _member(gram, grams)
-                        s1, s2, p = s1[use], s2[use], p[use]
+                        s1, s2, p, doc, _ = one_by_one(s1[use], s2[use], p[use], doc[use], _member(gram[use], hot))
                         for key, a, b, c, d in zip(keys_of(data, s1, s2, p, length), s1.tolist(), s2.tolist(),
-                                                   p.tolist(), r.ids[doc[use]].tolist()):
+                                                   p.tolist(), r.ids[doc].tolist()):
                             for one, last, least in told.get(digest(key), ()):
                                 if d > least:
                                     begins.append(max(a, c - last))

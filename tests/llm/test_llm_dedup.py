@@ -138,8 +138,10 @@ def brute_removed(docs, length=50):
     return sorted(out.values())
 
 
-def test_suffix_dedup_against_brute_force_on_small_alphabets(spark, monkeypatch):
+@pytest.mark.parametrize("hot_gram", [1 << 15, 12, 0])
+def test_suffix_dedup_against_brute_force_on_small_alphabets(spark, monkeypatch, hot_gram):
     rng = random.Random(11)
+    monkeypatch.setattr(suffix_dedup, "HOT_GRAM", hot_gram)
     shared = ["".join(rng.choices("ab ", k=rng.randint(30, 400))) for _ in range(12)]
     docs = []
     for d in range(150):
@@ -215,3 +217,16 @@ def test_a_passage_inside_other_lines_is_found(spark):
     assert [r["doc_id"] for r in removed.orderBy("unit").collect()] == [2, 2]
     texts = {r["doc_id"]: r["text"] for r in substring_dedup.cleaned(docs, removed).collect()}
     assert texts[2] == "others came and so it went on. It did so to stop" and passage in texts[1]
+
+
+def test_merge_in_passes(monkeypatch):
+    rng = random.Random(9)
+    monkeypatch.setattr(suffix_dedup, "MAX_STREAMS", 3)
+    lists = [sorted({bytes(rng.choices(b"abc", k=rng.randint(1, 12))) + b"\x01" for _ in range(30)}) for _ in range(20)]
+    streams = [suffix_dedup.entries_of(suffix_dedup.front_coded(keys, [1] * len(keys), [0] * len(keys)), i)
+               for i, keys in enumerate(lists)]
+    out = list(suffix_dedup.merge(streams))
+    assert [e[1] for e in out] == sorted(k for keys in lists for k in keys)
+    for (_, a, *_), (common, b, *_) in zip(out, out[1:]):
+        n = min(len(a), len(b))
+        assert common == next((i for i in range(n) if a[i] != b[i]), n)
