@@ -23,8 +23,11 @@ from assetlens.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Files per part of a test feed: one part is one micro-batch of the file source.
-FILES_PER_PART = 4
+
+def files_per_part(spark: SparkSession) -> int:
+    """Files per part of a test feed (one part is one micro-batch of the file source): as
+    many as the cluster shuffles with, so writing a part takes the whole cluster."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _logs(spark: SparkSession, sf_dir: str):
@@ -156,9 +159,9 @@ def q_cdc_scan(spark, sf_dir):
     tables only, written to a parquet sink and read back."""
     feed = fresh_dir(spark, "feed")
     env = fx.fx_envelopes(spark, sf_dir)
-    changelog.write_feed(env, feed, _seq_cuts(env, 3), files_per_part=FILES_PER_PART)
+    changelog.write_feed(env, feed, _seq_cuts(env, 3), files_per_part=files_per_part(spark))
     stream = changelog.read_change_stream(spark, f"{feed}/*",
-                                          max_files_per_trigger=FILES_PER_PART)
+                                          max_files_per_trigger=files_per_part(spark))
     out = fresh_dir(spark, "cdc_scan")
     q = (envelope.catalog_changes(stream)
          .select("table_name", "commit_op", "seq", F.col("img.table_id").alias("table_id"))
@@ -299,9 +302,9 @@ def _stream_run(spark, sf_dir):
     from assetlens.streaming import job
     env = fx.fx_envelopes(spark, sf_dir)
     feed = fresh_dir(spark, "feed")
-    changelog.write_feed(env, feed, _seq_cuts(env, 4), files_per_part=FILES_PER_PART)
+    changelog.write_feed(env, feed, _seq_cuts(env, 4), files_per_part=files_per_part(spark))
     stream = changelog.read_change_stream(spark, f"{feed}/*",
-                                          max_files_per_trigger=FILES_PER_PART)
+                                          max_files_per_trigger=files_per_part(spark))
     base = fresh_dir(spark, "stream")
     return job.run_available(stream, base, f"{base}-checkpoint")
 
