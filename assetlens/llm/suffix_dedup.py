@@ -53,7 +53,7 @@ from assetlens.session import fresh_dir, materialize
 
 LENGTH, GRAM = 50, 20
 RUN_BYTES = 6 << 20
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 16
 MAX_STREAMS = 256
 HOT_GRAM = 1 << 15
 NO_ID = np.iinfo(np.int64).max
