@@ -46,14 +46,15 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
     line = b" ".join(tokens)
     if n <= 1:
         return xxhash.xxh64_intdigest(line, SEED)
-    ends = np.cumsum([len(t) + 1 for t in tokens])
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
     starts = np.concatenate([[0], ends[:-1]])
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in
-                       zip(starts[:n].tolist(), (ends[words - 1:] - 1).tolist())], "<u8")
     ones = np.zeros(64, np.int64)
-    for i in range(0, n, 1 << 14):
-        bits = np.unpackbits(hashes[i:i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for i in range(0, n, 1 << 14):  # a long text's hashes and bits are held in part only
+        j = min(n, i + (1 << 14))
+        hashes = np.array([digest(line[a:b], SEED) for a, b in
+                           zip(starts[i:j].tolist(), (ends[i + words - 1:j + words - 1] - 1).tolist())], "<u8")
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
