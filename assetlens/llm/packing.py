@@ -28,7 +28,7 @@ from assetlens.llm.tokenizing import encoder
 SEQUENCE_TOKENS = 2048
 GROUP_TOKENS = 1 << 20
 QUADRATIC_AT = 1024
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SEQUENCES_PER_TASK = 1 << 40
 
 

@@ -40,7 +40,7 @@ HEAD = struct.Struct("<4sIIIQQ")
 BLOCK_IDS = 4096
 SHARD_IDS = 1 << 18
 NULL_ID = np.iinfo(np.int64).min
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def bits_for(vocabulary: int) -> int:

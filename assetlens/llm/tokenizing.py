@@ -10,12 +10,15 @@ result equals encoding each whole text (tested).
 from __future__ import annotations
 
 import os
+import re
+from itertools import repeat
 
 import numpy as np
 
 END_ID = 1
-MAX_CACHED_CHARS = 20_000_000
-"""Cached pieces (their characters plus 8 each) before the cache starts anew: about 250 MB."""
+_PLAIN = re.compile(r"([A-Za-z]{1,64})([!-&(-/:-@\[-`{-~]{0,16})")  # letters, then marks but no apostrophe
+MAX_CACHED_CHARS = 12_000_000
+"""Cached pieces (their characters plus 8 each) before the cache starts anew: about 150 MB."""
 
 
 def _library(path: str, special_are_text: bool):
@@ -38,6 +41,31 @@ class PieceEncoder:
         self.mark_id = self.joined.token_to_id(self.special[0])
         self._clear()
 
+    def _split_off_plain(self, pieces: list) -> tuple[list[list[int]], list]:
+        """Ids of the pieces that are ASCII letters, or letters and then marks: these are one
+        or two words of the vocabulary's own splitting, and go to its model directly. The
+        other pieces are returned for the whole library."""
+        model, plain, ids, others = self.tok.model.tokenize, _PLAIN.fullmatch, [], []
+        first = len(self.slot)
+        for piece in pieces:
+            lead = "\u0120" if self.keeps_space else ""  # the space before, as the vocabulary writes it
+            text = piece
+            if type(piece) is tuple:
+                lead, text = "", piece[0]
+            match = plain(text)
+            if match is None:
+                others.append(piece)
+                continue
+            word, marks = match.groups()
+            own = [t.id for t in model(lead + (word if self.keeps_space else word.lower()))]
+            if marks:
+                own += [t.id for t in model(marks)]
+            ids.append(own)
+            self.slot[piece] = first
+            first += 1
+            self.chars += len(text) + 8
+        return ids, others
+
     def _encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the count of each."""
         flats, counts = [], []
@@ -66,25 +94,31 @@ class PieceEncoder:
         self.whole = np.zeros(1 << 14, bool)  # pieces whose text must be encoded whole
 
     def _learn(self, pieces: list) -> None:
+        ids, pieces = self._split_off_plain(pieces)
+        self._store(len(self.slot) - len(ids), np.array([i for own in ids for i in own], np.uint32),
+                    np.array([len(own) for own in ids], np.int64))
         if self.keeps_space:
             texts = [p[0] if type(p) is tuple else " " + p for p in pieces]
         else:
             texts = pieces
         first = len(self.slot)
-        need = first + len(pieces)
-        if need > len(self.starts):
-            size = max(need, 2 * len(self.starts))
-            self.starts, self.lens, self.whole = (
-                np.concatenate([a, np.zeros(size - len(a), a.dtype)]) for a in (self.starts, self.lens, self.whole))
-        ids, lens = self._encode_each(texts)
-        self.lens[first:need] = lens
-        self.starts[first:need] = self.used + np.cumsum(lens) - lens
+        self._store(first, *self._encode_each(texts))
         for k, piece in enumerate(pieces, first):
             self.slot[piece] = k
             bare = piece[0] if type(piece) is tuple else piece
             if self.keeps_space:
                 self.whole[k] = not bare or bare[0].isspace() or bare[-1].isspace()
             self.chars += len(bare) + 8
+
+    def _store(self, first: int, ids: np.ndarray, lens: np.ndarray) -> None:
+        """Ids and counts of the pieces in the slots from ``first`` on."""
+        need = first + len(lens)
+        if need > len(self.starts):
+            size = max(need, 2 * len(self.starts))
+            self.starts, self.lens, self.whole = (
+                np.concatenate([a, np.zeros(size - len(a), a.dtype)]) for a in (self.starts, self.lens, self.whole))
+        self.lens[first:need] = lens
+        self.starts[first:need] = self.used + np.cumsum(lens) - lens
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(ids), len(self.flat)), np.uint32)])
         self.flat[self.used:self.used + len(ids)] = ids
@@ -105,10 +139,12 @@ class PieceEncoder:
                 own = (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
             counts[i] = len(own)
             pieces += own
-        new = set(pieces).difference(self.slot)
-        if new:
-            self._learn(list(new))
-        at = np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.slot.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unseen = [pieces[i] for i in missing.tolist()]
+            self._learn(list(dict.fromkeys(unseen)))
+            at[missing] = np.fromiter(map(self.slot.__getitem__, unseen), np.int64, len(unseen))
         del pieces
         lens = self.lens[at]
         ends = np.cumsum(lens)

@@ -18,7 +18,7 @@ from assetlens.session import materialize
 from conftest import SF_SMALL
 
 ODD = ["", " ", "  ", "a  b", " a", "a ", "\n", "a \n b", "'s it's", "<|endoftext|> x <|startoftext|>", "　a b",
-       "a\tb c", "é é x", "Σας Σ", "\x1c a", "a \x1c b", "👍🏽 ok  ", "İI ß", "A" * 3000]
+       "a\tb c", "é é x", "Σας Σ", "\x1c a", "a \x1c b", "👍🏽 ok  ", "İI ß", "A" * 3000, "wor&d, it's ABC!! x_y a`b [ok] w1 1w ~ don't"]
 
 
 def library(path):
