@@ -87,9 +87,20 @@ def materialize(df, name: str, scratch: list[str] | None = None,
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop path and its file system (local, or any store the cluster is set up for)."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    folder, store = _folder(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(folder)] if store.exists(folder) else []
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Removes a folder that this package wrote (versions and intermediates that nothing
     refers to any more). A folder that is already gone is no error."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, store = _folder(spark, path)
+    store.delete(folder, True)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlens.schemas import to_result_schema
-from assetlens.session import remove_folder
+from assetlens.session import child_names, remove_folder
 
 COMMIT_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
                               T.StructField("batch_id", T.LongType()),
@@ -138,10 +138,9 @@ class VersionedTable:
         # One task, and so one file, per touched bucket.
         out = out.repartition(len(buckets), BUCKET).sortWithinPartitions(BUCKET, *self.cluster_by)
         out.write.mode("errorifexists").partitionBy(BUCKET).parquet(location)
-        try:
-            written = {r[0] for r in self.spark.read.parquet(location).select(BUCKET).distinct().collect()}
-        except AnalysisException:  # no rows, no files
-            written = set()
+        # Buckets without rows have no folder.
+        written = {int(name.removeprefix(f"{BUCKET}=")) for name in child_names(self.spark, location)
+                   if name.startswith(f"{BUCKET}=")}
         locations = {b: loc for b, loc in self._locations.items() if b not in set(buckets)}
         locations.update({b: f"{location}/{BUCKET}={b}" for b in written})
         entries = [(version, batch_id, writer, b, locations.get(b, "")) for b in range(self.buckets)]
