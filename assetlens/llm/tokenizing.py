@@ -17,8 +17,8 @@ import numpy as np
 
 END_ID = 1
 _PLAIN = re.compile(r"([A-Za-z]{1,64})([!-&(-/:-@\[-`{-~]{0,16})")  # letters, then marks but no apostrophe
-MAX_CACHED_CHARS = 12_000_000
-"""Cached pieces (their characters plus 8 each) before the cache starts anew: about 150 MB."""
+MAX_CACHED_CHARS = 16_000_000
+"""Cached pieces (their characters plus 8 each) before the cache starts anew: about 190 MB."""
 
 
 def _library(path: str, special_are_text: bool):
