@@ -22,6 +22,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed_units(read_table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op1_whole_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed_spans(read_table(spark, sf_dir, "documents")).drop("text_key", "cut")
+
+
 def op2_simhash_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.with_hex(simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents")))
 
@@ -65,7 +69,7 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_simhash_anchor_dedup, op3_rule_ensemble_quality, op4_suffix_run_dedup,
+    op1_line_dedup, op1_whole_line_dedup, op2_simhash_anchor_dedup, op3_rule_ensemble_quality, op4_suffix_run_dedup,
     op5_temporal_url_filter,
     op6_cost_balanced_packing, op7_tiling_decontamination, op8_cross_parsing_language,
     op9_bit_packed_token_files, op10_digest_index_dedup)}

@@ -7,6 +7,9 @@ over the whole corpus, the occurrence of smallest rank (document id, then unit n
 and every other one is removed; its character offsets in the original text are kept. Pieces
 of fewer than MIN_WORDS words are no units: they recur by chance.
 
+``removed_spans`` is the form without that loss: every non-empty whole line is a unit,
+whatever its length, and the sentences of the lines that stay are a second kind of unit.
+
 Only units that occur twice or more take part in the join that finds the removed ones; a unit
 that is in a third of all documents is one row on the group side, and its occurrences are
 rows of a plain equi-join of two written tables, whose large partitions adaptive execution
@@ -31,6 +34,11 @@ from assetlens.session import materialize
 
 MIN_WORDS = 6
 SENTENCE_END = re.compile(r"([.!?]) ")
+SENTENCE_CUT = re.compile(r"(?<=[.!?]) |(?<=[。！？])")
+"""What ends a sentence of ``spans``: a space after a stop, or a full-width stop itself."""
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+                      "\U00020000-\U0003ffff]")
+"""Letters of scripts written without spaces: each counts as a word."""
 SLICE_BYTES = 4 << 20
 
 
@@ -40,6 +48,22 @@ def pieces(text: str) -> list[str]:
     return SENTENCE_END.sub(r"\1\n", text).split("\n")
 
 
+def sentences(line: str) -> list[tuple[int, int, int]]:
+    """(start, length, characters of the cut after it) of each sentence of a line; nothing
+    is cut after the last one, so that the line's end stays with what is kept of the line."""
+    out, at = [], 0
+    for cut in SENTENCE_CUT.finditer(line):
+        out.append((at, cut.start() - at, cut.end() - cut.start()))
+        at = cut.end()
+    if at < len(line):
+        out.append((at, len(line) - at, 0))
+    return out
+
+
+def digest_of(words: list[str]) -> bytes:
+    return blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=16).digest()
+
+
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per piece of ``min_words`` or more: doc_id, text_key, unit (its number), start
     and length (characters of the original text), digest."""
@@ -79,11 +103,78 @@ def removed_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         first["unit"].alias("first_unit"), "copies")
 
 
+def spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per non-empty line (``whole``) and per sentence of ``min_words`` or more
+    (``sentence``); a line of one sentence is one row. ``unit`` is the number of the line,
+    ``cut`` the number of characters that go with the unit."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, SLICE_BYTES):
+            rows = []
+            for r, text in enumerate(batch.column("text").to_pylist()):
+                at = 0
+                for n, line in enumerate(text.split("\n")):
+                    words = line.lower().split()
+                    if words:
+                        parts = sentences(line)
+                        alone = len(parts) == 1 and len(words) + len(UNSPACED.findall(line)) >= min_words
+                        rows.append((r, n, at, len(line), 1, digest_of(words), True, alone))
+                        for start, length, cut in parts if len(parts) > 1 else ():
+                            part = line[start:start + length]
+                            words = part.lower().split()
+                            if words and len(words) + len(UNSPACED.findall(part)) >= min_words:
+                                rows.append((r, n, at + start, length, cut, digest_of(words), False, True))
+                    at += len(line) + 1
+            row, *columns = zip(*rows) if rows else [()] * 8
+            row = pa.array(row, pa.int64())
+            types = [pa.int64()] * 4 + [pa.binary(), pa.bool_(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(row), batch.column("text_key").take(row),
+                 *[pa.array(c, t) for c, t in zip(columns, types)]],
+                names=["doc_id", "text_key", "unit", "start", "length", "cut", "digest", "whole", "sentence"])
+
+    rows = id_and_text(docs).withColumn("text_key", text_key(F.col("text")))
+    return rows.mapInArrow(found, "doc_id long, text_key long, unit long, start long, length long, cut long, "
+                                  "digest binary, whole boolean, sentence boolean")
+
+
+def repeats(found: DataFrame, kind: str) -> DataFrame:
+    """All but the first occurrence of each digest in the written table ``found``."""
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "start", "unit")
+    groups = materialize(found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("copies"))
+                         .filter("copies > 1"), f"{kind}-groups")
+    first = F.col("first")
+    return found.join(groups, "digest").filter(
+        ~(F.col("doc_id").eqNullSafe(first["doc_id"]) & (F.col("text_key") == first["text_key"])
+          & (F.col("start") == first["start"]))).select(
+        "doc_id", "text_key", F.lit(kind).alias("kind"), "unit", "start", "length", "cut",
+        first["doc_id"].alias("first_doc_id"), first["unit"].alias("first_unit"),
+        first["start"].alias("first_start"), "copies")
+
+
+def removed_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per removed line or sentence: doc_id, text_key, kind, unit (number of the
+    line), start, length, cut, where the kept occurrence is, copies. Lines come first; the
+    sentences of the lines that stay (the kept occurrence of a repeated line included) are
+    compared with each other, so no removed span is inside another one, and the kept
+    occurrence of a line can lose only sentences that an earlier text keeps."""
+    found = materialize(spans(docs, min_words), "line-spans")
+    lines = materialize(repeats(found.filter("whole"), "line"), "line-copies")
+    gone = lines.select(F.col("doc_id").alias("right_id"), F.col("text_key").alias("right_key"),
+                        F.col("unit").alias("right_unit"))
+    left = materialize(found.filter("sentence").join(
+        gone, F.col("doc_id").eqNullSafe(F.col("right_id")) & (F.col("text_key") == F.col("right_key"))
+        & (F.col("unit") == F.col("right_unit")), "left_anti"), "line-sentences")
+    return lines.unionByName(repeats(left, "sentence"))
+
+
 def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """``docs`` with the removed units cut from the text (each with the character after it);
-    other columns, and texts without removed units, as they are."""
+    """``docs`` with the removed units cut from the text (each with the ``cut`` characters
+    after it, one if ``removed`` does not say); other columns, and texts without removed
+    units, as they are."""
+    cut_size = F.col("cut") if "cut" in removed.columns else F.lit(1).cast("long")
     spans = removed.groupBy(F.col("doc_id").alias("right_id"), F.col("text_key").alias("right_key")) \
-        .agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("right_spans"))
+        .agg(F.sort_array(F.collect_set(F.struct("start", (F.col("length") + cut_size).alias("length"))))
+             .alias("right_spans"))
     joined = docs.join(spans, docs["doc_id"].cast("long").eqNullSafe(spans["right_id"])
                        & (text_key(docs["text"]) == spans["right_key"]), "left")
     at = docs.columns.index("text")
@@ -95,7 +186,7 @@ def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
                 kept, done = [], 0
                 for span in gone or ():
                     kept.append(text[done:span["start"]])
-                    done = span["start"] + span["length"] + 1
+                    done = span["start"] + span["length"]
                 texts.append("".join([*kept, text[done:]]) if kept else text)
             columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])

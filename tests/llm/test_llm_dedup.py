@@ -219,6 +219,29 @@ def test_a_passage_inside_other_lines_is_found(spark):
     assert texts[2] == "others came and so it went on. It did so to stop" and passage in texts[1]
 
 
+def test_whole_lines_of_any_length_are_units(spark):
+    many = "The and. So it is. At all. No one. Well then. Yes. It was so."
+    docs = spark.createDataFrame([
+        (1, f"short\n{many}\n今天天气很好我们去公园\nown one"),
+        (2, f"own two\nShort \n{many}\n今天天气很好我们去公园\nlast"),
+        (3, "先说别的。今天天气很好我们去公园。再说一句"), (4, "不同的。今天天气很好我们去公园。完"),
+        (5, "Before it. One long sentence of seven words here. Tail\nnext"),
+        (6, "Other words. One long sentence of seven words here.\nafter")], "doc_id long, text string")
+    removed = materialize(substring_dedup.removed_spans(docs), "whole")
+    got = {(r["doc_id"], r["kind"], r["first_doc_id"]) for r in removed.collect()}
+    assert got == {(2, "line", 1), (4, "sentence", 3), (6, "sentence", 5)}
+    texts = {r["doc_id"]: r["text"] for r in substring_dedup.cleaned(docs, removed).collect()}
+    assert texts[2] == "own two\nlast" and texts[4] == "不同的。完" and texts[6] == "Other words. \nafter"
+
+
+def test_whole_line_query_leaves_no_line_twice(spark):
+    docs = read_table(spark, SF_SMALL, "documents")
+    lines = [line for r in docs.collect() for line in (" ".join(x.lower().split()) for x in (r["text"] or "").split("\n")) if line]
+    got = [r for r in queries.op1_whole_line_dedup(spark, SF_SMALL).collect() if r["kind"] == "line"]
+    assert len(got) == len(lines) - len(set(lines)) > 0
+    assert any(len(line.split()) < substring_dedup.MIN_WORDS for line in lines if lines.count(line) > 1)
+
+
 def test_merge_in_passes(monkeypatch):
     rng = random.Random(9)
     monkeypatch.setattr(suffix_dedup, "MAX_STREAMS", 3)
