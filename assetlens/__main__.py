@@ -40,7 +40,7 @@ def run_stream(spark: SparkSession, out: str, feed: str | None, kafka: dict | No
     stream = changelog.read_change_stream(spark, path=feed, kafka=kafka)
     if snapshot:
         # One query over both sources; positions order the snapshot below the later log.
-        stream = changelog.read_change_stream(spark, path=snapshot).unionByName(stream)
+        stream = changelog.read_change_stream(spark, path=snapshot).unionByName(stream, allowMissingColumns=True)
     trigger = {"availableNow": True} if once else None
     checkpoint = f"{out}/_checkpoint"
     queries = [job.start(stream, base=out, checkpoint=checkpoint, trigger=trigger, jdbc=jdbc),

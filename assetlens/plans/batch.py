@@ -91,13 +91,15 @@ def compute_assets_from_feed(decoded: DataFrame, dedupe_commits: bool = False, q
     The feed is scanned and parsed **once** into narrow tagged rows, written to the shared
     work folder by kind; compactions, quarantine and rollups read those. The options:
     ``dedupe_commits`` (D5), ``qualify_ids`` (D15), and ``at_least_once`` for feeds that
-    repeat changes (a log position then counts once).
+    repeat changes (changes that are equal in everything, the position included, count once).
     """
     from assetlens.plans.compaction import compact_tagged, quarantined, tagged_changes
-    from assetlens.sources.envelope import rejected
+    from assetlens.sources.envelope import POSITION, rejected, with_position
+    if at_least_once:
+        decoded = with_position(decoded)
     tagged = tagged_changes(decoded, qualify_ids)
     if at_least_once:
-        tagged = tagged.dropDuplicates(["kind", "table_id", "sub_key", "seq"])
+        tagged = tagged.dropDuplicates([POSITION]).drop(POSITION)
     tagged = materialize(tagged, "tagged-feed", partition_by="kind")
     c = compact_tagged(tagged, dedupe_commits)
     c.table_info = materialize(c.table_info, "compacted-table-info")

@@ -27,7 +27,7 @@ from assetlens.functions.fileops import text_to_bool
 from assetlens.operators import facts
 from assetlens.plans.batch import Compacted
 from assetlens.schemas import DATA_COMMIT_INFO, OP_DELETE, PARTITION_INFO, TABLE_INFO
-from assetlens.sources.envelope import catalog_changes
+from assetlens.sources.envelope import POSITION, catalog_changes
 
 _S = T.StringType()
 GROUP = T.StructType([T.StructField("namespace", _S), T.StructField("domain", _S),
@@ -48,19 +48,21 @@ def tagged_changes(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
 
     One projection over the decoded feed, not a union of one filtered branch per table:
     the feed is scanned once. Each change gives exactly one row (a commit change is
-    either counted, ``c``, or quarantined, ``q``).
+    either counted, ``c``, or quarantined, ``q``). A ``position`` column of the feed
+    (``with_position``) is passed on.
     """
     img = F.col("img")
     src = F.col("source")
     changes = (catalog_changes(decoded, qualify_ids).withColumnRenamed("table_name", "source")
                .where(~((src == PARTITION_INFO) & img["partition_desc"].isNull())))
+    position = [POSITION] if POSITION in changes.columns else []
     rows = changes.select(
         "source", "commit_op", "seq", img["table_id"].alias("table_id"),
         img["partition_desc"].alias("partition_desc"),
         *[img[a].alias(a) for a in facts.ATTRS],
         img["commit_id"].alias("commit_id"),
         F.when(src == DATA_COMMIT_INFO, img["file_ops"]).alias("file_ops"),
-        text_to_bool(img["committed"]).alias("committed"))
+        text_to_bool(img["committed"]).alias("committed"), *position)
     stats = facts.commit_stats(rows)
     kind = (F.when(src == TABLE_INFO, F.lit("t")).when(src == PARTITION_INFO, F.lit("p"))
             .when(F.col("problem").isNull(), F.lit("c")).otherwise(F.lit("q")))
@@ -77,7 +79,7 @@ def tagged_changes(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
         *[only("t", F.col(a)).alias(a) for a in facts.ATTRS],
         only("c", F.col("__d_files")).alias("d_files"),
         only("c", F.col("__d_bytes")).alias("d_bytes"),
-        only("q", F.col("problem")).alias("problem"))
+        only("q", F.col("problem")).alias("problem"), *position)
 
 
 def compaction_agg(tagged: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from assetlens.schemas import (CATALOG_TABLES, DATA_COMMIT_INFO, ENVELOPE, OP_READ, PARTITION_INFO,
                                TABLE_INFO)
-from assetlens.sources.envelope import decode_envelopes, normalize_envelopes
+from assetlens.sources.envelope import POSITION, decode_envelopes, normalize_envelopes, with_position
 from assetlens.sources.fixtures import encode_envelopes
 
 
@@ -48,7 +48,8 @@ def read_change_stream(spark: SparkSession, path: str | None = None,
         if not {"subscribe", "subscribePattern", "assign"} & set(options):
             raise ValueError("name the topics: subscribe, subscribePattern or assign")
         raw = spark.readStream.format("kafka").options(**options).load()
-        decoded = decode_envelopes(raw, value_col="value", topic_col="topic", offset_col="offset")
+        decoded = decode_envelopes(raw, value_col="value", topic_col="topic", offset_col="offset",
+                                   partition_col="partition")
     else:
         reader = spark.readStream.schema(ENVELOPE).format("json")
         if max_files_per_trigger:
@@ -58,12 +59,11 @@ def read_change_stream(spark: SparkSession, path: str | None = None,
 
 
 def land_once(decoded_stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """For sources that repeat events after a restart: writes each log position once to
-    ``path`` (parquet, exactly-once file sink), for ``read_landed``. The positions seen are
-    the query's state. A broken envelope has no position and is told by its text."""
-    key = F.coalesce(F.concat_ws("/", "schema_name", "table_name", F.col("seq").cast("string"),
-                                 F.sha2("raw", 256)), F.lit(""))
-    once = decoded_stream.withColumn("position", key).dropDuplicates(["position"]).drop("position")
+    """For sources that repeat events after a restart: writes each change once to ``path``
+    (parquet, exactly-once file sink), for ``read_landed``. A repeat is equal in everything,
+    the position included (``with_position``); the hashes seen are the query's state. Equal
+    changes without any position count as repeats, and a broken envelope is told by its text."""
+    once = with_position(decoded_stream).dropDuplicates([POSITION]).drop(POSITION)
     return (once.writeStream.format("parquet").option("path", path)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())

@@ -37,14 +37,15 @@ def schema_from_topic(topic: Column) -> Column:
 
 
 def normalize_envelopes(env: DataFrame, topic_col: str | None = None,
-                        offset_col: str | None = None) -> DataFrame:
+                        offset_col: str | None = None, partition_col: str | None = None) -> DataFrame:
     """Envelope columns (as parsed by the JSON file source or by ``from_json``) to
     ``commit_op, table_name, schema_name, before, after, seq, raw``; ``raw`` is the text of
     a broken envelope, null otherwise.
 
     The log position is ``seq``, else ``source.lsn``, else ``offset_col`` (Kafka: the
     changes of one row share a partition, whose offsets order them; positions are only
-    ever compared among changes of one key).
+    ever compared among changes of one key). With ``partition_col`` (Kafka) a column
+    ``origin`` says whose offset it is; it is null where the envelope has a position.
     """
     table, schema, seq = F.coalesce("tableName", "source.table"), F.col("source.schema"), F.coalesce("seq", "source.lsn")
     if topic_col is not None:
@@ -52,12 +53,26 @@ def normalize_envelopes(env: DataFrame, topic_col: str | None = None,
         schema = F.coalesce(schema, schema_from_topic(F.col(topic_col)))
     if offset_col is not None:
         seq = F.coalesce(seq, F.col(offset_col))
+    own = F.coalesce("seq", "source.lsn")
+    origin = [] if partition_col is None else [
+        F.when(own.isNull(), F.concat_ws("/", F.col(topic_col), F.col(partition_col).cast("string"))).alias("origin")]
     whole = F.col(CORRUPT).isNull()
     return env.select(
         F.when(whole, normalize_op(F.coalesce("commitOp", "op"))).alias("commit_op"),
         F.when(whole, table).alias("table_name"),
         schema.alias("schema_name"),
-        F.col("before"), F.col("after"), F.when(whole, seq).alias("seq"), F.col(CORRUPT).alias("raw"))
+        F.col("before"), F.col("after"), F.when(whole, seq).alias("seq"), F.col(CORRUPT).alias("raw"),
+        *origin)
+
+
+POSITION = "position"
+
+
+def with_position(decoded: DataFrame) -> DataFrame:
+    """Adds what tells a repeated delivery from another change: a hash of the whole decoded
+    change (position, operation, table, both images, broken text, Kafka topic and partition
+    of an offset). Changes that share a log position stay apart by their images."""
+    return decoded.withColumn(POSITION, F.sha2(F.to_json(F.struct(*[F.col(c) for c in decoded.columns])), 256))
 
 
 OPERATIONS = (OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ)
@@ -74,7 +89,7 @@ def reject_reason(table_id: Column) -> Column:
 
 
 def decode_envelopes(df: DataFrame, value_col: str = "value", topic_col: str | None = None,
-                     offset_col: str | None = None) -> DataFrame:
+                     offset_col: str | None = None, partition_col: str | None = None) -> DataFrame:
     """S3: JSON envelope text (e.g. Kafka ``value``) to typed columns ``commit_op,
     table_name, schema_name, before, after, seq, raw``.
 
@@ -83,9 +98,9 @@ def decode_envelopes(df: DataFrame, value_col: str = "value", topic_col: str | N
     Envelope files are better read by the JSON file source (``changelog.read_changes``),
     which parses each line once while reading.
     """
-    keep = [F.col(c) for c in (topic_col, offset_col) if c is not None]
+    keep = [F.col(c) for c in (topic_col, offset_col, partition_col) if c is not None]
     parsed = df.select(F.from_json(F.col(value_col).cast("string"), ENVELOPE).alias("env"), *keep)
-    return normalize_envelopes(parsed.select("env.*", *keep), topic_col, offset_col)
+    return normalize_envelopes(parsed.select("env.*", *keep), topic_col, offset_col, partition_col)
 
 
 def image_present(img: Column) -> Column:
@@ -120,7 +135,7 @@ def with_row_image(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
         .alias("image_side"),
         F.when(F.col("raw").isNotNull() | F.col("table_name").isin(*CATALOG_TABLES),
                reject_reason(table_id)).alias("reason"),
-        "raw",
+        "raw", *([POSITION] if POSITION in decoded.columns else []),
     )
 
 
@@ -141,8 +156,11 @@ def usable(decoded: DataFrame) -> DataFrame:
 
 def rejected(decoded: DataFrame) -> DataFrame:
     """Broken envelopes and unusable changes of the catalog tables: (problem, table_name,
-    commit_op, seq, table_id, raw)."""
-    return with_row_image(decoded).where(F.col("reason").isNotNull()).select(
+    commit_op, seq, table_id, raw); one row per ``with_position`` hash, if there is one."""
+    rows = with_row_image(decoded).where(F.col("reason").isNotNull())
+    if POSITION in rows.columns:
+        rows = rows.dropDuplicates([POSITION])
+    return rows.select(
         F.col("reason").alias("problem"), "table_name", "commit_op", "seq",
         F.when(F.col("raw").isNull(), F.col("img.table_id")).alias("table_id"), "raw")
 

@@ -1,5 +1,6 @@
 """Streaming equals batch; sinks are replay-safe."""
 
+import json
 import os
 import tempfile
 
@@ -11,9 +12,10 @@ from assetlens.plans.batch import compute_assets, compute_assets_from_feed
 from assetlens.schemas import NAMESPACE_LEVEL_ASSETS, TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema
 from assetlens.sinks.upsert import VersionedTable, jdbc_upsert_statement
 from assetlens.sources import changelog
+from assetlens.sources.envelope import decode_envelopes, with_position
 from assetlens.sources import fixtures as fx
 from assetlens.streaming import job
-from conftest import SF_SMALL
+from conftest import SF_SMALL, b64
 
 
 def _sorted(df):
@@ -266,6 +268,41 @@ def test_repeated_events_count_once_after_landing(spark):
     assert [x["file_counts"] for x in r.table_assets.collect()] == [1]
 
 
+def test_changes_that_share_a_position_all_count(spark):
+    base = tempfile.mkdtemp(prefix="land-")
+    frames = {"table_info": spark.createDataFrame([(t, "n", t, "d", "u") for t in "ab"],
+                                                  ", ".join(f"{c} string" for c in changelog.SNAPSHOT_COLUMNS["table_info"])),
+              "partition_info": spark.createDataFrame([("a", "p"), ("a", "q"), ("b", "p")], "table_id string, partition_desc string"),
+              "data_commit_info": spark.createDataFrame([("a", "c1", True), ("a", "c2", True), ("b", "c3", True)],
+                                                        "table_id string, commit_id string, committed boolean")
+              .selectExpr("table_id", "commit_id", "array('" + b64('(f,add,10,"x")') + "') as file_ops", "committed")}
+    changelog.snapshot_feed(frames, 0).select("value").coalesce(1).write.text(f"{base}/feed/part=0")
+    bad = [json.dumps({k: v for k, v in json.loads(_commit("a", c, 9)).items() if k != "seq"}) for c in ("x", "y")]
+    spark.createDataFrame([(x,) for x in bad], "value string").coalesce(1).write.text(f"{base}/feed/part=1")
+    stream = changelog.read_change_stream(spark, f"{base}/feed/*")
+    changelog.land_once(stream, f"{base}/landed", f"{base}/land-chk", {"availableNow": True}).awaitTermination()
+    assert spark.read.schema(stream.schema).parquet(f"{base}/landed").count() == 10
+    twice = changelog.read_changes(spark, f"{base}/feed/*")
+    r = compute_assets_from_feed(twice.unionByName(twice), at_least_once=True)
+    assert {(x["table_id"], x["partition_counts"], x["file_counts"]) for x in r.table_assets.collect()} \
+        == {("a", 2, 2), ("b", 1, 1)}
+    assert [x["problem"] for x in r.rejects.collect()] == ["no_position"] * 2
+
+
+def test_equal_offsets_of_two_partitions_are_two_changes(spark):
+    lines = [_table("a", "n1", 1), _partition("a", "p", 2), _commit("a", "c1", 3), _commit("a", "c2", 3)]
+    bare = [json.dumps({k: v for k, v in json.loads(x).items() if k != "seq"}) for x in lines]
+    raw = spark.createDataFrame([(x, "s.public.t", 7, p) for x, p in zip(bare * 2, [0, 0, 0, 1] * 2)],
+                                "value string, topic string, offset long, partition int")
+    decoded = decode_envelopes(raw, "value", "topic", "offset", "partition")
+    r = compute_assets_from_feed(decoded, at_least_once=True)
+    assert [x["file_counts"] for x in r.table_assets.collect()] == [2]
+    same = spark.createDataFrame([(bare[2], "s.public.t", 7, p) for p in (0, 0, 1)],
+                                 "value string, topic string, offset long, partition int")
+    assert with_position(decode_envelopes(same, "value", "topic", "offset", "partition")) \
+        .select("position").distinct().count() == 2
+
+
 def test_counts_beyond_int_do_not_stop_the_job(spark):
     rows = spark.createDataFrame([("n", 1, 2, 3_000_000_000, 5), ("m", 1, 2, None, 5)],
                                  "namespace string, table_counts long, partition_counts long, file_counts long, "
