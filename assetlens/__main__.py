@@ -17,7 +17,7 @@ import os
 from pyspark.sql import SparkSession
 
 from assetlens.plans.batch import compute_assets_from_feed
-from assetlens.schemas import RESULT_TABLES, to_result_schema
+from assetlens.schemas import RESULT_TABLES, to_exact_schema, wide
 from assetlens.session import BASE_CONF
 from assetlens.sources import changelog
 from assetlens.streaming import job
@@ -30,7 +30,7 @@ def run_batch(spark: SparkSession, feed: str, out: str) -> None:
               "domain_level_assets": r.domain_assets, "user_level_assets": r.user_assets}
     for name, df in frames.items():
         schema, _ = RESULT_TABLES[name]
-        to_result_schema(df, schema).write.mode("errorifexists").parquet(f"{out}/{name}")
+        to_exact_schema(df, wide(schema)).write.mode("errorifexists").parquet(f"{out}/{name}")
     r.quarantine.write.mode("errorifexists").parquet(f"{out}/quarantine")
     r.rejects.write.mode("errorifexists").parquet(f"{out}/rejects")
 

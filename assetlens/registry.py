@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from assetlens.operators import facts
 from assetlens.plans import batch
-from assetlens.schemas import DATA_COMMIT_INFO, PARTITION_INFO, TABLE_INFO
+from assetlens.schemas import (DATA_COMMIT_INFO, DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, PARTITION_INFO, TABLE_INFO,
+                               TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_exact_schema)
 from assetlens.session import fresh_dir
 from assetlens.sources import changelog, envelope
 from assetlens.functions.fileops import decode_base64_text, parse_file_op
@@ -275,25 +276,25 @@ def _two_batch_sink(spark, sf_dir, frozen: tuple[str, ...] = ()):
 
 
 def q_upsert_table_assets(spark, sf_dir):
-    return _two_batch_sink(spark, sf_dir).table_level_assets()
+    return to_exact_schema(_two_batch_sink(spark, sf_dir).table_level_assets(), TABLE_LEVEL_ASSETS)
 
 
 def q_upsert_frozen_table_assets(spark, sf_dir):
     """Existing rows keep their first attributes, only measures are replaced."""
     from assetlens.streaming.job import FROZEN
-    return _two_batch_sink(spark, sf_dir, FROZEN).table_level_assets()
+    return to_exact_schema(_two_batch_sink(spark, sf_dir, FROZEN).table_level_assets(), TABLE_LEVEL_ASSETS)
 
 
 def q_upsert_namespace_assets(spark, sf_dir):
-    return _two_batch_sink(spark, sf_dir).level_assets("namespace")
+    return to_exact_schema(_two_batch_sink(spark, sf_dir).level_assets("namespace"), NAMESPACE_LEVEL_ASSETS)
 
 
 def q_upsert_domain_assets(spark, sf_dir):
-    return _two_batch_sink(spark, sf_dir).level_assets("domain")
+    return to_exact_schema(_two_batch_sink(spark, sf_dir).level_assets("domain"), DOMAIN_LEVEL_ASSETS)
 
 
 def q_upsert_user_assets(spark, sf_dir):
-    return _two_batch_sink(spark, sf_dir).level_assets("creator")
+    return to_exact_schema(_two_batch_sink(spark, sf_dir).level_assets("creator"), USER_LEVEL_ASSETS)
 
 
 def _stream_run(spark, sf_dir):
@@ -310,19 +311,19 @@ def _stream_run(spark, sf_dir):
 
 
 def q_stream_table_assets(spark, sf_dir):
-    return _stream_run(spark, sf_dir).table_level_assets()
+    return to_exact_schema(_stream_run(spark, sf_dir).table_level_assets(), TABLE_LEVEL_ASSETS)
 
 
 def q_stream_namespace_assets(spark, sf_dir):
-    return _stream_run(spark, sf_dir).level_assets("namespace")
+    return to_exact_schema(_stream_run(spark, sf_dir).level_assets("namespace"), NAMESPACE_LEVEL_ASSETS)
 
 
 def q_stream_domain_assets(spark, sf_dir):
-    return _stream_run(spark, sf_dir).level_assets("domain")
+    return to_exact_schema(_stream_run(spark, sf_dir).level_assets("domain"), DOMAIN_LEVEL_ASSETS)
 
 
 def q_stream_user_assets(spark, sf_dir):
-    return _stream_run(spark, sf_dir).level_assets("creator")
+    return to_exact_schema(_stream_run(spark, sf_dir).level_assets("creator"), USER_LEVEL_ASSETS)
 
 
 QUERIES: dict[str, Query] = {

@@ -98,10 +98,45 @@ RESULT_TABLES = {
 }
 
 
+INT_MAX = 2**31 - 1
+
+
+def wide(schema: T.StructType) -> T.StructType:
+    """The schema with its ``int`` counts as ``bigint``: what is stored and what the results
+    are given as, so that no count is ever cut and deltas of stored counts stay exact."""
+    return T.StructType([T.StructField(f.name, L if isinstance(f.dataType, T.IntegerType) else f.dataType, f.nullable)
+                         for f in schema.fields])
+
+
+def fits(schema: T.StructType):
+    """Whether a row's counts are within the ``int`` columns of ``schema``."""
+    from pyspark.sql import functions as F
+    ok = F.lit(True)
+    for f in schema.fields:
+        if isinstance(f.dataType, T.IntegerType):
+            ok = ok & F.coalesce(F.abs(F.col(f.name).cast("bigint")) <= INT_MAX, F.lit(True))
+    return ok
+
+
+def to_exact_schema(df, schema: T.StructType):
+    """Select by name and cast to the schema's types; a count that an ``int`` column cannot
+    hold fails the write (whatever the session's ANSI setting) instead of being changed."""
+    from pyspark.sql import functions as F
+
+    def typed(f: T.StructField):
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.IntegerType):
+            c = F.when(F.abs(c.cast("bigint")) > INT_MAX, F.raise_error(F.lit(f"{f.name} is beyond int"))).otherwise(c)
+        return c.cast(f.dataType).alias(f.name)
+
+    return df.select([typed(f) for f in schema.fields])
+
+
 def to_result_schema(df, schema: T.StructType):
     """Select by name (never by position) and cast to the result table's types. A count
-    beyond the range of the result table's ``int`` is stored as that range's end: one
-    group of over two thousand million files must not stop the job."""
+    beyond the range of the result table's ``int`` becomes that range's end, so this is for
+    ``wide`` schemas or for display only: the stored tables and the sinks use
+    ``to_exact_schema`` or ``fits``."""
     from pyspark.sql import functions as F
 
     def typed(f: T.StructField):

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetlens.schemas import to_result_schema
+from assetlens.schemas import to_exact_schema
 from assetlens.session import child_names, remove_folder
 
 COMMIT_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
@@ -185,7 +185,7 @@ class VersionedTable:
             rows = (rows.groupBy(*self.keys)
                     .agg(F.max_by(F.struct(*others), F.col(order_by)).alias("r"))
                     .select(*self.keys, "r.*"))
-        rows = to_result_schema(rows, self.schema)
+        rows = to_exact_schema(rows, self.schema)
         touched = buckets if buckets is not None else self.bucket_ids(rows)
         if not touched:
             return False

@@ -30,7 +30,7 @@ from assetlens.operators import facts, rollups
 from assetlens.plans.compaction import (COMPACTED, KEYS, compaction_agg, quarantined,
                                         split_compacted, tagged_changes)
 from assetlens.schemas import (DATA_COMMIT_INFO, DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
-                               TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema)
+                               TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, fits, to_exact_schema, wide)
 from assetlens.session import ROCKSDB_PROVIDER, materialize, remove_folder
 from assetlens.sinks.upsert import BATCH_WRITER, VersionedTable, jdbc_upsert
 from assetlens.sources.envelope import rejected
@@ -56,7 +56,7 @@ PARTITION_COUNTS = T.StructType([T.StructField("table_id", T.StringType()),
                                  T.StructField("partition_counts", T.LongType())])
 # Ever-seen (creator, "domain" | "namespace", value) pairs of complete tables.
 SEEN_PAIRS = T.StructType([T.StructField(c, T.StringType()) for c in ("creator", "kind", "value")])
-TABLE_ASSETS_WITH_OP = T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("op", T.StringType())])
+TABLE_ASSETS_WITH_OP = T.StructType(wide(TABLE_LEVEL_ASSETS).fields + [T.StructField("op", T.StringType())])
 
 
 # The three rollups share one stored table keyed by (level, group_key): one plan,
@@ -115,7 +115,7 @@ class AssetTables:
             vt("table_state", COMPACTED, KEYS, cluster_by=["table_id"]),
             vt("table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
             vt("group_assets", GROUP_ASSETS, ["level", "group_key"], ["level", "group_key"]),
-            vt("table_level_assets", TABLE_LEVEL_ASSETS, "table_id"),
+            vt("table_level_assets", wide(TABLE_LEVEL_ASSETS), "table_id"),
             vt("partition_counts", PARTITION_COUNTS, "table_id"),
             vt("seen_pairs", SEEN_PAIRS, ["creator", "kind", "value"], "creator"),
             f"{base}/quarantine")
@@ -133,12 +133,30 @@ class AssetTables:
         results of batch runs), else the asset table without ``op``."""
         if self.table_sink.head() is not None:
             return self.table_sink.current()
-        return to_result_schema(self.table_assets.current(), TABLE_LEVEL_ASSETS)
+        return to_exact_schema(self.table_assets.current(), wide(TABLE_LEVEL_ASSETS))
 
     def level_assets(self, level: str) -> DataFrame:
         """K2-K4 result tables: ``namespace``, ``domain`` or ``creator`` level."""
         rows = self.group_assets.current().where(F.col("level") == F.lit(level))
-        return to_result_schema(rows.withColumnRenamed("group_key", level), LEVELS[level])
+        return to_exact_schema(rows.withColumnRenamed("group_key", level), wide(LEVELS[level]))
+
+    def within_int(self, rows: DataFrame, name: str, schema: T.StructType) -> DataFrame:
+        """``rows`` of the result table ``name`` for a sink with ``int`` counts; those it
+        cannot hold go to ``result_quarantine`` with the reason, unchanged."""
+        beyond = rows.where(~fits(schema))
+        if not beyond.isEmpty():
+            beyond.select(F.lit("count_beyond_int").alias("problem"), F.lit(name).alias("table_name"),
+                          F.to_json(F.struct(*rows.columns)).alias("raw")) \
+                .write.mode("append").parquet(f"{self.quarantine_path}_results")
+        return to_exact_schema(rows.where(fits(schema)), schema)
+
+    def result_quarantine(self) -> DataFrame:
+        """Result rows that a 32-bit sink could not hold, each once."""
+        spark, columns = self.table_assets.spark, "problem string, table_name string, raw string"
+        try:
+            return spark.read.schema(columns).parquet(f"{self.quarantine_path}_results").distinct()
+        except AnalysisException:  # every row fitted
+            return spark.createDataFrame([], columns)
 
     def upsert_groups(self, namespace: DataFrame, domain: DataFrame, user: DataFrame,
                       batch_id: int) -> bool:
@@ -275,12 +293,14 @@ FROZEN = ("table_name", "domain", "creator", "namespace")
 
 def write_jdbc(tables: AssetTables, url: str, properties: dict, batch_size: int = 50) -> None:
     """The four result tables upserted into a database (K1-K5): of existing rows only the
-    measures are replaced at table level, every non-key column at group level."""
+    measures are replaced at table level, every non-key column at group level. Rows whose counts the ``int`` columns
+    cannot hold are quarantined (``AssetTables.within_int``)."""
     measures = [f.name for f in TABLE_LEVEL_ASSETS.fields if f.name not in ("table_id", *FROZEN)]
-    jdbc_upsert(tables.table_level_assets(), url, "table_level_assets", "table_id", measures, properties, batch_size)
+    rows = tables.within_int(tables.table_level_assets(), "table_level_assets", TABLE_LEVEL_ASSETS)
+    jdbc_upsert(rows, url, "table_level_assets", "table_id", measures, properties, batch_size)
     for level, name in (("namespace", "namespace_level_assets"), ("domain", "domain_level_assets"),
                         ("creator", "user_level_assets")):
-        rows = tables.level_assets(level)
+        rows = tables.within_int(tables.level_assets(level), name, LEVELS[level])
         jdbc_upsert(rows, url, name, level, [c for c in rows.columns if c != level], properties, batch_size)
 
 

@@ -311,6 +311,24 @@ def test_counts_beyond_int_do_not_stop_the_job(spark):
     assert got == {"n": 2**31 - 1, "m": None}
 
 
+def test_counts_beyond_int_stay_exact_in_the_stream(spark):
+    tables = job.AssetTables.at(spark, tempfile.mkdtemp(prefix="big-"), 2)
+    attrs, group = ("A", "n", "d", "u"), [("n", "d", "u")]
+    def micro_batch(batch_id, files):
+        rows = [("c", "a", "", "create", None, [], files, 50, 3 + batch_id)]
+        if batch_id == 0:
+            rows += [("t", "a", "", "create", attrs, group, None, None, 1), ("p", "a", "p", "create", None, [], None, None, 2)]
+        job.apply_batch(tables, spark.createDataFrame(rows, job.COMPACTED), batch_id)
+    for batch_id, files in enumerate((3_000_000_000, 3_000_000_001)):
+        micro_batch(batch_id, files)
+    assert _sorted(tables.table_level_assets()) == [("a", "A", "d", "u", "n", 1, 3_000_000_001, 50)]
+    assert _sorted(tables.level_assets("namespace")) == [("n", 1, 1, 3_000_000_001, 50)]
+    kept = tables.within_int(tables.table_level_assets(), "table_level_assets", TABLE_LEVEL_ASSETS)
+    assert kept.count() == 0 and kept.schema["file_counts"].dataType == T.IntegerType()
+    (bad,) = tables.result_quarantine().collect()
+    assert bad["problem"] == "count_beyond_int" and json.loads(bad["raw"])["file_counts"] == 3_000_000_001
+
+
 def test_merge_statement_text():
     text = jdbc_upsert_statement("s.t", ["k", "a", "b"], "k", ["b"])
     assert text == ("INSERT INTO s.t (k, a, b) SELECT k, a, b FROM s.t__staging "
