@@ -1,8 +1,8 @@
 """Benchmark decontamination by greedy string tiling (operator 7).
 
 A document and a benchmark item that share a seed (MIN_MATCH words in a row, found by a
-rolling hash) are tiled: running Karp-Rabin looks for matches of unmarked words at a falling
-search length, and the longest are marked first, so tiles never overlap and reordered
+hash) are tiled: matches of unmarked words are looked for at a falling search length (in a
+dict of word tuples, which stands in for the hash table of running Karp-Rabin), and the longest are marked first, so tiles never overlap and reordered
 passages count as well as verbatim ones. An item whose marked share reaches COVERAGE
 contaminates the document.
 
@@ -49,7 +49,7 @@ def rolling(ids: np.ndarray, length: int) -> np.ndarray:
 
 def scan(text: list[int], item: list[int], free_t: list[bool], free_i: list[bool], length: int) -> list[tuple]:
     """Maximal matches (size, text start, item start) of ``length`` or more unmarked words:
-    one Karp-Rabin pass, each hit verified and extended."""
+    one pass that looks each run of words up in a dict of the item's runs and extends it."""
     table: dict[tuple, list[int]] = defaultdict(list)
     for i in range(len(item) - length + 1):
         if all(free_i[i:i + length]):
