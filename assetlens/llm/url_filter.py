@@ -3,7 +3,9 @@
 A list is a log of dated entries (``list_name, pattern, action, day``): a pattern is added to
 a list or removed from it. Entries become validity intervals; an as-of join finds, for each
 capture, the entries that were active on the day it was fetched. A pattern is a host, a
-parent domain of hosts, or a host with the first segment of a path.
+parent domain of hosts, a host with leading segments of a path, or a whole url with its
+query. Patterns are normalised like urls: no scheme, user, port, fragment, outer dots of the
+host or trailing slash, and the host in lower case.
 
 The join is on the pattern and the 32-day bucket of the day, so a host with a third of all
 captures is spread over time and over its patterns, and adaptive execution splits what is
@@ -22,29 +24,58 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_DAYS = 32
-HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)"
+SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*://"
+HOST = SCHEME + r"(?:[^/?#]*@)?([^/:?#]+)"
+SUPPORTED = r"^[^\s/?#*:@\[\]]+([/?]\S*)?$"
 SEGMENT = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/[^/?#]+)"
 
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
+    return F.regexp_replace(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1)), r"^\.+|\.+$", "")
+
+
+def path_and_query(after_scheme: Column) -> tuple[Column, Column]:
+    """The path without trailing slashes, and the query with its question mark."""
+    rest = F.regexp_extract(after_scheme, r"^[^/?#]*([^#]*)", 1)
+    return (F.regexp_replace(F.regexp_extract(rest, r"^([^?]*)", 1), "/+$", ""),
+            F.regexp_extract(rest, r"^[^?]*(\?.+)$", 1))
+
+
+def normal_pattern(pattern: Column) -> Column:
+    """A list entry's pattern in the form of the keys of ``patterns_of``."""
+    body = F.regexp_replace(F.trim(pattern), SCHEME, "")
+    return F.concat(host_of(F.concat(F.lit("x://"), body)), *path_and_query(body))
+
+
+def unsupported_entries(entries: DataFrame) -> DataFrame:
+    """Entries that can match no url, with the reason, for the caller to count: a null field,
+    or a pattern without a plain host (wildcards, expressions, bare paths, addresses in
+    brackets)."""
+    nulls = F.col("list_name").isNull() | F.col("pattern").isNull() | F.col("action").isNull() | F.col("day").isNull()
+    return entries.withColumn("problem", F.when(nulls, F.lit("null_field")).when(
+        ~normal_pattern(F.col("pattern")).rlike(SUPPORTED), F.lit("unsupported_pattern"))).filter("problem is not null")
 
 
 def patterns_of(url: Column) -> Column:
-    """The host, its parent domains of two labels or more, and the host with the path's first
-    segment; empty for a url without a host."""
+    """The host, its parent domains of two labels or more, the host with each prefix of whole
+    path segments, and with the path and the query; empty for a url without a host."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    segment = F.regexp_extract(F.coalesce(url, F.lit("")), SEGMENT, 1)
-    keys = F.concat(domains, F.when(segment != "", F.array(F.concat(host, segment))).otherwise(F.array()))
+    path, query = path_and_query(F.regexp_replace(F.coalesce(url, F.lit("")), SCHEME, ""))
+    segments = F.split(path, "/")
+    prefixes = F.when(path != "", F.transform(
+        F.sequence(F.lit(2), F.greatest(F.size(segments), F.lit(2))),
+        lambda i: F.concat(host, F.array_join(F.slice(segments, F.lit(1), i), "/")))).otherwise(F.array())
+    whole = F.when(query != "", F.array(F.concat(host, path, query))).otherwise(F.array())
+    keys = F.concat(domains, prefixes, whole)
     return F.when(host != "", F.array_distinct(keys)).otherwise(F.array().cast("array<string>"))
 
 
 def validity(entries: DataFrame) -> DataFrame:
     """Intervals list_name, pattern, valid_from, valid_to (exclusive; null: still active)."""
-    daily = entries.select("list_name", "pattern", "action", F.col("day").cast("int").alias("day")).dropna() \
+    daily = entries.select("list_name", normal_pattern(F.col("pattern")).alias("pattern"), "action", F.col("day").cast("int").alias("day")).dropna() \
         .groupBy("list_name", "pattern", "day").agg(F.max((F.col("action") == "remove").cast("int")).alias("removed"))
     following = F.lead("day").over(Window.partitionBy("list_name", "pattern").orderBy("day"))
     return daily.withColumn("valid_to", following).filter("removed = 0") \

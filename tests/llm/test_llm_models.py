@@ -194,6 +194,20 @@ def test_url_filter_against_replay(spark):
         assert got[page] == (bool(met), len(met), best[1]), (page, url, day)
 
 
+def test_url_filter_normalises_patterns_and_urls(spark):
+    urls = ["http://user:pw@Shop.example.org/a/b/c?x=1", "http://www.other.net./", "https://deep.example.com:8080/A/b/", "http://clean.org/a"]
+    captures = spark.createDataFrame([(i, u, 5) for i, u in enumerate(urls)], "page_id long, url string, day int")
+    def blocked(*patterns):
+        entries = spark.createDataFrame([("l", p, "add", 1) for p in patterns], "list_name string, pattern string, action string, day int")
+        return {r["page_id"] for r in url_filter.evaluate(captures, entries).collect() if r["blocked"]}
+    assert blocked("shop.example.org/a/b", "Other.NET", "https://Deep.example.com/A/b/") == {0, 1, 2}
+    assert blocked("http://shop.example.org/a/b/c?x=1", "user", "deep.example.com/A/bb", "shop.example.org/a/b/c?x=2") == {0}
+    odd = spark.createDataFrame([("l", p, "add", 1) for p in ("*.example.org", "/only/path", None, "fine.org/x")],
+                                "list_name string, pattern string, action string, day int")
+    assert sorted(r["problem"] for r in url_filter.unsupported_entries(odd).collect()) \
+        == ["null_field", "unsupported_pattern", "unsupported_pattern"]
+
+
 def test_url_filter_without_entries(spark):
     captures = spark.createDataFrame([(1, "http://x.com", 3), (1, "http://x.com", 3), (None, None, None)],
                                      "page_id long, url string, day int")
