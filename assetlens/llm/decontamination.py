@@ -10,13 +10,16 @@ Benchmark items go to the tasks in blocks of about BLOCK_BYTES of text; a larger
 takes more passes, none is left out. A seed is necessary for any tile, so tiling runs only
 over the words of a document that lie in seeds, and finds the same tiles as over all words.
 
-Words are runs of ASCII letters and digits and of other than ASCII characters, in lower case.
-Defined cases: null or empty texts and items match nothing; an item of fewer than MIN_MATCH
-words must occur as a whole; repeated rows are judged alike; an empty benchmark flags nothing.
+Words are runs of ASCII letters and digits and of other than ASCII characters, in lower case;
+in scripts written without spaces each letter is a word. Short items say little about where
+words come from: one of up to SHORT_WORDS words must be covered as a whole, and one of fewer
+than MIN_MATCH words must also begin and end where a line or sentence of the text does.
+Defined cases: null or empty texts and items match nothing; repeated rows are judged alike; an empty benchmark flags nothing.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
@@ -27,16 +30,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetlens.llm.common import id_and_text, text_key, text_slices
+from assetlens.llm.substring_dedup import UNSPACED
 
-MIN_MATCH, COVERAGE = 5, 0.5
+MIN_MATCH, COVERAGE, SHORT_WORDS = 5, 0.5, 10
 BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 4 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 TO_SPACE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+WIDE_MARKS = re.compile("[\u3000-\u303f\uff01-\uff0f\uff1a-\uff20]")
+LINE_OR_SENTENCE = re.compile(r"[\n\r]|(?<=[.!?])\s|(?<=[。！？])")
 
 
 def words_of(text: str) -> list[bytes]:
-    return text.lower().encode("utf-8", "replace").translate(TO_SPACE).split()
+    text = text.lower()
+    if not text.isascii():
+        text = UNSPACED.sub(r" \g<0> ", WIDE_MARKS.sub(" ", text))
+    return text.encode("utf-8", "replace").translate(TO_SPACE).split()
 
 
 def rolling(ids: np.ndarray, length: int) -> np.ndarray:
@@ -96,6 +105,15 @@ def tile(text: list[int], item: list[int], min_match: int) -> list[tuple[int, in
     return tiles
 
 
+def bounds_of(text: str) -> set[int]:
+    """The word numbers at which a line or sentence of the text begins or ends."""
+    at, bounds = 0, {0}
+    for part in LINE_OR_SENTENCE.split(text):
+        at += len(words_of(part))
+        bounds.add(at)
+    return bounds
+
+
 class Block:
     """Some benchmark items and the seeds that lead to them."""
 
@@ -139,8 +157,15 @@ class Block:
             for t, s in zip(at[hit].tolist(), slot[hit].tolist()):
                 for k in owner[first[s]:first[s + 1]].tolist():
                     spots[k].append((t, length))
+        bounds = None
         for k, hits in sorted(spots.items()):
             item_id, item = self.items[k]
+            if len(item) < self.min_match:
+                bounds = bounds_of(text) if bounds is None else bounds
+                at = next((t for t, n in hits if t in bounds and t + n in bounds and ids[t:t + n].tolist() == item), None)
+                if at is not None:
+                    yield item_id, 1.0, [(at, 0, len(item))]
+                continue
             covered = sorted({t + n for t, length in hits for n in range(length)})
             dense, where = [], []  # the words in seeds, with a word that matches nothing at each gap
             for p in covered:
@@ -150,8 +175,9 @@ class Block:
                 dense.append(int(ids[p]))
                 where.append(p)
             tiles = tile(dense, item, min(self.min_match, len(item)))
-            if tiles:
-                yield item_id, sum(n for _, _, n in tiles) / len(item), [(where[t], i, n) for t, i, n in tiles]
+            found = sum(n for _, _, n in tiles)
+            if tiles and (len(item) > SHORT_WORDS or found == len(item)):
+                yield item_id, found / len(item), [(where[t], i, n) for t, i, n in tiles]
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:

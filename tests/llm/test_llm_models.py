@@ -155,6 +155,17 @@ def test_reordered_and_reformatted_passages_are_caught(spark):
     assert set(found) == {(1, 7), (2, 7), (5, 7)} and min(found.values()) == 1.0
 
 
+def test_short_items_leave_clean_documents(spark):
+    bench = spark.createDataFrame([(1, "paris"), (2, "what is the capital city of france today"), (3, "北京是中国的首都城市")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "We went to Paris in spring."), (2, "He asked: what is the capital city of Norway?"),
+        (3, "A question. What is the capital city of France, today?"), (4, "The answer:\nParis\nwas right"),
+        (5, "我们知道北京是中国的首都城市没有错"), (6, "我们知道上海不是中国的首都")], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminations(docs, bench).collect()}
+    assert found == {(3, 2), (4, 1), (5, 3)}
+
+
 def test_blocks_hold_every_item(spark, monkeypatch):
     docs, bench = (read_table(spark, SF_SMALL, t) for t in ("documents", "benchmark"))
     whole = sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in decontamination.contaminations(docs, bench).collect())
