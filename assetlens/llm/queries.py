@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlens.llm import (decontamination, exact_dedup, language_id, packing, quality, simhash_dedup,
-                           substring_dedup, suffix_dedup, token_files, url_filter)
+from assetlens.llm import (decontamination, exact_dedup, language_id, lexical_search, packing, prefix_trie, quality,
+                           secret_scan, simhash_dedup, substring_dedup, suffix_dedup, token_files, url_filter)
 from assetlens.llm.common import read_table
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -68,8 +68,21 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_opening_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.with_digest(secret_scan.scan_documents(read_table(spark, sf_dir, "documents")))
+
+
+def op13_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op1_whole_line_dedup, op2_simhash_anchor_dedup, op3_rule_ensemble_quality, op4_suffix_run_dedup,
     op5_temporal_url_filter,
     op6_cost_balanced_packing, op7_tiling_decontamination, op8_cross_parsing_language,
-    op9_bit_packed_token_files, op10_digest_index_dedup)}
+    op9_bit_packed_token_files, op10_digest_index_dedup,
+    op11_prefix_trie, op12_secret_automaton, op13_ball_tree_search)}
