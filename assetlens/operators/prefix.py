@@ -16,6 +16,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assetlens.session import materialize
+
 Combine = Callable[[Column], Column]
 """An associative and commutative aggregate that combines totals: sum, max, bit_xor."""
 
@@ -48,18 +50,50 @@ def levels_for(ranges: int) -> int:
     return max(int(ranges) - 1, 0).bit_length()
 
 
-def running(rows: DataFrame, keys: Sequence[str], order: Sequence[str], range_col: str,
-            sums: Sequence[str], levels: int, totals: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """``rows`` with the running sums (the row itself included) of the columns ``sums``, in the
-    order ``order`` within ``keys``; a null adds nothing. ``range_col`` numbers ranges that
-    ascend with the order, and ``totals`` writes a small frame (see ``before_ranges``)."""
-    inside = Window.partitionBy(*keys, range_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+RANGE = "__range"
+RANGE_ROWS = 1_000_000
+"""Rows of the whole log in a range of positions, about; a task sorts at most those of one key."""
+
+
+def with_ranges(rows: DataFrame, position: str = "seq") -> tuple[DataFrame, int]:
+    """``rows`` (a written table) with the number of the position's range, and the tree levels:
+    ranges of equal width, as many as the row count asks for. Three numbers come to the driver."""
+    lo, hi, n = rows.agg(F.min(position), F.max(position), F.count(F.lit(1))).first()
+    if not n:
+        return rows.withColumn(RANGE, F.lit(0).cast("bigint")), 0
+    ranges = -(-n // RANGE_ROWS)
+    width = (hi - lo) // ranges + 1
+    number = F.expr(f"(`{position}` - {lo}L) DIV {width}L")
+    return rows.withColumn(RANGE, number.cast("bigint")), levels_for((hi - lo) // width + 1)
+
+
+def running(rows: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Sequence[str] = (),
+            latest: Sequence[str] = (), previous: Sequence[str] = ()) -> DataFrame:
+    """``rows`` (a written table) with its columns ``sums`` replaced by their running sums (the row
+    itself included, a null adds nothing), ``latest`` by the last value that is not null up to the
+    row, and ``previous`` by the last such value before the row, in the order ``order`` within
+    ``keys``. The first of ``order`` is the position; together they tell the rows of a key apart."""
+    ranged, levels = with_ranges(rows, order[0])
     zero = F.lit(0).cast("bigint")
-    per_range = totals(rows.groupBy(*keys, range_col).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in sums]),
-                       "range-totals")
-    before = before_ranges(per_range, keys, range_col, {c: F.sum for c in sums}, levels)
-    before = before.select(*keys, range_col, *[F.col(c).alias(f"__before_{c}") for c in sums])
-    local = rows.withColumns({c: F.coalesce(F.sum(c).over(inside), zero) for c in sums})
-    joined = local.join(before, [*keys, range_col], "left")
-    return joined.select(*[(F.col(c) + F.coalesce(f"__before_{c}", zero)).cast("bigint").alias(c) if c in sums
-                           else F.col(c) for c in rows.columns])
+    merge: dict[str, Combine] = {c: F.sum for c in sums} | {c: F.max for c in (*latest, *previous)}
+    totals = [F.coalesce(F.sum(c), zero).alias(c) for c in sums]
+    totals += [F.max(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("value")))).alias(c)
+               for c in (*latest, *previous)]
+    per_range = materialize(ranged.groupBy(*keys, RANGE).agg(*totals), "range-totals")
+    before = before_ranges(per_range, keys, RANGE, merge, levels)
+    before = before.select(*keys, RANGE, *[F.col(c).alias(f"__before_{c}") for c in merge])
+    inside = Window.partitionBy(*keys, RANGE).orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select(
+        *[c for c in ranged.columns if c not in merge], *[F.coalesce(F.sum(c).over(upto), zero).alias(c) for c in sums],
+        *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in latest],
+        *[F.last(c, ignorenulls=True).over(earlier).alias(c) for c in previous])
+    joined = local.join(before, [*keys, RANGE], "left")
+
+    def column(c: str) -> Column:
+        if c in sums:
+            return (F.col(c) + F.coalesce(f"__before_{c}", zero)).cast("bigint").alias(c)
+        return F.coalesce(c, F.col(f"__before_{c}.value")).alias(c) if c in merge else F.col(c)
+
+    return joined.select(*[column(c) for c in rows.columns])

@@ -198,6 +198,72 @@ select a.table_id, case when f.table_id is null then a.table_name else f.table_n
 from fx_table_assets a left join first f on a.table_id = f.table_id""")
 
 
+# Change history: one row per change, with what holds right after it.
+VERSIONS = """
+deltas as (
+  select table_id, seq, case when commit_op = 'delete' then -file_count else file_count end as d_files,
+    case when commit_op = 'delete' then -file_bytes else file_bytes end as d_bytes
+  from fx_commit where problem is null and (commit_op = 'delete' or committed)),
+steps as (
+  select table_id, seq, case when commit_op <> 'delete' then 1 else 0 end
+    - coalesce(lag(case when commit_op <> 'delete' then 1 else 0 end) over (partition by table_id, partition_desc order by seq), 0) as d
+  from fx_partition_info where partition_desc is not null),
+events as (
+  select table_id, seq, 0 as side, case when commit_op <> 'delete' then
+      {'n': table_name, 'ns': table_namespace, 'd': domain, 'c': creator} end as attrs, commit_op as op,
+    0 as d, 0 as d_files, 0 as d_bytes from fx_table_info
+  union all select table_id, seq, 1, null, null, d, 0, 0 from steps
+  union all select table_id, seq, 2, null, null, 0, d_files, d_bytes from deltas),
+known as (
+  select table_id, seq, side, last_value(attrs ignore nulls) over w as attrs, last_value(op ignore nulls) over w as op,
+    cast(sum(d) over w as bigint) as partition_counts, cast(sum(d_files) over w as bigint) as file_counts,
+    cast(sum(d_bytes) over w as bigint) as file_total_size,
+    count(*) filter (side = 0) over w as n0, count(*) filter (side = 1) over w as n1, count(*) filter (side = 2) over w as n2
+  from events window w as (partition by table_id order by seq, side rows unbounded preceding)),
+versions as (
+  select table_id, seq, side, attrs.n as table_name, attrs.ns as namespace, attrs.d as domain, attrs.c as creator, op,
+    partition_counts, file_counts, file_total_size
+  from known where n0 > 0 and n1 > 0 and n2 > 0)"""
+
+GROUP_VERSIONS = """
+pairs as (
+  select *, lag(op) over w as old_op, lag({key}) over w as old_key, lag(partition_counts) over w as old_p,
+    lag(file_counts) over w as old_f, lag(file_total_size) over w as old_s
+  from versions window w as (partition by table_id order by seq, side)),
+firsts as (select table_id, min((seq, side)) as f from versions group by table_id),
+seen as (
+  select i.table_id, greatest((i.seq, 0), f) as p, i.table_namespace as namespace, i.domain, i.creator
+  from fx_table_info i join firsts on i.table_id = firsts.table_id where i.commit_op <> 'delete'),
+changes as (
+  select {key} as key, seq, side, table_id, 1 as t, partition_counts as p, file_counts as f, file_total_size as s,
+    0 as dom, 0 as ns from pairs where op <> 'delete'
+  union all select old_key, seq, side, table_id, -1, -old_p, -old_f, -old_s, 0, 0 from pairs where old_op <> 'delete'
+  union all select {key}, p[1], p[2], table_id, 0, 0, 0, 0, 0, 0 from seen
+  union all select creator, p[1], p[2], p[3], 0, 0, 0, 0, 1, 0 from (
+    select creator, domain, min((p[1], p[2], table_id)) as p from seen where domain is not null group by creator, domain)
+    where '{key}' = 'creator'
+  union all select creator, p[1], p[2], p[3], 0, 0, 0, 0, 0, 1 from (
+    select creator, namespace, min((p[1], p[2], table_id)) as p from seen where namespace is not null group by creator, namespace)
+    where '{key}' = 'creator'),
+summed as (
+  select key, seq, side, table_id, sum(t) as t, sum(p) as p, sum(f) as f, sum(s) as s, sum(dom) as dom, sum(ns) as ns
+  from changes where key is not null group by all)
+select key as {key}, seq, side, table_id, {seen} cast(sum(t) over w as bigint) as table_counts,
+  cast(sum(p) over w as bigint) as partition_counts, cast(sum(f) over w as bigint) as file_counts,
+  cast(sum(s) over w as bigint) as file_total_size
+from summed window w as (partition by key order by seq, side, table_id rows unbounded preceding)"""
+
+
+def versions_sql(body: str) -> str:
+    return with_ctes("," + VERSIONS + body)
+
+
+def group_versions_sql(key: str) -> str:
+    seen = "cast(sum(dom) over w as bigint) as domain_counts, cast(sum(ns) over w as bigint) as namespace_counts," \
+        if key == "creator" else ""
+    return versions_sql("," + GROUP_VERSIONS.format(key=key, seen=seen))
+
+
 def oracle_sql() -> dict[str, str]:
     sides = ("case when commit_op = 'delete' then table_id end as before_table_id, "
              "case when commit_op <> 'delete' then table_id end as after_table_id")
@@ -261,6 +327,17 @@ def oracle_sql() -> dict[str, str]:
             "union all select 'partition_info', table_id, partition_desc, commit_op, seq from fx_partition_info, cut where seq > c "
             "union all select 'table_info', table_id, table_namespace, commit_op, seq from fx_table_info, cut where seq > c "
             "union all select 'data_commit_info', table_id, commit_id, commit_op, seq from fx_commit, cut where seq > c"),
+        "commit_total_versions": versions_sql(
+            "select table_id, seq, cast(sum(d_files) over w as bigint) as file_counts, "
+            "cast(sum(d_bytes) over w as bigint) as file_total_size from deltas "
+            "window w as (partition by table_id order by seq rows unbounded preceding)"),
+        "partition_count_versions": versions_sql(
+            "select table_id, seq, cast(sum(d) over (partition by table_id order by seq rows unbounded preceding) "
+            "as bigint) as partition_counts from steps"),
+        "table_asset_versions": versions_sql("select * from versions"),
+        "namespace_asset_versions": group_versions_sql("namespace"),
+        "domain_asset_versions": group_versions_sql("domain"),
+        "user_asset_versions": group_versions_sql("creator"),
         "commit_quarantine": with_ctes(
             "select table_id, commit_id, commit_op, seq, problem from fx_commit where problem is not null"),
         "envelope_rejects": REJECTS,

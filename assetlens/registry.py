@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlens.operators import facts
+from assetlens.operators import facts, history
 from assetlens.plans import batch
 from assetlens.schemas import (DATA_COMMIT_INFO, DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, PARTITION_INFO, TABLE_INFO,
                                TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_exact_schema)
@@ -102,6 +102,51 @@ def q_user_level_assets(spark, sf_dir):
     return _results(spark, sf_dir).user_assets
 
 
+# ------------------------------------------------------------ change history
+
+def _deltas(spark, sf_dir) -> DataFrame:
+    """Signed deltas of the commit changes with their positions."""
+    d_files, d_bytes = facts.signed_delta_columns()
+    stats = facts.commit_stats(fx.fx_commit_changes(spark, sf_dir))
+    return stats.select("table_id", "seq", d_files.alias("d_files"), d_bytes.alias("d_bytes"))
+
+
+def q_commit_total_versions(spark, sf_dir):
+    """A2 after each counted commit change."""
+    return history.commit_total_versions(_deltas(spark, sf_dir))
+
+
+def q_partition_count_versions(spark, sf_dir):
+    """A3 after each partition change."""
+    return history.partition_count_versions(fx.fx_partition_info(spark, sf_dir))
+
+
+def q_table_asset_versions(spark, sf_dir):
+    """The joined row after each change of any side."""
+    return history.table_asset_versions(fx.fx_table_info(spark, sf_dir), fx.fx_partition_info(spark, sf_dir),
+                                        _deltas(spark, sf_dir))
+
+
+def _group_versions(spark, sf_dir, level: str) -> DataFrame:
+    versions = q_table_asset_versions(spark, sf_dir)
+    return history.group_asset_versions(history.group_steps(versions, fx.fx_table_info(spark, sf_dir)), level)
+
+
+def q_namespace_asset_versions(spark, sf_dir):
+    """R1, R6, R7 after each change of a table in the group."""
+    return _group_versions(spark, sf_dir, "namespace")
+
+
+def q_domain_asset_versions(spark, sf_dir):
+    """R2, R6, R7 after each change of a table in the group."""
+    return _group_versions(spark, sf_dir, "domain")
+
+
+def q_user_asset_versions(spark, sf_dir):
+    """R3 with R4, R5 (+ R6, R7) after each change of a table of the creator."""
+    return _group_versions(spark, sf_dir, "creator")
+
+
 # ------------------------------------------------------------ envelope-level operators
 
 def _envelope_feed(spark, sf_dir) -> str:
@@ -337,6 +382,12 @@ QUERIES: dict[str, Query] = {
     "namespace_level_assets": q_namespace_level_assets,
     "domain_level_assets": q_domain_level_assets,
     "user_level_assets": q_user_level_assets,
+    "commit_total_versions": q_commit_total_versions,
+    "partition_count_versions": q_partition_count_versions,
+    "table_asset_versions": q_table_asset_versions,
+    "namespace_asset_versions": q_namespace_asset_versions,
+    "domain_asset_versions": q_domain_asset_versions,
+    "user_asset_versions": q_user_asset_versions,
     "envelope_decode": q_envelope_decode,
     "row_image": q_row_image,
     "route_table_info": q_route_table_info,
