@@ -3,7 +3,7 @@
     python -m assetlens batch  --feed /feeds/catalog --out /lake/assets
     python -m assetlens stream --feed /feeds/catalog --out /lake/assets [--once]
     python -m assetlens stream --kafka-servers host:9092 --topics 'srv.public.*' --out /lake/assets
-    python -m assetlens stream ... --snapshot /exports/catalog   (envelope files of the snapshot, read first)
+    python -m assetlens batch|stream ... --snapshot /exports/catalog [--splits /exports/splits.json]
 
 Submit it with ``spark-submit`` on a cluster; ``spark.checkpoint.dir`` must name a
 shared folder (the work folder of every job).
@@ -20,12 +20,18 @@ from assetlens.plans.batch import compute_assets_from_feed
 from assetlens.schemas import RESULT_TABLES, to_exact_schema, wide
 from assetlens.session import BASE_CONF
 from assetlens.sources import changelog
+from assetlens.sources.snapshot import bootstrap_stream, positions_of, read_positions, reconciled
 from assetlens.streaming import job
 
 
-def run_batch(spark: SparkSession, feed: str, out: str) -> None:
-    """Whole feed to the four result tables and the quarantine, as parquet under ``out``."""
-    r = compute_assets_from_feed(changelog.read_changes(spark, feed))
+def run_batch(spark: SparkSession, feed: str, out: str, snapshot: str | None = None, splits: str | None = None) -> None:
+    """Whole feed (after the snapshot, if there is one) to the four result tables and the quarantine, as
+    parquet under ``out``."""
+    changes = changelog.read_changes(spark, feed)
+    if snapshot:
+        rows = changelog.read_changes(spark, snapshot)
+        changes = reconciled(rows, changes, read_positions(spark, splits) if splits else positions_of(rows))
+    r = compute_assets_from_feed(changes)
     frames = {"table_level_assets": r.table_assets, "namespace_level_assets": r.namespace_assets,
               "domain_level_assets": r.domain_assets, "user_level_assets": r.user_assets}
     for name, df in frames.items():
@@ -36,11 +42,12 @@ def run_batch(spark: SparkSession, feed: str, out: str) -> None:
 
 
 def run_stream(spark: SparkSession, out: str, feed: str | None, kafka: dict | None,
-               once: bool, snapshot: str | None = None, jdbc: dict | None = None) -> None:
+               once: bool, snapshot: str | None = None, jdbc: dict | None = None, splits: str | None = None) -> None:
     stream = changelog.read_change_stream(spark, path=feed, kafka=kafka)
     if snapshot:
-        # One query over both sources; positions order the snapshot below the later log.
-        stream = changelog.read_change_stream(spark, path=snapshot).unionByName(stream, allowMissingColumns=True)
+        log = changelog.read_changes(spark, feed) if feed else changelog.read_changes_kafka(spark, kafka)
+        stream = bootstrap_stream(spark, changelog.read_changes(spark, snapshot), log, stream, f"{out}/_bootstrap",
+                                  read_positions(spark, splits) if splits else None)
     trigger = {"availableNow": True} if once else None
     checkpoint = f"{out}/_checkpoint"
     queries = [job.start(stream, base=out, checkpoint=checkpoint, trigger=trigger, jdbc=jdbc),
@@ -59,7 +66,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--feed", help="folder of JSON envelope files")
     p.add_argument("--kafka-servers", help="Kafka bootstrap servers (stream mode)")
     p.add_argument("--topics", help="Kafka topic pattern (stream mode; required with --kafka-servers)")
-    p.add_argument("--snapshot", help="folder of snapshot envelope files, read ahead of the log (stream mode)")
+    p.add_argument("--snapshot", help="folder of snapshot envelope files; the log is taken up where they end")
+    p.add_argument("--splits", help="JSON lines: log positions before and after each split of the snapshot was read "
+                                    "(default: each table's rows show the position they carry)")
     p.add_argument("--jdbc-url", help="also upsert the result tables into this PostgreSQL database (stream mode)")
     p.add_argument("--jdbc-user"), p.add_argument("--jdbc-password-env", help="environment variable of the password")
     p.add_argument("--once", action="store_true", help="stream: process what is there, then stop")
@@ -72,7 +81,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.mode == "batch":
         if not a.feed:
             p.error("batch needs --feed")
-        run_batch(spark, a.feed, a.out)
+        run_batch(spark, a.feed, a.out, a.snapshot, a.splits)
         return
     kafka = None
     if a.kafka_servers:
@@ -85,7 +94,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.jdbc_url:
         jdbc = {"url": a.jdbc_url, "properties": {"user": a.jdbc_user or "", "driver": "org.postgresql.Driver",
                                                   "password": os.environ.get(a.jdbc_password_env or "", "")}}
-    run_stream(spark, a.out, a.feed, kafka, a.once, a.snapshot, jdbc)
+    run_stream(spark, a.out, a.feed, kafka, a.once, a.snapshot, jdbc, a.splits)
 
 
 if __name__ == "__main__":

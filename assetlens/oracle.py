@@ -338,6 +338,20 @@ def oracle_sql() -> dict[str, str]:
         "namespace_asset_versions": group_versions_sql("namespace"),
         "domain_asset_versions": group_versions_sql("domain"),
         "user_asset_versions": group_versions_sql("creator"),
+        "snapshot_reconciled": with_ctes("""
+, changes as (
+  select 'table_info' as table_name, 0 as t, table_id, table_namespace as detail, table_id as key, commit_op, seq from fx_table_info
+  union all select 'partition_info', 1, table_id, partition_desc, concat(table_id, chr(31), coalesce(partition_desc, '')), commit_op, seq
+    from fx_partition_info
+  union all select 'data_commit_info', 2, table_id, commit_id, concat(table_id, chr(31), commit_id), commit_op, seq from fx_commit),
+placed as (
+  select changes.*, (select max(o_orderkey) from orders) * (2 + ('0x' || md5(key)[:8])::bigint % 4) // 10 + 100 * t as high
+  from changes),
+at_high as (
+  select table_name, table_id, arg_max({'d': detail, 'op': commit_op}, seq) as c, high from placed where seq <= high
+  group by table_name, table_id, key, high)
+select table_name, table_id, c.d as detail, 'read' as commit_op, cast(high as bigint) as seq from at_high where c.op <> 'delete'
+union all select table_name, table_id, detail, commit_op, seq from placed where seq > high"""),
         "commit_quarantine": with_ctes(
             "select table_id, commit_id, commit_op, seq, problem from fx_commit where problem is not null"),
         "envelope_rejects": REJECTS,

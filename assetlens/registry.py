@@ -18,7 +18,7 @@ from assetlens.plans import batch
 from assetlens.schemas import (DATA_COMMIT_INFO, DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, PARTITION_INFO, TABLE_INFO,
                                TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_exact_schema)
 from assetlens.session import fresh_dir
-from assetlens.sources import changelog, envelope
+from assetlens.sources import changelog, envelope, snapshot
 from assetlens.functions.fileops import decode_base64_text, parse_file_op
 from assetlens.sources import fixtures as fx
 
@@ -265,6 +265,32 @@ def q_snapshot_bootstrap(spark, sf_dir):
     return rows
 
 
+def _split_positions(spark, sf_dir) -> DataFrame:
+    """Positions of a snapshot in four splits a table, each read at a position of its own: between
+    a fifth and a half of the orders' log, later for the later tables; the positions before and after
+    are a twentieth apart."""
+    top = fx.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    rows = [(name, 4, split, high - top // 20, high) for t, name in enumerate((TABLE_INFO, PARTITION_INFO, DATA_COMMIT_INFO))
+            for split in range(4) for high in [top * (2 + split) // 10 + 100 * t]]
+    return spark.createDataFrame(rows, snapshot.POSITIONS)
+
+
+def q_snapshot_reconciled(spark, sf_dir):
+    """A snapshot whose splits were read at different positions, and the log that goes on
+    meanwhile, reconciled; routed rows of all three tables."""
+    log = changelog.read_changes(spark, _envelope_feed(spark, sf_dir))
+    positions = _split_positions(spark, sf_dir)
+    export = fresh_dir(spark, "snapshot")
+    moments = positions.withColumn("high", F.col("high") - F.floor((F.col("high") - F.col("low")) / 2))
+    snapshot.write_envelopes(snapshot.state_at(log, moments), export)
+    feed = snapshot.reconciled(changelog.read_changes(spark, export), log, positions)
+    img = F.col("img")
+    detail = F.when(F.col("table_name") == TABLE_INFO, img["table_namespace"]) \
+        .when(F.col("table_name") == PARTITION_INFO, img["partition_desc"]).otherwise(img["commit_id"])
+    return envelope.catalog_changes(feed).select("table_name", img["table_id"].alias("table_id"), detail.alias("detail"),
+                                                 "commit_op", "seq")
+
+
 def _feed_results(spark, sf_dir) -> batch.AssetResults:
     """The batch job over the envelope feed, scanned and parsed once."""
     return batch.compute_assets_from_feed(
@@ -395,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "route_data_commit_info": q_route_data_commit_info,
     "cdc_scan": q_cdc_scan,
     "snapshot_bootstrap": q_snapshot_bootstrap,
+    "snapshot_reconciled": q_snapshot_reconciled,
     "feed_table_level_assets": q_feed_table_level_assets,
     "feed_namespace_level_assets": q_feed_namespace_level_assets,
     "feed_domain_level_assets": q_feed_domain_level_assets,

@@ -9,8 +9,6 @@ then the log.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +29,12 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
     return normalize_envelopes(spark.read.schema(ENVELOPE).json(path))
 
 
+def read_changes_kafka(spark: SparkSession, kafka: dict) -> DataFrame:
+    """Batch read of the topics from their earliest offsets to the present, decoded."""
+    raw = spark.read.format("kafka").options(**({"startingOffsets": "earliest"} | kafka)).load()
+    return decode_envelopes(raw, value_col="value", topic_col="topic", offset_col="offset", partition_col="partition")
+
+
 def read_change_stream(spark: SparkSession, path: str | None = None,
                        kafka: dict | None = None,
                        max_files_per_trigger: int | None = None) -> DataFrame:
@@ -110,25 +114,6 @@ def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None,
 
 # ------------------------------------------------------------- S2: snapshot bootstrap
 
-def snapshot_splits(key: str, rows: int, split_size: int = 1024) -> list[str]:
-    """Predicates that cut a table into splits of about ``split_size`` rows by a hash of its
-    text key (PostgreSQL dialect). The catalog tables have text keys; a null key is in the
-    first split, so every row is in exactly one."""
-    n = max(1, math.ceil(rows / split_size))
-    cut = f"mod(abs(hashtext({key})::bigint), {n})"
-    return [f"{cut} = {i}" + (f" or {key} is null" if i == 0 else "") for i in range(n)]
-
-
-def read_snapshot_jdbc(spark: SparkSession, url: str, table: str, key: str, properties: dict,
-                       split_size: int = 1024) -> DataFrame:
-    """Snapshot of one catalog table over JDBC, read in parallel splits (a split is a task).
-
-    Not exercised in this repository's tests: it needs a database server. The predicates are.
-    """
-    rows = spark.read.jdbc(url, f"(select count(*) as n from {table}) b", properties=properties).first()["n"]
-    return spark.read.jdbc(url, table, predicates=snapshot_splits(key, rows, split_size), properties=properties)
-
-
 def read_snapshot_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Snapshot of one catalog table exported as files; split by the file source."""
     return spark.read.format(fmt).load(path)
