@@ -55,9 +55,9 @@ def test_language_on_held_out_documents(spark):
     assert np.mean([r["lang_pred"] == langs[r["doc_id"]] for r in held]) >= 0.98
 
 
-def naive_phrases(text, training, symbols):
+def naive_phrases(text, training):
     """Greedy longest matches; a symbol that the training text lacks is a phrase."""
-    s, t = bytes(symbols.of(text)), bytes(training)
+    s, t = bytes(language_id.symbols_of(text)), bytes(training)
     phrases = 0
     for begin in range(0, len(s), language_id.STRETCH):
         part, i = s[begin:begin + language_id.STRETCH], 0
@@ -73,32 +73,58 @@ def naive_phrases(text, training, symbols):
 def test_cross_parsing_against_longest_matches(monkeypatch):
     monkeypatch.setattr(language_id, "STRETCH", 64)
     rng = random.Random(4)
-    texts = {"x": "".join(rng.choices("abc d", k=700)), "y": "".join(rng.choices("bcde ", k=500))}
+    texts = {"x": ["".join(rng.choices("abc d", k=700)), "漢字é"], "y": ["".join(rng.choices("bcde ", k=500))]}
     model = language_id.CrossParser(texts)
-    asked = ["", "...", "abcq", "Z z z"] + ["".join(rng.choices("abcdez .", k=rng.randint(1, 300))) for _ in range(40)]
+    asked = ["", "...", "abcq", "Z z z", "漢é漢字 字", "é b漢c"] + ["".join(rng.choices("abcdez .", k=rng.randint(1, 300))) for _ in range(40)]
     cost, sizes = model.costs(asked)
     for i, text in enumerate(asked):
         if not sizes[i]:
             continue
         for k, lang in enumerate(model.languages):
-            want = naive_phrases(text, model.symbols.of(texts[lang]), model.symbols)
+            want = naive_phrases(text, language_id.sampled(texts[lang], 10**6))
             got = cost[k, i] * sizes[i] / model.scale[k]
             assert abs(got - want) < 1e-6, (text, got, want)
 
 
 def test_suffix_automaton_accepts_exactly_the_substrings():
     text = [0, 1, 0, 0, 1, 2, 0, 1]
-    table = language_id.suffix_automaton(text, 3)
+    following = language_id.suffix_automaton(text)
+    place, owner, after = language_id.displaced(following)
+    assert len(set(place.tolist())) == len(following) and place[0] == 0
     subs = {tuple(text[i:j]) for i in range(8) for j in range(i, 9)}
     for n in range(1, 5):
         for code in range(3 ** n):
             word = tuple(code // 3 ** k % 3 for k in range(n))
             state = 0
             for c in word:
-                state = table[state, c] if state >= 0 else -1
+                state = after[state + c] if state >= 0 and owner[state + c] == state else -1
             assert (state >= 0) == (word in subs)
 
 
+def test_sample_is_spread_over_all_texts():
+    texts = ["a" * 5000, "b" * 10, "c" * 3000, "...", "d" * 100]
+    got = bytes(language_id.sampled(texts, 1000)).decode()
+    assert [got.count(c) for c in "abcd"] == [445, 10, 445, 100]
+    assert len(language_id.sampled([], 10)) == 0
+
+
+def test_many_languages_with_letters_of_their_own(spark):
+    """Twenty languages of 300 letters each, beside four Latin ones that make up most of the rows."""
+    rng = random.Random(12)
+    letters = {f"cjk{k}": [chr(0x4E00 + 300 * k + i) for i in range(300)] for k in range(20)}
+    letters |= {f"lat{k}": [a + b for a in "bcdfgh"[k:k + 3] for b in "aeiou"] for k in range(4)}
+    texts = [(lang, "".join(rng.choices(own, k=400))) for lang, own in letters.items()
+             for _ in range(30 if lang.startswith("cjk") else 90)]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert model.owner.nbytes + model.after.nbytes < 24 * 40 * language_id.TRAINING_SYMBOLS
+    for n, least in ((10, 0.8), (60, 0.95)):
+        asked = [(lang, "".join(rng.choices(own, k=n))) for lang, own in letters.items() if lang.startswith("cjk") for _ in range(20)]
+        guessed, _ = model.predict([t for _, t in asked])
+        assert np.mean([g == lang for g, (lang, _) in zip(guessed, asked)]) >= least
+
+
 def naive_tiles(text, item, least):
     """Greedy string tiling by trying every pair of places."""
     free_t, free_i, tiles = [True] * len(text), [True] * len(item), []
@@ -155,6 +181,39 @@ def test_reordered_and_reformatted_passages_are_caught(spark):
     assert set(found) == {(1, 7), (2, 7), (5, 7)} and min(found.values()) == 1.0
 
 
+def test_rolled_hashes_are_those_of_the_runs():
+    rng = random.Random(2)
+    words = [rng.randint(-1, 3) for _ in range(200)]
+    free = [rng.random() < 0.95 for _ in words]
+    for length in (1, 2, 5, 9):
+        rolled = dict(decontamination.run_hashes(words, free, length))
+        runs = {i: tuple(words[i:i + length]) for i in range(len(words) - length + 1)
+                if all(free[i:i + length]) and min(words[i:i + length]) >= 0}
+        assert rolled.keys() == runs.keys()
+        assert len(set(rolled.values())) == len(set(runs.values())) == len(set(zip(rolled.values(), runs.values())))
+        ids = np.array([w + 1 for w in words], np.int64)
+        hashed, plain = decontamination.rolling(ids, length).tolist(), [tuple(ids[i:i + length]) for i in range(len(ids) - length + 1)]
+        assert len(set(hashed)) == len(set(plain)) == len(set(zip(hashed, plain)))
+
+
+def test_colliding_hashes_are_verified(monkeypatch):
+    monkeypatch.setattr(decontamination, "PRIME", 3)
+    text, item = [7, 1, 2, 3, 4, 9, 5, 6, 7], [1, 2, 3, 4, 5, 6, 7]
+    assert sorted(decontamination.tile(text, item, 3)) == [(1, 0, 4), (6, 4, 3)]
+
+
+def test_short_items_in_another_order(spark):
+    bench = spark.createDataFrame([(1, "red fox jumps over lazy dogs"), (2, "one two three four five six seven eight nine")],
+                                  "item_id long, text string")
+    filler = " ".join(f"x{i}" for i in range(60))
+    docs = spark.createDataFrame([
+        (1, f"{filler} over lazy dogs red fox jumps {filler}"), (2, f"six seven eight nine, one two three four five {filler}"),
+        (3, f"red fox jumps {filler} over lazy dogs"), (4, "red fox jumps over lazy cats"), (5, f"one two three {filler} seven eight nine")],
+        "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminations(docs, bench).collect()}
+    assert found == {(1, 1), (2, 2)}
+
+
 def test_short_items_leave_clean_documents(spark):
     bench = spark.createDataFrame([(1, "paris"), (2, "what is the capital city of france today"), (3, "北京是中国的首都城市")],
                                   "item_id long, text string")
