@@ -3,8 +3,9 @@
 Both vocabularies used here split a text at single spaces before they merge bytes, so a
 piece between two spaces always gets the same ids. The encoder looks each piece up, gives
 only unseen pieces to the library, and gathers the ids with numpy. Texts in which a space
-touches other white space are encoded whole where the vocabulary keeps white space. The
-result equals encoding each whole text (tested).
+touches other white space are encoded whole where the vocabulary keeps white space, and so
+are texts that hold the text of an added token (``<|endoftext|>`` and the like), which the library
+makes that token's id. The result equals encoding each whole text with the library as it is (tested).
 """
 
 from __future__ import annotations
@@ -37,7 +38,11 @@ class PieceEncoder:
         self.tok, self.keeps_space = _library(path, True), keeps_space
         # A special token between pieces lets one call encode many of them.
         self.joined = _library(path, False)
-        self.special = [t.content for t in self.joined.get_added_tokens_decoder().values() if t.special]
+        added = self.joined.get_added_tokens_decoder().values()
+        self.special = [t.content for t in added if t.special]
+        # Added tokens that are matched after normalisation could be spelt in capitals.
+        self.added = re.compile("|".join(re.escape(t.content) for t in added),
+                                re.IGNORECASE if any(t.normalized for t in added) else 0)
         self.mark_id = self.joined.token_to_id(self.special[0])
         self._clear()
 
@@ -152,10 +157,11 @@ class PieceEncoder:
         bounds = np.concatenate([[0], np.cumsum(counts)])
         total = np.concatenate([[0], ends])[bounds]  # ids before each text
         n_ids = np.diff(total)
-        risky = np.flatnonzero(np.add.reduceat(self.whole[at], bounds[:-1]) & (counts > 1)) if len(texts) else []
+        special = np.fromiter((self.added.search(t) is not None for t in texts), bool, len(texts))
+        risky = np.flatnonzero((np.add.reduceat(self.whole[at], bounds[:-1]) & (counts > 1)) | special) if len(texts) else []
         parts, done = [], 0
         for i in risky:
-            whole = np.array(self.tok.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+            whole = np.array(self.joined.encode(texts[i], add_special_tokens=False).ids, np.uint32)
             parts += [flat[done:total[i]], whole]
             done, n_ids[i] = total[i + 1], len(whole)
         if parts:
