@@ -11,23 +11,39 @@ FROM d JOIN g USING (h)
 """
 
 OP1 = r"""
-WITH lines AS (
-  SELECT doc_id, coalesce(text, '') AS text, unnest(cut) AS line,
-         generate_subscripts(cut, 1) - 1 AS unit
-  FROM (SELECT doc_id, text, string_split(regexp_replace(coalesce(text, ''), '([.!?]) ', '\1' || chr(10), 'g'),
-                                          chr(10)) AS cut FROM documents)),
-placed AS (
+WITH cut AS (
+  SELECT doc_id, lines, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS unit
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+lines AS (
   SELECT doc_id, unit, line, length(line) AS length,
-         sum(length(line) + 1) OVER (PARTITION BY doc_id, text ORDER BY unit) - length(line) - 1 AS start,
-         trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
-  FROM lines),
-units AS (SELECT * FROM placed WHERE length(norm) - length(replace(norm, ' ', '')) >= 5),
-firsts AS (
-  SELECT norm, min((doc_id, unit)) AS f, count(*) AS copies FROM units GROUP BY norm HAVING count(*) > 1)
-SELECT doc_id, unit::BIGINT AS unit, start::BIGINT AS start, length::BIGINT AS length,
-       f[1]::BIGINT AS first_doc_id, f[2]::BIGINT AS first_unit, copies
-FROM units JOIN firsts USING (norm)
-WHERE NOT (doc_id = f[1] AND unit = f[2])
+         coalesce(list_sum(list_transform(lines[:unit], lambda x: length(x) + 1)), 0) AS start,
+         trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+  FROM cut),
+line_firsts AS (
+  SELECT norm, min((doc_id, start, unit)) AS f, count(*) AS copies FROM lines WHERE norm <> '' GROUP BY norm HAVING count(*) > 1),
+gone AS (
+  SELECT doc_id, 'line' AS kind, unit, start, length, f, copies FROM lines JOIN line_firsts USING (norm)
+  WHERE NOT (doc_id = f[1] AND start = f[2])),
+kept AS (SELECT * FROM lines WHERE norm <> '' AND NOT EXISTS (
+  SELECT 1 FROM gone WHERE gone.doc_id = lines.doc_id AND gone.unit = lines.unit)),
+parts AS (
+  SELECT *, list_filter(string_split(regexp_replace(regexp_replace(line, '([.!?]) ', '\1 ' || chr(10), 'g'),
+                                                    '([。！？])', '\1' || chr(10), 'g'), chr(10)), lambda x: x <> '') AS p
+  FROM kept),
+pieces AS (
+  SELECT doc_id, unit, p, start AS line_start, length AS line_length, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM parts),
+sentences AS (
+  SELECT doc_id, unit, line_start + coalesce(list_sum(list_transform(p[:i - 1], lambda x: length(x))), 0) AS start,
+         CASE WHEN len(p) = 1 THEN line_length ELSE length(piece) - regexp_matches(piece, '[.!?] $')::INT END AS length,
+         trim(regexp_replace(lower(piece), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+  FROM pieces),
+sentence_firsts AS (
+  SELECT norm, min((doc_id, start, unit)) AS f, count(*) AS copies FROM sentences WHERE norm <> '' GROUP BY norm HAVING count(*) > 1)
+SELECT doc_id, kind, unit::BIGINT AS unit, start::BIGINT AS start, length::BIGINT AS length, f[1]::BIGINT AS first_doc_id,
+       f[3]::BIGINT AS first_unit, f[2]::BIGINT AS first_start, copies
+FROM (SELECT * FROM gone UNION ALL
+      SELECT doc_id, 'sentence', unit, start, length, f, copies FROM sentences JOIN sentence_firsts USING (norm)
+      WHERE NOT (doc_id = f[1] AND start = f[2]))
 """
 
 OP5 = r"""

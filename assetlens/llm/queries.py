@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,18 +10,12 @@ from assetlens.llm import (decontamination, exact_dedup, language_id, lexical_se
                            secret_scan, simhash_dedup, substring_dedup, suffix_dedup, token_files, url_filter)
 from assetlens.llm.common import read_table
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-"""Folder of the public vocabulary files; every node has it."""
-
-WORD_BPE, WORD_BPE_SIZE = f"{TOKENIZERS}/word_bpe_49k.json", 49_408
-BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+WORD_BPE, WORD_BPE_SIZE = str(public_tokenizers.path("word_bpe_49k.json")), 49_408
+BYTE_BPE = str(public_tokenizers.path("byte_bpe_50k.json"))
+"""Public vocabulary files; every node has them at the same path."""
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.removed_units(read_table(spark, sf_dir, "documents")).drop("text_key")
-
-
-def op1_whole_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed_spans(read_table(spark, sf_dir, "documents")).drop("text_key", "cut")
 
 
@@ -81,7 +74,7 @@ def op13_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op1_whole_line_dedup, op2_simhash_anchor_dedup, op3_rule_ensemble_quality, op4_suffix_run_dedup,
+    op1_line_dedup, op2_simhash_anchor_dedup, op3_rule_ensemble_quality, op4_suffix_run_dedup,
     op5_temporal_url_filter,
     op6_cost_balanced_packing, op7_tiling_decontamination, op8_cross_parsing_language,
     op9_bit_packed_token_files, op10_digest_index_dedup,

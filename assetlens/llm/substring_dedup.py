@@ -1,14 +1,10 @@
 """Substring dedup by line hashing (operator 1).
 
-Lines, cut once more after sentence ends, are the units: a passage that was pasted into the
-middle of other lines still has whole units in common with its copies. Units are normalised
-(lower case, white-space runs one space, ends trimmed) and hashed. Equal digests are grouped
-over the whole corpus, the occurrence of smallest rank (document id, then unit number) stays,
-and every other one is removed; its character offsets in the original text are kept. Pieces
-of fewer than MIN_WORDS words are no units: they recur by chance.
-
-``removed_spans`` is the form without that loss: every non-empty whole line is a unit,
-whatever its length, and the sentences of the lines that stay are a second kind of unit.
+Every non-empty line is a unit, whatever its length. Units are normalised (lower case, runs of ASCII
+white space one space, ends trimmed) and hashed; equal digests are grouped over the whole corpus, the occurrence of smallest
+rank (document id, then place) stays, and every other one is removed, with its character offsets
+in the original text. The sentences of the lines that stay, of any length too, are a second kind of unit, so a passage
+that was pasted into the middle of other lines is found as well.
 
 Only units that occur twice or more take part in the join that finds the removed ones; a unit
 that is in a third of all documents is one row on the group side, and its occurrences are
@@ -16,7 +12,8 @@ rows of a plain equi-join of two written tables, whose large partitions adaptive
 splits.
 
 Defined cases: null and empty texts have no units; null ids rank last; rows that repeat an id
-are ranked by the hash of their text as well, and equal rows keep the unit in each of them.
+are ranked by the hash of their text as well, and equal rows keep the unit in each of them;
+columns other than doc_id and text are not read, whatever their names; an empty table has no units.
 """
 
 from __future__ import annotations
@@ -32,22 +29,14 @@ from pyspark.sql import functions as F
 from assetlens.llm.common import id_and_text, text_key, text_slices
 from assetlens.session import materialize
 
-MIN_WORDS = 6
-SENTENCE_END = re.compile(r"([.!?]) ")
 SENTENCE_CUT = re.compile(r"(?<=[.!?]) |(?<=[。！？])")
-"""What ends a sentence of ``spans``: a space after a stop, or a full-width stop itself."""
+"""What ends a sentence: a space after a stop, or a full-width stop itself."""
 UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
                       "\U00020000-\U0003ffff]")
-"""Letters of scripts written without spaces: each counts as a word."""
+"""Letters of scripts written without spaces."""
 SLICE_BYTES = 4 << 20
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut at line breaks and at the space after a sentence end; each piece is
-    followed by exactly one character of the text (the cut), the last by none."""
-    return SENTENCE_END.sub(r"\1\n", text).split("\n")
-
-
 def sentences(line: str) -> list[tuple[int, int, int]]:
     """(start, length, characters of the cut after it) of each sentence of a line; nothing
     is cut after the last one, so that the line's end stays with what is kept of the line."""
@@ -60,69 +49,29 @@ def sentences(line: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def digest_of(words: list[str]) -> bytes:
-    return blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=16).digest()
-
-
-def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per piece of ``min_words`` or more: doc_id, text_key, unit (its number), start
-    and length (characters of the original text), digest."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, SLICE_BYTES):
-            row, unit, start, length, digest = [], [], [], [], []
-            for r, text in enumerate(batch.column("text").to_pylist()):
-                at = 0
-                for n, line in enumerate(pieces(text)):
-                    words = line.lower().split()
-                    if len(words) >= min_words:
-                        row.append(r), unit.append(n), start.append(at), length.append(len(line))
-                        digest.append(blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=16).digest())
-                    at += len(line) + 1
-            row = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(row), "text_key": batch.column("text_key").take(row),
-                "unit": pa.array(unit, pa.int64()), "start": pa.array(start, pa.int64()),
-                "length": pa.array(length, pa.int64()), "digest": pa.array(digest, pa.binary())})
-
-    rows = id_and_text(docs).withColumn("text_key", text_key(F.col("text")))
-    return rows.mapInArrow(cut, "doc_id long, text_key long, unit long, start long, length long, digest binary")
-
-
-def removed_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per removed unit: doc_id, text_key, unit, start, length, and where the kept
-    occurrence is (first_doc_id, first_unit); copies counts all occurrences."""
-    found = materialize(units(docs, min_words), "line-units")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "unit")
-    groups = materialize(found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("copies"))
-                         .filter("copies > 1"), "line-groups")
-    first = F.col("first")
-    return found.join(groups, "digest").filter(
-        ~(F.col("doc_id").eqNullSafe(first["doc_id"]) & (F.col("text_key") == first["text_key"])
-          & (F.col("unit") == first["unit"]))).select(
-        "doc_id", "text_key", "unit", "start", "length", first["doc_id"].alias("first_doc_id"),
-        first["unit"].alias("first_unit"), "copies")
+def digest_of(text: str) -> bytes | None:
+    """Digest of the normalised text; none if it is white space only. (Bytes split at ASCII white space.)"""
+    words = text.lower().encode("utf-8", "replace").split()
+    return blake2b(b" ".join(words), digest_size=16).digest() if words else None
 
 
-def spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per non-empty line (``whole``) and per sentence of ``min_words`` or more
-    (``sentence``); a line of one sentence is one row. ``unit`` is the number of the line,
-    ``cut`` the number of characters that go with the unit."""
+def spans(docs: DataFrame) -> DataFrame:
+    """One row per line (``whole``) and per sentence (``sentence``) that is not white space only; a line of one sentence is one
+    row. ``unit`` is the number of the line, ``cut`` the number of characters that go with the unit."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, SLICE_BYTES):
             rows = []
             for r, text in enumerate(batch.column("text").to_pylist()):
                 at = 0
                 for n, line in enumerate(text.split("\n")):
-                    words = line.lower().split()
-                    if words:
+                    digest = digest_of(line)
+                    if digest:
                         parts = sentences(line)
-                        alone = len(parts) == 1 and len(words) + len(UNSPACED.findall(line)) >= min_words
-                        rows.append((r, n, at, len(line), 1, digest_of(words), True, alone))
+                        rows.append((r, n, at, len(line), 1, digest, True, len(parts) == 1))
                         for start, length, cut in parts if len(parts) > 1 else ():
-                            part = line[start:start + length]
-                            words = part.lower().split()
-                            if words and len(words) + len(UNSPACED.findall(part)) >= min_words:
-                                rows.append((r, n, at + start, length, cut, digest_of(words), False, True))
+                            digest = digest_of(line[start:start + length])
+                            if digest:
+                                rows.append((r, n, at + start, length, cut, digest, False, True))
                     at += len(line) + 1
             row, *columns = zip(*rows) if rows else [()] * 8
             row = pa.array(row, pa.int64())
@@ -151,13 +100,13 @@ def repeats(found: DataFrame, kind: str) -> DataFrame:
         first["start"].alias("first_start"), "copies")
 
 
-def removed_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def removed_spans(docs: DataFrame) -> DataFrame:
     """One row per removed line or sentence: doc_id, text_key, kind, unit (number of the
     line), start, length, cut, where the kept occurrence is, copies. Lines come first; the
     sentences of the lines that stay (the kept occurrence of a repeated line included) are
     compared with each other, so no removed span is inside another one, and the kept
     occurrence of a line can lose only sentences that an earlier text keeps."""
-    found = materialize(spans(docs, min_words), "line-spans")
+    found = materialize(spans(docs), "line-spans")
     lines = materialize(repeats(found.filter("whole"), "line"), "line-copies")
     gone = lines.select(F.col("doc_id").alias("right_id"), F.col("text_key").alias("right_key"),
                         F.col("unit").alias("right_unit"))
@@ -168,12 +117,10 @@ def removed_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """``docs`` with the removed units cut from the text (each with the ``cut`` characters
-    after it, one if ``removed`` does not say); other columns, and texts without removed
-    units, as they are."""
-    cut_size = F.col("cut") if "cut" in removed.columns else F.lit(1).cast("long")
+    """``docs`` with the removed units cut from the text, each with the ``cut`` characters that go
+    with it; other columns, and texts without removed units, as they are."""
     spans = removed.groupBy(F.col("doc_id").alias("right_id"), F.col("text_key").alias("right_key")) \
-        .agg(F.sort_array(F.collect_set(F.struct("start", (F.col("length") + cut_size).alias("length"))))
+        .agg(F.sort_array(F.collect_set(F.struct("start", (F.col("length") + F.col("cut")).alias("length"))))
              .alias("right_spans"))
     joined = docs.join(spans, docs["doc_id"].cast("long").eqNullSafe(spans["right_id"])
                        & (text_key(docs["text"]) == spans["right_key"]), "left")

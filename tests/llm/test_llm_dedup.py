@@ -192,20 +192,21 @@ def test_loser_tree_merges_and_tracks_prefixes(lists):
 
 def test_line_dedup_offsets_point_at_the_lines(spark):
     docs = {r["doc_id"]: r["text"] for r in read_table(spark, SF_SMALL, "documents").collect()}
-    got = substring_dedup.removed_units(read_table(spark, SF_SMALL, "documents")).collect()
-    assert got
+    got = substring_dedup.removed_spans(read_table(spark, SF_SMALL, "documents")).collect()
+    assert {r["kind"] for r in got} == {"line", "sentence"}
     for r in got:
-        line = docs[r["doc_id"]][r["start"]:r["start"] + r["length"]]
-        first = substring_dedup.pieces(docs[r["first_doc_id"]])[r["first_unit"]]
-        assert line.lower().split() == first.lower().split() and "\n" not in line
+        one = docs[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+        first = docs[r["first_doc_id"]][r["first_start"]:]
+        assert "\n" not in one and first.lower().split()[:len(one.split())] == one.lower().split()
+        assert (r["first_doc_id"], r["first_start"]) < (r["doc_id"], r["start"])
 
 
 def test_a_common_line_stays_once(spark):
-    line = "one two three four five six"
-    docs = spark.range(500).select(F.col("id").alias("doc_id"),
-                                   F.concat(F.lit(line + "\nown "), F.col("id").cast("string")).alias("text"))
-    removed = substring_dedup.removed_units(docs)
-    assert removed.count() == 499 and removed.filter("doc_id = 0").count() == 0
+    for line in ("one two three four five six", "one"):
+        docs = spark.range(500).select(F.col("id").alias("doc_id"),
+                                       F.concat(F.lit(line + "\nown "), F.col("id").cast("string")).alias("text"))
+        removed = substring_dedup.removed_spans(docs)
+        assert removed.count() == 499 and removed.filter("doc_id = 0").count() == 0
 
 
 def test_a_passage_inside_other_lines_is_found(spark):
@@ -213,23 +214,23 @@ def test_a_passage_inside_other_lines_is_found(spark):
     docs = spark.createDataFrame([(1, f"first words of one {passage} and its end"), (2, f"others came {passage} to stop"),
                                   (3, "The clean text has nothing in common with those two. At all.")],
                                  "doc_id long, text string")
-    removed = materialize(substring_dedup.removed_units(docs), "passage")
+    removed = materialize(substring_dedup.removed_spans(docs), "passage")
     assert [r["doc_id"] for r in removed.orderBy("unit").collect()] == [2, 2]
     texts = {r["doc_id"]: r["text"] for r in substring_dedup.cleaned(docs, removed).collect()}
     assert texts[2] == "others came and so it went on. It did so to stop" and passage in texts[1]
 
 
 def test_whole_lines_of_any_length_are_units(spark):
-    many = "The and. So it is. At all. No one. Well then. Yes. It was so."
+    many = "The and. So it is. At all. No one. Well then. Yes. It was so. Yes."
     docs = spark.createDataFrame([
         (1, f"short\n{many}\n今天天气很好我们去公园\nown one"),
         (2, f"own two\nShort \n{many}\n今天天气很好我们去公园\nlast"),
         (3, "先说别的。今天天气很好我们去公园。再说一句"), (4, "不同的。今天天气很好我们去公园。完"),
-        (5, "Before it. One long sentence of seven words here. Tail\nnext"),
-        (6, "Other words. One long sentence of seven words here.\nafter")], "doc_id long, text string")
+        (5, "Before it. One short. Tail\nnext"),
+        (6, "Other words. One short.\nafter")], "doc_id long, text string")
     removed = materialize(substring_dedup.removed_spans(docs), "whole")
     got = {(r["doc_id"], r["kind"], r["first_doc_id"]) for r in removed.collect()}
-    assert got == {(2, "line", 1), (4, "sentence", 3), (6, "sentence", 5)}
+    assert got == {(1, "sentence", 1), (2, "line", 1), (4, "sentence", 3), (6, "sentence", 5)}
     texts = {r["doc_id"]: r["text"] for r in substring_dedup.cleaned(docs, removed).collect()}
     assert texts[2] == "own two\nlast" and texts[4] == "不同的。完" and texts[6] == "Other words. \nafter"
 
@@ -237,9 +238,9 @@ def test_whole_lines_of_any_length_are_units(spark):
 def test_whole_line_query_leaves_no_line_twice(spark):
     docs = read_table(spark, SF_SMALL, "documents")
     lines = [line for r in docs.collect() for line in (" ".join(x.lower().split()) for x in (r["text"] or "").split("\n")) if line]
-    got = [r for r in queries.op1_whole_line_dedup(spark, SF_SMALL).collect() if r["kind"] == "line"]
+    got = [r for r in queries.op1_line_dedup(spark, SF_SMALL).collect() if r["kind"] == "line"]
     assert len(got) == len(lines) - len(set(lines)) > 0
-    assert any(len(line.split()) < substring_dedup.MIN_WORDS for line in lines if lines.count(line) > 1)
+    assert any(len(line.split()) < 6 for line in lines if lines.count(line) > 1)
 
 
 def test_merge_in_passes(monkeypatch):

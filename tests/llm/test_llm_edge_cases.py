@@ -98,14 +98,14 @@ def test_suffix_dedup(docs, none):
 
 
 def test_line_dedup(docs, none):
-    got = {(r["doc_id"], r["first_doc_id"]) for r in substring_dedup.removed_units(docs).collect()}
+    got = {(r["doc_id"], r["first_doc_id"]) for r in substring_dedup.removed_spans(docs).collect()}
     assert got >= {(2, 1), (None, 1), (7, 6)} and not any(d == 1 or d == 6 for d, _ in got)
-    removed = materialize(substring_dedup.removed_units(docs), "edge-removed")
+    removed = materialize(substring_dedup.removed_spans(docs), "edge-removed")
     clean = substring_dedup.cleaned(docs, removed)
     assert clean.columns == docs.columns and clean.count() == len(rows())
     texts = {(r["doc_id"], r["text"]) for r in clean.collect()}
     assert (7, "") in texts and (3, None) in texts and (2, "other text of id two") in texts
-    assert substring_dedup.removed_units(none).count() == 0
+    assert substring_dedup.removed_spans(none).count() == 0
 
 
 def test_tokens_and_packing(docs, none):
