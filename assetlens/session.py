@@ -99,6 +99,19 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in store.listStatus(folder)] if store.exists(folder) else []
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` whose write job has finished."""
+    folder, store = _folder(spark, path)
+    marks = store.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "*/_SUCCESS"))
+    return [m.getPath().getParent().getName() for m in marks or ()]
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files in a folder."""
+    folder, store = _folder(spark, path)
+    return store.getContentSummary(folder).getLength()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Removes a folder that this package wrote (versions and intermediates that nothing
     refers to any more). A folder that is already gone is no error."""

@@ -32,20 +32,9 @@ from assetlens.plans.compaction import (COMPACTED, KEYS, compaction_agg, quarant
 from assetlens.schemas import (DATA_COMMIT_INFO, DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
                                TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, fits, to_exact_schema, wide)
 from assetlens.session import ROCKSDB_PROVIDER, materialize, remove_folder
-from assetlens.sinks.upsert import BATCH_WRITER, VersionedTable, jdbc_upsert
+from assetlens.sinks.upsert import BATCH_WRITER, JdbcTable, KeyedLog
 from assetlens.sources.envelope import rejected
 
-# Buckets of the versioned tables: an upsert rewrites only the buckets its rows fall
-# in. Sized per deployment with the session setting ``spark.assetlens.buckets``
-# (e.g. a few hundred MB of compacted rows per bucket); small by default.
-BUCKETS_CONF = "spark.assetlens.buckets"
-DEFAULT_BUCKETS = 8
-
-
-def bucket_count(spark: SparkSession) -> int:
-    return int(spark.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
-
-
 # Live flags of the partitions, and the unusable changes with their reason.
 PARTITION_STATE = T.StructType([T.StructField("table_id", T.StringType()),
                                 T.StructField("partition_desc", T.StringType()),
@@ -89,37 +78,36 @@ class AssetTables:
     table-level assets (with the last ``op``, D3), the group assets, and helpers. With
     ``freeze_attributes`` a separate sink table keeps the first-written attributes (D2);
     otherwise the table-level sink is the asset table without ``op``."""
-    partition_state: VersionedTable
-    table_state: VersionedTable
-    table_assets: VersionedTable
-    group_assets: VersionedTable
-    table_sink: VersionedTable
-    partition_counts: VersionedTable
-    seen_pairs: VersionedTable
+    partition_state: KeyedLog
+    table_state: KeyedLog
+    table_assets: KeyedLog
+    group_assets: KeyedLog
+    table_sink: KeyedLog
+    partition_counts: KeyedLog
+    seen_pairs: KeyedLog
     quarantine_path: str
 
     @classmethod
-    def at(cls, spark: SparkSession, base: str, buckets: int | None = None,
-           writer: str = BATCH_WRITER) -> "AssetTables":
-        """Per-table tables are bucketed by the hash of ``table_id``; partitions by their
-        full key, so the partitions of one huge table spread over all buckets; group rows
-        by group."""
-        buckets = buckets or bucket_count(spark)
-
-        def vt(name, schema, key, by="table_id", **kw):
-            return VersionedTable(spark, f"{base}/{name}", schema, key, buckets=buckets,
-                                  bucket_by=[by] if isinstance(by, str) else by, writer=writer, **kw)
+    def at(cls, spark: SparkSession, base: str, writer: str = BATCH_WRITER) -> "AssetTables":
+        """Per-table tables are looked up by ``table_id``; partitions by their full key, so the
+        partitions of one huge table spread over all buckets; group rows by group. The rows of
+        removed partitions mean the same as none, and a new base leaves them out (T4)."""
+        def log(name, schema, key, by=None, **kw):
+            return KeyedLog(spark, f"{base}/{name}", schema, key, bucket_by=by, writer=writer, **kw)
         return cls(
-            vt("partition_state", PARTITION_STATE, ["table_id", "partition_desc"], ["table_id", "partition_desc"],
-               cluster_by=["table_id"]),
-            vt("table_state", COMPACTED, KEYS, cluster_by=["table_id"]),
-            vt("table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
-            vt("group_assets", GROUP_ASSETS, ["level", "group_key"], ["level", "group_key"]),
-            vt("table_level_assets", wide(TABLE_LEVEL_ASSETS), "table_id"),
-            vt("partition_counts", PARTITION_COUNTS, "table_id"),
-            vt("seen_pairs", SEEN_PAIRS, ["creator", "kind", "value"], "creator"),
+            log("partition_state", PARTITION_STATE, ["table_id", "partition_desc"], forget="deleted"),
+            log("table_state", COMPACTED, KEYS, ["table_id"]),
+            log("table_assets", TABLE_ASSETS_WITH_OP, "table_id"),
+            log("group_assets", GROUP_ASSETS, ["level", "group_key"]),
+            log("table_level_assets", wide(TABLE_LEVEL_ASSETS), "table_id"),
+            log("partition_counts", PARTITION_COUNTS, "table_id"),
+            log("seen_pairs", SEEN_PAIRS, ["creator", "kind", "value"], ["creator"]),
             f"{base}/quarantine")
 
+    def all(self) -> list[KeyedLog]:
+        return [self.partition_state, self.table_state, self.table_assets, self.group_assets, self.table_sink,
+                self.partition_counts, self.seen_pairs]
+
     def quarantine(self) -> DataFrame:
         """Unusable changes so far, each once."""
         spark = self.table_assets.spark
@@ -131,30 +119,34 @@ class AssetTables:
     def table_level_assets(self) -> DataFrame:
         """The K1 result table: the sink table if one was written (frozen attributes, or
         results of batch runs), else the asset table without ``op``."""
-        if self.table_sink.head() is not None:
+        if self.table_sink.last_batch() is not None:
             return self.table_sink.current()
         return to_exact_schema(self.table_assets.current(), wide(TABLE_LEVEL_ASSETS))
 
     def level_assets(self, level: str) -> DataFrame:
         """K2-K4 result tables: ``namespace``, ``domain`` or ``creator`` level."""
-        rows = self.group_assets.current().where(F.col("level") == F.lit(level))
+        return self.as_level(self.group_assets.current(), level)
+
+    @staticmethod
+    def as_level(group_rows: DataFrame, level: str) -> DataFrame:
+        rows = group_rows.where(F.col("level") == F.lit(level))
         return to_exact_schema(rows.withColumnRenamed("group_key", level), wide(LEVELS[level]))
 
-    def within_int(self, rows: DataFrame, name: str, schema: T.StructType) -> DataFrame:
+    def within_int(self, rows: DataFrame, name: str, schema: T.StructType, batch_id: int) -> DataFrame:
         """``rows`` of the result table ``name`` for a sink with ``int`` counts; those it
         cannot hold go to ``result_quarantine`` with the reason, unchanged."""
-        beyond = rows.where(~fits(schema))
-        if not beyond.isEmpty():
-            beyond.select(F.lit("count_beyond_int").alias("problem"), F.lit(name).alias("table_name"),
-                          F.to_json(F.struct(*rows.columns)).alias("raw")) \
-                .write.mode("append").parquet(f"{self.quarantine_path}_results")
+        rows.where(~fits(schema)).select(
+            F.lit("count_beyond_int").alias("problem"), F.lit(name).alias("table_name"),
+            F.to_json(F.struct(*rows.columns)).alias("raw")) \
+            .write.mode("overwrite").parquet(f"{self.quarantine_path}_results/batch={batch_id}/result={name}")
         return to_exact_schema(rows.where(fits(schema)), schema)
 
     def result_quarantine(self) -> DataFrame:
         """Result rows that a 32-bit sink could not hold, each once."""
         spark, columns = self.table_assets.spark, "problem string, table_name string, raw string"
         try:
-            return spark.read.schema(columns).parquet(f"{self.quarantine_path}_results").distinct()
+            return spark.read.schema(columns).option("recursiveFileLookup", "true") \
+                .parquet(f"{self.quarantine_path}_results").distinct()
         except AnalysisException:  # every row fitted
             return spark.createDataFrame([], columns)
 
@@ -193,20 +185,20 @@ def group_deltas(tables: AssetTables, assets: DataFrame, old_assets: DataFrame,
              .groupBy("level", "group_key")
              .agg(*[F.sum(m).alias(m) for m in rollups.MEASURES]))
     delta = materialize(delta, f"group-deltas-{batch_id}", scratch)
-    buckets = tables.group_assets.bucket_ids(delta)
+    creators = history.select("creator").where(F.col("creator").isNotNull()).distinct()
     pairs = (history.select("creator", F.lit("domain").alias("kind"), F.col("domain").alias("value"))
              .unionByName(history.select("creator", F.lit("namespace").alias("kind"),
                                          F.col("namespace").alias("value")))
              .where(F.col("creator").isNotNull() & F.col("value").isNotNull()).distinct())
-    pair_buckets = tables.seen_pairs.bucket_ids(history.select("creator").where(F.col("creator").isNotNull()))
-    tables.seen_pairs.upsert(pairs, batch_id, buckets=pair_buckets)
-    seen = (tables.seen_pairs.current(pair_buckets)
+    known = tables.seen_pairs.current(batch_id - 1, creators)
+    tables.seen_pairs.upsert(pairs.join(known, ["creator", "kind", "value"], "left_anti"), batch_id)
+    seen = (tables.seen_pairs.current(batch_id, creators)
             .groupBy("creator")
             .agg(F.count_if(F.col("kind") == "domain").cast("bigint").alias("domain_counts"),
                  F.count_if(F.col("kind") == "namespace").cast("bigint").alias("namespace_counts"))
             .select(F.lit("creator").alias("level"), F.col("creator").alias("group_key"),
                     "domain_counts", "namespace_counts"))
-    old = tables.group_assets.current(buckets)
+    old = tables.group_assets.current(batch_id - 1, delta.select("level", "group_key"))
     rows = (delta.join(old.select("level", "group_key", *[F.col(m).alias(f"__old_{m}")
                                                           for m in rollups.MEASURES]),
                        ["level", "group_key"], "left")
@@ -214,76 +206,58 @@ def group_deltas(tables: AssetTables, assets: DataFrame, old_assets: DataFrame,
             .select("level", "group_key", "domain_counts", "namespace_counts",
                     *[(F.coalesce(F.col(f"__old_{m}"), zero) + F.col(m)).alias(m)
                       for m in rollups.MEASURES]))
-    tables.group_assets.upsert(rows, batch_id, buckets=buckets)
+    tables.group_assets.upsert(rows, batch_id)
 
 
 def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
                 freeze_attributes: bool = False) -> None:
-    """``foreachBatch`` body: merge the changed state rows, then refresh the rows of the
-    touched tables and touched groups. Reads and rewrites are by bucket: those that hold a
-    changed partition, a touched table, a touched group or a touched creator.
+    """``foreachBatch`` body: append the changed state rows, then the new rows of the touched
+    tables and touched groups. Only what changed is written; look-ups go by the keys touched.
 
-    Live partitions are maintained as deltas: only the buckets of the partitions changed
-    in this micro-batch are read for their previous values (a table holding a third of all
+    Live partitions are maintained as deltas: only the partitions changed
+    in this micro-batch are looked up for their previous values (a table holding a third of all
     partitions spreads over all buckets and is never one task's work). Group rows are
     maintained as deltas of the touched tables' contributions (``group_deltas``). A table
     is touched when any of its state keys changed; a group can change only through a
     touched table, and every group a table was ever in (the old group of a move included)
-    is in its membership history. Counts and group rows are written before the state and
-    the table assets they are derived from, so a replay never takes a delta twice; each
-    table checks the batch id on its own, so a micro-batch replayed after a failure
-    skips what was applied and finishes the rest.
+    is in its membership history. "Before" is always the table as the batches before this one
+    left it, whatever a failed attempt has written, so a replay never takes a delta twice.
     """
     scratch: list[str] = []
     changed = materialize(changed, f"changed-{batch_id}", scratch)
-    touched = changed.select("table_id").distinct()
-    # In one small aggregate: the touched buckets of the partitions and of the per-table
-    # tables, and those of the tables whose description or totals changed. Each set is
-    # bounded by the bucket count.
+    touched = materialize(changed.select("table_id").distinct(), f"touched-{batch_id}", scratch)
     is_p = F.col("kind") == "p"
-    by_table = tables.table_assets.bucket_of()
-    sets = changed.agg(
-        F.collect_set(F.when(is_p, tables.partition_state.bucket_of(F.col("table_id"), F.col("sub_key")))).alias("p"),
-        F.collect_set(F.when(~is_p, by_table)).alias("tc"), F.collect_set(by_table).alias("tables")).first()
-    p_buckets, tc_buckets, table_buckets = (sorted(sets[k] or []) for k in ("p", "tc", "tables"))
-
-    if p_buckets:
-        now = changed.where(is_p).select("table_id", F.col("sub_key").alias("partition_desc"),
-                                         (F.col("op") == F.lit(OP_DELETE)).alias("deleted"))
-        key = ["table_id", "partition_desc"]
-        before = tables.partition_state.current(p_buckets).join(now.select(*key), key, "left_semi")
-
-        def live(df: DataFrame, sign: int) -> DataFrame:
-            return df.select("table_id", F.when(~F.col("deleted"), F.lit(sign)).otherwise(F.lit(0))
-                             .cast("bigint").alias("d"))
-        delta = (live(now, 1).unionByName(live(before, -1))
-                 .groupBy("table_id").agg(F.sum("d").alias("d")))
-        old = tables.partition_counts.current(table_buckets)
-        counts = delta.join(old, "table_id", "left").select(
-            "table_id", (F.coalesce("partition_counts", F.lit(0).cast("bigint")) + F.col("d"))
-            .alias("partition_counts"))
-        # Old counts and old state are read from immutable folders: no lineage cut needed.
-        tables.partition_counts.upsert(counts, batch_id, buckets=table_buckets)
-        tables.partition_state.upsert(now, batch_id, buckets=p_buckets)
-    if tc_buckets:
-        tables.table_state.upsert(changed.where(~is_p), batch_id, buckets=tc_buckets)
+
+    now = changed.where(is_p).select("table_id", F.col("sub_key").alias("partition_desc"),
+                                     (F.col("op") == F.lit(OP_DELETE)).alias("deleted"))
+    before = tables.partition_state.current(batch_id - 1, now.select("table_id", "partition_desc"))
+
+    def live(df: DataFrame, sign: int) -> DataFrame:
+        return df.select("table_id", F.when(~F.col("deleted"), F.lit(sign)).otherwise(F.lit(0))
+                         .cast("bigint").alias("d"))
+    delta = live(now, 1).unionByName(live(before, -1)).groupBy("table_id").agg(F.sum("d").alias("d"))
+    counts = delta.join(tables.partition_counts.current(batch_id - 1, touched), "table_id", "left").select(
+        "table_id", (F.coalesce("partition_counts", F.lit(0).cast("bigint")) + F.col("d")).alias("partition_counts"))
+    tables.partition_counts.upsert(counts, batch_id)
+    tables.partition_state.upsert(now, batch_id)
+    tables.table_state.upsert(changed.where(~is_p), batch_id)
 
     # Description and commit totals of the touched tables, looked up by their keys.
-    c = split_compacted(tables.table_state.current(table_buckets).join(touched, "table_id", "left_semi"))
-    counts = tables.partition_counts.current(table_buckets).join(touched, "table_id", "left_semi")
+    c = split_compacted(materialize(tables.table_state.current(batch_id, touched), f"touched-state-{batch_id}", scratch))
     latest = facts.latest_table_info(c.table_info)
+    counts = tables.partition_counts.current(batch_id, touched)
     assets = materialize(facts.table_level_assets(facts.table_with_partitions(latest, counts),
                                                   c.totals), f"touched-assets-{batch_id}", scratch)
-    # Group rows by deltas, written before the table assets: the "old" asset rows read
-    # here are then always the ones before this micro-batch, also on a replay.
-    old_assets = tables.table_assets.current(table_buckets).join(touched, "table_id", "left_semi")
+    old_assets = tables.table_assets.current(batch_id - 1, touched)
     history = materialize(facts.table_groups(c.table_info)
                           .join(assets.select("table_id"), "table_id", "left_semi"),
                           f"touched-history-{batch_id}", scratch)
     group_deltas(tables, assets, old_assets, history, batch_id, scratch)
-    tables.table_assets.upsert(assets, batch_id, buckets=table_buckets)
+    tables.table_assets.upsert(assets, batch_id)
     if freeze_attributes:
-        tables.table_sink.upsert(assets, batch_id, buckets=table_buckets, frozen=FROZEN)
+        tables.table_sink.upsert(assets, batch_id, frozen=FROZEN)
+    for table in tables.all():
+        table.maintain(batch_id)
     for folder in scratch:
         remove_folder(changed.sparkSession, folder)
 
@@ -291,17 +265,23 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
 FROZEN = ("table_name", "domain", "creator", "namespace")
 
 
-def write_jdbc(tables: AssetTables, url: str, properties: dict, batch_size: int = 50) -> None:
-    """The four result tables upserted into a database (K1-K5): of existing rows only the
-    measures are replaced at table level, every non-key column at group level. Rows whose counts the ``int`` columns
-    cannot hold are quarantined (``AssetTables.within_int``)."""
+def write_jdbc(tables: AssetTables, batch_id: int, url: str, properties: dict, batch_size: int = 50) -> None:
+    """The rows that a micro-batch changed, upserted into the four result tables of a database (K1-K5): of
+    existing rows only the measures are replaced at table level, every non-key column at group level. Rows
+    whose counts the ``int`` columns cannot hold are quarantined (``AssetTables.within_int``)."""
+    def write(rows: DataFrame, name: str, schema: T.StructType, key: str, update: list[str]) -> None:
+        JdbcTable(url, name, key, update, properties, batch_size) \
+            .upsert(tables.within_int(rows, name, schema, batch_id), batch_id)
+
+    sink = tables.table_assets if tables.table_sink.last_batch() is None else tables.table_sink
     measures = [f.name for f in TABLE_LEVEL_ASSETS.fields if f.name not in ("table_id", *FROZEN)]
-    rows = tables.within_int(tables.table_level_assets(), "table_level_assets", TABLE_LEVEL_ASSETS)
-    jdbc_upsert(rows, url, "table_level_assets", "table_id", measures, properties, batch_size)
+    write(to_exact_schema(sink.batch_rows(batch_id), wide(TABLE_LEVEL_ASSETS)), "table_level_assets",
+          TABLE_LEVEL_ASSETS, "table_id", measures)
+    groups = tables.group_assets.batch_rows(batch_id)
     for level, name in (("namespace", "namespace_level_assets"), ("domain", "domain_level_assets"),
                         ("creator", "user_level_assets")):
-        rows = tables.within_int(tables.level_assets(level), name, LEVELS[level])
-        jdbc_upsert(rows, url, name, level, [c for c in rows.columns if c != level], properties, batch_size)
+        write(tables.as_level(groups, level), name, LEVELS[level], level,
+              [f.name for f in LEVELS[level].fields if f.name != level])
 
 
 def writer_of(spark: SparkSession, checkpoint: str) -> str:
@@ -330,7 +310,7 @@ def start_quarantine(decoded_stream: DataFrame, base: str, checkpoint: str, trig
 
 
 def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
-          freeze_attributes: bool = False, buckets: int | None = None, qualify_ids: bool = False,
+          freeze_attributes: bool = False, qualify_ids: bool = False,
           jdbc: dict | None = None):
     """Starts the asset query (one stateful aggregate, ``foreachBatch``); returns its handle.
 
@@ -349,12 +329,12 @@ def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict |
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
                        "true")
-    tables = AssetTables.at(spark, base, buckets, writer_of(spark, checkpoint))
+    tables = AssetTables.at(spark, base, writer_of(spark, checkpoint))
 
     def each(df: DataFrame, batch_id: int) -> None:
         apply_batch(tables, df, batch_id, freeze_attributes)
         if jdbc is not None:
-            write_jdbc(tables, **jdbc)
+            write_jdbc(tables, batch_id, **jdbc)
 
     trig = trigger or {"processingTime": "30 seconds"}
     return (compaction_agg(tagged_changes(decoded_stream, qualify_ids)).writeStream.outputMode("update")
@@ -364,14 +344,14 @@ def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict |
 
 
 def run_available(decoded_stream: DataFrame, base: str, checkpoint: str,
-                  freeze_attributes: bool = False, buckets: int | None = None) -> AssetTables:
+                  freeze_attributes: bool = False, qualify_ids: bool = False) -> AssetTables:
     """Processes everything available now, in as many micro-batches as the source
     makes, and returns the result tables."""
     now = {"availableNow": True}
-    for query in (start(decoded_stream, base, checkpoint, now, freeze_attributes, buckets),
+    for query in (start(decoded_stream, base, checkpoint, now, freeze_attributes, qualify_ids),
                   start_quarantine(decoded_stream, base, checkpoint, now)):
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(str(query.exception()))
     spark = decoded_stream.sparkSession
-    return AssetTables.at(spark, base, buckets, writer_of(spark, checkpoint))
+    return AssetTables.at(spark, base, writer_of(spark, checkpoint))

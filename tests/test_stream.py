@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from assetlens import registry
 from assetlens.plans.batch import compute_assets, compute_assets_from_feed
 from assetlens.schemas import NAMESPACE_LEVEL_ASSETS, TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, to_result_schema
-from assetlens.sinks.upsert import VersionedTable, jdbc_upsert_statement
+from assetlens.sinks import upsert
+from assetlens.sinks.upsert import KeyedLog, jdbc_upsert_statement, merge_statement
 from assetlens.sources import changelog
 from assetlens.sources.envelope import decode_envelopes, with_position
 from assetlens.sources import fixtures as fx
@@ -30,7 +31,7 @@ def test_stream_equals_batch_over_several_micro_batches(spark):
     stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=2)
     tables = job.run_available(stream, f"{base}/out", f"{base}/chk")
     # Three parts, one per trigger.
-    assert tables.table_state.head()[1] == 2
+    assert tables.table_state.last_batch() == 2
     b = compute_assets(fx.fx_table_info(spark, SF_SMALL), fx.fx_partition_info(spark, SF_SMALL),
                        fx.fx_commit_changes(spark, SF_SMALL))
     assert _sorted(tables.table_level_assets()) == _sorted(
@@ -48,7 +49,7 @@ def test_stream_equals_batch_over_several_micro_batches(spark):
 
 def test_replayed_batch_changes_nothing(spark):
     base = tempfile.mkdtemp(prefix="sink-")
-    t = VersionedTable(spark, os.path.join(base, "t"), TABLE_LEVEL_ASSETS, "table_id")
+    t = KeyedLog(spark, os.path.join(base, "t"), TABLE_LEVEL_ASSETS, "table_id")
     row = spark.createDataFrame([("a", "A", "d", "u", "n", 1, 2, 3)], TABLE_LEVEL_ASSETS)
     assert t.upsert(row, 0)
     newer = spark.createDataFrame([("a", "A", "d", "u", "n", 5, 5, 5)], TABLE_LEVEL_ASSETS)
@@ -60,7 +61,7 @@ def test_replayed_batch_changes_nothing(spark):
 
 def test_upsert_freezes_attributes_on_request(spark):
     base = tempfile.mkdtemp(prefix="sink-")
-    t = VersionedTable(spark, os.path.join(base, "t"), TABLE_LEVEL_ASSETS, "table_id")
+    t = KeyedLog(spark, os.path.join(base, "t"), TABLE_LEVEL_ASSETS, "table_id")
     t.upsert(spark.createDataFrame([("a", "A", "d1", "u", "n", 1, 1, 1)], TABLE_LEVEL_ASSETS), 0)
     moved = spark.createDataFrame([("a", "A", "d2", "u", "n", 2, 2, 2),
                                    ("b", "B", "d3", "u", "n", 1, 1, 1)], TABLE_LEVEL_ASSETS)
@@ -71,7 +72,7 @@ def test_upsert_freezes_attributes_on_request(spark):
 
 def test_upsert_keeps_last_row_per_key(spark):
     base = tempfile.mkdtemp(prefix="sink-")
-    t = VersionedTable(spark, os.path.join(base, "t"), TABLE_LEVEL_ASSETS, "table_id")
+    t = KeyedLog(spark, os.path.join(base, "t"), TABLE_LEVEL_ASSETS, "table_id")
     rows = spark.createDataFrame([("a", "A", "d", "u", "n", 1, 1, 1, 1),
                                   ("a", "A", "d", "u", "n", 2, 2, 2, 2)],
                                  T.StructType(TABLE_LEVEL_ASSETS.fields + [T.StructField("seq", T.LongType())]))
@@ -104,7 +105,7 @@ def test_stream_quarantine_freeze_and_replay(spark):
             .write.text(f"{base}/feed/part={i}")
     stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
     tables = job.run_available(stream, f"{base}/out", f"{base}/chk", freeze_attributes=True)
-    assert tables.table_state.head()[1] == 1
+    assert tables.table_state.last_batch() == 1
     # The unparsable commit is quarantined, the other counted.
     q = tables.quarantine().collect()
     assert [(r["commit_id"], r["problem"]) for r in q] == [("c2", "unparsed_file_op")]
@@ -136,19 +137,19 @@ def test_stream_partition_count_deltas_across_batches(spark):
             .write.text(f"{base}/feed/part={i}")
     stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
     tables = job.run_available(stream, f"{base}/out", f"{base}/chk")
-    assert tables.partition_state.head()[1] == 2
+    assert tables.partition_state.last_batch() == 2
     # p1 re-created, p2 deleted, p3 live.
     assert _sorted(tables.partition_counts.current()) == [("a", 2)]
     assert _sorted(tables.table_level_assets()) == [("a", "A", "d1", "u1", "n1", 2, 1, 10)]
 
 
-def _run(spark, batches, buckets=8, **kw):
+def _run(spark, batches, **kw):
     """Each list of envelopes is one micro-batch."""
     base = tempfile.mkdtemp(prefix="stream-run-")
     for i, lines in enumerate(batches):
         spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{base}/feed/part={i}")
     stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
-    return job.run_available(stream, f"{base}/out", f"{base}/chk", buckets=buckets, **kw), base
+    return job.run_available(stream, f"{base}/out", f"{base}/chk", **kw), base
 
 
 def _table(t, ns, seq, op="create"):
@@ -212,47 +213,96 @@ def test_new_checkpoint_on_an_old_output_folder_is_refused(spark):
     tables, base = _run(spark, [[_table("a", "n1", 1), _partition("a", "p", 2), _commit("a", "c", 3)]])
     stream = changelog.read_change_stream(spark, f"{base}/feed/*")
     with pytest.raises(Exception, match="was written by"):
-        job.run_available(stream, f"{base}/out", f"{base}/other-chk", buckets=8)
+        job.run_available(stream, f"{base}/out", f"{base}/other-chk")
     # The same checkpoint goes on.
-    assert job.run_available(stream, f"{base}/out", f"{base}/chk", buckets=8).table_assets.head() == (0, 0)
+    assert job.run_available(stream, f"{base}/out", f"{base}/chk").table_assets.last_batch() == 0
 
 
-def test_bucket_count_is_stored_and_checked(spark):
-    base = tempfile.mkdtemp(prefix="sink-")
-    row = spark.createDataFrame([("a", "A", "d", "u", "n", 1, 2, 3)], TABLE_LEVEL_ASSETS)
-    assert VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=4).upsert(row, 0)
-    with pytest.raises(ValueError, match="4 buckets"):
-        VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=8).upsert(row, 1)
+def _assets(spark, keys, n=1):
+    return spark.createDataFrame([(k, "A", "d", "u", "n", n, 2, 3) for k in keys], TABLE_LEVEL_ASSETS)
+
+
+def _bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
 
 
-def test_a_one_key_change_rewrites_one_bucket_with_one_file(spark):
+def test_a_one_key_change_writes_one_row_whatever_the_table_holds(spark):
+    written = []
+    for size in (10, 5000):
+        base = tempfile.mkdtemp(prefix="sink-")
+        t = KeyedLog(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id")
+        t.upsert(_assets(spark, [f"k{i}" for i in range(size)]).repartition(7), 0)
+        t.compact(0, 5 * upsert.BUCKET_BYTES)
+        t.upsert(_assets(spark, ["k5"], 9), 1)
+        written.append(_bytes(f"{base}/t/changes/batch=1"))
+        assert t.current().count() == size
+        keys = spark.createDataFrame([("k5",), ("k7",), ("none",)], "table_id string")
+        assert [r["partition_counts"] for r in t.current(keys=keys).orderBy("table_id").collect()] == [9, 1]
+        assert [r["partition_counts"] for r in t.current(0, keys).orderBy("table_id").collect()] == [1, 1]
+    assert written[0] == written[1]
+
+
+def test_new_bases_replace_what_they_fold_in(spark, monkeypatch):
+    monkeypatch.setattr(upsert, "MOST_BATCHES", 3)
     base = tempfile.mkdtemp(prefix="sink-")
-    t = VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=8)
-    t.upsert(spark.createDataFrame([(f"k{i}", "A", "d", "u", "n", 1, 2, 3) for i in range(200)],
-                                   TABLE_LEVEL_ASSETS).repartition(7), 0)
-    first = dict(t._locations)
-    assert len(first) == 8
-    t.upsert(spark.createDataFrame([("k5", "B", "d", "u", "n", 1, 2, 3)], TABLE_LEVEL_ASSETS), 1)
-    changed = [b for b in first if t._locations[b] != first[b]]
-    assert len(changed) == 1
-    for loc in t._locations.values():
-        assert len([f for f in os.listdir(loc.removeprefix("file:")) if f.startswith("part-")]) == 1
-    assert t.current().count() == 200
-
-
-def test_superseded_folders_are_removed_and_empty_buckets_read_empty(spark):
+    t = KeyedLog(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", forget="partition_counts = 0")
+    for i in range(10):
+        assert t.upsert(_assets(spark, ["a", f"b{i}"], i), i)
+        t.maintain(i)  # folds what is before the running batch
+    assert sorted(os.listdir(f"{base}/t/base")) == ["upto=5-buckets=1", "upto=8-buckets=1"]
+    assert sorted(os.listdir(f"{base}/t/changes")) == [f"batch={i}" for i in (6, 7, 8, 9)]
+    reopened = KeyedLog(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id")
+    for table in (t, reopened):
+        rows = _sorted(table.current().select("table_id", "partition_counts"))
+        assert rows == [("a", 9)] + [(f"b{i}", i) for i in range(1, 10)]  # b0's row means no row
+        assert not table.upsert(_assets(spark, ["a"], 77), 4) and table.last_batch() == 9
+    with pytest.raises(ValueError, match="folded"):
+        reopened.current(3)
+
+
+def test_unfinished_batches_do_not_count(spark):
     base = tempfile.mkdtemp(prefix="sink-")
-    t = VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=4)
-    for i in range(8):
-        assert t.upsert(spark.createDataFrame([("a", "A", "d", "u", "n", i, 2, 3)], TABLE_LEVEL_ASSETS), i,
-                        buckets=[0, 1, 2, 3])
-    left = [d for d in os.listdir(f"{base}/t") if d.startswith("v")]
-    live = {b for d in left for b in os.listdir(f"{base}/t/{d}") if b.startswith("_bucket")}
-    assert len(live) == 1 and sum(len([b for b in os.listdir(f"{base}/t/{d}") if b.startswith("_bucket")])
-                                  for d in left) == 3
-    reopened = VersionedTable(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id", buckets=4)
-    assert reopened.head() == (7, 7) and _sorted(reopened.current()) == [("a", "A", "d", "u", "n", 7, 2, 3)]
-    assert sum(reopened.current([b]).count() for b in range(4)) == 1
+    t = KeyedLog(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id")
+    t.upsert(_assets(spark, ["a"]), 0)
+    _assets(spark, ["a", "b"], 5).write.parquet(f"{base}/t/changes/batch=1")
+    os.unlink(f"{base}/t/changes/batch=1/_SUCCESS")  # as a job leaves it that died while committing
+    again = KeyedLog(spark, f"{base}/t", TABLE_LEVEL_ASSETS, "table_id")
+    assert again.last_batch() == 0 and again.current().count() == 1
+    assert again.upsert(_assets(spark, ["a"], 7), 1)
+    assert [r["partition_counts"] for r in again.current().collect()] == [7]
+
+
+def test_a_failed_micro_batch_is_finished_by_its_replay(spark, monkeypatch):
+    """The writes of the first attempt that got through are kept, deltas are not taken twice."""
+    first = [_table("a", "n1", 1), _partition("a", "p", 2), _commit("a", "c", 3)]
+    second = [_partition("a", "q", 4), _commit("a", "c2", 5), _table("a", "n2", 6, "update")]
+    base = tempfile.mkdtemp(prefix="stream-run-")
+    for i, lines in enumerate((first, second)):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{base}/feed/part={i}")
+    stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
+    plain = KeyedLog.upsert
+
+    def failing(self, rows, batch_id, **kw):
+        if batch_id == 1 and self.path.endswith("group_assets"):
+            raise RuntimeError("lost")
+        return plain(self, rows, batch_id, **kw)
+    monkeypatch.setattr(KeyedLog, "upsert", failing)
+    with pytest.raises(Exception, match="lost"):
+        job.run_available(stream, f"{base}/out", f"{base}/chk")
+    monkeypatch.setattr(KeyedLog, "upsert", plain)
+    tables = job.run_available(stream, f"{base}/out", f"{base}/chk")
+    assert _sorted(tables.table_level_assets()) == [("a", "A", "d", "u", "n2", 2, 2, 20)]
+    assert _sorted(tables.level_assets("namespace")) == [("n1", 0, 0, 0, 0), ("n2", 1, 2, 2, 20)]
+
+
+def test_removed_partitions_leave_the_state(spark, monkeypatch):
+    monkeypatch.setattr(upsert, "MOST_BATCHES", 1)
+    full = [_table("a", "n1", 1), _commit("a", "c", 2), *[_partition("a", f"p{i}", 10 + i) for i in range(6)]]
+    gone = [_partition("a", f"p{i}", 20 + i, "delete") for i in range(5)]
+    tables, _ = _run(spark, [full, gone, [_commit("a", "d", 30)], [_commit("a", "e", 31)], [_partition("a", "p0", 40)]])
+    assert _sorted(tables.partition_state.current().where("NOT deleted").select("partition_desc")) == [("p0",), ("p5",)]
+    assert tables.partition_state.current().count() == 2  # the five removed ones are in no base
+    assert _sorted(tables.partition_counts.current()) == [("a", 2)]
 
 
 def test_repeated_events_count_once_after_landing(spark):
@@ -312,7 +362,7 @@ def test_counts_beyond_int_do_not_stop_the_job(spark):
 
 
 def test_counts_beyond_int_stay_exact_in_the_stream(spark):
-    tables = job.AssetTables.at(spark, tempfile.mkdtemp(prefix="big-"), 2)
+    tables = job.AssetTables.at(spark, tempfile.mkdtemp(prefix="big-"))
     attrs, group = ("A", "n", "d", "u"), [("n", "d", "u")]
     def micro_batch(batch_id, files):
         rows = [("c", "a", "", "create", None, [], files, 50, 3 + batch_id)]
@@ -323,7 +373,8 @@ def test_counts_beyond_int_stay_exact_in_the_stream(spark):
         micro_batch(batch_id, files)
     assert _sorted(tables.table_level_assets()) == [("a", "A", "d", "u", "n", 1, 3_000_000_001, 50)]
     assert _sorted(tables.level_assets("namespace")) == [("n", 1, 1, 3_000_000_001, 50)]
-    kept = tables.within_int(tables.table_level_assets(), "table_level_assets", TABLE_LEVEL_ASSETS)
+    for _ in range(2):  # a replay quarantines the same row
+        kept = tables.within_int(tables.table_level_assets(), "table_level_assets", TABLE_LEVEL_ASSETS, 1)
     assert kept.count() == 0 and kept.schema["file_counts"].dataType == T.IntegerType()
     (bad,) = tables.result_quarantine().collect()
     assert bad["problem"] == "count_beyond_int" and json.loads(bad["raw"])["file_counts"] == 3_000_000_001
@@ -335,3 +386,6 @@ def test_merge_statement_text():
                     "ON CONFLICT (k) DO UPDATE SET b = EXCLUDED.b")
     with pytest.raises(ValueError):
         jdbc_upsert_statement("t; drop", ["k"], "k", [])
+    assert merge_statement("cat.t", ["k", "a"], "k", ["a"]) == (
+        "MERGE INTO cat.t t USING {changed} s ON t.k = s.k WHEN MATCHED THEN UPDATE SET t.a = s.a "
+        "WHEN NOT MATCHED THEN INSERT (k, a) VALUES (s.k, s.a)")
