@@ -27,9 +27,18 @@ def not_delete(op: Column) -> Column:
     return op != F.lit(OP_DELETE)
 
 
-def live_seq() -> Column:
-    """The log position of non-delete changes; null for deletes, which ``max_by`` skips."""
-    return F.when(not_delete(F.col("commit_op")), F.col("seq"))
+def place() -> Column:
+    """The order of a change among changes of one key, a struct: its log position; at the same position
+    (D13: an input error that ``sources.order`` reports) deletes come last, then a hash decides, so
+    results never depend on the order of input rows."""
+    others = [F.col(a) for a in (*ATTRS, "commit_id")]
+    return F.struct("seq", (F.col("commit_op") == F.lit(OP_DELETE)).alias("last"),
+                    F.xxhash64("commit_op", *others).alias("tie"))
+
+
+def live_place(order: Column) -> Column:
+    """``place`` of non-delete changes; null for deletes, which ``max_by`` skips."""
+    return F.when(not_delete(F.col("commit_op")), order)
 
 
 # ---------------------------------------------------------------- J0: latest table_info
@@ -44,15 +53,22 @@ def latest_table_info_agg() -> list[Column]:
     """
     attrs = F.struct(*[F.col(a) for a in ATTRS])
     group = F.struct(F.col("table_namespace").alias("namespace"), "domain", "creator")
+    order = F.col("place")
     return [
-        F.max_by(attrs, live_seq()).alias("attrs"),
-        F.max_by(F.col("commit_op"), F.col("seq")).alias("op"),
+        F.max_by(attrs, live_place(order)).alias("attrs"),
+        F.max_by(F.col("commit_op"), order).alias("op"),
         F.collect_set(F.when(not_delete(F.col("commit_op")), group)).alias("groups"),
     ]
 
 
+def placed(changes: DataFrame) -> DataFrame:
+    """``changes`` of one log with their ``place``; columns that the log lacks count as null."""
+    missing = {c: F.lit(None).cast("string") for c in (*ATTRS, "commit_id") if c not in changes.columns}
+    return changes.withColumns(missing).withColumn("place", place()) if missing else changes.withColumn("place", place())
+
+
 def compact_table_info(table_info: DataFrame) -> DataFrame:
-    return table_info.groupBy("table_id").agg(*latest_table_info_agg())
+    return placed(table_info).groupBy("table_id").agg(*latest_table_info_agg())
 
 
 def latest_table_info(compacted: DataFrame) -> DataFrame:
@@ -72,14 +88,20 @@ def table_groups(compacted: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- A3: live partitions
 
+def last_is_delete() -> Column:
+    """Aggregate: whether the last operation was a delete; at the same position a delete is the last."""
+    is_delete = F.col("commit_op") == F.lit(OP_DELETE)
+    gone, live = F.max(F.when(is_delete, F.col("seq"))), F.max(F.when(~is_delete, F.col("seq")))
+    return gone.isNotNull() & (live.isNull() | (gone >= live))
+
+
 def compact_partitions(partitions: DataFrame) -> DataFrame:
     """A3 inner half (P6 included): per (table_id, partition_desc), whether the last
-    operation was a delete. A boolean ``max_by`` keeps a fixed-width aggregation
+    operation was a delete. Two last positions are a fixed-width aggregation
     buffer, so this, the largest aggregate, runs as a hash aggregate with map-side
-    partial aggregation (a string buffer would force a sort-based aggregate)."""
+    partial aggregation (a string or struct buffer would force a sort-based aggregate)."""
     return (partitions.where(F.col("partition_desc").isNotNull())
-            .groupBy("table_id", "partition_desc")
-            .agg(F.max_by(F.col("commit_op") == F.lit(OP_DELETE), F.col("seq")).alias("deleted")))
+            .groupBy("table_id", "partition_desc").agg(last_is_delete().alias("deleted")))
 
 
 def live_partition_counts(compacted: DataFrame) -> DataFrame:
@@ -125,9 +147,9 @@ def signed_commit_deltas(stats: DataFrame, dedupe_commits: bool = False) -> Data
     counts nothing.
     """
     if dedupe_commits:
-        last = (stats.groupBy("table_id", "commit_id")
+        last = (placed(stats).groupBy("table_id", "commit_id")
                 .agg(F.max_by(F.struct("commit_op", "committed", "file_count", "file_bytes",
-                                       "problem"), F.col("seq")).alias("c"))
+                                       "problem"), F.col("place")).alias("c"))
                 .select("table_id", "commit_id", "c.*"))
         stats = last.withColumn(
             "problem", F.when(~not_delete(F.col("commit_op")), F.lit("deleted"))

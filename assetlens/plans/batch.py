@@ -25,6 +25,7 @@ class AssetResults:
     user_assets: DataFrame        # R3
     quarantine: DataFrame         # commits that could not be counted
     rejects: DataFrame | None = None  # envelopes that could not be used (feeds only)
+    unordered: DataFrame | None = None  # changes whose position does not order them (feeds only)
 
 
 @dataclass
@@ -95,6 +96,7 @@ def compute_assets_from_feed(decoded: DataFrame, dedupe_commits: bool = False, q
     """
     from assetlens.plans.compaction import compact_tagged, quarantined, tagged_changes
     from assetlens.sources.envelope import POSITION, rejected, with_position
+    from assetlens.sources.order import unordered
     if at_least_once:
         decoded = with_position(decoded)
     tagged = tagged_changes(decoded, qualify_ids)
@@ -105,4 +107,4 @@ def compute_assets_from_feed(decoded: DataFrame, dedupe_commits: bool = False, q
     c.table_info = materialize(c.table_info, "compacted-table-info")
     assets = materialize(assets_from_compacted(c), "table-assets")
     ns, dom, user = rollups_from(assets, facts.table_groups(c.table_info))
-    return AssetResults(assets, ns, dom, user, quarantined(tagged), rejected(decoded))
+    return AssetResults(assets, ns, dom, user, quarantined(tagged), rejected(decoded, qualify_ids), unordered(tagged))

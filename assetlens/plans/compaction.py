@@ -27,7 +27,7 @@ from assetlens.functions.fileops import text_to_bool
 from assetlens.operators import facts
 from assetlens.plans.batch import Compacted
 from assetlens.schemas import DATA_COMMIT_INFO, OP_DELETE, PARTITION_INFO, TABLE_INFO
-from assetlens.sources.envelope import POSITION, catalog_changes
+from assetlens.sources.envelope import ORIGIN, POSITION, catalog_changes
 
 _S = T.StringType()
 GROUP = T.StructType([T.StructField("namespace", _S), T.StructField("domain", _S),
@@ -55,7 +55,7 @@ def tagged_changes(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
     src = F.col("source")
     changes = (catalog_changes(decoded, qualify_ids).withColumnRenamed("table_name", "source")
                .where(~((src == PARTITION_INFO) & img["partition_desc"].isNull())))
-    position = [POSITION] if POSITION in changes.columns else []
+    position = [c for c in (POSITION, ORIGIN) if c in changes.columns]
     rows = changes.select(
         "source", "commit_op", "seq", img["table_id"].alias("table_id"),
         img["partition_desc"].alias("partition_desc"),
@@ -90,9 +90,10 @@ def compaction_agg(tagged: DataFrame) -> DataFrame:
     # A commit that cannot be counted has null deltas and joins its table's commit row: it
     # leaves no state, and no filter is pushed below the fold that finds it.
     tagged = tagged.withColumn("kind", F.when(F.col("kind") == "q", F.lit("c")).otherwise(F.col("kind")))
-    return tagged.groupBy(*KEYS).agg(
-        F.max_by(F.col("commit_op"), F.col("seq")).alias("op"),
-        F.max_by(attrs, F.when(is_live, F.col("seq"))).alias("attrs"),
+    order = F.col("place")
+    return facts.placed(tagged).groupBy(*KEYS).agg(
+        F.max_by(F.col("commit_op"), order).alias("op"),
+        F.max_by(attrs, F.when(is_live, order)).alias("attrs"),
         F.collect_set(F.when((F.col("kind") == "t") & is_live, group)).alias("groups"),
         F.sum("d_files").alias("file_counts"),
         F.sum("d_bytes").alias("file_total_size"),
@@ -117,8 +118,8 @@ def compact_tagged(tagged: DataFrame, dedupe_commits: bool = False) -> Compacted
     of = lambda kind: tagged.where(F.col("kind") == kind)
     commits = of("c")
     if dedupe_commits:
-        commits = (commits.groupBy("table_id", "commit_id")
-                   .agg(F.max_by(F.struct("commit_op", "d_files", "d_bytes"), F.col("seq")).alias("c"))
+        commits = (facts.placed(commits).groupBy("table_id", "commit_id")
+                   .agg(F.max_by(F.struct("commit_op", "d_files", "d_bytes"), F.col("place")).alias("c"))
                    .select("table_id", "c.*").where(F.col("commit_op") != F.lit(OP_DELETE)))
     return Compacted(
         table_info=facts.compact_table_info(of("t")),

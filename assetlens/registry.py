@@ -108,7 +108,7 @@ def _deltas(spark, sf_dir) -> DataFrame:
     """Signed deltas of the commit changes with their positions."""
     d_files, d_bytes = facts.signed_delta_columns()
     stats = facts.commit_stats(fx.fx_commit_changes(spark, sf_dir))
-    return stats.select("table_id", "seq", d_files.alias("d_files"), d_bytes.alias("d_bytes"))
+    return stats.select("table_id", "commit_id", "seq", d_files.alias("d_files"), d_bytes.alias("d_bytes"))
 
 
 def q_commit_total_versions(spark, sf_dir):
@@ -123,12 +123,16 @@ def q_partition_count_versions(spark, sf_dir):
 
 def q_table_asset_versions(spark, sf_dir):
     """The joined row after each change of any side."""
+    return _table_versions(spark, sf_dir).drop("row")
+
+
+def _table_versions(spark, sf_dir) -> DataFrame:
     return history.table_asset_versions(fx.fx_table_info(spark, sf_dir), fx.fx_partition_info(spark, sf_dir),
                                         _deltas(spark, sf_dir))
 
 
 def _group_versions(spark, sf_dir, level: str) -> DataFrame:
-    versions = q_table_asset_versions(spark, sf_dir)
+    versions = _table_versions(spark, sf_dir)
     return history.group_asset_versions(history.group_steps(versions, fx.fx_table_info(spark, sf_dir)), level)
 
 

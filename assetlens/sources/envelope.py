@@ -66,6 +66,7 @@ def normalize_envelopes(env: DataFrame, topic_col: str | None = None,
 
 
 POSITION = "position"
+ORIGIN = "origin"
 
 
 def with_position(decoded: DataFrame) -> DataFrame:
@@ -78,14 +79,15 @@ def with_position(decoded: DataFrame) -> DataFrame:
 OPERATIONS = (OP_CREATE, OP_UPDATE, OP_DELETE, OP_READ)
 
 
-def reject_reason(table_id: Column) -> Column:
+def reject_reason(table_id: Column, schema: Column | None = None) -> Column:
     """Why a decoded change of a catalog table cannot be used, null if it can:
     ``bad_json``, ``no_operation`` (none, or an unknown one), ``no_position``,
-    ``no_table_id``."""
-    return (F.when(F.col("raw").isNotNull(), F.lit("bad_json"))
+    ``no_table_id``; ``no_schema`` where ids are qualified by the ``schema``."""
+    reason = (F.when(F.col("raw").isNotNull(), F.lit("bad_json"))
             .when(F.col("commit_op").isNull() | ~F.col("commit_op").isin(*OPERATIONS), F.lit("no_operation"))
             .when(F.col("seq").isNull(), F.lit("no_position"))
             .when(table_id.isNull(), F.lit("no_table_id")))
+    return reason if schema is None else reason.when(schema.isNull(), F.lit("no_schema"))
 
 
 def decode_envelopes(df: DataFrame, value_col: str = "value", topic_col: str | None = None,
@@ -134,8 +136,8 @@ def with_row_image(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
         F.when(image_present(F.col("after")), F.lit("after")).otherwise(F.lit("before"))
         .alias("image_side"),
         F.when(F.col("raw").isNotNull() | F.col("table_name").isin(*CATALOG_TABLES),
-               reject_reason(table_id)).alias("reason"),
-        "raw", *([POSITION] if POSITION in decoded.columns else []),
+               reject_reason(table_id, F.col("schema_name") if qualify_ids else None)).alias("reason"),
+        "raw", *[c for c in (POSITION, ORIGIN) if c in decoded.columns],
     )
 
 
@@ -154,10 +156,10 @@ def usable(decoded: DataFrame) -> DataFrame:
     return decoded.where(~F.coalesce(unusable, F.lit(False)))
 
 
-def rejected(decoded: DataFrame) -> DataFrame:
+def rejected(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
     """Broken envelopes and unusable changes of the catalog tables: (problem, table_name,
     commit_op, seq, table_id, raw); one row per ``with_position`` hash, if there is one."""
-    rows = with_row_image(decoded).where(F.col("reason").isNotNull())
+    rows = with_row_image(decoded, qualify_ids).where(F.col("reason").isNotNull())
     if POSITION in rows.columns:
         rows = rows.dropDuplicates([POSITION])
     return rows.select(

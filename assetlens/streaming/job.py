@@ -296,13 +296,14 @@ def writer_of(spark: SparkSession, checkpoint: str) -> str:
         return name
 
 
-def start_quarantine(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None):
+def start_quarantine(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
+                     qualify_ids: bool = False):
     """Starts the stateless query that appends unusable envelopes and commits, with the
     reason, to ``base/quarantine`` (exactly-once file sink)."""
-    bad_commits = quarantined(tagged_changes(decoded_stream)).select(
+    bad_commits = quarantined(tagged_changes(decoded_stream, qualify_ids)).select(
         "problem", F.lit(DATA_COMMIT_INFO).alias("table_name"), "commit_op", "seq", "table_id", "commit_id",
         F.lit(None).cast("string").alias("raw"))
-    rejects = rejected(decoded_stream).withColumn("commit_id", F.lit(None).cast("string"))
+    rejects = rejected(decoded_stream, qualify_ids).withColumn("commit_id", F.lit(None).cast("string"))
     rows = rejects.select(*QUARANTINE.fieldNames()).unionByName(bad_commits.select(*QUARANTINE.fieldNames()))
     return (rows.writeStream.format("parquet").option("path", f"{base}/quarantine")
             .option("checkpointLocation", f"{checkpoint}/quarantine")
@@ -349,7 +350,7 @@ def run_available(decoded_stream: DataFrame, base: str, checkpoint: str,
     makes, and returns the result tables."""
     now = {"availableNow": True}
     for query in (start(decoded_stream, base, checkpoint, now, freeze_attributes, qualify_ids),
-                  start_quarantine(decoded_stream, base, checkpoint, now)):
+                  start_quarantine(decoded_stream, base, checkpoint, now, qualify_ids)):
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(str(query.exception()))

@@ -61,7 +61,7 @@ def test_one_table_over_many_ranges(spark, monkeypatch):
 
 
 def test_no_window_is_over_a_table_alone(spark, logs):
-    commits = spark.createDataFrame([("t", 1, 1, 1)], "table_id string, seq long, d_files long, d_bytes long")
+    commits = spark.createDataFrame([("t", "c", 1, 1, 1)], "table_id string, commit_id string, seq long, d_files long, d_bytes long")
     plan = history.commit_total_versions(commits)._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert windows and all(prefix.RANGE in line for line in windows)
@@ -72,7 +72,8 @@ def test_versions_need_all_three_sides(logs, spark):
     ti = logs.table_info([("t", "n", "ns", "d", "u", "create", 1), ("t", "n", "ns2", "d", "u", "update", 4),
                           ("t", "n", "ns2", "d", "u", "delete", 7)])
     pi = logs.partitions([("t", "p", "create", 2)])
-    ci = spark.createDataFrame([("t", 3, None, None), ("t", 5, 2, 20)], "table_id string, seq long, d_files long, d_bytes long")
+    ci = spark.createDataFrame([("t", "b", 3, None, None), ("t", "c", 5, 2, 20)],
+                               "table_id string, commit_id string, seq long, d_files long, d_bytes long")
     v = history.table_asset_versions(ti, pi, ci)
     assert _rows(v, "seq", "namespace", "op", "partition_counts", "file_counts") == [
         (5, "ns2", "update", 1, 2), (7, "ns2", "delete", 1, 2)]
@@ -81,3 +82,18 @@ def test_versions_need_all_three_sides(logs, spark):
         ("ns", 5, 0, 0), ("ns2", 5, 1, 20), ("ns2", 7, 0, 0)]
     assert _rows(history.group_asset_versions(steps, "creator"), "seq", "domain_counts", "namespace_counts", "table_counts") == [
         (5, 1, 2, 1), (7, 1, 2, 0)]
+
+
+def test_snapshot_rows_share_a_position_in_a_fixed_order(spark, logs):
+    """Rows of one snapshot have one position: the history still has a row per change, in one order."""
+    ti = logs.table_info([("t", "n", "ns", "d", "u", "read", 5)])
+    want = None
+    for turn in (1, -1):
+        pi = logs.partitions([("t", d, "read", 5) for d in "abc"][::turn])
+        ci = spark.createDataFrame([("t", c, 5, n, n) for c, n in (("x", 1), ("y", 10), ("z", 100))][::turn],
+                                   "table_id string, commit_id string, seq long, d_files long, d_bytes long")
+        got = [_rows(history.partition_count_versions(pi), "partition_counts"), _rows(history.commit_total_versions(ci), "file_counts"),
+               _rows(history.table_asset_versions(ti, pi, ci), "row", "partition_counts", "file_counts")]
+        assert got[0] == [(1,), (2,), (3,)] and got[1] == [(1,), (11,), (111,)]
+        assert got[2] == [("x", 3, 1), ("y", 3, 11), ("z", 3, 111)] and got in (want, got)
+        want = got
