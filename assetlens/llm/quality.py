@@ -147,9 +147,23 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def training_ids(labels: DataFrame, label: str = "quality") -> DataFrame:
+    """The labelled ids that are not held out, about MAX_TRAINING_ROWS of them at most (by hash); a
+    written table."""
+    ids = labels.dropna(subset=["doc_id", label]).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    ids = materialize(ids.filter(~held_out(F.col("doc_id"))), "quality-labelled")
+    n = ids.count()
+    if n <= MAX_TRAINING_ROWS:
+        return ids
+    return ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (MAX_TRAINING_ROWS << 20) // n)
+
+
 def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns."""
-    model = fit(materialize(stats_table(docs), "quality-stats"), labels)
+    """The rows of ``docs`` that the classifier accepts, with all their columns. Statistics of the
+    training rows are written first; those of all rows are computed once, while they are scored."""
+    # Ids of a bounded sample, 8 bytes each: this broadcast has at most some 2 MB.
+    learned = id_and_text(docs).join(F.broadcast(training_ids(labels)), "doc_id", "left_semi")
+    model = fit(materialize(stats_table(learned), "quality-stats"), labels)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     # The optimizer would repeat each statistic in every rule that uses it. The variable of
     # a transform is evaluated once, so words and statistics are bound as one-element arrays.
