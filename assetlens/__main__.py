@@ -24,14 +24,15 @@ from assetlens.sources.snapshot import bootstrap_stream, positions_of, read_posi
 from assetlens.streaming import job
 
 
-def run_batch(spark: SparkSession, feed: str, out: str, snapshot: str | None = None, splits: str | None = None) -> None:
+def run_batch(spark: SparkSession, feed: str, out: str, snapshot: str | None = None, splits: str | None = None,
+              **options) -> None:
     """Whole feed (after the snapshot, if there is one) to the four result tables and the quarantine, as
-    parquet under ``out``."""
+    parquet under ``out``; ``options`` as in ``compute_assets_from_feed``."""
     changes = changelog.read_changes(spark, feed)
     if snapshot:
         rows = changelog.read_changes(spark, snapshot)
         changes = reconciled(rows, changes, read_positions(spark, splits) if splits else positions_of(rows))
-    r = compute_assets_from_feed(changes)
+    r = compute_assets_from_feed(changes, **options)
     frames = {"table_level_assets": r.table_assets, "namespace_level_assets": r.namespace_assets,
               "domain_level_assets": r.domain_assets, "user_level_assets": r.user_assets}
     for name, df in frames.items():
@@ -39,10 +40,12 @@ def run_batch(spark: SparkSession, feed: str, out: str, snapshot: str | None = N
         to_exact_schema(df, wide(schema)).write.mode("errorifexists").parquet(f"{out}/{name}")
     r.quarantine.write.mode("errorifexists").parquet(f"{out}/quarantine")
     r.rejects.write.mode("errorifexists").parquet(f"{out}/rejects")
+    r.unordered.write.mode("errorifexists").parquet(f"{out}/unordered")
 
 
 def run_stream(spark: SparkSession, out: str, feed: str | None, kafka: dict | None,
-               once: bool, snapshot: str | None = None, jdbc: dict | None = None, splits: str | None = None) -> None:
+               once: bool, snapshot: str | None = None, jdbc: dict | None = None, splits: str | None = None,
+               freeze_attributes: bool = False, qualify_ids: bool = False, at_least_once: bool = False) -> None:
     stream = changelog.read_change_stream(spark, path=feed, kafka=kafka)
     if snapshot:
         log = changelog.read_changes(spark, feed) if feed else changelog.read_changes_kafka(spark, kafka)
@@ -50,8 +53,14 @@ def run_stream(spark: SparkSession, out: str, feed: str | None, kafka: dict | No
                                   read_positions(spark, splits) if splits else None)
     trigger = {"availableNow": True} if once else None
     checkpoint = f"{out}/_checkpoint"
-    queries = [job.start(stream, base=out, checkpoint=checkpoint, trigger=trigger, jdbc=jdbc),
-               job.start_quarantine(stream, base=out, checkpoint=checkpoint, trigger=trigger)]
+    if at_least_once:  # each change is landed once, and the results follow what has landed
+        landing = changelog.land_once(stream, f"{out}/_landed", f"{checkpoint}/landing", trigger)
+        if once:
+            landing.awaitTermination()
+        stream = changelog.read_landed(spark, f"{out}/_landed", stream.schema)
+    queries = [job.start(stream, base=out, checkpoint=checkpoint, trigger=trigger, jdbc=jdbc,
+                         freeze_attributes=freeze_attributes, qualify_ids=qualify_ids),
+               job.start_quarantine(stream, base=out, checkpoint=checkpoint, trigger=trigger, qualify_ids=qualify_ids)]
     if once:
         for query in queries:
             query.awaitTermination()
@@ -72,7 +81,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--jdbc-url", help="also upsert the result tables into this PostgreSQL database (stream mode)")
     p.add_argument("--jdbc-user"), p.add_argument("--jdbc-password-env", help="environment variable of the password")
     p.add_argument("--once", action="store_true", help="stream: process what is there, then stop")
+    p.add_argument("--qualify-ids", action="store_true", help="table ids are <schema>.<table_id> (several schemas)")
+    p.add_argument("--at-least-once", action="store_true", help="the feed may repeat changes; each counts once")
+    p.add_argument("--dedupe-commits", action="store_true", help="batch: the last change of each commit counts")
+    p.add_argument("--freeze-attributes", action="store_true", help="stream: table rows keep their first attributes")
     a = p.parse_args(argv)
+    if a.dedupe_commits and a.mode == "stream" or a.freeze_attributes and a.mode == "batch":
+        p.error(f"not an option of {a.mode}")
     if spark is None:
         builder = SparkSession.builder.appName("assetlens")
         for key, value in BASE_CONF.items():
@@ -81,7 +96,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.mode == "batch":
         if not a.feed:
             p.error("batch needs --feed")
-        run_batch(spark, a.feed, a.out, a.snapshot, a.splits)
+        run_batch(spark, a.feed, a.out, a.snapshot, a.splits, dedupe_commits=a.dedupe_commits, qualify_ids=a.qualify_ids,
+                  at_least_once=a.at_least_once)
         return
     kafka = None
     if a.kafka_servers:
@@ -94,7 +110,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.jdbc_url:
         jdbc = {"url": a.jdbc_url, "properties": {"user": a.jdbc_user or "", "driver": "org.postgresql.Driver",
                                                   "password": os.environ.get(a.jdbc_password_env or "", "")}}
-    run_stream(spark, a.out, a.feed, kafka, a.once, a.snapshot, jdbc, a.splits)
+    run_stream(spark, a.out, a.feed, kafka, a.once, a.snapshot, jdbc, a.splits, a.freeze_attributes, a.qualify_ids,
+               a.at_least_once)
 
 
 if __name__ == "__main__":
