@@ -54,7 +54,7 @@ def partition_count_versions(partitions: DataFrame) -> DataFrame:
         .select("table_id", "seq", "partition_counts")
 
 
-def _described_row():
+def described_row():
     """Tells descriptions of a table at one position apart; a delete comes last, as everywhere."""
     return F.concat_ws("/", (~not_delete(F.col("commit_op"))).cast("string"), *ATTRS)
 
@@ -73,7 +73,7 @@ def _events(table_info: DataFrame, partitions: DataFrame, deltas: DataFrame) ->
                          *[s.cast("bigint").alias(m) for m, s in zip(MEASURES, steps)],
                          *[F.lit(int(number == n)).cast("bigint").alias(f"n{n}") for n in range(3)])
 
-    described = side(table_info, 0, _described_row(), F.when(not_delete(F.col("commit_op")), attrs), F.col("commit_op"))
+    described = side(table_info, 0, described_row(), F.when(not_delete(F.col("commit_op")), attrs), F.col("commit_op"))
     placed = side(partition_transitions(partitions), 1, F.concat_ws("/", "partition_desc", "gone"), steps=(F.col("d"), zero, zero))
     counted = side(deltas.where(F.col("d_files").isNotNull()), 2, F.col("commit_id"), steps=(zero, F.col("d_files"), F.col("d_bytes")))
     return described.unionByName(placed).unionByName(counted)
@@ -114,7 +114,7 @@ def group_steps(versions: DataFrame, table_info: DataFrame) -> DataFrame:
 
     steps = levels(pairs.where("now.live"), "now", 1).unionByName(levels(pairs.where("before.live"), "before", -1))
     # Memberships outside deletes, at their own position or at the first version, whichever is later.
-    own = F.struct(F.col("seq"), F.lit(0).alias("side"), _described_row().alias("row"))
+    own = F.struct(F.col("seq"), F.lit(0).alias("side"), described_row().alias("row"))
     seen = (table_info.where(not_delete(F.col("commit_op"))).join(first, "table_id")
             .select("table_id", F.greatest(own, F.col("first")).alias("p"), F.col("table_namespace").alias("namespace"),
                     "domain", "creator")

@@ -366,6 +366,7 @@ union all select table_name, table_id, detail, commit_op, seq from placed where
         "domain_level_assets": group_assets_sql("domain", int_counts=True),
         "user_level_assets": user_assets_sql(int_counts=True),
     }
+    q["stream_table_asset_versions"] = q["table_asset_versions"]
     for name, text in sink.items():
         q["upsert_" + name.replace("_level", "")] = text
         q["stream_" + name] = text

@@ -401,6 +401,19 @@ def q_stream_user_assets(spark, sf_dir):
     return to_exact_schema(_stream_run(spark, sf_dir).level_assets("creator"), USER_LEVEL_ASSETS)
 
 
+def q_stream_table_asset_versions(spark, sf_dir):
+    """The joined row after each change, by the streaming job in 4 micro-batches."""
+    from assetlens.streaming import versions
+    env = fx.fx_envelopes(spark, sf_dir)
+    feed = fresh_dir(spark, "feed")
+    changelog.write_feed(env, feed, _seq_cuts(env, 4), files_per_part=files_per_part(spark))
+    stream = changelog.read_change_stream(spark, f"{feed}/*", max_files_per_trigger=files_per_part(spark))
+    base = fresh_dir(spark, "stream")
+    query = versions.start_versions(stream, base, f"{base}-checkpoint", {"availableNow": True})
+    query.awaitTermination()
+    return versions.read_versions(spark, base)
+
+
 QUERIES: dict[str, Query] = {
     "file_op_parse": q_file_op_parse,
     "commit_file_stats": q_commit_file_stats,
@@ -441,4 +454,5 @@ QUERIES: dict[str, Query] = {
     "stream_namespace_level_assets": q_stream_namespace_assets,
     "stream_domain_level_assets": q_stream_domain_assets,
     "stream_user_level_assets": q_stream_user_assets,
+    "stream_table_asset_versions": q_stream_table_asset_versions,
 }

@@ -31,7 +31,7 @@ from assetlens.plans.compaction import (COMPACTED, KEYS, compaction_agg, quarant
                                         split_compacted, tagged_changes)
 from assetlens.schemas import (DATA_COMMIT_INFO, DOMAIN_LEVEL_ASSETS, NAMESPACE_LEVEL_ASSETS, OP_DELETE,
                                TABLE_LEVEL_ASSETS, USER_LEVEL_ASSETS, fits, to_exact_schema, wide)
-from assetlens.session import ROCKSDB_PROVIDER, materialize, remove_folder
+from assetlens.session import materialize, remove_folder, use_rocksdb
 from assetlens.sinks.upsert import BATCH_WRITER, JdbcTable, KeyedLog
 from assetlens.sources.envelope import rejected
 
@@ -323,13 +323,7 @@ def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict |
     interval) or ``{"availableNow": True}`` for catch-up runs and tests.
     """
     spark = decoded_stream.sparkSession
-    # State lives in RocksDB (off-heap, incremental checkpoints) instead of the default
-    # in-memory provider; a new query picks it up at its first start.
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith(
-            "HDFSBackedStateStoreProvider"):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-                       "true")
+    use_rocksdb(spark)
     tables = AssetTables.at(spark, base, writer_of(spark, checkpoint))
 
     def each(df: DataFrame, batch_id: int) -> None:
