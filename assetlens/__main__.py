@@ -22,6 +22,7 @@ from assetlens.session import BASE_CONF
 from assetlens.sources import changelog
 from assetlens.sources.snapshot import bootstrap_stream, positions_of, read_positions, reconciled
 from assetlens.streaming import job
+from assetlens.streaming.versions import start_versions
 
 
 def run_batch(spark: SparkSession, feed: str, out: str, snapshot: str | None = None, splits: str | None = None,
@@ -45,7 +46,8 @@ def run_batch(spark: SparkSession, feed: str, out: str, snapshot: str | None = N
 
 def run_stream(spark: SparkSession, out: str, feed: str | None, kafka: dict | None,
                once: bool, snapshot: str | None = None, jdbc: dict | None = None, splits: str | None = None,
-               freeze_attributes: bool = False, qualify_ids: bool = False, at_least_once: bool = False) -> None:
+               freeze_attributes: bool = False, qualify_ids: bool = False, at_least_once: bool = False,
+               dedupe_commits: bool = False, versions: bool = False) -> None:
     stream = changelog.read_change_stream(spark, path=feed, kafka=kafka)
     if snapshot:
         log = changelog.read_changes(spark, feed) if feed else changelog.read_changes_kafka(spark, kafka)
@@ -59,8 +61,10 @@ def run_stream(spark: SparkSession, out: str, feed: str | None, kafka: dict | No
             landing.awaitTermination()
         stream = changelog.read_landed(spark, f"{out}/_landed", stream.schema)
     queries = [job.start(stream, base=out, checkpoint=checkpoint, trigger=trigger, jdbc=jdbc,
-                         freeze_attributes=freeze_attributes, qualify_ids=qualify_ids),
+                         freeze_attributes=freeze_attributes, qualify_ids=qualify_ids, dedupe_commits=dedupe_commits),
                job.start_quarantine(stream, base=out, checkpoint=checkpoint, trigger=trigger, qualify_ids=qualify_ids)]
+    if versions:
+        queries.append(start_versions(stream, out, checkpoint, trigger, qualify_ids))
     if once:
         for query in queries:
             query.awaitTermination()
@@ -83,10 +87,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--once", action="store_true", help="stream: process what is there, then stop")
     p.add_argument("--qualify-ids", action="store_true", help="table ids are <schema>.<table_id> (several schemas)")
     p.add_argument("--at-least-once", action="store_true", help="the feed may repeat changes; each counts once")
-    p.add_argument("--dedupe-commits", action="store_true", help="batch: the last change of each commit counts")
+    p.add_argument("--dedupe-commits", action="store_true", help="of each commit the last change counts only")
+    p.add_argument("--versions", action="store_true", help="stream: also append a row per change of a table")
     p.add_argument("--freeze-attributes", action="store_true", help="stream: table rows keep their first attributes")
     a = p.parse_args(argv)
-    if a.dedupe_commits and a.mode == "stream" or a.freeze_attributes and a.mode == "batch":
+    if a.mode == "batch" and (a.freeze_attributes or a.versions):
         p.error(f"not an option of {a.mode}")
     if spark is None:
         builder = SparkSession.builder.appName("assetlens")
@@ -111,7 +116,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         jdbc = {"url": a.jdbc_url, "properties": {"user": a.jdbc_user or "", "driver": "org.postgresql.Driver",
                                                   "password": os.environ.get(a.jdbc_password_env or "", "")}}
     run_stream(spark, a.out, a.feed, kafka, a.once, a.snapshot, jdbc, a.splits, a.freeze_attributes, a.qualify_ids,
-               a.at_least_once)
+               a.at_least_once, a.dedupe_commits, a.versions)
 
 
 if __name__ == "__main__":

@@ -143,17 +143,12 @@ def signed_commit_deltas(stats: DataFrame, dedupe_commits: bool = False) -> Data
     would be pushed below the A1 projection and evaluate the fold once more per use.
     ``commit_totals`` drops the tables without any counted change, so an uncommitted
     commit still cannot make a table appear in J2. With ``dedupe_commits`` only the
-    last change of each ``commit_id`` counts (D5 option): a deleted commit then
-    counts nothing.
+    last change of each ``commit_id`` counts (D5 option, ``last_contribution``).
     """
     if dedupe_commits:
-        last = (placed(stats).groupBy("table_id", "commit_id")
-                .agg(F.max_by(F.struct("commit_op", "committed", "file_count", "file_bytes",
-                                       "problem"), F.col("place")).alias("c"))
-                .select("table_id", "commit_id", "c.*"))
-        stats = last.withColumn(
-            "problem", F.when(~not_delete(F.col("commit_op")), F.lit("deleted"))
-            .otherwise(F.col("problem")))
+        d_files, d_bytes = signed_delta_columns()
+        return (placed(stats).withColumns({"d_files": d_files, "d_bytes": d_bytes}).groupBy("table_id", "commit_id")
+                .agg(*last_contribution()).drop("commit_id"))
     d_files, d_bytes = signed_delta_columns()
     return stats.select("table_id", d_files.alias("d_files"), d_bytes.alias("d_bytes"))
 
@@ -168,6 +163,16 @@ def signed_delta_columns() -> tuple[Column, Column]:
             F.when(counts, sign * F.col("file_bytes")))
 
 
+def last_contribution() -> list[Column]:
+    """``d_files``, ``d_bytes`` of the last change of a commit, over its ``placed`` changes. Zero if that is
+    a delete or counts nothing but an earlier one counted, so a table that had a counted commit
+    keeps its row; null if no change ever counted."""
+    ever = F.max(F.col("d_files").isNotNull())
+    zero = F.lit(0).cast("bigint")
+    return [F.when(ever, F.coalesce(F.max_by(F.when(not_delete(F.col("commit_op")), F.col(d)), F.col("place")), zero)).alias(d)
+            for d in ("d_files", "d_bytes")]
+
+
 def commit_totals(deltas: DataFrame) -> DataFrame:
     """A2: (table_id, file_counts, file_total_size), running signed totals over the
     counted changes; a table without any counted change has no row."""

@@ -19,7 +19,7 @@ fixed-width buffers and run as hash aggregates with map-side partial aggregation
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,21 +82,31 @@ def tagged_changes(decoded: DataFrame, qualify_ids: bool = False) -> DataFrame:
         only("q", F.col("problem")).alias("problem"), *position)
 
 
-def compaction_agg(tagged: DataFrame) -> DataFrame:
-    """The single streaming aggregate: J0, A3 (inner half) and A2 in one operator."""
+def commit_key() -> Column:
+    """A commit's ``sub_key``: never null, and a missing id is told from an empty one."""
+    return F.coalesce(F.concat(F.lit("="), F.col("commit_id")), F.lit(""))
+
+
+def compaction_agg(tagged: DataFrame, dedupe_commits: bool = False) -> DataFrame:
+    """The single streaming aggregate: J0, A3 (inner half) and A2 in one operator. With ``dedupe_commits``
+    the rows of kind ``c`` are per commit (``commit_key`` in ``sub_key``) and hold its last contribution (D5);
+    the totals of a table follow from the changes of these rows."""
     is_live = F.col("commit_op") != F.lit(OP_DELETE)
     group = F.struct(F.col("table_namespace").alias("namespace"), "domain", "creator")
     attrs = F.struct(*[F.col(a) for a in facts.ATTRS])
     # A commit that cannot be counted has null deltas and joins its table's commit row: it
     # leaves no state, and no filter is pushed below the fold that finds it.
     tagged = tagged.withColumn("kind", F.when(F.col("kind") == "q", F.lit("c")).otherwise(F.col("kind")))
+    if dedupe_commits:
+        tagged = tagged.withColumn("sub_key", F.when(F.col("kind") == "c", commit_key()).otherwise(F.col("sub_key")))
+    files, size = facts.last_contribution() if dedupe_commits else (F.sum("d_files"), F.sum("d_bytes"))
     order = F.col("place")
     return facts.placed(tagged).groupBy(*KEYS).agg(
         F.max_by(F.col("commit_op"), order).alias("op"),
         F.max_by(attrs, F.when(is_live, order)).alias("attrs"),
         F.collect_set(F.when((F.col("kind") == "t") & is_live, group)).alias("groups"),
-        F.sum("d_files").alias("file_counts"),
-        F.sum("d_bytes").alias("file_total_size"),
+        files.alias("file_counts"),
+        size.alias("file_total_size"),
         F.max("seq").alias("seq"))
 
 
@@ -113,14 +123,11 @@ def split_compacted(state: DataFrame) -> Compacted:
 
 def compact_tagged(tagged: DataFrame, dedupe_commits: bool = False) -> Compacted:
     """Batch: the tagged rows (a written table) compacted by one aggregate per kind. With
-    ``dedupe_commits`` only the last change of each commit id counts (D5): a deleted
-    commit then counts nothing."""
+    ``dedupe_commits`` only the last change of each commit id counts (D5)."""
     of = lambda kind: tagged.where(F.col("kind") == kind)
     commits = of("c")
     if dedupe_commits:
-        commits = (facts.placed(commits).groupBy("table_id", "commit_id")
-                   .agg(F.max_by(F.struct("commit_op", "d_files", "d_bytes"), F.col("place")).alias("c"))
-                   .select("table_id", "c.*").where(F.col("commit_op") != F.lit(OP_DELETE)))
+        commits = facts.placed(commits).groupBy("table_id", "commit_id").agg(*facts.last_contribution())
     return Compacted(
         table_info=facts.compact_table_info(of("t")),
         partitions=facts.compact_partitions(of("p").withColumnRenamed("sub_key", "partition_desc")),

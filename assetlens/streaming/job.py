@@ -43,6 +43,10 @@ QUARANTINE = T.StructType([T.StructField(c, T.LongType() if c == "seq" else T.St
                            ("problem", "table_name", "commit_op", "seq", "table_id", "commit_id", "raw")])
 PARTITION_COUNTS = T.StructType([T.StructField("table_id", T.StringType()),
                                  T.StructField("partition_counts", T.LongType())])
+# With ``dedupe_commits``: the last contribution of each commit, and the totals that follow from them.
+TOTALS = T.StructType([T.StructField(c, T.StringType() if c == "table_id" else T.LongType())
+                       for c in ("table_id", "file_counts", "file_total_size")])
+COMMIT_STATE = T.StructType([TOTALS["table_id"], T.StructField("commit_key", T.StringType()), *TOTALS.fields[1:]])
 # Ever-seen (creator, "domain" | "namespace", value) pairs of complete tables.
 SEEN_PAIRS = T.StructType([T.StructField(c, T.StringType()) for c in ("creator", "kind", "value")])
 TABLE_ASSETS_WITH_OP = T.StructType(wide(TABLE_LEVEL_ASSETS).fields + [T.StructField("op", T.StringType())])
@@ -85,6 +89,8 @@ class AssetTables:
     table_sink: KeyedLog
     partition_counts: KeyedLog
     seen_pairs: KeyedLog
+    commit_state: KeyedLog
+    commit_totals: KeyedLog
     quarantine_path: str
 
     @classmethod
@@ -102,11 +108,13 @@ class AssetTables:
             log("table_level_assets", wide(TABLE_LEVEL_ASSETS), "table_id"),
             log("partition_counts", PARTITION_COUNTS, "table_id"),
             log("seen_pairs", SEEN_PAIRS, ["creator", "kind", "value"], ["creator"]),
+            log("commit_state", COMMIT_STATE, ["table_id", "commit_key"]),
+            log("commit_totals", TOTALS, "table_id"),
             f"{base}/quarantine")
 
     def all(self) -> list[KeyedLog]:
         return [self.partition_state, self.table_state, self.table_assets, self.group_assets, self.table_sink,
-                self.partition_counts, self.seen_pairs]
+                self.partition_counts, self.seen_pairs, self.commit_state, self.commit_totals]
 
     def quarantine(self) -> DataFrame:
         """Unusable changes so far, each once."""
@@ -209,8 +217,25 @@ def group_deltas(tables: AssetTables, assets: DataFrame, old_assets: DataFrame,
     tables.group_assets.upsert(rows, batch_id)
 
 
+def dedupe_totals(tables: AssetTables, commits: DataFrame, touched: DataFrame, batch_id: int) -> None:
+    """The totals of the touched tables from what changed in the contribution of each touched commit.
+    Only the commits of this micro-batch are looked up, so a table holding a third of all commits
+    is spread over all buckets. A commit that never counted has null and adds no row."""
+    now = commits.select("table_id", F.col("sub_key").alias("commit_key"), "file_counts", "file_total_size") \
+        .where(F.col("file_counts").isNotNull())
+    before = tables.commit_state.current(batch_id - 1, now.select("table_id", "commit_key"))
+    measures = TOTALS.fieldNames()[1:]
+    delta = now.drop("commit_key").unionByName(before.select("table_id", *[(-F.col(m)).alias(m) for m in measures])) \
+        .groupBy("table_id").agg(*[F.sum(m).alias(f"d_{m}") for m in measures])
+    zero = F.lit(0).cast("bigint")
+    totals = delta.join(tables.commit_totals.current(batch_id - 1, touched), "table_id", "left").select(
+        "table_id", *[(F.coalesce(m, zero) + F.col(f"d_{m}")).alias(m) for m in measures])
+    tables.commit_totals.upsert(totals, batch_id)
+    tables.commit_state.upsert(now, batch_id)
+
+
 def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
-                freeze_attributes: bool = False) -> None:
+                freeze_attributes: bool = False, dedupe_commits: bool = False) -> None:
     """``foreachBatch`` body: append the changed state rows, then the new rows of the touched
     tables and touched groups. Only what changed is written; look-ups go by the keys touched.
 
@@ -240,14 +265,19 @@ def apply_batch(tables: AssetTables, changed: DataFrame, batch_id: int,
         "table_id", (F.coalesce("partition_counts", F.lit(0).cast("bigint")) + F.col("d")).alias("partition_counts"))
     tables.partition_counts.upsert(counts, batch_id)
     tables.partition_state.upsert(now, batch_id)
-    tables.table_state.upsert(changed.where(~is_p), batch_id)
+    kept = ~is_p
+    if dedupe_commits:
+        dedupe_totals(tables, changed.where(F.col("kind") == "c"), touched, batch_id)
+        kept = F.col("kind") == "t"
+    tables.table_state.upsert(changed.where(kept), batch_id)
 
     # Description and commit totals of the touched tables, looked up by their keys.
     c = split_compacted(materialize(tables.table_state.current(batch_id, touched), f"touched-state-{batch_id}", scratch))
     latest = facts.latest_table_info(c.table_info)
     counts = tables.partition_counts.current(batch_id, touched)
+    totals = tables.commit_totals.current(batch_id, touched) if dedupe_commits else c.totals
     assets = materialize(facts.table_level_assets(facts.table_with_partitions(latest, counts),
-                                                  c.totals), f"touched-assets-{batch_id}", scratch)
+                                                  totals), f"touched-assets-{batch_id}", scratch)
     old_assets = tables.table_assets.current(batch_id - 1, touched)
     history = materialize(facts.table_groups(c.table_info)
                           .join(assets.select("table_id"), "table_id", "left_semi"),
@@ -312,12 +342,13 @@ def start_quarantine(decoded_stream: DataFrame, base: str, checkpoint: str, trig
 
 def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
           freeze_attributes: bool = False, qualify_ids: bool = False,
-          jdbc: dict | None = None):
+          jdbc: dict | None = None, dedupe_commits: bool = False):
     """Starts the asset query (one stateful aggregate, ``foreachBatch``); returns its handle.
 
-    ``qualify_ids`` as in batch (D15). ``jdbc`` (url, properties): the result tables are
-    also upserted into a database after each micro-batch. The state counts a commit once
-    per delivery; a source that repeats events goes through ``changelog.land_once`` first.
+    ``qualify_ids`` (D15) and ``dedupe_commits`` (D5) as in batch; the latter keeps a row per commit
+    and must not change on a checkpoint. ``jdbc`` (url, properties): the result tables are
+    also upserted into a database after each micro-batch. Without ``dedupe_commits`` the state counts a
+    commit once per delivery; a source that repeats events goes through ``changelog.land_once`` first.
 
     ``trigger``: e.g. ``{"processingTime": "30 seconds"}`` (the reference's checkpoint
     interval) or ``{"availableNow": True}`` for catch-up runs and tests.
@@ -327,23 +358,25 @@ def start(decoded_stream: DataFrame, base: str, checkpoint: str, trigger: dict |
     tables = AssetTables.at(spark, base, writer_of(spark, checkpoint))
 
     def each(df: DataFrame, batch_id: int) -> None:
-        apply_batch(tables, df, batch_id, freeze_attributes)
+        apply_batch(tables, df, batch_id, freeze_attributes, dedupe_commits)
         if jdbc is not None:
             write_jdbc(tables, batch_id, **jdbc)
 
     trig = trigger or {"processingTime": "30 seconds"}
-    return (compaction_agg(tagged_changes(decoded_stream, qualify_ids)).writeStream.outputMode("update")
+    return (compaction_agg(tagged_changes(decoded_stream, qualify_ids), dedupe_commits).writeStream.outputMode("update")
             .option("checkpointLocation", f"{checkpoint}/assets")
             .foreachBatch(each)
             .trigger(**trig).start())
 
 
 def run_available(decoded_stream: DataFrame, base: str, checkpoint: str,
-                  freeze_attributes: bool = False, qualify_ids: bool = False) -> AssetTables:
+                  freeze_attributes: bool = False, qualify_ids: bool = False,
+                  dedupe_commits: bool = False) -> AssetTables:
     """Processes everything available now, in as many micro-batches as the source
     makes, and returns the result tables."""
     now = {"availableNow": True}
-    for query in (start(decoded_stream, base, checkpoint, now, freeze_attributes, qualify_ids),
+    for query in (start(decoded_stream, base, checkpoint, now, freeze_attributes, qualify_ids,
+                        dedupe_commits=dedupe_commits),
                   start_quarantine(decoded_stream, base, checkpoint, now, qualify_ids)):
         query.awaitTermination()
         if query.exception() is not None:

@@ -12,6 +12,7 @@ from assetlens.schemas import TABLE_LEVEL_ASSETS, to_result_schema
 from assetlens.sources import changelog
 from assetlens.sources import fixtures as fx
 from assetlens.streaming.job import AssetTables
+from assetlens.streaming.versions import read_versions
 from conftest import SF_SMALL
 
 
@@ -59,5 +60,9 @@ def test_options(spark):
     main(["stream", *more, "--out", f"{base}/stream", "--once", "--freeze-attributes"], spark=spark)
     (row,) = AssetTables.at(spark, f"{base}/stream").table_level_assets().collect()
     assert (row["table_id"], row["file_counts"]) == ("s.t", 2)
+    main(["stream", *more, "--out", f"{base}/once", "--once", "--dedupe-commits", "--versions"], spark=spark)
+    (row,) = AssetTables.at(spark, f"{base}/once").table_level_assets().collect()
+    assert (row["table_id"], row["file_counts"]) == ("s.t", 1)
+    assert sorted((r["seq"], r["file_counts"]) for r in read_versions(spark, f"{base}/once").collect()) == [(3, 1), (4, 2), (5, 2)]
     with pytest.raises(SystemExit):
-        main(["stream", *more, "--out", f"{base}/x", "--dedupe-commits"], spark=spark)
+        main(["batch", *more, "--out", f"{base}/x", "--freeze-attributes"], spark=spark)

@@ -305,6 +305,25 @@ def test_removed_partitions_leave_the_state(spark, monkeypatch):
     assert _sorted(tables.partition_counts.current()) == [("a", 2)]
 
 
+def test_each_commit_counts_once_across_micro_batches(spark):
+    """Updates, deletes, repeats and re-creations of a commit in other micro-batches than its creation."""
+    uncommitted = _commit("d", "w", 24).replace("true", "false")
+    batches = [[x for i, t in enumerate("abcd") for x in (_table(t, "n", i), _partition(t, "p", 4 + i))]
+               + [_commit("a", "x", 10), _commit("a", "y", 11, 5), _commit("b", "x", 12), _commit("d", "w", 13)],
+               [_commit("a", "x", 20, 7, "update"), _commit("a", None, 21, 3), _commit("b", "x", 22, op="delete"),
+                _commit("c", "z", 23, op="delete"), uncommitted],
+               [_commit("a", "x", 20, 7, "update"), _commit("a", "y", 30, op="delete"), _commit("a", "", 31, 2)],
+               [_commit("a", "y", 40, 9), _commit("a", None, 41, 4, "update")]]
+    tables, base = _run(spark, batches, dedupe_commits=True)
+    want = compute_assets_from_feed(changelog.read_changes(spark, f"{base}/feed/*"), dedupe_commits=True)
+    assert _sorted(tables.table_level_assets().select("table_id", "file_counts", "file_total_size")) == [
+        ("a", 4, 22), ("b", 0, 0), ("c", 0, 0), ("d", 0, 0)]
+    assert _sorted(tables.table_level_assets()) == _sorted(want.table_assets.select(*tables.table_level_assets().columns))
+    assert _sorted(tables.level_assets("namespace")) == [("n", 4, 4, 4, 22)]
+    job.apply_batch(tables, spark.createDataFrame([], job.COMPACTED), 3, dedupe_commits=True)  # a replay
+    assert _sorted(tables.level_assets("namespace")) == [("n", 4, 4, 4, 22)]
+
+
 def test_repeated_events_count_once_after_landing(spark):
     base = tempfile.mkdtemp(prefix="land-")
     lines = [_table("a", "n1", 1), _partition("a", "p", 2), _commit("a", "c", 3), _commit("a", "c", 3)]
