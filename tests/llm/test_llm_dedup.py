@@ -1,6 +1,7 @@
 """Dedup operators against brute force."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
@@ -42,6 +43,40 @@ def test_index_takes_a_second_batch(spark):
         exact_dedup.DigestIndex(spark, index.path, 8)
 
 
+def test_index_is_written_anew_when_files_or_digests_pile_up(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MOST_FILES", 2)
+    monkeypatch.setattr(exact_dedup, "LEAST_BUCKETS", 2)
+    monkeypatch.setattr(exact_dedup, "BUCKET_DIGESTS", 10)
+    index = exact_dedup.new_index(spark)
+    def batch(ids):
+        return spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
+    for n in range(4):
+        exact_dedup.dedup_batch(batch(range(8 * n, 8 * n + 8)), index)
+        assert index.files() <= 2 * index.buckets and index.read().count() == 8 * n + 8
+    assert index.generation == 1 and index.buckets == 3  # 24 digests at the rebuild
+    exact_dedup.dedup_batch(batch(range(200)), index)
+    assert index.generation == 2 and index.buckets == 20
+    reopened = exact_dedup.DigestIndex(spark, index.path)
+    assert (reopened.buckets, reopened.generation, reopened.read().count()) == (20, 2, 200)
+    plan = reopened.unseen(batch([1]).select(F.unhex(F.sha2("text", 256)).alias("digest")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    again = exact_dedup.dedup_batch(batch([5, 300]).withColumn("doc_id", F.col("doc_id") + 1000), reopened).collect()
+    assert {(r["doc_id"], r["keep_id"]) for r in again} == {(1005, 5), (1300, 1300)}
+    # A rebuild that died before its settings were written counts for nothing, and the next one starts afresh.
+    table = reopened._create_table(3, 20)
+    reopened.read().write.insertInto(table)
+    assert exact_dedup.DigestIndex(spark, index.path).generation == 2
+    reopened.rebuild(5)
+    assert (reopened.generation, reopened.files(), reopened.read().count()) == (3, 5, 201)
+
+
+def test_a_throw_away_index_leaves_nothing_behind(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    docs = spark.createDataFrame([(1, "a"), (2, "a")], "doc_id long, text string")
+    assert {(r["doc_id"], r["keep_id"]) for r in exact_dedup.exact_duplicates(docs).collect()} == {(1, 1), (2, 1)}
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_index_side_of_the_join_is_not_shuffled(spark):
     index = exact_dedup.new_index(spark, 4)
     groups = spark.createDataFrame([(b"x", 1)], "digest binary, keep_id long")
@@ -76,7 +111,8 @@ def test_simhash_against_all_pairs(spark):
         (d, f"{fps[d]:016x}", find(d)) for d in ids}
 
 
-def test_links_lose_no_pair(spark):
+@pytest.mark.parametrize("count", [100, 1 << 30])
+def test_links_lose_no_pair(spark, count):
     rng = random.Random(3)
     fps = {rng.getrandbits(64) for _ in range(40)}
     for f in list(fps):
@@ -88,13 +124,14 @@ def test_links_lose_no_pair(spark):
     fps |= {0, 1, 3, 7, (1 << 64) - 1, (1 << 63)}
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     got = {frozenset((r["a"], r["b"])) for r in
-           simhash_dedup.links(spark.createDataFrame([(f,) for f in signed], "fp long")).collect()}
+           simhash_dedup.links(spark.createDataFrame([(f,) for f in signed], "fp long"),
+                               codes=simhash_dedup.codes_for(count)).collect()}
     want = {frozenset((a, b)) for a in signed for b in signed if a != b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
     assert got == want
 
 
 def test_golay_code_is_perfect_and_cover_is_complete():
-    cover = simhash_dedup.GolayCover(2)
+    cover = simhash_dedup.Cover(simhash_dedup.GOLAY[0], 2)
     words = np.random.default_rng(1).integers(0, 1 << 23, 300)
     all_words = np.arange(1 << 23)
     code = all_words[(cover.low[all_words & 0xFFF] ^ cover.high[all_words >> 12]) == 0]
@@ -108,6 +145,22 @@ def test_golay_code_is_perfect_and_cover_is_complete():
         assert (away <= 3).sum() == 1
 
 
+def test_anchors_grow_with_the_fingerprints():
+    """Many fingerprints get a third code; what one of them reaches grows 2.5 times, the anchors 2,048 times."""
+    few, many = simhash_dedup.codes_for(1 << 24), simhash_dedup.codes_for((1 << 24) + 1)
+    fps = np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 2000)
+    reached, homes = [], []
+    for codes in (few, many):
+        covers = [simhash_dedup.Cover(code, 2) for code in codes]
+        parts = [b for b in itertools.product(range(3), repeat=len(codes)) if sum(b) <= 2]
+        reached.append(sum(len(simhash_dedup.anchors_of(fps, covers, b)[0]) for b in parts) / len(fps))
+        anchor, row = simhash_dedup.anchors_of(fps, covers, (0,) * len(codes))
+        assert row.tolist() == list(range(len(fps)))  # exactly one home
+        homes.append(anchor)
+    assert 59 < reached[0] < 63 and 148 < reached[1] < 158
+    assert (homes[1] & (1 << 46) - 1 == homes[0]).all()
+
+
 def test_components_of_chains_stars_and_cliques(spark):
     rng = random.Random(5)
     names = rng.sample(range(-10**12, 10**12), 300)
