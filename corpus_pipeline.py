@@ -24,8 +24,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
-    report = exact_dedup.dedup_batch(docs, exact_dedup.new_index(spark))
-    return keep_marked(docs, materialize(report, "exact-report"))
+    return keep_marked(docs, materialize(exact_dedup.dedup_once(docs), "exact-report"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
