@@ -47,7 +47,7 @@ def run_batch(spark: SparkSession, feed: str, out: str, snapshot: str | None = N
 def run_stream(spark: SparkSession, out: str, feed: str | None, kafka: dict | None,
                once: bool, snapshot: str | None = None, jdbc: dict | None = None, splits: str | None = None,
                freeze_attributes: bool = False, qualify_ids: bool = False, at_least_once: bool = False,
-               dedupe_commits: bool = False, versions: bool = False) -> None:
+               dedupe_commits: bool = False, versions: bool = False, ascending: bool = False) -> None:
     stream = changelog.read_change_stream(spark, path=feed, kafka=kafka)
     if snapshot:
         log = changelog.read_changes(spark, feed) if feed else changelog.read_changes_kafka(spark, kafka)
@@ -56,7 +56,7 @@ def run_stream(spark: SparkSession, out: str, feed: str | None, kafka: dict | No
     trigger = {"availableNow": True} if once else None
     checkpoint = f"{out}/_checkpoint"
     if at_least_once:  # each change is landed once, and the results follow what has landed
-        landing = changelog.land_once(stream, f"{out}/_landed", f"{checkpoint}/landing", trigger)
+        landing = changelog.land_once(stream, f"{out}/_landed", f"{checkpoint}/landing", trigger, ascending)
         if once:
             landing.awaitTermination()
         stream = changelog.read_landed(spark, f"{out}/_landed", stream.schema)
@@ -87,11 +87,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--once", action="store_true", help="stream: process what is there, then stop")
     p.add_argument("--qualify-ids", action="store_true", help="table ids are <schema>.<table_id> (several schemas)")
     p.add_argument("--at-least-once", action="store_true", help="the feed may repeat changes; each counts once")
+    p.add_argument("--ascending", action="store_true", help="stream, with --at-least-once: positions have gaps of their "
+                                                            "own and ascend but for repeats")
     p.add_argument("--dedupe-commits", action="store_true", help="of each commit the last change counts only")
     p.add_argument("--versions", action="store_true", help="stream: also append a row per change of a table")
     p.add_argument("--freeze-attributes", action="store_true", help="stream: table rows keep their first attributes")
     a = p.parse_args(argv)
-    if a.mode == "batch" and (a.freeze_attributes or a.versions):
+    if a.mode == "batch" and (a.freeze_attributes or a.versions or a.ascending):
         p.error(f"not an option of {a.mode}")
     if spark is None:
         builder = SparkSession.builder.appName("assetlens")
@@ -116,7 +118,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         jdbc = {"url": a.jdbc_url, "properties": {"user": a.jdbc_user or "", "driver": "org.postgresql.Driver",
                                                   "password": os.environ.get(a.jdbc_password_env or "", "")}}
     run_stream(spark, a.out, a.feed, kafka, a.once, a.snapshot, jdbc, a.splits, a.freeze_attributes, a.qualify_ids,
-               a.at_least_once, a.dedupe_commits, a.versions)
+               a.at_least_once, a.dedupe_commits, a.versions, a.ascending)
 
 
 if __name__ == "__main__":

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from assetlens.schemas import (CATALOG_TABLES, DATA_COMMIT_INFO, ENVELOPE, OP_READ, PARTITION_INFO,
                                TABLE_INFO)
-from assetlens.sources.envelope import POSITION, decode_envelopes, normalize_envelopes, with_position
+from assetlens.sources.deliveries import first_deliveries
+from assetlens.sources.envelope import decode_envelopes, normalize_envelopes
 from assetlens.sources.fixtures import encode_envelopes
 
 
@@ -62,13 +63,14 @@ def read_change_stream(spark: SparkSession, path: str | None = None,
     return decoded.where(F.col("table_name").isin(*CATALOG_TABLES) | F.col("raw").isNotNull())
 
 
-def land_once(decoded_stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+def land_once(decoded_stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+              ascending: bool = False):
     """For sources that repeat events after a restart: writes each change once to ``path``
     (parquet, exactly-once file sink), for ``read_landed``. A repeat is equal in everything,
-    the position included (``with_position``); the hashes seen are the query's state. Equal
-    changes without any position count as repeats, and a broken envelope is told by its text."""
-    once = with_position(decoded_stream).dropDuplicates([POSITION]).drop(POSITION)
-    return (once.writeStream.format("parquet").option("path", path)
+    the position included (``with_position``); equal changes without any position count as
+    repeats, and a broken envelope is told by its text. The state is intervals of positions,
+    and hashes at open positions only; see ``deliveries`` for what that asks of the source."""
+    return (first_deliveries(decoded_stream, ascending).writeStream.format("parquet").option("path", path)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 

@@ -1,0 +1,94 @@
+"""Repeated deliveries: each change lands once, and the state does not grow with the log."""
+
+import json
+import os
+import random
+import tempfile
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from assetlens.sources import changelog, deliveries
+from assetlens.sources.envelope import ORIGIN
+
+
+def _line(seq, partition, op="create"):
+    image = {"table_id": "a", "partition_desc": partition}
+    return json.dumps({"commitOp": op, "tableName": "partition_info", "before": {}, "after": image, "seq": seq})
+
+
+def _land(spark, batches, ascending=False, origin=None):
+    """Landed (seq, partition) pairs and the state rows after the last micro-batch."""
+    base = tempfile.mkdtemp(prefix="once-")
+    for i, lines in enumerate(batches):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{base}/feed/part={i}")
+        for name in os.listdir(f"{base}/feed/part={i}"):  # the file source goes by the time of a file
+            os.utime(f"{base}/feed/part={i}/{name}", (1_000_000 + i, 1_000_000 + i))
+    stream = changelog.read_change_stream(spark, f"{base}/feed/*", max_files_per_trigger=1)
+    if origin:
+        stream = stream.withColumn(ORIGIN, F.lit(origin))
+    query = changelog.land_once(stream, f"{base}/landed", f"{base}/chk", {"availableNow": True}, ascending)
+    query.awaitTermination()
+    assert len(query.recentProgress) >= len(batches)
+    state = sum(s.numRowsTotal for s in query.lastProgress.stateOperators)
+    landed = changelog.read_landed(spark, f"{base}/landed", stream.schema).schema
+    rows = spark.read.schema(landed).parquet(f"{base}/landed")
+    return sorted((r["seq"], r["after"]["partition_desc"]) for r in rows.collect()), state
+
+
+def test_state_of_an_ordered_log_is_a_handful(spark):
+    n = 100_000
+    lines = [_line(i, f"p{i}") for i in range(n)]
+    landed, state = _land(spark, [lines[:60_000], lines[50_000:], lines[99_990:]])
+    assert landed == [(i, f"p{i}") for i in range(n)]
+    assert state <= 2 * (n // deliveries.BLOCK + 1)
+
+
+def test_changes_around_gaps_are_told_by_their_hashes(spark):
+    first = [_line(1, "a"), _line(2, "b"), _line(5, "e"), _line(5, "f")]
+    second = [_line(5, "f"), _line(5, "g"), _line(1, "a"), _line(3, "c")]  # a repeat, a sibling, a repeat, a late one
+    third = [_line(4, "d"), _line(3, "c"), _line(2, "b"), _line(5, "e"), _line(6, "h")]
+    landed, state = _land(spark, [first, second, third])
+    assert landed == [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e"), (5, "f"), (5, "g"), (6, "h")]
+    assert state == 2  # one interval, and the last position
+
+
+def test_ascending_positions_with_gaps(spark):
+    lines = [_line(100 * i, f"p{i}") for i in range(1, 41)] + [_line(4000, "q")]
+    landed, state = _land(spark, [lines[:30], lines[20:40], lines[5:]], ascending=True)
+    assert landed == sorted([(100 * i, f"p{i}") for i in range(1, 41)] + [(4000, "q")])
+    assert state == 3  # one interval, and the two changes of the last position
+
+
+def test_offsets_are_settled_at_once_and_snapshot_rows_are_kept(spark):
+    rows = [_line(0, p, "read") for p in "xyz"]
+    landed, state = _land(spark, [rows[:2] + [_line(7, "a")], rows + [_line(7, "a"), _line(8, "b")]], origin="t/0")
+    assert landed == [(0, "x"), (0, "y"), (0, "z"), (7, "a"), (8, "b")]
+    assert state == 4  # one interval, three snapshot rows
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 8)), max_size=30), st.lists(st.integers(0, 70)))
+def test_merged_intervals_hold_the_same_integers(spans, probes):
+    starts, ends = (np.array([f(s) for s in spans], np.int64) for f in (lambda s: s[0], lambda s: s[0] + s[1]))
+    a, b = deliveries.merged_intervals(starts, ends)
+    members = {x for s, n in spans for x in range(s, s + n + 1)}
+    assert {x for s, e in zip(a.tolist(), b.tolist()) for x in range(s, e + 1)} == members
+    assert all(a[1:] > b[:-1] + 1)
+    assert deliveries.inside(np.array(probes, np.int64), a, b).tolist() == [x in members for x in probes]
+
+
+def test_any_cut_and_any_repeats_of_a_dense_log(spark):
+    rng = random.Random(7)
+    log = [_line(i, f"p{i}-{j}") for i in range(60) for j in range(rng.choice((1, 1, 3)))]
+    cuts, batches, at = sorted(rng.sample(range(1, len(log)), 3)) + [len(log)], [], 0
+    for cut in cuts:
+        back = rng.randrange(at + 1)  # a restart delivers from an earlier place on
+        part = log[back:cut]
+        rng.shuffle(part)
+        batches.append(part)
+        at = cut
+    landed, _ = _land(spark, batches)
+    assert landed == sorted((json.loads(x)["seq"], json.loads(x)["after"]["partition_desc"]) for x in log)
