@@ -435,8 +435,8 @@ def repeated_grams(runs: DataFrame, buckets: int, length: int) -> DataFrame:
 
 
 def smaller_elsewhere(runs: DataFrame, grams: DataFrame, buckets: int, length: int) -> DataFrame:
-    """(run, blob): entries of the run that a smaller id has too (gram hash, key hash, flags,
-    first and last reach, smallest id)."""
+    """(run, blob): entries of the run that a smaller id has too (gram hash, 128-bit key hash,
+    flags, first and last reach, smallest id)."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run, blob, sent in zip(batch.column("run").to_pylist(), batch.column("blob"), batch.column("messages")):
@@ -470,7 +470,7 @@ def smaller_elsewhere(runs: DataFrame, grams: DataFrame, buckets: int, length: i
                         [SEVERAL * (k in several) + HOT * (k in single) for k in keys]))])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
+        digest = xxhash.xxh3_128_digest
         for rows in _buckets_of(batches):
             streams = [entries_of(blob, run) for run, blob in rows]
             out: dict[int, list[tuple]] = {}
@@ -481,7 +481,7 @@ def smaller_elsewhere(runs: DataFrame, grams: DataFrame, buckets: int, length: i
                 grams = np.frombuffer(b"".join(k[:GRAM] for k, *_ in found), np.uint8)
                 messages.append((run, _packed(
                     gram_hashes(grams)[::GRAM] >> np.uint64(17),
-                    np.array([digest(k) for k, *_ in found], "<u8"),
+                    *np.frombuffer(b"".join(digest(k) for k, *_ in found), "<u8").reshape(-1, 2).T.copy(),
                     *[np.array([x[i] for x in found], np.uint8) for i in (1, 2, 3)],
                     np.array([x[4] for x in found], "<i8"))))
             yield _rows(_TO_RUN, messages)
@@ -496,17 +496,18 @@ def marked(runs: DataFrame, answers: DataFrame, length: int) -> DataFrame:
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
             for blob, sent in zip(batch.column("blob"), batch.column("messages")):
                 r, messages = Run(blob.as_py()), sent.as_py()
                 edges = np.zeros(len(r.data) + 1, np.int32)
                 if messages:
-                    parts = [_unpacked(m, "<u8", "<u8", "u1", "u1", "u1", "<i8") for m in messages]
+                    parts = [_unpacked(m, "<u8", "<u8", "<u8", "u1", "u1", "u1", "<i8") for m in messages]
                     grams = np.unique(np.concatenate([x[0] for x in parts]))
-                    hot = np.unique(np.concatenate([x[0][x[2] & HOT > 0] for x in parts]))
-                    told: dict[int, list[tuple[int, int, int]]] = {}
-                    for _, keys, _, one, last, ids in parts:
+                    hot = np.unique(np.concatenate([x[0][x[3] & HOT > 0] for x in parts]))
+                    told: dict[bytes, list[tuple[int, int, int]]] = {}
+                    for _, begin, end, _, one, last, ids in parts:
+                        keys = np.stack([begin, end], axis=1).view("V16").ravel()
                         for k, *span in zip(keys.tolist(), one.tolist(), last.tolist(), ids.tolist()):
                             told.setdefault(k, []).append(tuple(span))
                     data = r.data.tobytes()
