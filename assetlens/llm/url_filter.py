@@ -56,17 +56,19 @@ def unsupported_entries(entries: DataFrame) -> DataFrame:
         ~normal_pattern(F.col("pattern")).rlike(SUPPORTED), F.lit("unsupported_pattern"))).filter("problem is not null")
 
 
-def patterns_of(url: Column) -> Column:
+def patterns_of(url: Column, labels_most: int, segments_most: int) -> Column:
     """The host, its parent domains of two labels or more, the host with each prefix of whole
-    path segments, and with the path and the query; empty for a url without a host."""
+    path segments, and with the path and the query; empty for a url without a host. Domains of more
+    labels and prefixes of more segments than any listed pattern has can meet none, and are left out."""
     host = host_of(url)
     labels = F.split(host, r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
+    widest = F.greatest(F.size(labels) - 1, F.lit(1))
+    domains = F.transform(F.sequence(F.least(F.greatest(F.size(labels) - labels_most + 1, F.lit(1)), widest), widest),
                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     path, query = path_and_query(F.regexp_replace(F.coalesce(url, F.lit("")), SCHEME, ""))
     segments = F.split(path, "/")
     prefixes = F.when(path != "", F.transform(
-        F.sequence(F.lit(2), F.greatest(F.size(segments), F.lit(2))),
+        F.sequence(F.lit(2), F.greatest(F.least(F.size(segments), F.lit(segments_most + 1)), F.lit(2))),
         lambda i: F.concat(host, F.array_join(F.slice(segments, F.lit(1), i), "/")))).otherwise(F.array())
     whole = F.when(query != "", F.array(F.concat(host, path, query))).otherwise(F.array())
     keys = F.concat(domains, prefixes, whole)
@@ -90,10 +92,14 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     last = c.agg(F.max("day")).first()[0]
     bucket = lambda day: F.floor(day / BUCKET_DAYS).cast("int")
     horizon = F.lit(0 if last is None else last)
-    intervals = validity(entries).filter(F.col("valid_from") <= horizon).withColumn("bucket", F.explode(F.sequence(
+    listed = validity(entries)
+    place = F.split(F.element_at(F.split("pattern", r"\?"), 1), "/")
+    labels_most, segments_most = listed.agg(F.max(F.size(F.split(F.element_at(place, 1), r"\."))),
+                                            F.max(F.size(place) - 1)).first()
+    intervals = listed.filter(F.col("valid_from") <= horizon).withColumn("bucket", F.explode(F.sequence(
         bucket(F.col("valid_from")),
         F.greatest(bucket(F.least(F.coalesce(F.col("valid_to") - 1, horizon), horizon)), bucket(F.col("valid_from"))))))
-    keyed = c.withColumn("key", F.explode_outer(patterns_of(F.col("url")))).withColumn("bucket", bucket(F.col("day")))
+    keyed = c.withColumn("key", F.explode_outer(patterns_of(F.col("url"), labels_most or 1, segments_most or 1))).withColumn("bucket", bucket(F.col("day")))
     met = keyed.join(intervals.withColumnRenamed("bucket", "b"),
                      (F.col("key") == F.col("pattern")) & (F.col("bucket") == F.col("b"))
                      & (F.col("day") >= F.col("valid_from"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from assetlens.llm import (decontamination, exact_dedup, language_id, packing, quality, queries, simhash_dedup,
-                           substring_dedup, suffix_dedup, token_files)
+                           substring_dedup, suffix_dedup, token_files, url_filter)
 from assetlens.llm.common import keep_marked
 from assetlens.session import materialize
 
@@ -148,3 +148,19 @@ def test_pipeline_on_odd_and_empty_tables(spark, docs, none, labels, tmp_path):
             if name != "packing":
                 assert at.columns == docs.columns
         assert (at.count() == 0) == (start is none)
+
+
+def test_url_filter(spark):
+    """Very long urls, nulls, repeated rows and columns named as the operator's own."""
+    deep = "http://long.org/" + "a/" * 40_000 + "end"
+    wide = "http://" + "x." * 20_000 + "wide.org/a"
+    captures = spark.createDataFrame([(1, deep, 5), (2, wide, 5), (3, "http://long.org/b", 5), (3, "http://long.org/b", 5),
+                                      (None, None, None), (4, "", 5), (5, deep, None)], "page_id long, url string, day int")
+    entries = spark.createDataFrame([("l", "long.org/a/a", "add", 1), ("l", "wide.org", "add", 1), ("l", "wide.org", "add", 1),
+                                     (None, None, None, None)], "list_name string, pattern string, action string, day int")
+    clashing = ("key", "bucket", "b", "best", "matches", "blocked", "valid_from", "valid_to")
+    got = url_filter.evaluate(captures.select("*", *[F.lit("x").alias(c) for c in clashing]),
+                              entries.select("*", *[F.lit("x").alias(c) for c in ("bucket", "removed", "valid_to", "url")]))
+    assert sorted((str(r["page_id"]), r["blocked"], r["pattern"]) for r in got.collect()) == [
+        ("1", True, "long.org/a/a"), ("2", True, "wide.org"), ("3", False, None), ("4", False, None), ("5", False, None),
+        ("None", False, None)]
