@@ -77,3 +77,11 @@ def test_removed_partitions_leave_the_state(spark):
     _run(spark, _write(spark, base, [added, removed]), base)
     state = spark.read.format("statestore").option("path", f"{base}/chk/versions").option("stateVarName", "partitions")
     assert [r["user_map_key"]["partition_desc"] for r in state.load().collect()] == ["p39"]
+
+
+def test_a_session_with_no_state_store_of_its_own_gets_one_with_map_state(spark):
+    plain, key = spark.newSession(), "spark.sql.streaming.stateStore.providerClass"
+    plain.conf.unset(key)  # as a session is that sets nothing: Spark's default keeps no maps
+    assert plain.conf.get(key).endswith("HDFSBackedStateStoreProvider")
+    base = tempfile.mkdtemp(prefix="versions-")
+    assert _run(plain, _write(plain, base, [CHANGES[:6], CHANGES[6:]]), base) == WANT
