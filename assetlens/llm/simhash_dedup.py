@@ -166,8 +166,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, codes: list[Code] = GOL
     """Pairs a < b of different fingerprints at ``max_bits`` or fewer differing bits."""
     home = anchor_rows(distinct, 0, codes)
     visitors = anchor_rows(distinct, max_bits, codes).withColumnRenamed("fp", "other")
-    # Each pair meets at the home of either end, so one order of the two is enough.
-    return home.join(visitors, "anchor").filter(
+    # Each pair meets at the home of either end, so one order of the two is enough. Spark takes either side for as
+    # small as the fingerprints it is made from and would broadcast 61 or 153 rows for each, so the join is named.
+    return home.join(visitors.hint("merge"), "anchor").filter(
         (F.col("fp") < F.col("other")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits)) \
         .select(F.col("fp").alias("a"), F.col("other").alias("b"))
 

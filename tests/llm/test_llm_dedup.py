@@ -130,6 +130,13 @@ def test_links_lose_no_pair(spark, count):
     assert got == want
 
 
+def test_anchor_rows_are_never_broadcast(spark):
+    """Spark takes the anchors, 61 rows for a fingerprint, for as small as the fingerprints."""
+    few = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash_dedup.links(few)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_golay_code_is_perfect_and_cover_is_complete():
     cover = simhash_dedup.Cover(simhash_dedup.GOLAY[0], 2)
     words = np.random.default_rng(1).integers(0, 1 << 23, 300)
