@@ -166,8 +166,11 @@ def new_index(spark: SparkSession, buckets: int | None = None) -> DigestIndex:
 
 def dedup_once(docs: DataFrame) -> DataFrame:
     """The report of ``dedup_batch`` over an index of its own, with buckets for as many rows as ``docs`` has (a
-    written table: they are counted), removed afterwards."""
-    index = new_index(docs.sparkSession, buckets_for(docs.count()))
+    written table: they are counted), removed afterwards. There are at least as many buckets as the session
+    shuffles into partitions: a task that writes the digests of a partition then writes one file, not one a bucket."""
+    spark = docs.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = new_index(spark, max(partitions, buckets_for(docs.count())))
     report = dedup_batch(docs, index)
     index.discard()
     return report

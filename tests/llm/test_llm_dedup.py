@@ -77,6 +77,15 @@ def test_a_throw_away_index_leaves_nothing_behind(spark):
     assert {t.name for t in spark.catalog.listTables()} == before
 
 
+def test_a_throw_away_index_has_a_file_a_bucket_however_many_partitions(spark, monkeypatch):
+    wide, files = spark.newSession(), []
+    wide.conf.set("spark.sql.shuffle.partitions", "70")
+    monkeypatch.setattr(exact_dedup.DigestIndex, "discard", lambda index: files.append((index.files(), index.buckets, index.generation)))
+    docs = wide.createDataFrame([(i, f"text {i}") for i in range(2000)], "doc_id long, text string")
+    assert exact_dedup.dedup_once(docs).filter("kept").count() == 2000
+    assert files == [(70, 70, 0)]
+
+
 def test_index_side_of_the_join_is_not_shuffled(spark):
     index = exact_dedup.new_index(spark, 4)
     groups = spark.createDataFrame([(b"x", 1)], "digest binary, keep_id long")
