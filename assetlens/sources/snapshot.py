@@ -74,7 +74,8 @@ def positions_of(snapshot: DataFrame) -> DataFrame:
 def placed(decoded: DataFrame, positions: DataFrame) -> DataFrame:
     """``decoded`` with the columns key, low and high of each change's split; null where the change is
     of no split (broken, of another table, of a table that was not read). Works on streams: the
-    positions are a small static side (a row per 1,024 snapshot rows at least), keyed by table and split."""
+    positions are a small static side (a row per 1,024 snapshot rows at least), keyed by table and split, and
+    are broadcast: a shuffle would deal the whole feed by its few splits."""
     counts = positions.groupBy("table_name").agg(F.max("splits").alias("splits"))
     splits = F.lit(None).cast("bigint")
     for r in counts.collect():  # three rows at most
@@ -82,7 +83,7 @@ def placed(decoded: DataFrame, positions: DataFrame) -> DataFrame:
     key = key_of(F.col("table_name"), row_image(F.col("before"), F.col("after")))
     p = positions.select(F.col("table_name").alias("__table"), F.col("split").alias("__split"), "low", "high")
     numbered = decoded.withColumn("key", key).withColumn("__number", split_number(F.col("key"), splits))
-    return numbered.join(p, (F.col("table_name") == F.col("__table")) & (F.col("__number") == F.col("__split")), "left") \
+    return numbered.join(F.broadcast(p), (F.col("table_name") == F.col("__table")) & (F.col("__number") == F.col("__split")), "left") \
         .drop("__table", "__split", "__number")
 
 

@@ -128,3 +128,9 @@ def test_positions_must_be_plain_or_named(spark):
     whole = changelog.read_changes(spark, _folder([_partition("read", 7, "p")]))
     assert _rows(snapshot.positions_of(whole).select("table_name", "high")) == [
         ("data_commit_info", 7), ("partition_info", 7), ("table_info", 7)]
+
+
+def test_the_feed_is_not_dealt_by_its_splits(spark):
+    log = spark.createDataFrame([], changelog.read_changes(spark, tempfile.mkdtemp(prefix="no-feed-")).schema)
+    plan = snapshot.placed(log, registry._split_positions(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
