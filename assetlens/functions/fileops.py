@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 # Written with bracket classes instead of backslashes so the same text means the
 # same in Spark and DuckDB SQL.
 FILE_OP_PATTERN = '[(]([^,]+),([^,]+),([^,]+),"([^"]+)"[)]'
+# Fixed value: the same pattern with groups 2 and 3 as one, ``action,size``; neither holds a comma.
+ACTION_SIZE_PATTERN = '[(][^,]+,([^,]+,[^,]+),"[^"]+"[)]'
 # Fixed value: the action that adds a file; every other action adds nothing.
 ACTION_ADD = "add"
 
@@ -44,16 +46,19 @@ def parse_file_op(text: Column) -> Column:
 
 
 def action_and_size(file_ops: Column) -> Column:
-    """Per file op of a commit: struct(action, size); two regex evaluations per op.
+    """Per file op of a commit: struct(action, size); one regex evaluation per op.
 
     ``action`` is '' when the text does not match (group 2 of a match is never
     empty), ``size`` null when it is not a number.
     """
+    def both(b64: Column) -> Column:
+        return F.regexp_extract(decode_base64_text(b64), ACTION_SIZE_PATTERN, 1)
+
     def one(text: Column) -> Column:
         return F.struct(
-            F.coalesce(F.regexp_extract(text, FILE_OP_PATTERN, 2), F.lit("")).alias("action"),
-            F.regexp_extract(text, FILE_OP_PATTERN, 3).try_cast("bigint").alias("size"))
-    return F.transform(F.transform(file_ops, decode_base64_text), one)
+            F.coalesce(F.substring_index(text, ",", 1), F.lit("")).alias("action"),
+            F.substring_index(text, ",", -1).try_cast("bigint").alias("size"))
+    return F.transform(F.transform(file_ops, both), one)
 
 
 def fold_file_stats(ops: Column) -> Column:

@@ -28,9 +28,10 @@ MEASURES = ("partition_counts", "file_counts", "file_total_size")
 def commit_total_versions(deltas: DataFrame) -> DataFrame:
     """A2 after each counted commit change. ``deltas``: table_id, commit_id, seq, d_files, d_bytes (null where a
     change does not count). Gives table_id, seq, file_counts, file_total_size."""
-    counted = materialize(deltas.where(F.col("d_files").isNotNull()).select(
+    # Chosen from the written table: a filter before it would be pushed below the fold of the file ops and fold them again.
+    counted = materialize(deltas.select(
         "table_id", "commit_id", "seq", F.col("d_files").alias("file_counts"), F.col("d_bytes").alias("file_total_size")),
-        "counted-commits")
+        "counted-commits").where(F.col("file_counts").isNotNull())
     return running(counted, ["table_id"], ["seq", "commit_id"], sums=["file_counts", "file_total_size"]).drop("commit_id")
 
 
@@ -61,13 +62,14 @@ def described_row():
 
 def _events(table_info: DataFrame, partitions: DataFrame, deltas: DataFrame) -> DataFrame:
     """The three logs as one: table_id, seq, side, row (what tells changes of a side at one position apart), attrs and op (descriptions), steps of the three
-    measures, and which side the change is of."""
+    measures, and which side the change is of: -1 for a commit change that counts nothing, which a filter
+    here would find by folding its file ops once more."""
     none, zero = F.lit(None), F.lit(0).cast("bigint")
     attrs = F.struct(F.col("table_name").alias("table_name"), F.col("table_namespace").alias("namespace"),
                      F.col("domain").alias("domain"), F.col("creator").alias("creator"))
 
-    def side(df: DataFrame, number: int, row, described=none, op=none, steps=(zero, zero, zero)) -> DataFrame:
-        return df.select("table_id", "seq", F.lit(number).alias("side"), row.alias("row"),
+    def side(df: DataFrame, number: int, row, described=none, op=none, steps=(zero, zero, zero), counts=F.lit(True)) -> DataFrame:
+        return df.select("table_id", "seq", F.when(counts, F.lit(number)).otherwise(F.lit(-1)).alias("side"), row.alias("row"),
                          F.when(F.lit(True), described).cast("struct<table_name:string,namespace:string,domain:string,creator:string>")
                          .alias("attrs"), F.when(F.lit(True), op).cast("string").alias("op"),
                          *[s.cast("bigint").alias(m) for m, s in zip(MEASURES, steps)],
@@ -75,7 +77,7 @@ def _events(table_info: DataFrame, partitions: DataFrame, deltas: DataFrame) ->
 
     described = side(table_info, 0, described_row(), F.when(not_delete(F.col("commit_op")), attrs), F.col("commit_op"))
     placed = side(partition_transitions(partitions), 1, F.concat_ws("/", "partition_desc", "gone"), steps=(F.col("d"), zero, zero))
-    counted = side(deltas.where(F.col("d_files").isNotNull()), 2, F.col("commit_id"), steps=(zero, F.col("d_files"), F.col("d_bytes")))
+    counted = side(deltas, 2, F.col("commit_id"), steps=(zero, F.col("d_files"), F.col("d_bytes")), counts=F.col("d_files").isNotNull())
     return described.unionByName(placed).unionByName(counted)
 
 
@@ -85,7 +87,7 @@ VERSION = ["table_id", "seq", "side", "row", "table_name", *GROUP, "op", *MEASUR
 def table_asset_versions(table_info: DataFrame, partitions: DataFrame, deltas: DataFrame) -> DataFrame:
     """J1, J2 after each change of any of the three logs: the change's side with the last known
     values of the other two; no row before all three are known. Columns ``VERSION``."""
-    events = materialize(_events(table_info, partitions, deltas), "table-events")
+    events = materialize(_events(table_info, partitions, deltas), "table-events").where("side >= 0")
     known = running(events, ["table_id"], ["seq", "side", "row"], sums=[*MEASURES, "n0", "n1", "n2"], latest=["attrs", "op"])
     return known.where("n0 > 0 AND n1 > 0 AND n2 > 0").select(
         "table_id", "seq", "side", "row", "attrs.table_name", *[F.col(f"attrs.{g}").alias(g) for g in GROUP], "op", *MEASURES)

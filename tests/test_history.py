@@ -97,3 +97,13 @@ def test_snapshot_rows_share_a_position_in_a_fixed_order(spark, logs):
         assert got[0] == [(1,), (2,), (3,)] and got[1] == [(1,), (11,), (111,)]
         assert got[2] == [("x", 3, 1), ("y", 3, 11), ("z", 3, 111)] and got in (want, got)
         want = got
+
+
+def test_file_ops_are_folded_once(spark, monkeypatch):
+    """A filter on the deltas would be pushed below the fold and fold every commit once more."""
+    written, write = [], history.materialize
+    monkeypatch.setattr(history, "materialize", lambda df, name: written.append(df) or write(df, name))
+    registry.q_table_asset_versions(spark, SF_SMALL)
+    registry.q_commit_total_versions(spark, SF_SMALL)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in written]
+    assert sorted(p.count("regexp_extract") for p in plans if "regexp_extract" in p) == [1, 1]
