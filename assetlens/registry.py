@@ -404,9 +404,9 @@ def q_stream_user_assets(spark, sf_dir):
 def q_stream_table_asset_versions(spark, sf_dir):
     """The joined row after each change, by the streaming job in 4 micro-batches."""
     from assetlens.streaming import versions
-    env = fx.fx_envelopes(spark, sf_dir)
     feed = fresh_dir(spark, "feed")
-    changelog.write_feed(env, feed, _seq_cuts(env, 4), files_per_part=files_per_part(spark))
+    changelog.write_feed(fx.fx_envelopes(spark, sf_dir), feed, lambda env: _seq_cuts(env, 4),
+                         files_per_part=files_per_part(spark))
     stream = changelog.read_change_stream(spark, f"{feed}/*", max_files_per_trigger=files_per_part(spark))
     base = fresh_dir(spark, "stream")
     query = versions.start_versions(stream, base, f"{base}-checkpoint", {"availableNow": True})

@@ -9,6 +9,8 @@ then the log.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,7 +82,7 @@ def read_landed(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
-def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None,
+def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | Callable[[DataFrame], list[int]] | None = None,
                files_per_part: int | None = None, scratch: list[str] | None = None) -> list[str]:
     """Writes envelope text (``value``, ``seq``) as a change feed folder.
 
@@ -88,6 +90,7 @@ def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None,
     ``part=000, 001, ...`` in log order, one write per part, so a file-source stream
     sees them in that order; with ``files_per_part`` each part has exactly that many
     files, and ``maxFilesPerTrigger = files_per_part`` makes one part one micro-batch.
+    ``cuts`` may be a function of the materialized envelopes, which finds them without building the envelopes again.
     The envelopes are materialized once first, so each part is a filtered read
     (row groups skipped on ``seq``) rather than a recomputation.
     """
@@ -96,7 +99,7 @@ def write_feed(envelopes: DataFrame, path: str, cuts: list[int] | None = None,
         return [path]
     from assetlens.session import materialize
     env = materialize(envelopes.select("value", "seq"), "feed-envelopes", scratch)
-    bounds = [None, *cuts, None]
+    bounds = [None, *(cuts(env) if callable(cuts) else cuts), None]
     parts = []
     for i in range(len(bounds) - 1):
         lo, hi = bounds[i], bounds[i + 1]
